@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def id_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def slices(batches: Iterator[pa.RecordBatch], column: str = "data", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about `most` bytes of the column, or one row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if total and total + (n or 0) > most:
