@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, quality, simhash, substring_dedup
+from . import exact_dedup, lm_scoring, media, packing, quality, simhash, substring_dedup
 from ._common import table
 
 
@@ -17,6 +17,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digests(media.read_media(media.media_column(table(spark, sf_dir, "documents"))))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,15 +34,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_media": op2_media,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash": op7_simhash,
+    "op8_lm_scoring": op8_lm_scoring,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
