@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lm_scoring, media, packing, quality, simhash, substring_dedup
+from . import exact_dedup, lm_scoring, media, packing, quality, simhash, substring_dedup, warc
 from ._common import table
 
 
@@ -21,6 +21,10 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.read_media(media.media_column(table(spark, sf_dir, "documents"))))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +49,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_media": op2_media,
+    "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash": op7_simhash,
