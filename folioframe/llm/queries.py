@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lm_scoring, media, packing, quality, simhash, substring_dedup, warc
+from . import exact_dedup, lm_scoring, media, packing, quality, sentence_pieces, simhash, substring_dedup, token_counts, warc
 from ._common import table
 
 
@@ -34,6 +34,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,13 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    out = sentence_pieces.decode_pieces(sentence_pieces.encode_pieces(table(spark, sf_dir, "documents"), model), model)
+    text = F.col("text").cast("binary")
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), F.octet_length(text).cast("long").alias("decoded_bytes"), F.sha2(text, 256).alias("decoded_sha256"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,8 +63,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_sentence_pieces": op9_sentence_pieces,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
