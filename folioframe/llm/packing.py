@@ -17,6 +17,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import os
+from array import array
 from bisect import bisect_right
 
 import numpy as np
@@ -33,26 +34,60 @@ LENGTH = 4096
 #: Pieces in a group; branch-and-bound nodes in a group; groups packed again together.
 GROUP, NODES, FAN_IN = 40_000, 20_000, 256
 #: Words that a worker keeps the ids of.
-CACHE = 1 << 18
+CACHE = 400_000
 
 
 class WordIds:
-    """Ids of a text by a tokenizer whose tokens never cross white space: words are encoded once and kept."""
+    """Ids of a text by a tokenizer whose tokens never cross white space: words are encoded once and kept.
+
+    The file has a byte-level BPE whose words end in a marker. Words of ASCII
+    and Latin letters are split and merged here, by the same vocabulary as
+    ranks with the marker as byte 255, which UTF-8 never has; all other words
+    go to the tokenizers library.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        import regex
+        import tiktoken
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.known, self.merges = Tokenizer.from_file(path), {}, {}
+        printed = sorted(pre_tokenizers.ByteLevel.alphabet())
+        plain = [c for c in printed if ord(c) < 256]  # these stand for themselves, the others in order for the rest
+        byte_of = {c: ord(c) for c in plain} | dict(zip((c for c in printed if ord(c) >= 256), (b for b in range(256) if chr(b) not in plain), strict=True))
+        ranks = {}
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            body = token.removesuffix("</w>")
+            ranks[bytes(byte_of[c] for c in body) + b"\xff" * (body != token)] = i
+        self.merged = tiktoken.Encoding("words", pat_str=r"[\s\S]", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.simple = regex.compile(r"[\x21-\x3b\x3d-\x7e\u00c0-\u012f\u0131-\u0148\u014a-\u017e]+").fullmatch
+        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known, new = {}, list(words)
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for word, x in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(x.ids, "<u4").tobytes()
+        other = []
+        for word in new:
+            text = word.decode()
+            if text.isascii() and text.isprintable() and "<|" not in text or self.simple(text):
+                core = text.rstrip(".,;:!?")
+                parts = [core.lower(), text[len(core) :]] if core.isalpha() else self.parts(text.lower())
+                self.known[word] = b"".join(map(self.part, parts))
+            else:
+                other.append((word, text))
+        for (word, _), x in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
+            self.known[word] = np.array(x.ids, "<u4").tobytes()
+
+    def part(self, text: str) -> bytes:
+        """Ids of letters, a digit or signs of one kind."""
+        got = self.merges.get(text)
+        if got is None:
+            if len(self.merges) > CACHE:
+                self.merges.clear()
+            got = self.merges[text] = array("I", self.merged(text.encode() + b"\xff")).tobytes() if text else b""
+        return got
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
