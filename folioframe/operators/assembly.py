@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BOOK_DEFAULTS, clean_text, escaped, extension, filled, padded, person_name
+from ..storage import stored
 from .numbering import chapter_code, numbered, sections
 from .references import paragraph_xml, target_maps, targets
 
@@ -155,7 +156,7 @@ def contents(rows: DataFrame) -> DataFrame:
 def assemble(elements: DataFrame, documents: DataFrame, year: str = "2024") -> DataFrame:
     """(doc_id, xml): elements (numbered here) with media_name and caption columns, documents (doc_id, title, authors, metadata)."""
     rows = numbered(elements).join(documents.select("doc_id", F.col("title").alias("doc_title")), "doc_id", "left")
-    rows = rows.withColumn("filename", figure_file(F.col("elem_id"), extension(F.coalesce("media_name", F.lit("")))))
+    rows = stored(rows.withColumn("filename", figure_file(F.col("elem_id"), extension(F.coalesce("media_name", F.lit(""))))))  # read four times
     rows = rows.join(target_maps(targets(rows)), "doc_id", "left")
     pieces = fragments(rows)
     body = pieces.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "xml"))), lambda s: s["xml"]), "").alias("body"), F.max_by("depth", "pos").alias("depth"))

@@ -31,24 +31,28 @@ def _lookup(table: dict[str, str]):
     return F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), F.col("tag"))
 
 
-def _facts(nodes: DataFrame) -> DataFrame:
-    """Nodes with child_tags (in order), parent_tag, grandchildren (tags under the first child of a tag) and html (table markup below)."""
-    kids = nodes.where("parent_id IS NOT NULL").groupBy("doc_id", "parent_id").agg(F.array_sort(F.collect_list(F.struct("node_id", "tag"))).alias("kids"), F.max(F.when(F.col("tag") == "tgroup", F.struct((-F.col("node_id")).alias("o"), F.map_keys("attrs").alias("k"), F.col("attrs")["cols"].alias("cols")))).alias("tgroup"))
-    own = nodes.join(kids.withColumnRenamed("parent_id", "node_id"), ["doc_id", "node_id"], "left")
-    # a child's children by way of its parent: needed for figures, tables and books
-    inner = own.where(F.col("tag").isin("mediaobject", "imageobject", "tgroup", "bookinfo") & F.col("parent_id").isNotNull()).select("doc_id", F.col("parent_id").alias("up"), F.struct("node_id", "tag", F.coalesce(F.transform("kids", lambda k: k["tag"]), F.array().cast("array<string>")).alias("tags"), F.col("kids").alias("ids")).alias("c"))
-    below = inner.groupBy("doc_id", "up").agg(F.array_sort(F.collect_list(F.struct("c.node_id", "c.tag", "c.tags"))).alias("below")).withColumnRenamed("up", "node_id")
-    return own.join(below, ["doc_id", "node_id"], "left")
+_NONE = "CAST(array() AS array<string>)"
+
 
+def _facts(nodes: DataFrame) -> DataFrame:
+    """Nodes with what the rules ask of their children: tags, and the tags below the first child of some kinds.
 
-def _has(tags, tag: str):
-    return F.coalesce(F.array_contains(tags, tag), F.lit(False))
+    One aggregation by parent; a second one, over the few holders only, brings
+    grandchildren.
+    """
+    first = lambda tag: F.min(F.when(F.col("tag") == tag, F.col("node_id")))
+    kids = nodes.where("parent_id IS NOT NULL").groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.collect_set("tag").alias("tags"), F.min_by(F.col("attrs")["cols"], F.when(F.col("tag") == "tgroup", F.col("node_id"))).alias("cols"), *(first(t).alias(f"first_{t}") for t in ("mediaobject", "imageobject", "tgroup", "bookinfo")))
+    rows = nodes.join(kids, ["doc_id", "node_id"], "left").withColumn("tags", F.coalesce("tags", F.expr(_NONE)))
+    holders = rows.where(F.col("tag").isin("mediaobject", "imageobject", "tgroup", "bookinfo")).select("doc_id", F.col("node_id").alias("h"), F.col("tags").alias("held"), F.col("first_imageobject").alias("h_image"))
+    second = F.when(F.col("tag") == "figure", F.col("first_mediaobject")).when(F.col("tag") == "table", F.col("first_tgroup")).when(F.col("tag") == "book", F.col("first_bookinfo"))
+    rows = rows.withColumn("h", second).join(holders, ["doc_id", "h"], "left").drop("h")
+    images = holders.select("doc_id", F.col("h").alias("h_image"), F.col("held").alias("image_tags"))
+    rows = rows.join(images, ["doc_id", "h_image"], "left")
+    return rows.withColumn("held", F.coalesce("held", F.expr(_NONE))).withColumn("image_tags", F.coalesce("image_tags", F.expr(_NONE)))
 
 
-def _first_below(tag: str):
-    """Tags of the children of the first child of a tag; empty if there is no such child."""
-    found = F.filter(F.coalesce("below", F.array().cast("array<struct<node_id:int,tag:string,tags:array<string>>>")), lambda b: b["tag"] == tag)
-    return F.coalesce(F.try_element_at(found, F.lit(1))["tags"], F.array().cast("array<string>"))
+def _has(tags: str, tag: str):
+    return F.array_contains(tags, tag)
 
 
 def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
@@ -64,22 +68,16 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     # elements without a checked identifier get a key of their own
     rows = rows.withColumn("dup_key", F.when(form.isNotNull() & (ident != ""), F.concat(F.lit("id "), ident)).otherwise(F.concat(F.lit("node "), F.col("node_id").cast("string"))))
     rows = rows.withColumn("again", F.row_number().over(order) > 1)
-    tables = rows.where("tag = 'table'").select("doc_id", F.col("node_id").alias("t"), F.col("subtree_end").alias("e"))
-    cells = rows.where(F.col("tag").isin("tr", "td", "th") & F.array_contains("path", "table")).select("doc_id", F.col("node_id").alias("c"))
+    tables = nodes.where("tag = 'table'").select("doc_id", F.col("node_id").alias("t"), F.col("subtree_end").alias("e"))
+    cells = nodes.where(F.col("tag").isin("tr", "td", "th") & F.array_contains("path", "table")).select("doc_id", F.col("node_id").alias("c"))
     markup = tables.join(cells, "doc_id").where("c > t AND c <= e").select("doc_id", F.col("t").alias("node_id"), F.lit(True).alias("markup")).distinct()
     rows = rows.join(markup, ["doc_id", "node_id"], "left")
     tag, attrs = F.col("tag"), F.col("attrs")
-    tags = F.coalesce(F.transform("kids", lambda k: k["tag"]), F.array().cast("array<string>"))
     parent = F.try_element_at("path", F.lit(-1))
     required = _lookup(REQUIRED)
-    media, objects = _first_below("mediaobject"), F.col("image_tags")
-    # tags below the first imageobject of the first mediaobject
-    images = rows.where("tag = 'imageobject'").select("doc_id", F.col("parent_id").alias("m"), F.col("node_id").alias("o"), tags.alias("image_tags")).groupBy("doc_id", "m").agg(F.min_by("image_tags", "o").alias("image_tags"))
-    first_media = F.try_element_at(F.filter(F.coalesce("kids", F.array().cast("array<struct<node_id:int,tag:string>>")), lambda k: k["tag"] == "mediaobject"), F.lit(1))["node_id"]
-    rows = rows.withColumn("m", first_media).join(images, ["doc_id", "m"], "left")
-    cols = F.col("tgroup")["cols"]
+    cols = F.col("cols")
     fileref = F.coalesce(attrs["fileref"], F.lit(""))
-    table = (tag == "table") & _has(tags, "tgroup")
+    table = (tag == "table") & _has("tags", "tgroup")
 
     def finding(n: int, kind: str, severity: str, when, text):
         return F.when(when, F.struct(F.lit(n).alias("check_ord"), F.lit(kind).alias("error_type"), text.alias("error_description"), F.lit(severity).alias("severity")))
@@ -87,8 +85,8 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     def says(*parts):
         return F.concat(*(F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts))
 
-    missing_link = F.when(~_has(tags, "mediaobject"), "mediaobject").when(~_has(media, "imageobject"), "imageobject").when(~_has(objects, "imagedata"), "imagedata")
-    titled = _has(tags, "title") | ((tag == "book") & _has(_first_below("bookinfo"), "title"))
+    missing_link = F.when(~_has("tags", "mediaobject"), "mediaobject").when(~_has("held", "imageobject"), "imageobject").when(~_has("image_tags", "imagedata"), "imagedata")
+    titled = _has("tags", "title") | ((tag == "book") & _has("held", "title"))
     order_wrong = ((tag == "sect2") & ~parent.eqNullSafe(F.lit("sect1"))) | ((tag == "sect3") & ~parent.eqNullSafe(F.lit("sect2")))
     checks = [
         finding(1, "Excluded Element", "Error", tag.isin(EXCLUDED), says("<", tag, "> is not part of the document type")),
@@ -97,11 +95,11 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
         finding(4, "Duplicate ID", "Error", F.col("again"), says("identifier ", ident, " was used before")),
         finding(5, "Invalid ID Format", "Warning", (ident != "") & form.isNotNull() & ~F.regexp_like(ident, form), says("identifier ", ident, " of <", tag, "> is not of the form ", form)),
         finding(6, "Invalid Figure Structure", "Error", (tag == "figure") & missing_link.isNotNull(), says("figure has no ", missing_link)),
-        finding(7, "Invalid Table Structure", "Error", (tag == "table") & ~_has(tags, "tgroup"), says("table has no tgroup")),
+        finding(7, "Invalid Table Structure", "Error", (tag == "table") & ~_has("tags", "tgroup"), says("table has no tgroup")),
         finding(8, "Missing Attribute", "Error", table & (F.coalesce(cols, F.lit("")) == ""), says("tgroup has no attribute cols")),
         finding(8, "Invalid Attribute Value", "Error", table & (F.coalesce(cols, F.lit("")) != "") & ~(cols.rlike(r"^[0-9]+$") & ~cols.rlike(r"^0+$")), says("cols is no positive number: ", cols)),
         finding(9, "Invalid Table Format", "Error", table & F.coalesce("markup", F.lit(False)), says("table holds HTML rows or cells")),
-        finding(10, "Invalid Table Structure", "Warning", table & ~_has(_first_below("tgroup"), "tbody"), says("tgroup has no tbody")),
+        finding(10, "Invalid Table Structure", "Warning", table & ~_has("held", "tbody"), says("tgroup has no tbody")),
         finding(11, "Invalid Section Hierarchy", "Error", order_wrong, says("<", tag, "> stands in <", parent, ">")),
         finding(12, "Missing Attribute", "Error", (tag == "imagedata") & (fileref == ""), says("imagedata has no fileref")),
         *(finding(13, "Missing Attribute", "Warning", (tag == "imagedata") & (fileref != "") & (F.coalesce(attrs[a], F.lit("")) == ""), says(f"imagedata has no {a}")) for a in ("width", "scalefit")),
