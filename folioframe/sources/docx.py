@@ -112,6 +112,7 @@ def parts(content: bytes) -> Iterator[dict]:
     except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
         yield {"part": "error", "error": f"{type(e).__name__}: {e}"}
         return
+    yield {"part": "document"}
     styles = {}
     if "word/styles.xml" in names:
         for s in ElementTree.fromstring(archive.read("word/styles.xml")).iter(W + "style"):
