@@ -45,7 +45,7 @@ LAST = np.iinfo("i8").max
 def planes(values: np.ndarray) -> bytes:
     """Rising unsigned integers as differences, byte by byte of each place: shuffles compress it well."""
     steps = np.diff(values, prepend=values.dtype.type(0))
-    return np.ascontiguousarray(steps.view("u1").reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(steps.view("u1").reshape(len(values), values.dtype.itemsize).T).tobytes()
 
 
 def from_planes(data: bytes, kind: str) -> np.ndarray:

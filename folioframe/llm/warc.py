@@ -34,6 +34,8 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Headers that every record needs.
+NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 #: Bytes at which an archive is closed; bytes of a member read at a time.
 ARCHIVE, STEP = 8 << 20, 32 << 10
 
@@ -77,7 +79,9 @@ def parse(data: bytes, at: int = 0, whole: bool = False) -> tuple[dict[str, str]
         if not colon:
             raise Bad("broken header line")
         headers[name.decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
-    length = headers.get("content-length", "")
+    if missing := [x for x in NEEDED if x not in headers]:
+        raise Bad(f"no {missing[0]}")
+    length = headers["content-length"]
     if not (length.isascii() and length.isdigit()):
         raise Bad("no content length")
     start = head + 4
