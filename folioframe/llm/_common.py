@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,40 +9,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[str] = []
+from ..storage import shared_dir, stored
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; one of our own only where it is unset."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="folioframe-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors.
-
-    The files are removed when the driver's process ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(_remove, spark)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _remove(spark: SparkSession) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        for path in _written:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001  the session may be gone at exit; the cluster's own cleaner takes the rest
-        pass
+__all__ = ["id_bytes", "map_slices", "partitions", "shared_dir", "slices", "stored", "table"]
 
 
 def partitions(spark: SparkSession) -> int:

@@ -12,7 +12,7 @@ per slice) are then matched by the SHA-256 of the whole normalised text.
 
 Defined results: null text counts as empty; empty texts are equal to each
 other and to texts of white space only; of rows with equal identifier and text
-one stays; an empty table gives an empty result; other columns are ignored.
+one stays; a null identifier is smaller than all others; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,8 +53,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     winners = narrow.where("place = 1").groupBy("text_sha256").agg(F.min_by("doc_id", F.struct(-F.col("points"), "doc_id")).alias("keep"), F.sum("slice_size").alias("size"), F.collect_list("slice").alias("slices"))
     across = winners.where(F.size("slices") > 1).select("text_sha256", "keep", "size", F.explode("slices").alias("slice"))
     out = narrow.join(across, ["text_sha256", "slice"], "left")
-    keep = F.coalesce("keep", "slice_keep")
-    return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", "slice_size").cast("long").alias("group_size"), ((F.col("place") == 1) & (F.col("doc_id") == keep)).alias("kept"), "text_sha256")
+    keep = F.when(F.col("size").isNotNull(), F.col("keep")).otherwise(F.col("slice_keep"))
+    return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", "slice_size").cast("long").alias("group_size"), ((F.col("place") == 1) & F.col("doc_id").eqNullSafe(keep)).alias("kept"), "text_sha256")
 
 
 ORACLE = r"""

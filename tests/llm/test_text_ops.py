@@ -68,6 +68,11 @@ def test_exact_dedup_of_one_large_group(spark):
     assert {(r.keep_id, r.group_size) for r in got} == {(77, 300)} and sum(r.kept for r in got) == 1
 
 
+def test_exact_dedup_with_null_identifiers(spark):
+    got = exact_dedup.exact_dedup(frame(spark, [(None, "a"), (1, "a"), (2, "b")])).collect()
+    assert sorted((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in got) == [(0, None, 2, True), (1, None, 2, False), (2, 2, 1, True)]
+
+
 def brute_fingerprint(text, size):
     words = WORD.findall((text or "").translate({i: i + 32 for i in range(65, 91)}))
     if not words:
