@@ -37,7 +37,7 @@ from ._common import id_bytes, map_slices
 
 MARK = "▁"
 #: Words that a worker keeps the ids of.
-CACHE = 400_000
+CACHE = 250_000
 #: Letters and digits.
 _CHAR = r"[^\W_\u00b2\u00b3\u00b9]"
 
@@ -101,7 +101,7 @@ class Model:
         """Whether merging leaves the two pieces side by side as they are."""
         got = self.stable.get((left, right))
         if got is None:
-            if len(self.stable) > 4 * CACHE:
+            if len(self.stable) > 2 * CACHE:
                 self.stable.clear()
             got = self.stable[left, right] = self.merged(left + right) == [left, right]
         return got
