@@ -145,3 +145,28 @@ def test_rules(spark):
     assert {r.doc_id: r.is_valid for r in validity(findings(nodes, docs), docs).collect()}["Invalid ID Format"] is True
     assert verifications(nodes).where("doc_id = ''").count() == 1
     assert [r.content for r in subtree_text(nodes.where("doc_id = 'Invalid ID Format'"), ["title"]).collect()] == ["t"]
+
+
+def test_workbooks(spark):
+    from folioframe.sources.workbooks import reports, summary_rows
+
+    docs = spark.createDataFrame([("a", "<book><title>t</title><note/><imagedata fileref='multimedia/x.png' width='1' scalefit='1'/></book>"), ("b", '<!DOCTYPE book PUBLIC "RIS Dev" "x"><book id=\'b001\'><title>t</title></book>')], "doc_id string, xml string")
+    nodes = walk_xml(docs)
+    found = findings(nodes, docs)
+    summary = [(r.name, r.n) for r in summary_rows(found, docs).where("doc_id = 'a'").orderBy("ord").collect()]
+    assert summary == [("Error", 2), ("Warning", 1), ("Info", 0), ("Total", 3), ("Missing Attribute", 1), ("Excluded Element", 1), ("Missing DOCTYPE", 1)]
+    books = {r.doc_id: r.xlsx for r in reports(found, verifications(nodes), docs).collect()}
+    ns = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+    with zipfile.ZipFile(io.BytesIO(books["a"])) as z:
+        sheets = [[[c.findtext(".//m:t", namespaces=ns) for c in r] for r in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{i}.xml")).iter(f"{{{ns['m']}}}row")] for i in (1, 2, 3)]
+    assert [r[1] for r in sheets[0]] == ["Severity", "Error", "Error", "Warning"] and sheets[0][1][0] == "1" and ["Validation Status: FAILED"] in sheets[1] and len(sheets[2]) == 2
+
+
+def test_command_line(spark, tmp_path):
+    from folioframe.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.docx").write_bytes(b.document([b.paragraph("A", "Heading 1"), b.paragraph("text", image="r1")], "T", media={"i.png": png(90, 90)}, rels=[("r1", "media/i.png", False)]))
+    assert main(["convert", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--quiet"]) == 0
+    assert sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*") if p.is_file()) == ["one.xml", "one_multimedia/Ch0001s0000fg01.png", "one_rittdoc.zip", "one_validation_report.xlsx"]
+    assert main(["validate", str(tmp_path / "out" / "one_rittdoc.zip"), "--quiet"]) == 0
