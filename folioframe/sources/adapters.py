@@ -10,9 +10,9 @@ from .xml import tag_scan
 
 def page_elements(pages: DataFrame) -> DataFrame:
     """Elements of each host's pages: h1 as level 1, li as bullets, p as paragraphs."""
-    tags = tag_scan(pages)
-    pos = F.row_number().over(Window.partitionBy("host").orderBy("page_id", "i")) - 1
-    return tags.select(F.col("host").alias("doc_id"), pos.alias("pos"), F.lit("paragraph").alias("kind"), "text", F.when(F.col("tag") == "h1", 1).otherwise(0).alias("level"), F.when(F.col("tag") == "li", "bullet").alias("list_type"), "page_id", "i")
+    tags = tag_scan(pages).withColumnRenamed("host", "doc_id")  # before the shuffle, so that later windows reuse it
+    pos = F.row_number().over(Window.partitionBy("doc_id").orderBy("page_id", "i")) - 1
+    return tags.select("doc_id", pos.alias("pos"), F.lit("paragraph").alias("kind"), "text", F.when(F.col("tag") == "h1", 1).otherwise(0).alias("level"), F.when(F.col("tag") == "li", "bullet").alias("list_type"), "page_id", "i")
 
 
 def conversation_elements(turns: DataFrame) -> DataFrame:
