@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from xml.etree import ElementTree
 from xml.parsers import expat
 
 import pyarrow as pa
@@ -82,6 +83,24 @@ def walk_xml(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml")
     return documents.select(F.col(id_col).cast("string").alias("doc_id"), F.col(xml_col).alias("xml")).mapInArrow(walk, NODES)
 
 
+def indented(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml") -> DataFrame:
+    """(doc_id, well_formed, error, pretty): whether each text parses, and its elements indented; text with content keeps its white space."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    root = ElementTree.fromstring(xml or "")
+                    ElementTree.indent(root)
+                    out.append({"doc_id": doc, "well_formed": True, "error": None, "pretty": ElementTree.tostring(root, encoding="unicode")})
+                except ElementTree.ParseError as e:
+                    out.append({"doc_id": doc, "well_formed": False, "error": str(e), "pretty": None})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.string()), ("well_formed", pa.bool_()), ("error", pa.string()), ("pretty", pa.string())]))
+
+    return documents.select(F.col(id_col).cast("string").alias("doc_id"), F.col(xml_col).alias("xml")).mapInArrow(run, "doc_id string, well_formed boolean, error string, pretty string")
+
+
 def tag_scan(pages: DataFrame, tags: str = "h1|p|li") -> DataFrame:
     """(page_id, host, i, tag, text): the elements of some tags of HTML pages in order, without Python."""
     pattern = rf"(?i)<({tags})(?:\s[^>]*)?>([^<]*)"

@@ -15,7 +15,7 @@ from folioframe.plans.convert import convert
 from folioframe.sources import docx_builder as b
 from folioframe.sources.docx import Docx, image_size
 from folioframe.sources.packages import package_xml, replaced_member, saved_images, write_files
-from folioframe.sources.xml import parse, walk_xml
+from folioframe.sources.xml import indented, parse, walk_xml
 
 
 def png(w, h):
@@ -114,6 +114,12 @@ def test_parse_mixed_content():
     assert [(n["tag"], n["parent_id"], n["ord"], n["text"], n["tail"], n["subtree_end"], n["path"]) for n in nodes] == [("a", None, 0, "x", None, 2, []), ("b", 0, 0, "y", "t", 2, ["a"]), ("c", 1, 0, None, "z", 2, ["a", "b"])]
 
 
+def test_indented(spark):
+    rows = spark.createDataFrame([("a", "<a><b>x</b><c>y <d/></c></a>"), ("b", "<a>"), ("c", None)], "doc_id string, xml string")
+    got = {r.doc_id: r for r in indented(rows).collect()}
+    assert got["a"].pretty == "<a>\n  <b>x</b>\n  <c>y <d />\n  </c>\n</a>" and [got[k].well_formed for k in "abc"] == [True, False, False]
+
+
 RULES = {
     "XML Parse Error": "<book id='b001'><title>t</title>",
     "Excluded Element": "<book id='b001'><title>t</title><note/></book>",
