@@ -38,7 +38,7 @@ def main(args: list[str] | None = None) -> int:
             found.orderBy("doc_id", "node_id", "check_ord").show(100, truncate=False)
         return int(bad > 0)
     c = convert_path(spark, o.path, Config(extract_images=not o.no_images, extract_tables=not o.no_tables, create_package=not o.no_package, output_dir=o.out))
-    outputs = [(c.xml, "xml", ".xml"), (reports(c.findings, c.verifications, c.documents), "xlsx", "_validation_report.xlsx")] + [(c.packages, "package", "_rittdoc.zip")] * (not o.no_package)
+    outputs = [(c.xml, "xml", ".xml"), (reports(c.findings, c.verifications, c.documents), "xlsx", "_validation_report.xlsx")] + [(c.packages, "package", "_package.zip")] * (not o.no_package)
     for rows, column, suffix in outputs:
         path, rows = _named(rows, suffix)
         write_files(rows.select(path, F.col(column).cast("binary").alias("content")), o.out).write.format("noop").mode("overwrite").save()

@@ -11,6 +11,8 @@ BOOK_DEFAULTS = {"isbn": "0000000000000", "title": "Untitled Document", "author"
 CONTENT_TYPES = {
     "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "bmp": "image/bmp", "tiff": "image/tiff", "tif": "image/tiff", "emf": "image/x-emf", "wmf": "image/x-wmf",
 }
+# Suffixes that tools add to a package's name.
+PACKAGE_SUFFIXES = ["_rittdoc", "_docbook42"]
 # Fixed value: inline markers, in order of precedence.
 INLINE = r"\{sub:.+?\}|\{sup:.+?\}|\*\*\*.+?\*\*\*|\*\*.+?\*\*|\*.+?\*"
 # Fixed value: a reference in text, its kind and its number or numbers.
@@ -129,7 +131,10 @@ def local_name(c: Column) -> Column:
 
 def package_name(c: Column) -> Column:
     """A package's document name: the stem without the suffixes that tools add."""
-    return F.replace(F.replace(stem(c), F.lit("_rittdoc"), F.lit("")), F.lit("_docbook42"), F.lit(""))
+    out = stem(c)
+    for suffix in PACKAGE_SUFFIXES:
+        out = F.replace(out, F.lit(suffix), F.lit(""))
+    return out
 
 
 def filled(c: Column, default: str) -> Column:

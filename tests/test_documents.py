@@ -174,5 +174,5 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "one.docx").write_bytes(b.document([b.paragraph("A", "Heading 1"), b.paragraph("text", image="r1")], "T", media={"i.png": png(90, 90)}, rels=[("r1", "media/i.png", False)]))
     assert main(["convert", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--quiet"]) == 0
-    assert sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*") if p.is_file()) == ["one.xml", "one_multimedia/Ch0001s0000fg01.png", "one_rittdoc.zip", "one_validation_report.xlsx"]
-    assert main(["validate", str(tmp_path / "out" / "one_rittdoc.zip"), "--quiet"]) == 0
+    assert sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*") if p.is_file()) == ["one.xml", "one_multimedia/Ch0001s0000fg01.png", "one_package.zip", "one_validation_report.xlsx"]
+    assert main(["validate", str(tmp_path / "out" / "one_package.zip"), "--quiet"]) == 0
