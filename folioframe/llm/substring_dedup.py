@@ -38,7 +38,7 @@ from ._words import hashed_words, window_hashes
 
 WINDOW = 13
 #: Bytes of stored input that a bucket stands for.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 LAST = np.iinfo("i8").max
 
 
