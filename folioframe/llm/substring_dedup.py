@@ -39,6 +39,8 @@ from ._words import hashed_words, window_hashes
 WINDOW = 13
 #: Bytes of stored input that a bucket stands for.
 BUCKET_BYTES = 4 << 20
+#: From here on Spark's estimate of the input's bytes is none.
+UNKNOWN = 1 << 56
 LAST = np.iinfo("i8").max
 
 
@@ -86,7 +88,7 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     block = (window + 1) // 2
     spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n = max(partitions(spark), min(-(-size // BUCKET_BYTES), 1 << 20))
+    n = max(partitions(spark), -(-size // BUCKET_BYTES)) if size < UNKNOWN else 8 * partitions(spark)
     docs = df.select(
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("int").alias("bucket"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data")
     )
@@ -95,8 +97,8 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
         """(part, bucket, slices of the arrays) for distinct rising h, dealt by the upper half of the hash."""
         part = (h >> np.uint64(32)) % np.uint64(n)
         order = np.argsort(part, kind="stable")
-        part, edges = part[order], np.searchsorted(part[order], np.arange(n + 1))
-        return [(p, bucket, *(x[order[edges[p] : edges[p + 1]]] for x in (h, *more))) for p in range(n) if edges[p] < edges[p + 1]]
+        parts, starts = np.unique(part[order], return_index=True)
+        return [(int(p), bucket, *(x[order[a:b]] for x in (h, *more))) for p, a, b in zip(parts, starts, np.append(starts, len(order))[1:], strict=True)]
 
     def post_anchors(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         distinct, indexed, _, _ = Bucket(rows).anchors(block)
