@@ -34,7 +34,7 @@ LENGTH = 4096
 #: Pieces in a group; branch-and-bound nodes in a group; groups packed again together.
 GROUP, NODES, FAN_IN = 40_000, 20_000, 256
 #: Words that a worker keeps the ids of.
-CACHE = 150_000
+CACHE = 300_000
 
 
 class WordIds:
