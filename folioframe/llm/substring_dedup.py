@@ -32,6 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import partitions
 from ._words import hashed_words, window_hashes
@@ -83,14 +84,14 @@ class Bucket:
         return indexed & (high > low)
 
 
-def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, removed, kept_text): removed has the spans [start, end) of words that went."""
+def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_words, n_removed, removed, kept_text): removed has the spans [start, end) of words that went. With carry, also data (the text before) and carried (a struct of those columns of the row)."""
     block = (window + 1) // 2
     spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     n = max(partitions(spark), -(-size // BUCKET_BYTES)) if size < UNKNOWN else 8 * partitions(spark)
     docs = df.select(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("int").alias("bucket"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data")
+        F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("int").alias("bucket"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"), *([F.struct(*carry).alias("carried")] if carry else [])
     )
 
     def dealt(bucket: int, h: np.ndarray, *more: np.ndarray) -> list[tuple]:
@@ -207,14 +208,17 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
             removed.append(lost)
             kept.append(b" ".join(words))
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        return pa.table([rows["doc_id"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "removed", "kept_text"])
+        return pa.table([rows["doc_id"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string()), *(rows[c] for c in more)], ["doc_id", "n_words", "n_removed", "removed", "kept_text", *more])
 
+    more = ["data", "carried"] if carry else []
+    schema = T.StructType.fromDDL("doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<start:int,end:int>>, kept_text string")
+    schema = T.StructType([*schema.fields, *(docs.schema[c] for c in more)])
     dealt_docs = docs.groupBy("bucket")
     anchors = dealt_docs.applyInArrow(post_anchors, "part int, bucket int, blocks binary, probes binary")
     hits = anchors.groupBy("part").applyInArrow(meet_anchors, "bucket int, part int, found binary")
     windows = dealt_docs.cogroup(hits.groupBy("bucket")).applyInArrow(post_windows, "part int, bucket int, windows binary, holder binary, ids binary")
     gone = windows.groupBy("part").applyInArrow(meet_windows, "bucket int, gone binary")
-    return dealt_docs.cogroup(gone.groupBy("bucket")).applyInArrow(remove, "doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<start:int,end:int>>, kept_text string")
+    return dealt_docs.cogroup(gone.groupBy("bucket")).applyInArrow(remove, schema)
 
 
 ORACLE = r"""
