@@ -49,6 +49,8 @@ ORDERS = 4
 SLOTS = 1 << 20
 BUCKETS = 32
 ROUNDS, STEP, RATE = 3, 4096, 0.02
+#: Runs that a task learns from in a random order.
+BLOCK = 16 * STEP
 GATES = 8 * 4 * 4
 #: Slots of the memory of runs that a worker knows the cost of.
 MEMORY = 1 << 20
@@ -212,6 +214,23 @@ def _slot_counts(batches):
         yield pa.record_batch([pa.array(u.astype("i4")), pa.array(total[u, 0]), pa.array(total[u, 1])], ["slot", "zeros", "ones"])
 
 
+def blocks(batches):
+    """Runs and counts of a task in blocks of BLOCK runs, however they come in batches."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    rows = 0
+    for batch in batches:
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+        rows += len(held[-1][0])
+        if rows >= BLOCK:
+            value, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            for a in range(0, rows - rows % BLOCK, BLOCK):
+                yield value[a : a + BLOCK], n[a : a + BLOCK]
+            rows %= BLOCK
+            held = [(value[len(value) - rows :], n[len(n) - rows :])]
+    if rows:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def train(docs: DataFrame) -> Mixer:
     """The model of all texts of docs (doc_id, data)."""
     spark = docs.sparkSession
@@ -229,19 +248,23 @@ def train(docs: DataFrame) -> Mixer:
 
     def over_runs(weights, step):
         def go(batches):
-            for part in batches:
-                value, n = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            mixer, total, out = Mixer(shared.value, weights.copy()), 0.0, None
+            for value, n in blocks(batches):
                 order = np.argsort(mixed(value.astype("u8")), kind="stable")
-                mixer = Mixer(shared.value, weights.copy())
-                out = step(mixer, value[order], n[order])
-                yield pa.record_batch([pa.array([float(n.sum())]), pa.array([out.ravel().tolist()], pa.list_(pa.float64()))], ["n", "x"])
+                out = step(mixer, value[order], n[order], out)
+                total += float(n.sum())
+            if out is not None:
+                yield pa.record_batch([pa.array([total]), pa.array([out.ravel().tolist()], pa.list_(pa.float64()))], ["n", "x"])
 
         return grams.mapInArrow(go, "n double, x array<double>")
 
-    def learned(mixer, value, n):
+    def learned(mixer, value, n, _):
         mixer.learn(value, n)
         return mixer.weights
 
+    def tallied(mixer, value, n, before):
+        return mixer.tally(value, n) + (0 if before is None else before)
+
     def summed(df, weighted):
         """Element sums, by tasks first."""
         each = df.select(F.posexplode("x").alias("i", "v"), "n")
@@ -254,7 +277,7 @@ def train(docs: DataFrame) -> Mixer:
     for _ in range(ROUNDS):
         if len(w := summed(over_runs(model.weights, learned), True)):
             model.weights = np.round(w, 12).reshape(GATES, ORDERS + 1)
-    if len(t := summed(over_runs(model.weights, lambda m, v, n: m.tally(v, n)), False)):
+    if len(t := summed(over_runs(model.weights, tallied), False)):
         model.refined = t.reshape(256, BUCKETS, 2)
     model.shared = shared
     return model
