@@ -55,6 +55,20 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.searchsorted(ends, np.concatenate(begins), "right")
 
 
+def prefix_hashes(data: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Before each byte, the hash of the run of bytes inside a word that ends there; 0 where there is none."""
+    n = len(data)
+    power, inverse = _power_table(n + 1)
+    sums = np.zeros(n + 1, "u8")
+    np.cumsum((data.astype("u8") + np.uint64(1)) * power[:n], out=sums[1:])
+    start = np.zeros(n + 1, "i8")  # where the word before a byte begins
+    start[1:] = np.where(inside, 0, np.arange(1, n + 1))
+    np.maximum.accumulate(start, out=start)
+    at = np.arange(n + 1)
+    h = (sums - sums[start]) * inverse[start]
+    return np.where(start == at, np.uint64(0), mixed(h ^ ((at - start).astype("u8") << np.uint64(40))))[:n]
+
+
 def window_hashes(words: np.ndarray, text_of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `size` words inside a text, and the position in words of each one's first word."""
     n = len(words) - size + 1

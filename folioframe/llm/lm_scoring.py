@@ -1,28 +1,39 @@
-"""Language-model scores by logistic context mixing over bits.
-
-Predictors: for each of the last 1 to 4 bytes a hashed context (with the bits
-of the current byte so far) points into a table of bit counts; each gives the
-logit of its smoothed frequency. A gate, chosen by the bit's place and by how
-often the two longest contexts were seen, selects the weights that mix the
-logits. The mixed bit is refined by an adaptive table over (bits so far, mixed
-logit). Minus the sum of the logs of the bits' probabilities over a text and
-its closing zero byte is its score.
-
-Training covers every training text. Runs of 5 bytes are counted in each task
-and summed by a shuffle; the bit counts of all contexts follow from those
-sums. Weights are learned online: in each round every task goes through its
-runs in small steps, each bit leaving its own count out of the tables, and the
-tasks' weights are averaged; a last pass fills the adaptive table. Only tables
-of fixed size (SLOTS per context, gates x weights) reach the driver.
+"""Language-model scores by online logistic context mixing over bits.
+
+Predictors: the last 1 to 6 bytes and the word begun so far are hashed
+contexts. Each points, together with the bits of the current byte so far, into
+a table of bit counts and gives the logit of the smoothed frequency there. A
+gate, chosen by the bit's place, by the longest context that was seen and by
+how often it was, selects the weights that mix the logits. The mixed bit is
+refined by an adaptive table over (bits so far, mixed logit), and by one of the
+text's own over the mixed logit. Minus the sum of the logs of the bits'
+probabilities over a text and its closing zero byte is its score.
+
+What is learned before scoring covers every training text. Runs of 7 bytes with
+their word are counted in each task and summed by a shuffle; the bit counts of
+all contexts follow from those sums. The tables' sizes follow the number of
+distinct contexts, up to MOST_BITS for each predictor, which bounds what is
+broadcast; counts are kept on a scale that is exact up to 63 and logarithmic
+beyond, so none overflows. Weights are learned online: each task goes once
+through all its runs, in the order of a hash and in steps of STEP, each bit
+leaving its own count out; the tasks' weights are averaged, and a further round
+starts from the average. A last pass fills the adaptive table.
+
+Scoring goes on learning: a text's own shift of the mixing weights and its own
+adaptive table start anew for each text and are updated along it, after its
+first FIRST bytes and each time its length has doubled, at most LAST bytes
+later. A score is a function of the model and of the text alone.
 
 The base score is a smoothed unigram model over words. Words that are at least
 one in FREQUENT of all are at most FREQUENT in number and are broadcast; the
 others' counts are joined by a shuffle, on words that cannot be hot.
 
-Defined results: null or empty text is its end alone (one token, one byte);
-without training rows all counts are zero; repeated rows count and are scored
-as often as they occur; an empty table gives an empty result; other columns
-are ignored.
+Defined results: null or empty text is its end alone (one token, one byte); a
+null identifier is learned from and its held_out is null; a long text is read
+whole, in segments of SEGMENT bytes at whose borders the begun word is
+forgotten; without training rows all counts are zero; repeated rows count and
+are scored as often as they occur; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._common import id_bytes, map_slices, partitions, slices, stored
-from ._words import mixed
+from ._words import mixed, prefix_hashes
 
 #: Folds, and the one that is held out.
 FOLDS, HELD_OUT = 7, 2
@@ -45,239 +56,400 @@ FOLDS, HELD_OUT = 7, 2
 END = "\n"
 #: Words of at least a share of 1 / FREQUENT are broadcast.
 FREQUENT = 100_000
-ORDERS = 4
-SLOTS = 1 << 20
+#: Bytes of the longest context; predictors: one for each length and the word.
+ORDERS = 6
+INPUTS = ORDERS + 1
+#: Slots of a predictor's table as powers of two; slots that a group of the shuffle packs.
+LEAST_BITS, MOST_BITS, PART_BITS = 12, 23, 16
 BUCKETS = 32
-ROUNDS, STEP, RATE = 3, 4096, 0.02
-#: Runs that a task learns from in a random order.
-BLOCK = 16 * STEP
-GATES = 8 * 4 * 4
-#: Slots of the memory of runs that a worker knows the cost of.
-MEMORY = 1 << 20
+ROUNDS, STEP, RATE = 2, 4096, 2.0
+#: Runs that a task looks at in one go; rows that a task sums before it hands them on.
+BLOCK, HELD = 16 * STEP, 1_500_000
+#: Place of the bit x longest context seen x how often.
+GATES = 8 * INPUTS * 3
+#: Bytes of a text that are looked at together; bytes scored with one state at first and at most.
+SEGMENT, FIRST, LAST = 1 << 17, 256, 4096
+#: How fast a text's own weights move; what its own adaptive table starts from.
+OWN_RATE, OWN_PRIOR, PRIOR = 0.02, 60.0, 20.0
+_NODE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_LOWER = np.arange(256, dtype="u1")
+_LOWER[65:91] += 32
 
 
 def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT
 
 
+# ---- counts on a scale of 8 bits
+
+
+def level(n: np.ndarray) -> np.ndarray:
+    """Counts as 0 to 255: exact up to 63, then four steps to an octave."""
+    n = np.asarray(n, "f8")
+    return np.where(n < 64, n, np.minimum(255, 64 + np.floor(4 * np.log2(np.maximum(n, 64) / 64)))).astype("u2")
+
+
+_COUNT = np.concatenate([np.arange(64.0), 64 * 2 ** ((np.arange(192) + 0.5) / 4)])
+_ZEROS, _ONES = np.repeat(_COUNT, 256), np.tile(_COUNT, 256)
+
+
+def _looked_up(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logit, and class of the total (0: not seen), of each pair of levels."""
+    return (np.log(ones + 0.1) - np.log(zeros + 0.1)).astype("f4"), np.digitize(zeros + ones, (0.5, 1.5, 7.5)).astype("u1")
+
+
+LOGIT, SEEN = _looked_up(_ZEROS, _ONES)
+#: The same without one count of the bit itself: bit << 16 | levels.
+LOGIT_LESS, SEEN_LESS = (np.concatenate(x) for x in zip(_looked_up(np.maximum(_ZEROS - 1, 0), _ONES), _looked_up(_ZEROS, np.maximum(_ONES - 1, 0)), strict=True))
+
+
 # ---- runs of bytes and their contexts
 
 
-def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte of the texts and of their closing zero with the 4 before it as one integer; runs of each text."""
-    pad = bytes(ORDERS)
-    data = np.frombuffer(b"".join([x for t in texts for x in (pad, t, b"\0")]), "u1")
+def segments(data: bytes):
+    """(bytes before, bytes) of a text and its closing zero, SEGMENT bytes at a time."""
+    data += b"\0"
+    for a in range(0, len(data), SEGMENT):
+        yield data[max(0, a - ORDERS) : a].rjust(ORDERS, b"\0"), data[a : a + SEGMENT]
+
+
+def runs(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each byte of the segments: it with the ORDERS before it as one integer, and a hash of the word begun before it; bytes of each segment."""
+    data = np.frombuffer(b"".join([x for part in parts for x in part]), "u1")
     value = np.zeros(max(0, len(data) - ORDERS), "i8")
     for i in range(ORDERS + 1):
         value <<= 8
         value |= data[i : len(data) - ORDERS + i]
-    sizes = np.array([len(t) + 1 for t in texts], "i8")
-    ends = np.cumsum(sizes + ORDERS)
-    starts = ends - sizes - ORDERS  # a text's runs begin where its padding does
+    sizes = np.array([len(x) for _, x in parts], "i8")
+    starts = np.cumsum(sizes + ORDERS) - sizes - ORDERS
     at = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    return value[at], sizes
+    word = prefix_hashes(_LOWER[data], _LETTER[data])
+    return value[at], word[at + ORDERS].view("i8"), sizes
+
+
+def keys(value: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One hash for a run and its word."""
+    return mixed(value.astype("u8") ^ (mixed(word.view("u8")) << np.uint64(1)))
+
 
+class Tables:
+    """Where the predictors' slots are: a power of two of them for each."""
 
-def places(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots (orders x runs x 8 bits) in the flat tables, and the bits (runs x 8)."""
-    byte = value & 255
-    prefix = (byte[:, None] | 256) >> np.arange(8, 0, -1)  # 1 and the bits so far
-    bits = (byte[:, None] >> np.arange(7, -1, -1)) & 1
-    slots = np.empty((ORDERS, *prefix.shape), "i8")
-    for k in range(ORDERS):
-        context = (value >> 8) & ((1 << 8 * (k + 1)) - 1)
-        h = mixed((context.astype("u8") << np.uint64(3)) + np.uint64(k))[:, None] + prefix.astype("u8") * np.uint64(0x9E3779B97F4A7C15)
-        slots[k] = (mixed(h) & np.uint64(SLOTS - 1)).astype("i8") + k * SLOTS
-    return slots, bits
+    def __init__(self, bits: list[int]):
+        self.bits = bits
+        self.shift = np.array([64 - b for b in bits], "u8")
+        self.base = np.cumsum([0, *(1 << b for b in bits)])[:-1].astype("u8")
+        self.size = sum(1 << b for b in bits)
+
+    def places(self, value: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slots (runs x 8 bits x predictors), and the bits (runs x 8)."""
+        byte = value & 255
+        prefix = (byte[:, None] | 256) >> np.arange(8, 0, -1)  # 1 and the bits so far
+        bits = (byte[:, None] >> np.arange(7, -1, -1)) & 1
+        h = np.empty((len(value), INPUTS), "u8")
+        for k in range(ORDERS):
+            context = (value >> 8) & ((1 << 8 * (k + 1)) - 1)
+            h[:, k] = mixed((context.astype("u8") << np.uint64(3)) + np.uint64(k))
+        h[:, ORDERS] = mixed(word.view("u8") + np.uint64(ORDERS))
+        slots = h[:, None, :] ^ (prefix.astype("u8") * _NODE)[:, :, None]
+        slots *= _SPREAD
+        slots >>= self.shift
+        slots += self.base
+        return slots.view("i8"), bits
 
 
 class Mixer:
-    """The model: bit counts, mixing weights and the adaptive table."""
+    """The model: bit counts as levels, mixing weights and the adaptive table."""
 
-    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
-        self.counts = counts  # (ORDERS * SLOTS) x 2
-        self.weights = np.full((GATES, ORDERS + 1), 0.3) if weights is None else weights
+    def __init__(self, tables: Tables, states: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
+        self.tables, self.states = tables, states  # zeros << 8 | ones of each slot
+        start = np.full((GATES, INPUTS + 1), 0.3, "f4")
+        start[:, INPUTS] = 0
+        self.weights = start if weights is None else weights.astype("f4")
         self.refined = np.zeros((256, BUCKETS, 2)) if refined is None else refined
 
-    def inputs(self, value: np.ndarray, leave_out: bool = False):
-        """Logits (bits x inputs), gates and bits of runs; leave_out: without one count of the run itself."""
-        slots, bits = places(value)
-        flat = bits.ravel()
-        x = np.ones((flat.size, ORDERS + 1))
-        seen = np.empty((2, flat.size), "i8")
-        for k in range(ORDERS):
-            n = self.counts[slots[k].ravel()].astype("f8")
-            if leave_out:
-                n[np.arange(flat.size), flat] -= 1
-                np.maximum(n, 0, out=n)
-            x[:, k] = np.log(n[:, 1] + 0.1) - np.log(n[:, 0] + 0.1)
-            if k >= ORDERS - 2:
-                seen[k - ORDERS + 2] = np.digitize(n.sum(axis=1), (0.5, 3.5, 30.5))
-        gate = (np.tile(np.arange(8), len(value)) * 4 + seen[0]) * 4 + seen[1]
-        return x, gate, flat
-
-    def mix(self, x, gate):
-        return np.einsum("ij,ij->i", x, self.weights[gate])
-
-    def learn(self, value: np.ndarray, count: np.ndarray) -> None:
+    def inputs(self, value: np.ndarray, word: np.ndarray, leave_out: bool = False):
+        """Logits (runs x 8 bits x inputs, the last input 1), gates and bits (runs x 8)."""
+        slots, bits = self.tables.places(value, word)
+        state = self.states[slots].astype("i4")
+        if leave_out:
+            state += (bits << 16)[:, :, None].astype("i4")
+        x = np.ones((*bits.shape, INPUTS + 1), "f4")
+        x[:, :, :INPUTS] = (LOGIT_LESS if leave_out else LOGIT)[state]
+        seen = (SEEN_LESS if leave_out else SEEN)[state[:, :, :ORDERS]]
+        longest = (seen > 0).sum(axis=2)
+        often = np.take_along_axis(seen, np.maximum(longest - 1, 0)[:, :, None], axis=2)[:, :, 0].astype("i8")
+        gate = (np.arange(8) * INPUTS + longest) * 3 + np.maximum(often - 1, 0)
+        return x, gate, bits
+
+    def learn(self, value: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
         """Online: a gradient step for each STEP runs, weighted by their counts."""
         for a in range(0, len(value), STEP):
-            x, gate, bit = self.inputs(value[a : a + STEP], leave_out=True)
+            x, gate, bits = self.inputs(value[a : a + STEP], word[a : a + STEP], leave_out=True)
+            x, gate, bit = x.reshape(-1, INPUTS + 1), gate.ravel(), bits.ravel()
             weight = np.repeat(count[a : a + STEP].astype("f8"), 8)
-            p = 1 / (1 + np.exp(-np.clip(self.mix(x, gate), -30, 30)))
-            error = (bit - p) * weight
+            error = (bit - squash(np.einsum("ij,ij->i", x, self.weights[gate]))) * weight
             total = np.bincount(gate, weight * np.square(x).sum(axis=1), GATES) + 1e-9
-            for j in range(x.shape[1]):
-                self.weights[:, j] += RATE * 20 * np.bincount(gate, error * x[:, j], GATES) / total
+            for j in range(INPUTS + 1):
+                self.weights[:, j] += RATE * np.bincount(gate, error * x[:, j], GATES) / total
 
-    @staticmethod
-    def cells(value: np.ndarray, z: np.ndarray):
-        prefix = (((value & 255)[:, None] | 256) >> np.arange(8, 0, -1)).ravel()
-        bucket = np.clip((z + 8) * (BUCKETS / 16), 0, BUCKETS - 1).astype("i8")
-        return prefix, bucket
-
-    def tally(self, value: np.ndarray, count: np.ndarray) -> np.ndarray:
+    def tally(self, value: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Bits met in each cell of the adaptive table."""
         out = np.zeros(256 * BUCKETS * 2)
-        for a in range(0, len(value), STEP * 8):
-            v = value[a : a + STEP * 8]
-            x, gate, bit = self.inputs(v, leave_out=True)
-            prefix, bucket = self.cells(v, self.mix(x, gate))
-            out += np.bincount((prefix * BUCKETS + bucket) * 2 + bit, np.repeat(count[a : a + STEP * 8].astype("f8"), 8), out.size)
+        for a in range(0, len(value), STEP):
+            v = value[a : a + STEP]
+            x, gate, bits = self.inputs(v, word[a : a + STEP], leave_out=True)
+            cell = prefixes(v) * BUCKETS + bucket(np.einsum("ijk,ijk->ij", x, self.weights[gate]))
+            out += np.bincount((cell * 2 + bits).ravel(), np.repeat(count[a : a + STEP].astype("f8"), 8), out.size)
         return out
 
-    def cost(self, value: np.ndarray) -> np.ndarray:
-        """Bits that each run's last byte takes."""
-        out = np.empty(len(value))
-        for a in range(0, len(value), STEP * 8):
-            v = value[a : a + STEP * 8]
-            x, gate, bit = self.inputs(v)
-            z = np.clip(self.mix(x, gate), -20, 20)
-            p = 1 / (1 + np.exp(-z))
-            n = self.refined[self.cells(v, z)]
-            q = (n[:, 1] + 20 * p) / (n.sum(axis=1) + 20)
-            p = (p + q) / 2
-            out[a : a + STEP * 8] = -np.log2(np.clip(np.where(bit == 1, p, 1 - p), 1e-9, 1)).reshape(-1, 8).sum(axis=1)
-        return out
 
+def squash(z):
+    return 1 / (1 + np.exp(-np.clip(z, -20, 20)))
+
+
+def bucket(z: np.ndarray) -> np.ndarray:
+    return np.clip((z + 8) * (BUCKETS / 16), 0, BUCKETS - 1).astype("i8")
+
+
+def prefixes(value: np.ndarray) -> np.ndarray:
+    return ((value & 255)[:, None] | 256) >> np.arange(8, 0, -1)
 
-class Costs:
-    """Costs of runs, remembered."""
+
+class Own:
+    """What texts have learned from themselves: a shift of the weights, and an adaptive table over the mixed logit."""
+
+    def __init__(self, n: int):
+        self.weights, self.ones, self.sure = np.zeros((n, INPUTS + 1)), np.zeros(n * BUCKETS), np.zeros(n * BUCKETS)
+
+
+class Scorer:
+    """Bits that texts take: many texts go forward together, each with a state of its own."""
 
     def __init__(self, model: Mixer):
-        self.model, self.key, self.value = model, np.full(MEMORY, -1, "i8"), np.zeros(MEMORY)
-
-    def of(self, value: np.ndarray) -> np.ndarray:
-        at = (mixed(value.astype("u8")) & np.uint64(MEMORY - 1)).astype("i8")
-        out = self.value[at]
-        miss = np.flatnonzero(self.key[at] != value)
-        if len(miss):
-            new, inverse = np.unique(value[miss], return_inverse=True)
-            cost = self.model.cost(new)
-            out[miss] = cost[inverse]
-            slot = (mixed(new.astype("u8")) & np.uint64(MEMORY - 1)).astype("i8")
-            self.key[slot], self.value[slot] = new, cost
+        self.model = model
+        n = model.refined.sum(axis=2)
+        self.sure, self.ones = n.astype("f4"), model.refined[:, :, 1].astype("f4")
+
+    def bits(self, texts: list[bytes]) -> np.ndarray:
+        out = np.zeros(len(texts))
+        held, size = [], 0
+        for i, t in enumerate(texts):
+            if len(t) < SEGMENT:
+                held.append(i)
+                size += len(t) + 1
+                if size >= SEGMENT:
+                    out[held] = self.together([texts[j] for j in held])
+                    held, size = [], 0
+            else:
+                out[i] = self.alone(t)
+        if held:
+            out[held] = self.together([texts[j] for j in held])
         return out
 
+    def alone(self, text: bytes) -> float:
+        own, total, at = Own(1), 0.0, 0
+        for part in segments(text):
+            total += self.part([part], own, at)[0]
+            at += len(part[1])
+        return total
+
+    def together(self, texts: list[bytes]) -> np.ndarray:
+        return self.part([next(segments(t)) for t in texts], Own(len(texts)), 0)
+
+    def part(self, parts: list[tuple[bytes, bytes]], own: Own, at: int) -> np.ndarray:
+        """Bits of segments that begin at byte `at` of their texts; own is carried on."""
+        value, word, sizes = runs(parts)
+        _, first, inverse = np.unique(keys(value, word), return_index=True, return_inverse=True)
+        x, gate, bits = self.model.inputs(value[first], word[first])
+        prefix = prefixes(value[first])
+        mix = self.model.weights
+        starts, total = np.cumsum(sizes) - sizes, np.zeros(len(sizes))
+        done, longest = 0, int(sizes.max(initial=0))
+        while done < longest:
+            step = min(max(FIRST, at + done), LAST)  # the text's bytes so far, within bounds
+            lanes = np.flatnonzero(sizes > done)
+            n = np.minimum(sizes[lanes] - done, step)
+            begin = np.cumsum(n) - n
+            rows = inverse[np.repeat(starts[lanes] + done - begin, n) + np.arange(int(n.sum()))]
+            lane = np.repeat(lanes, n)
+            xs, g, b = x[rows], gate[rows], bits[rows]
+            z = np.einsum("ijk,ijk->ij", xs, mix[g]) + np.einsum("ijk,ik->ij", xs, own.weights[lane])
+            p = squash(z)
+            cell = bucket(z)
+            pre = prefix[rows]
+            q = (self.ones[pre, cell] + PRIOR * p) / (self.sure[pre, cell] + PRIOR)
+            own_cell = lane[:, None] * BUCKETS + cell
+            r = (own.ones[own_cell] + OWN_PRIOR * q) / (own.sure[own_cell] + OWN_PRIOR)
+            final = (p + q + 2 * r) / 4
+            cost = -np.log2(np.clip(np.where(b == 1, final, 1 - final), 1e-9, 1)).sum(axis=1)
+            total[lanes] += np.add.reduceat(cost, begin)
+            # the text's own state moves on
+            pull = np.add.reduceat(np.einsum("ij,ijk->ik", b - p, xs), begin, axis=0)
+            power = np.add.reduceat(np.einsum("ijk,ijk->i", xs, xs), begin)
+            own.weights[lanes] += OWN_RATE * pull / (power / (INPUTS + 1) + 1)[:, None]
+            own.ones += np.bincount(own_cell.ravel(), b.ravel(), own.ones.size)
+            own.sure += np.bincount(own_cell.ravel(), minlength=own.sure.size)
+            done += step
+        return total
+
 
 # ---- training
 
 
+def _summed(key: np.ndarray, first: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    _, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+    return [x[at] for x in first], np.bincount(inverse, n, len(at)).astype("i8")
+
+
+def _together(texts: list[bytes], most: int = 4 * SEGMENT):
+    """Segments of the texts in lists of about `most` bytes."""
+    held, size = [], 0
+    for part in (p for t in texts for p in segments(t)):
+        held.append(part)
+        size += len(part[1])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _counted(batches):
-    """Counts of runs in a task: (run, count), summed over slices."""
-    held, counts = np.zeros(0, "i8"), np.zeros(0, "i8")
+    """Counts of runs and their words in a task: (run, word, n), summed over slices."""
+    held, rows = [], 0
+
+    def merged():
+        run, word, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        (run, word), n = _summed(keys(run, word), [run, word], n)
+        return run, word, n
+
     for batch in slices(batches):
-        value, _ = runs(batch.column("data").to_pylist())
-        new, n = np.unique(value, return_counts=True)
-        both = np.concatenate([held, new])
-        held, inverse = np.unique(both, return_inverse=True)
-        counts = np.bincount(inverse, np.concatenate([counts, n]), len(held)).astype("i8")
-        if len(held) > 2_000_000:
-            yield pa.record_batch([pa.array(held), pa.array(counts)], ["run", "n"])
-            held, counts = held[:0], counts[:0]
-    yield pa.record_batch([pa.array(held), pa.array(counts)], ["run", "n"])
-
-
-def _slot_counts(batches):
-    """Bit counts of all contexts of a task's runs."""
-    total = np.zeros((ORDERS * SLOTS, 2), "i8")
-    for batch in batches:
-        value, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        for a in range(0, len(value), 65536):
-            slots, bits = places(value[a : a + 65536])
-            weight = np.repeat(n[a : a + 65536], 8)
-            for k in range(ORDERS):
-                np.add.at(total, (slots[k].ravel(), bits.ravel()), weight)
-    used = np.flatnonzero(total.any(axis=1))
-    for a in range(0, len(used), 100_000):
-        u = used[a : a + 100_000]
-        yield pa.record_batch([pa.array(u.astype("i4")), pa.array(total[u, 0]), pa.array(total[u, 1])], ["slot", "zeros", "ones"])
-
-
-def blocks(batches):
-    """Runs and counts of a task in blocks of BLOCK runs, however they come in batches."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+        for parts in _together(batch.column("data").to_pylist()):
+            value, word, _ = runs(parts)
+            (run, w), n = _summed(keys(value, word), [value, word], np.ones(len(value)))
+            held.append((run, w, n))
+            rows += len(run)
+            if rows > HELD:
+                held = [merged()]
+                rows = len(held[0][0])
+                if rows > HELD // 2:
+                    yield pa.record_batch([pa.array(x) for x in held[0]], ["run", "word", "n"])
+                    held, rows = [], 0
+    if held:
+        yield pa.record_batch([pa.array(x) for x in merged()], ["run", "word", "n"])
+
+
+def _columns(batches):
+    """Runs, words and counts of a task in blocks of BLOCK rows, however they come in batches."""
+    held: list[tuple[np.ndarray, ...]] = []
     rows = 0
     for batch in batches:
-        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
         rows += len(held[-1][0])
         if rows >= BLOCK:
-            value, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            whole = [np.concatenate(x) for x in zip(*held, strict=True)]
             for a in range(0, rows - rows % BLOCK, BLOCK):
-                yield value[a : a + BLOCK], n[a : a + BLOCK]
+                yield tuple(x[a : a + BLOCK] for x in whole)
             rows %= BLOCK
-            held = [(value[len(value) - rows :], n[len(n) - rows :])]
+            held = [tuple(x[len(x) - rows :] for x in whole)]
     if rows:
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
+def _slot_counts(tables: Tables):
+    def count(batches):
+        """Bit counts of all contexts of a task's runs: (slot, zeros, ones), summed over some blocks."""
+        held, rows = [], 0
+
+        def merged():
+            slot, zeros, ones = (np.concatenate(x) for x in zip(*held, strict=True))
+            kinds, inverse = np.unique(slot, return_inverse=True)
+            return kinds, *(np.bincount(inverse, x, len(kinds)).astype("i8") for x in (zeros, ones))
+
+        for value, word, n in _columns(batches):
+            for a in range(0, len(value), STEP * 4):
+                slots, bits = tables.places(value[a : a + STEP * 4], word[a : a + STEP * 4])
+                weight = np.broadcast_to((n[a : a + STEP * 4, None] * 1.0)[:, :, None], slots.shape).ravel()
+                one = np.broadcast_to(bits[:, :, None], slots.shape).ravel()
+                kinds, inverse = np.unique(slots.ravel(), return_inverse=True)
+                total = np.bincount(inverse, weight, len(kinds))
+                ones = np.bincount(inverse, weight * one, len(kinds))
+                held.append((kinds, total - ones, ones))
+                rows += len(kinds)
+                if rows > HELD:
+                    held = [merged()]
+                    yield pa.record_batch([pa.array(x) for x in held[0]], ["slot", "zeros", "ones"])
+                    held, rows = [], 0
+        if held:
+            yield pa.record_batch([pa.array(x) for x in merged()], ["slot", "zeros", "ones"])
+
+    return count
+
+
+def _packed(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """The slots of a part as levels: a place for each, two bytes wide."""
+    out = np.zeros(1 << PART_BITS, "u2")
+    at = rows["slot"].to_numpy() & ((1 << PART_BITS) - 1)
+    out[at] = level(rows["zeros"].to_numpy()) << 8 | level(rows["ones"].to_numpy())
+    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([out.tobytes()], pa.binary())], ["part", "states"])
+
+
 def train(docs: DataFrame) -> Mixer:
     """The model of all texts of docs (doc_id, data)."""
     spark = docs.sparkSession
-    counted = docs.mapInArrow(_counted, "run bigint, n bigint")
-    grams = stored(counted.groupBy("run").agg(F.sum("n").alias("n")))
-    # a context's bits together: fewer partial sums
-    tables = grams.repartition(partitions(spark), F.shiftright("run", 8)).mapInArrow(_slot_counts, "slot int, zeros bigint, ones bigint")
-    counts = np.zeros((ORDERS * SLOTS, 2), "u4")
-    got = tables.groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()  # at most ORDERS * SLOTS rows
-    for j, c in enumerate(("zeros", "ones")):
-        counts[got["slot"].to_numpy(), j] = np.minimum(got[c].to_numpy(), 0xFFFFFFFF)
-    model = Mixer(counts)
+    counted = docs.mapInArrow(_counted, "run bigint, word bigint, n bigint").groupBy("run", "word").agg(F.sum("n").alias("n"))
+    grams = stored(counted.sortWithinPartitions(F.xxhash64("run", "word"), "run", "word"))
+    context = lambda k: F.col("run").bitwiseAND((1 << 8 * (k + 2)) - 1)  # noqa: E731  with the byte
+    kinds = [F.approx_count_distinct(context(k)) for k in range(ORDERS)] + [F.approx_count_distinct(F.struct("word", context(-1)))]
+    distinct = grams.agg(*(x.alias(f"k{i}") for i, x in enumerate(kinds))).first()
+    tables = Tables([min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, 4 * n))))) for n in distinct])
+    # the contexts of three bytes and more lie in one partition each
+    dealt = grams.repartition(partitions(spark), F.shiftright("run", 8).bitwiseAND(0xFFFFFF))
+    summed = dealt.mapInArrow(_slot_counts(tables), "slot bigint, zeros bigint, ones bigint").groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    parts = summed.groupBy(F.shiftright("slot", PART_BITS).alias("part")).applyInArrow(_packed, "part bigint, states binary")
+    states = np.zeros(-(-tables.size >> PART_BITS << PART_BITS) + (1 << PART_BITS), "u2")
+    got = parts.toArrow()  # two bytes a slot
+    for part, data in zip(got["part"].to_pylist(), got["states"], strict=True):
+        states[part << PART_BITS : (part + 1) << PART_BITS] = np.frombuffer(data.as_py(), "u2")
+    states = states[: tables.size]
     del got
-    shared = spark.sparkContext.broadcast(counts)  # fixed size
+    shared = spark.sparkContext.broadcast(states)  # at most INPUTS << MOST_BITS slots
+    model = Mixer(tables, states)
 
     def over_runs(weights, step):
         def go(batches):
-            mixer, total, out = Mixer(shared.value, weights.copy()), 0.0, None
-            for value, n in blocks(batches):
-                order = np.argsort(mixed(value.astype("u8")), kind="stable")
-                out = step(mixer, value[order], n[order], out)
+            mixer, total, out = Mixer(tables, shared.value, weights.copy()), 0.0, None
+            for value, word, n in _columns(batches):
+                out = step(mixer, value, word, n, out)
                 total += float(n.sum())
             if out is not None:
-                yield pa.record_batch([pa.array([total]), pa.array([out.ravel().tolist()], pa.list_(pa.float64()))], ["n", "x"])
+                yield pa.record_batch([pa.array([total]), pa.array([out.ravel().astype("f8").tolist()], pa.list_(pa.float64()))], ["n", "x"])
 
         return grams.mapInArrow(go, "n double, x array<double>")
 
-    def learned(mixer, value, n, _):
-        mixer.learn(value, n)
+    def learned(mixer, value, word, n, _):
+        mixer.learn(value, word, n)
         return mixer.weights
 
-    def tallied(mixer, value, n, before):
-        return mixer.tally(value, n) + (0 if before is None else before)
+    def tallied(mixer, value, word, n, before):
+        return mixer.tally(value, word, n) + (0 if before is None else before)
 
-    def summed(df, weighted):
+    def summed_up(df, weighted):
         """Element sums, by tasks first."""
         each = df.select(F.posexplode("x").alias("i", "v"), "n")
-        rows = each.groupBy("i").agg(F.sum(F.col("v") * F.col("n") if weighted else F.col("v")).alias("v"), F.sum("n").alias("n")).collect()
+        rows = each.groupBy("i").agg(F.sum(F.col("v") * F.col("n") if weighted else F.col("v")).alias("v"), F.sum("n").alias("n")).collect()  # as many as weights or cells
         out = np.zeros(max((r["i"] for r in rows), default=-1) + 1)
         for r in rows:
             out[r["i"]] = r["v"] / r["n"] if weighted else r["v"]
         return out
 
     for _ in range(ROUNDS):
-        if len(w := summed(over_runs(model.weights, learned), True)):
-            model.weights = np.round(w, 12).reshape(GATES, ORDERS + 1)
-    if len(t := summed(over_runs(model.weights, tallied), False)):
+        if len(w := summed_up(over_runs(model.weights, learned), True)):
+            model.weights = np.round(w, 6).reshape(GATES, INPUTS + 1).astype("f4")
+    if len(t := summed_up(over_runs(model.weights, tallied), False)):
         model.refined = t.reshape(256, BUCKETS, 2)
     model.shared = shared
     return model
@@ -292,10 +464,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             words: Counter = Counter()
             for t in texts:
                 words.update(t.lower().split())
-            keys = [w.decode() for w in words]
-            yield pa.record_batch([pa.array([*keys, END]), pa.array([*words.values(), len(texts)], pa.int64())], ["word", "n"])
+            yield pa.record_batch([pa.array([*words, END.encode()], pa.binary()), pa.array([*words.values(), len(texts)], pa.int64())], ["word", "n"])
 
-    return docs.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 # ---- scoring
@@ -312,21 +483,19 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     training = rows.where(~F.coalesce(held_out(), F.lit(False)))
     counts = stored(word_counts(training))
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    common = counts.where(F.col("n") >= max(1, total / FREQUENT)).select(F.encode("word", "utf-8").alias("word"), "n").toArrow()  # at most FREQUENT rows
-    frequent = spark.sparkContext.broadcast({w: n for w, n in zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True)})
-    end = frequent.value.get(END.encode(), 0) or (counts.where(F.col("word") == END).select("n").first() or [0])[0]
+    common = counts.where(F.col("n") >= max(1, total / FREQUENT)).toArrow()  # at most FREQUENT rows
+    frequent = spark.sparkContext.broadcast(dict(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True)))
+    end = frequent.value.get(END.encode(), 0) or (counts.where(F.col("word") == F.lit(END.encode())).select("n").first() or [0])[0]
     model = train(training)
-    shared, weights, refined = model.shared, model.weights, model.refined
+    shared, tables, weights, refined = model.shared, model.tables, model.weights, model.refined
     holder: list = []
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not holder:
             known = frequent.value
-            holder.append((Costs(Mixer(shared.value, weights, refined)), {w: math.log10(n + 1) for w, n in known.items()}))
-        costs, logs = holder[0]
+            holder.append((Scorer(Mixer(tables, shared.value, weights, refined)), {w: math.log10(n + 1) for w, n in known.items()}))
+        scorer, logs = holder[0]
         texts = batch.column("data").to_pylist()
-        value, sizes = runs(texts)
-        per_text = np.add.reduceat(costs.of(value), np.cumsum(sizes) - sizes) if len(texts) else np.zeros(0)
         n_words, n_known, gained, rare = [], [], [], []
         for t in texts:
             words = t.lower().split()
@@ -335,15 +504,15 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             n_words.append(len(words))
             n_known.append(len(here))
             gained.append(math.fsum(here))
-            rare.append([{"word": w.decode(), "n": n} for w, n in Counter(w for w, x in zip(words, found, strict=True) if x is None).items()] if len(here) < len(words) else [])
-        kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+            rare.append([{"word": w, "n": n} for w, n in Counter(w for w, x in zip(words, found, strict=True) if x is None).items()] if len(here) < len(words) else [])
+        kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         return pa.record_batch(
-            [batch.column(0), pa.array(sizes - 1), pa.array(n_words, pa.int64()), pa.array(n_known, pa.int64()), pa.array(gained, pa.float64()), pa.array(-per_text * math.log10(2)), pa.array(rare, kind)],
+            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_known, pa.int64()), pa.array(gained, pa.float64()), pa.array(-scorer.bits(texts) * math.log10(2)), pa.array(rare, kind)],
             ["doc_id", "n_bytes", "n_words", "n_known", "gained", "score", "rare"],
         )
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_words bigint, n_known bigint, gained double, score double, rare array<struct<word:string,n:bigint>>"
-    scored = stored(map_slices(rows, score, schema).withColumn("row", F.monotonically_increasing_id()))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_words bigint, n_known bigint, gained double, score double, rare array<struct<word:binary,n:bigint>>"
+    scored = stored(map_slices(rows, score, schema, 4 * SEGMENT).withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))
     seen = counts.where(F.col("n") < max(1, total / FREQUENT))
     found = rare.join(seen, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("gain"))

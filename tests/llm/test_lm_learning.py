@@ -27,9 +27,25 @@ def test_weights_do_not_depend_on_batches(spark):
 
 
 def test_blocks():
-    value, n = np.arange(3 * lm_scoring.BLOCK + 5), np.arange(3 * lm_scoring.BLOCK + 5) % 7 + 1
-    batches = [pa.record_batch([pa.array(value[a : a + 10_000]), pa.array(n[a : a + 10_000])], ["run", "n"]) for a in range(0, len(value), 10_000)]
-    got = [*lm_scoring.blocks(iter(batches))]
-    assert [len(v) for v, _ in got] == [lm_scoring.BLOCK] * 3 + [5]
-    assert np.array_equal(np.concatenate([v for v, _ in got]), value) and np.array_equal(np.concatenate([x for _, x in got]), n)
-    assert [*lm_scoring.blocks(iter(batches[:0]))] == []
+    value = np.arange(3 * lm_scoring.BLOCK + 5)
+    columns = (value, value * 3, value % 7 + 1)
+    batches = [pa.record_batch([pa.array(x[a : a + 10_000]) for x in columns], ["run", "word", "n"]) for a in range(0, len(value), 10_000)]
+    got = [*lm_scoring._columns(iter(batches))]
+    assert [len(v) for v, *_ in got] == [lm_scoring.BLOCK] * 3 + [5]
+    assert all(np.array_equal(np.concatenate(x), want) for x, want in zip(zip(*got, strict=True), columns, strict=True))
+    assert [*lm_scoring._columns(iter(batches[:0]))] == []
+
+
+def test_scores_do_not_depend_on_batches(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["one", "two", "three", "x"], k=rng.randint(0, 300)))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(CONF)
+    try:
+        scores = []
+        for n in (before, "7"):
+            spark.conf.set(CONF, n)
+            scores.append([r.score for r in lm_scoring.lm_scores(docs).orderBy("doc_id").collect()])
+    finally:
+        spark.conf.set(CONF, before)
+    assert np.allclose(*scores, atol=1e-5)

@@ -143,16 +143,133 @@ def test_rare_words_join(spark, monkeypatch):
     assert {i: x[1] for i, x in got.items()} == {i: x[1] for i, x in want.items()} and all(got[i][0] == pytest.approx(want[i][0], abs=1e-8) for i in want)
 
 
+def random_model(seed=1, bits=12):
+    rng = np.random.default_rng(seed)
+    tables = lm_scoring.Tables([bits] * lm_scoring.INPUTS)
+    states = (rng.integers(0, 5, tables.size) << 8 | rng.integers(0, 5, tables.size)).astype("u2")
+    return lm_scoring.Mixer(tables, states, rng.normal(0.3, 0.1, (lm_scoring.GATES, lm_scoring.INPUTS + 1)), rng.random((256, lm_scoring.BUCKETS, 2)) * 9)
+
+
 def test_bits_are_probabilities():
-    """The probabilities of all 256 next bytes sum to one."""
-    rng = np.random.default_rng(1)
-    counts = rng.integers(0, 5, (lm_scoring.ORDERS * lm_scoring.SLOTS, 2)).astype("u4")
-    model = lm_scoring.Mixer(counts, rng.normal(0.3, 0.1, (lm_scoring.GATES, lm_scoring.ORDERS + 1)), rng.random((256, lm_scoring.BUCKETS, 2)) * 9)
-    cost = model.cost((0x61626364 << 8) + np.arange(256))
-    assert (2.0**-cost).sum() == pytest.approx(1, abs=1e-6)
-    again = lm_scoring.Costs(model)
-    value, _ = lm_scoring.runs([b"abcabcabc", b"", b"abd"])
-    assert again.of(value) == pytest.approx(model.cost(value)) and again.of(value) == pytest.approx(model.cost(value))
+    """The probabilities of all 256 next bytes sum to one, after any text."""
+    scorer = lm_scoring.Scorer(random_model())
+    own = lm_scoring.Own(256)
+    before = b"some text before " * 40
+    scorer.part([(bytes(6), before)] * 256, own, 0)
+    cost = scorer.part([(before[-6:], bytes([b])) for b in range(256)], own, len(before))
+    assert (2.0**-cost).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_scores_do_not_depend_on_company(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abc de.\né", k=rng.choice([0, 1, 300, 5000]))).encode() for _ in range(12)]
+    scorer = lm_scoring.Scorer(random_model())
+    alone = [scorer.bits([t])[0] for t in texts]
+    assert scorer.bits(texts) == pytest.approx(alone, abs=1e-6) and scorer.bits(texts[::-1]) == pytest.approx(alone[::-1], abs=1e-6)
+    long = b"words of a long text " * 400
+    monkeypatch.setattr(lm_scoring, "SEGMENT", 4096)
+    assert scorer.bits([b"x", long, b"y"])[1] == pytest.approx(scorer.alone(long)) == pytest.approx(scorer.bits([long])[0])
+
+
+def brute_model_counts(texts):
+    """Bit counts of (predictor, context, bits so far), by plain dictionaries."""
+    counts = {}
+    for text in texts:
+        for names, prefix, bit in brute_bits(text):
+            for name in names:
+                n = counts.setdefault((name, prefix), [0, 0])
+                n[bit] += 1
+    return counts
+
+
+def brute_bits(text):
+    data = bytes(6) + text + b"\0"
+    for i in range(6, len(data)):
+        start = i
+        while start > 0 and (bytes([data[start - 1]]).isalpha() or data[start - 1] >= 128):
+            start -= 1
+        names = [(k, data[i - k : i]) for k in range(1, 7)] + [("word", data[start:i].lower())]
+        for j in range(8):
+            yield names, (1 << j) | data[i] >> (8 - j), data[i] >> (7 - j) & 1
+
+
+def brute_score(text, counts, model):
+    """Bits of a text, bit by bit."""
+    shown = lambda n: float(lm_scoring._COUNT[int(lm_scoring.level(n))])
+    squash = lambda z: 1 / (1 + math.exp(-max(-20, min(20, z))))
+    own, own_n, own_ones = [0.0] * 8, [0] * 32, [0] * 32
+    held, due, total, bit_no = [], 256, 0.0, 0
+    for names, prefix, bit in brute_bits(text):
+        x, seen = [], []
+        for name in names:
+            zeros, ones = (shown(n) for n in counts.get((name, prefix), (0, 0)))
+            x.append(math.log(ones + 0.1) - math.log(zeros + 0.1))
+            seen.append(zeros + ones)
+        x.append(1.0)
+        longest = sum(n > 0 for n in seen[:6])
+        often = seen[longest - 1] if longest else 0
+        gate = (bit_no % 8 * 7 + longest) * 3 + (0 if often < 1.5 else 1 if often < 7.5 else 2)
+        z = sum(a * (w + o) for a, w, o in zip(x, model.weights[gate].tolist(), own, strict=True))
+        cell = int(max(0, min(31, (z + 8) * 2)))
+        p = squash(z)
+        n = model.refined[prefix, cell]
+        q = (n[1] + 20 * p) / (n.sum() + 20)
+        r = (own_ones[cell] + 60 * q) / (own_n[cell] + 60)
+        final = (p + q + 2 * r) / 4
+        total -= math.log2(final if bit else 1 - final)
+        held.append((x, bit - p, cell, bit))
+        bit_no += 1
+        if bit_no == due * 8:
+            power = sum(a * a for x, *_ in held for a in x)
+            for k in range(8):
+                own[k] += 0.02 * sum(x[k] * e for x, e, *_ in held) / (power / 8 + 1)
+            for *_, c, b in held:
+                own_n[c] += 1
+                own_ones[c] += b
+            held, due = [], due + min(due, 4096)
+    return total
+
+
+def test_score_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "LEAST_BITS", 23)  # few of this small table's contexts share a slot
+    rng = random.Random(14)
+    words = ["the", "cat", "Sat", "on", "mat", "él", "ran", "7,", "far.\n"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 40)))) for i in range(12)] + [(100, "".join(rng.choices("xyz ", k=300))), (101, " ".join(rng.choices(words, k=120)))]
+    taught = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    model = lm_scoring.train(spark.createDataFrame([(0, bytearray(t)) for t in taught], "doc_id long, data binary"))
+    counts = brute_model_counts(taught)
+    got = {r.doc_id: r.score for r in lm_scoring.lm_scores(frame(spark, rows)).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(-brute_score(t.encode(), counts, model) * math.log10(2), rel=3e-3), i
+
+
+def test_fewer_bits_than_a_plain_model(spark):
+    """Held-out rows of the small tables against a byte model of four bytes, backed off to shorter ones."""
+    docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")
+    got = {r.doc_id: r for r in lm_scoring.lm_scores(docs).collect()}
+    seen, after = Counter(), Counter()
+    texts = {r.doc_id: (r.text or "").encode() + b"\0" for r in docs.collect()}
+    for i, t in texts.items():
+        if not got[i].held_out:
+            data = bytes(4) + t
+            for k in range(5):
+                for j in range(4, len(data)):
+                    context = data[j - k : j]
+                    seen[context] += 1
+                    after[context, data[j]] += 1
+    plain = mixed = size = 0
+    for i, t in texts.items():
+        if got[i].held_out:
+            data = bytes(4) + t
+            for j in range(4, len(data)):
+                p = 1 / 256
+                for k in range(5):
+                    context = data[j - k : j]
+                    p = (after[context, data[j]] + 8 * p) / (seen[context] + 8)
+                plain -= math.log2(p)
+            mixed -= got[i].score / math.log10(2)
+            size += len(t)
+    assert mixed < plain * 0.97 and mixed / size < 2.3
 
 
 def test_lm_edges(spark):
@@ -160,8 +277,15 @@ def test_lm_edges(spark):
 
 
 def test_runs():
-    value, sizes = lm_scoring.runs([b"ab", b""])
-    assert sizes.tolist() == [3, 1] and [int(v) for v in value] == [0x61, 0x6162, 0x616200, 0]
+    value, word, sizes = lm_scoring.runs([p for t in (b"ab", b"", b"x aB") for p in lm_scoring.segments(t)])
+    assert sizes.tolist() == [3, 1, 5] and [int(v) for v in value[:4]] == [0x61, 0x6162, 0x616200, 0]
+    assert word[[0, 3, 4, 6]].tolist() == [0] * 4 and word[2] == word[8] != 0 and word[1] == word[7]
+
+
+def test_levels():
+    n = np.array([0, 1, 63, 64, 65, 1000, 10**6, 10**15])
+    at = lm_scoring.level(n)
+    assert at[:4].tolist() == [0, 1, 63, 64] and np.abs(lm_scoring._COUNT[at] / np.maximum(n, 1) - 1)[1:].max() < 0.1 and at.max() < 255
 
 
 # ---- pieces
