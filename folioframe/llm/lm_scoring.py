@@ -1,28 +1,28 @@
 """Language-model scores by online logistic context mixing over bits.
 
-Predictors: the last 1 to 6 bytes and the word begun so far are hashed
+Predictors: the last 1 to 4 bytes and the word begun so far are hashed
 contexts. Each points, together with the bits of the current byte so far, into
-a table of bit counts and gives the logit of the smoothed frequency there. A
-gate, chosen by the bit's place, by the longest context that was seen and by
-how often it was, selects the weights that mix the logits. The mixed bit is
-refined by an adaptive table over (bits so far, mixed logit), and by one of the
-text's own over the mixed logit. Minus the sum of the logs of the bits'
-probabilities over a text and its closing zero byte is its score.
-
-What is learned before scoring covers every training text. Runs of 7 bytes with
+a table of bit counts and gives the logit of the smoothed frequency there. Two
+mixers add the logits up with weights that a gate selects: one by the bit's
+place, the longest context that was seen and how often it was, one by the bits
+so far. Each mixed bit is refined by an adaptive table, and a last mixer, whose
+weights are the text's own, joins the two. Minus the sum of the logs of the
+bits' probabilities over a text and its closing zero byte is its score.
+
+What is learned before scoring covers every training text. Runs of 5 bytes with
 their word are counted in each task and summed by a shuffle; the bit counts of
 all contexts follow from those sums. The tables' sizes follow the number of
-distinct contexts, up to MOST_BITS for each predictor, which bounds what is
+training bytes, up to MOST_BITS for each predictor, which bounds what is
 broadcast; counts are kept on a scale that is exact up to 63 and logarithmic
 beyond, so none overflows. Weights are learned online: each task goes once
 through all its runs, in the order of a hash and in steps of STEP, each bit
 leaving its own count out; the tasks' weights are averaged, and a further round
-starts from the average. A last pass fills the adaptive table.
+starts from the average. A last pass fills the adaptive tables.
 
-Scoring goes on learning: a text's own shift of the mixing weights and its own
-adaptive table start anew for each text and are updated along it, after its
-first FIRST bytes and each time its length has doubled, at most LAST bytes
-later. A score is a function of the model and of the text alone.
+Scoring goes on learning: the last mixer's weights start anew for each text
+and move along it, after its first FIRST bytes and each time its length has
+doubled, at most LAST bytes later. A score is a function of the model and of
+the text alone.
 
 The base score is a smoothed unigram model over words. Words that are at least
 one in FREQUENT of all are at most FREQUENT in number and are broadcast; the
@@ -43,6 +43,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,20 +58,24 @@ END = "\n"
 #: Words of at least a share of 1 / FREQUENT are broadcast.
 FREQUENT = 100_000
 #: Bytes of the longest context; predictors: one for each length and the word.
-ORDERS = 6
+ORDERS = 4
 INPUTS = ORDERS + 1
-#: Slots of a predictor's table as powers of two; slots that a group of the shuffle packs.
-LEAST_BITS, MOST_BITS, PART_BITS = 12, 23, 16
+#: Bits of a word's hash.
+WORD = 24
+#: Slots of a predictor's table as powers of two; slots that a group of the shuffle packs; tasks whose counts are summed at a time.
+LEAST_BITS, MOST_BITS, PART_BITS, FAN_IN = 12, 21, 16, 32
 BUCKETS = 32
-ROUNDS, STEP, RATE = 2, 4096, 2.0
+ROUNDS, STEP, RATE = 2, 4096, 5.0
 #: Runs that a task looks at in one go; rows that a task sums before it hands them on.
-BLOCK, HELD = 16 * STEP, 1_500_000
-#: Place of the bit x longest context seen x how often.
-GATES = 8 * INPUTS * 3
+BLOCK, HELD = 16 * STEP, 1_000_000
+#: Gates of the two mixers: place of the bit x longest context seen x how often; the bits so far.
+GATES = (8 * INPUTS * 3, 256)
 #: Bytes of a text that are looked at together; bytes scored with one state at first and at most.
 SEGMENT, FIRST, LAST = 1 << 17, 256, 4096
-#: How fast a text's own weights move; what its own adaptive table starts from.
-OWN_RATE, OWN_PRIOR, PRIOR = 0.02, 60.0, 20.0
+#: How fast a text's own weights move, and how far; the weight of a mixed bit in its adaptive table.
+OWN_RATE, MOST_OWN, PRIOR = 10.0, 2.0, 20.0
+#: Entries of a worker's memory of runs.
+MEMORY = 1 << 19
 _NODE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -115,95 +120,52 @@ def segments(data: bytes):
         yield data[max(0, a - ORDERS) : a].rjust(ORDERS, b"\0"), data[a : a + SEGMENT]
 
 
-def runs(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each byte of the segments: it with the ORDERS before it as one integer, and a hash of the word begun before it; bytes of each segment."""
+def runs(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte of the segments: ORDERS bytes before it, the byte and a hash of the word begun before it, as one integer; bytes of each segment."""
     data = np.frombuffer(b"".join([x for part in parts for x in part]), "u1")
-    value = np.zeros(max(0, len(data) - ORDERS), "i8")
+    value = np.zeros(max(0, len(data) - ORDERS), "u8")
     for i in range(ORDERS + 1):
-        value <<= 8
+        value <<= np.uint64(8)
         value |= data[i : len(data) - ORDERS + i]
+    value <<= np.uint64(WORD)
+    value |= prefix_hashes(_LOWER[data], _LETTER[data])[ORDERS:] >> np.uint64(64 - WORD)
     sizes = np.array([len(x) for _, x in parts], "i8")
+    own = np.ones(len(value) + ORDERS, bool)  # not the bytes before a segment
     starts = np.cumsum(sizes + ORDERS) - sizes - ORDERS
-    at = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    word = prefix_hashes(_LOWER[data], _LETTER[data])
-    return value[at], word[at + ORDERS].view("i8"), sizes
-
-
-def keys(value: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """One hash for a run and its word."""
-    return mixed(value.astype("u8") ^ (mixed(word.view("u8")) << np.uint64(1)))
+    for i in range(ORDERS):
+        own[starts + i] = False
+    return value[own[ORDERS:]].view("i8"), sizes
 
 
 class Tables:
     """Where the predictors' slots are: a power of two of them for each."""
 
-    def __init__(self, bits: list[int]):
-        self.bits = bits
-        self.shift = np.array([64 - b for b in bits], "u8")
-        self.base = np.cumsum([0, *(1 << b for b in bits)])[:-1].astype("u8")
-        self.size = sum(1 << b for b in bits)
-
-    def places(self, value: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Slots (runs x 8 bits x predictors), and the bits (runs x 8)."""
-        byte = value & 255
-        prefix = (byte[:, None] | 256) >> np.arange(8, 0, -1)  # 1 and the bits so far
-        bits = (byte[:, None] >> np.arange(7, -1, -1)) & 1
-        h = np.empty((len(value), INPUTS), "u8")
-        for k in range(ORDERS):
-            context = (value >> 8) & ((1 << 8 * (k + 1)) - 1)
-            h[:, k] = mixed((context.astype("u8") << np.uint64(3)) + np.uint64(k))
-        h[:, ORDERS] = mixed(word.view("u8") + np.uint64(ORDERS))
-        slots = h[:, None, :] ^ (prefix.astype("u8") * _NODE)[:, :, None]
-        slots *= _SPREAD
-        slots >>= self.shift
-        slots += self.base
-        return slots.view("i8"), bits
+    def __init__(self, size: int):
+        """size: training bytes."""
+        grown = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, size)))))
+        self.bits = [min(grown, 8 * (k + 2)) for k in range(ORDERS)] + [grown]
+        self.base = np.cumsum([0, *(1 << b for b in self.bits)])[:-1]
+        self.size = sum(1 << b for b in self.bits)
+
+    def places(self, value: np.ndarray):
+        """The slots (runs x 8 bits) of each predictor."""
+        node = prefixes(value).astype("u8") * _NODE
+        for k, bits in enumerate(self.bits):
+            context = value & ((1 << WORD) - 1) if k == ORDERS else (value >> (WORD + 8)) & ((1 << 8 * (k + 1)) - 1)
+            slots = mixed((context.astype("u8") << np.uint64(3)) + np.uint64(k))[:, None] ^ node
+            slots *= _SPREAD
+            slots >>= np.uint64(64 - bits)
+            slots += np.uint64(self.base[k])
+            yield slots.view("i8")
 
 
-class Mixer:
-    """The model: bit counts as levels, mixing weights and the adaptive table."""
+def prefixes(value: np.ndarray) -> np.ndarray:
+    """1 and the bits so far, for each bit of each run's byte."""
+    return (((value >> WORD) & 255)[:, None] | 256) >> np.arange(8, 0, -1)
 
-    def __init__(self, tables: Tables, states: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
-        self.tables, self.states = tables, states  # zeros << 8 | ones of each slot
-        start = np.full((GATES, INPUTS + 1), 0.3, "f4")
-        start[:, INPUTS] = 0
-        self.weights = start if weights is None else weights.astype("f4")
-        self.refined = np.zeros((256, BUCKETS, 2)) if refined is None else refined
-
-    def inputs(self, value: np.ndarray, word: np.ndarray, leave_out: bool = False):
-        """Logits (runs x 8 bits x inputs, the last input 1), gates and bits (runs x 8)."""
-        slots, bits = self.tables.places(value, word)
-        state = self.states[slots].astype("i4")
-        if leave_out:
-            state += (bits << 16)[:, :, None].astype("i4")
-        x = np.ones((*bits.shape, INPUTS + 1), "f4")
-        x[:, :, :INPUTS] = (LOGIT_LESS if leave_out else LOGIT)[state]
-        seen = (SEEN_LESS if leave_out else SEEN)[state[:, :, :ORDERS]]
-        longest = (seen > 0).sum(axis=2)
-        often = np.take_along_axis(seen, np.maximum(longest - 1, 0)[:, :, None], axis=2)[:, :, 0].astype("i8")
-        gate = (np.arange(8) * INPUTS + longest) * 3 + np.maximum(often - 1, 0)
-        return x, gate, bits
-
-    def learn(self, value: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
-        """Online: a gradient step for each STEP runs, weighted by their counts."""
-        for a in range(0, len(value), STEP):
-            x, gate, bits = self.inputs(value[a : a + STEP], word[a : a + STEP], leave_out=True)
-            x, gate, bit = x.reshape(-1, INPUTS + 1), gate.ravel(), bits.ravel()
-            weight = np.repeat(count[a : a + STEP].astype("f8"), 8)
-            error = (bit - squash(np.einsum("ij,ij->i", x, self.weights[gate]))) * weight
-            total = np.bincount(gate, weight * np.square(x).sum(axis=1), GATES) + 1e-9
-            for j in range(INPUTS + 1):
-                self.weights[:, j] += RATE * np.bincount(gate, error * x[:, j], GATES) / total
-
-    def tally(self, value: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Bits met in each cell of the adaptive table."""
-        out = np.zeros(256 * BUCKETS * 2)
-        for a in range(0, len(value), STEP):
-            v = value[a : a + STEP]
-            x, gate, bits = self.inputs(v, word[a : a + STEP], leave_out=True)
-            cell = prefixes(v) * BUCKETS + bucket(np.einsum("ijk,ijk->ij", x, self.weights[gate]))
-            out += np.bincount((cell * 2 + bits).ravel(), np.repeat(count[a : a + STEP].astype("f8"), 8), out.size)
-        return out
+
+def byte_bits(value: np.ndarray) -> np.ndarray:
+    return (value[:, None] >> np.arange(WORD + 7, WORD - 1, -1)) & 1
 
 
 def squash(z):
@@ -214,24 +176,98 @@ def bucket(z: np.ndarray) -> np.ndarray:
     return np.clip((z + 8) * (BUCKETS / 16), 0, BUCKETS - 1).astype("i8")
 
 
-def prefixes(value: np.ndarray) -> np.ndarray:
-    return ((value & 255)[:, None] | 256) >> np.arange(8, 0, -1)
-
+class Mixer:
+    """The model: bit counts as levels, the mixers' weights and their adaptive tables."""
 
-class Own:
-    """What texts have learned from themselves: a shift of the weights, and an adaptive table over the mixed logit."""
+    def __init__(self, tables: Tables, states: np.ndarray, weights: list[np.ndarray] | None = None, refined: np.ndarray | None = None):
+        self.tables, self.states = tables, states  # zeros << 8 | ones of each slot
+        self.weights = [w.copy() for w in weights] if weights else [np.array([[0.3] * INPUTS + [0]] * g, "f4") for g in GATES]
+        self.refined = np.zeros((2, 256, BUCKETS, 2)) if refined is None else refined
+
+    def inputs(self, value: np.ndarray, leave_out: bool = False):
+        """The predictors' logits (each runs x 8 bits), the two mixers' gates and the rows of their adaptive tables."""
+        less = (byte_bits(value) << 16).astype("i4") if leave_out else None
+        logits, longest, often = [], np.zeros((len(value), 8), "i8"), np.zeros((len(value), 8), "u1")
+        for k, slots in enumerate(self.tables.places(value)):
+            state = self.states[slots].astype("i4")
+            if leave_out:
+                state += less
+            logits.append((LOGIT_LESS if leave_out else LOGIT)[state])
+            if k < ORDERS:
+                seen = (SEEN_LESS if leave_out else SEEN)[state]
+                there = (seen > 0) & (longest == k)  # a longer context is seen only where the shorter ones are
+                longest += there
+                np.copyto(often, seen, where=there)
+        prefix = prefixes(value)
+        gates = [(np.arange(8) * INPUTS + longest) * 3 + np.maximum(often, 1) - 1, prefix]
+        return logits, gates, [prefix, np.broadcast_to((value >> (WORD + 8) & 255)[:, None], prefix.shape)]
+
+    def mix(self, logits: list[np.ndarray], gate: np.ndarray, which: int) -> np.ndarray:
+        weights = self.weights[which].T.copy()
+        z = weights[INPUTS][gate]
+        for x, w in zip(logits, weights, strict=False):
+            z += x * w[gate]
+        return z
+
+    def learn(self, value: np.ndarray, count: np.ndarray) -> None:
+        """Online: a gradient step for each STEP runs, weighted by their counts."""
+        for a in range(0, len(value), STEP):
+            logits, gates, _ = self.inputs(value[a : a + STEP], leave_out=True)
+            bits, weight = byte_bits(value[a : a + STEP]), count[a : a + STEP, None].astype("f8")
+            power = (weight * (sum(np.square(x) for x in logits) + 1)).ravel()
+            for which, gate in enumerate(gates):
+                error = (bits - squash(self.mix(logits, gate, which))) * weight
+                flat, n = gate.ravel(), GATES[which]
+                total = np.bincount(flat, power, n) + 1e-9
+                for j, x in enumerate([*logits, 1.0]):
+                    self.weights[which][:, j] += RATE * np.bincount(flat, (error * x).ravel(), n) / total
+
+    def tally(self, value: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Bits met in each cell of the adaptive tables."""
+        out = np.zeros(self.refined.size)
+        for a in range(0, len(value), STEP):
+            v = value[a : a + STEP]
+            logits, gates, rows = self.inputs(v, leave_out=True)
+            bits, weight = byte_bits(v), np.repeat(count[a : a + STEP].astype("f8"), 8)
+            for which in (0, 1):
+                cell = (which * 256 + rows[which]) * BUCKETS + bucket(self.mix(logits, gates[which], which))
+                out += np.bincount((cell * 2 + bits).ravel(), weight, out.size)
+        return out
 
-    def __init__(self, n: int):
-        self.weights, self.ones, self.sure = np.zeros((n, INPUTS + 1)), np.zeros(n * BUCKETS), np.zeros(n * BUCKETS)
+    def refine(self, value: np.ndarray) -> np.ndarray:
+        """The two mixers' refined logits (2 x runs x 8 bits)."""
+        out = np.empty((2, len(value), 8), "f4")
+        sure, ones = self.refined.sum(axis=-1).astype("f4"), self.refined[..., 1].astype("f4")
+        for a in range(0, len(value), STEP):
+            logits, gates, rows = self.inputs(value[a : a + STEP])
+            for which in (0, 1):
+                z = self.mix(logits, gates[which], which)
+                p, cell = squash(z), rows[which] * BUCKETS + bucket(z)
+                q = (ones[which].ravel()[cell] + PRIOR * p) / (sure[which].ravel()[cell] + PRIOR)
+                p = np.clip((p + q) / 2, 1e-6, 1 - 1e-6)
+                out[which, a : a + STEP] = np.log(p / (1 - p))
+        return out
 
 
 class Scorer:
-    """Bits that texts take: many texts go forward together, each with a state of its own."""
+    """Bits that texts take: many texts go forward together, each with weights of its own."""
 
     def __init__(self, model: Mixer):
         self.model = model
-        n = model.refined.sum(axis=2)
-        self.sure, self.ones = n.astype("f4"), model.refined[:, :, 1].astype("f4")
+        self.key, self.value = np.full(MEMORY, -1, "i8"), np.zeros((MEMORY, 2, 8), "f4")  # runs met, and their refined logits
+
+    def logits(self, value: np.ndarray) -> np.ndarray:
+        """Refined logits of runs (runs x 2 x 8), remembered."""
+        at = (mixed(value.astype("u8")) & np.uint64(MEMORY - 1)).view("i8")
+        out = self.value[at]
+        miss = np.flatnonzero(self.key[at] != value)
+        if len(miss):
+            new, inverse = np.unique(value[miss], return_inverse=True)
+            found = self.model.refine(new).transpose(1, 0, 2)
+            out[miss] = found[inverse]
+            slot = (mixed(new.astype("u8")) & np.uint64(MEMORY - 1)).view("i8")
+            self.key[slot], self.value[slot] = new, found
+        return out
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         out = np.zeros(len(texts))
@@ -250,22 +286,20 @@ class Scorer:
         return out
 
     def alone(self, text: bytes) -> float:
-        own, total, at = Own(1), 0.0, 0
+        own, total, at = own_weights(1), 0.0, 0
         for part in segments(text):
             total += self.part([part], own, at)[0]
             at += len(part[1])
         return total
 
     def together(self, texts: list[bytes]) -> np.ndarray:
-        return self.part([next(segments(t)) for t in texts], Own(len(texts)), 0)
+        return self.part([next(segments(t)) for t in texts], own_weights(len(texts)), 0)
 
-    def part(self, parts: list[tuple[bytes, bytes]], own: Own, at: int) -> np.ndarray:
+    def part(self, parts: list[tuple[bytes, bytes]], own: np.ndarray, at: int) -> np.ndarray:
         """Bits of segments that begin at byte `at` of their texts; own is carried on."""
-        value, word, sizes = runs(parts)
-        _, first, inverse = np.unique(keys(value, word), return_index=True, return_inverse=True)
-        x, gate, bits = self.model.inputs(value[first], word[first])
-        prefix = prefixes(value[first])
-        mix = self.model.weights
+        value, sizes = runs(parts)
+        first, second = self.logits(value).transpose(1, 0, 2)
+        side = 1 - 2 * byte_bits(value).astype("f4")  # what a probability of the bit is the squash of, with the sign turned
         starts, total = np.cumsum(sizes) - sizes, np.zeros(len(sizes))
         done, longest = 0, int(sizes.max(initial=0))
         while done < longest:
@@ -273,35 +307,31 @@ class Scorer:
             lanes = np.flatnonzero(sizes > done)
             n = np.minimum(sizes[lanes] - done, step)
             begin = np.cumsum(n) - n
-            rows = inverse[np.repeat(starts[lanes] + done - begin, n) + np.arange(int(n.sum()))]
-            lane = np.repeat(lanes, n)
-            xs, g, b = x[rows], gate[rows], bits[rows]
-            z = np.einsum("ijk,ijk->ij", xs, mix[g]) + np.einsum("ijk,ik->ij", xs, own.weights[lane])
-            p = squash(z)
-            cell = bucket(z)
-            pre = prefix[rows]
-            q = (self.ones[pre, cell] + PRIOR * p) / (self.sure[pre, cell] + PRIOR)
-            own_cell = lane[:, None] * BUCKETS + cell
-            r = (own.ones[own_cell] + OWN_PRIOR * q) / (own.sure[own_cell] + OWN_PRIOR)
-            final = (p + q + 2 * r) / 4
-            cost = -np.log2(np.clip(np.where(b == 1, final, 1 - final), 1e-9, 1)).sum(axis=1)
-            total[lanes] += np.add.reduceat(cost, begin)
-            # the text's own state moves on
-            pull = np.add.reduceat(np.einsum("ij,ijk->ik", b - p, xs), begin, axis=0)
-            power = np.add.reduceat(np.einsum("ijk,ijk->i", xs, xs), begin)
-            own.weights[lanes] += OWN_RATE * pull / (power / (INPUTS + 1) + 1)[:, None]
-            own.ones += np.bincount(own_cell.ravel(), b.ravel(), own.ones.size)
-            own.sure += np.bincount(own_cell.ravel(), minlength=own.sure.size)
+            rows = np.repeat(starts[lanes] + done - begin, n) + np.arange(int(n.sum()))
+            w = np.repeat(own[lanes], n, axis=0)
+            a, b, t = first[rows], second[rows], side[rows]
+            z = np.clip(a * w[:, :1] + b * w[:, 1:], -20, 20) * t
+            e = np.exp(z)
+            total[lanes] += np.add.reduceat(np.einsum("ij->i", np.log1p(e)).astype("f8"), begin)
+            # the text's own weights move on: the error is the bit less its probability
+            error = e / (1 + e) * -t
+            first_pull, second_pull, power = (np.add.reduceat(x, begin) for x in (np.einsum("ij,ij->i", error, a), np.einsum("ij,ij->i", error, b), np.einsum("ij,ij->i", a, a) + np.einsum("ij,ij->i", b, b)))
+            own[lanes] = np.clip(own[lanes] + OWN_RATE * np.stack([first_pull, second_pull], axis=1) / (power / 2 + 1)[:, None], 0, MOST_OWN)
             done += step
-        return total
+        return total / math.log(2)
+
+
+def own_weights(n: int) -> np.ndarray:
+    """The last mixer's weights for n texts, as they start."""
+    return np.full((n, 2), 0.5, "f4")
 
 
 # ---- training
 
 
-def _summed(key: np.ndarray, first: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    _, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-    return [x[at] for x in first], np.bincount(inverse, n, len(at)).astype("i8")
+def _summed(value: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kinds, inverse = np.unique(value, return_inverse=True)
+    return kinds, np.bincount(inverse, n, len(kinds)).astype("i8")
 
 
 def _together(texts: list[bytes], most: int = 4 * SEGMENT):
@@ -318,124 +348,144 @@ def _together(texts: list[bytes], most: int = 4 * SEGMENT):
 
 
 def _counted(batches):
-    """Counts of runs and their words in a task: (run, word, n), summed over slices."""
+    """Counts of runs in a task: (run, n). Those met before are counted in place, the others are sorted."""
+    key, count = np.full(MEMORY, -1, "i8"), np.zeros(MEMORY, "i8")
     held, rows = [], 0
 
     def merged():
-        run, word, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        (run, word), n = _summed(keys(run, word), [run, word], n)
-        return run, word, n
+        return _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     for batch in slices(batches):
         for parts in _together(batch.column("data").to_pylist()):
-            value, word, _ = runs(parts)
-            (run, w), n = _summed(keys(value, word), [value, word], np.ones(len(value)))
-            held.append((run, w, n))
-            rows += len(run)
+            value, _ = runs(parts)
+            at = (mixed(value.astype("u8")) & np.uint64(MEMORY - 1)).view("i8")
+            known = key[at] == value
+            count += np.bincount(at[known], minlength=MEMORY)
+            new, n = _summed(value[~known], np.ones(len(value) - int(known.sum())))
+            slot = (mixed(new.astype("u8")) & np.uint64(MEMORY - 1)).view("i8")
+            free = key[slot] < 0
+            key[slot[free]] = new[free]
+            held.append((new, n))
+            rows += len(new)
             if rows > HELD:
                 held = [merged()]
                 rows = len(held[0][0])
                 if rows > HELD // 2:
-                    yield pa.record_batch([pa.array(x) for x in held[0]], ["run", "word", "n"])
+                    yield pa.record_batch([pa.array(x) for x in held[0]], ["run", "n"])
                     held, rows = [], 0
-    if held:
-        yield pa.record_batch([pa.array(x) for x in merged()], ["run", "word", "n"])
+    some = np.flatnonzero(count)
+    held.append((key[some], count[some]))
+    yield pa.record_batch([pa.array(x) for x in merged()], ["run", "n"])
 
 
-def _columns(batches):
-    """Runs, words and counts of a task in blocks of BLOCK rows, however they come in batches."""
+def _columns(batches, most: int = BLOCK):
+    """Runs and counts of a task in blocks of `most` rows, however they come in batches."""
     held: list[tuple[np.ndarray, ...]] = []
     rows = 0
     for batch in batches:
-        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)))
         rows += len(held[-1][0])
-        if rows >= BLOCK:
+        if rows >= most:
             whole = [np.concatenate(x) for x in zip(*held, strict=True)]
-            for a in range(0, rows - rows % BLOCK, BLOCK):
-                yield tuple(x[a : a + BLOCK] for x in whole)
-            rows %= BLOCK
+            for a in range(0, rows - rows % most, most):
+                yield tuple(x[a : a + most] for x in whole)
+            rows %= most
             held = [tuple(x[len(x) - rows :] for x in whole)]
     if rows:
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
+_SLOTS = "part bigint, task bigint, slots binary, zeros binary, ones binary"
+
+
+def _slot_rows(task: int, part: int, zeros: np.ndarray, ones: np.ndarray) -> pa.RecordBatch:
+    """The used slots of a part and their counts."""
+    some = np.flatnonzero((zeros > 0) | (ones > 0)).astype("u2")
+    columns = [[part], [task], [some.tobytes()], [zeros[some].astype("i8").tobytes()], [ones[some].astype("i8").tobytes()]]
+    return pa.record_batch([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), *[pa.binary()] * 3), strict=True)], ["part", "task", "slots", "zeros", "ones"])
+
+
 def _slot_counts(tables: Tables):
     def count(batches):
-        """Bit counts of all contexts of a task's runs: (slot, zeros, ones), summed over some blocks."""
-        held, rows = [], 0
-
-        def merged():
-            slot, zeros, ones = (np.concatenate(x) for x in zip(*held, strict=True))
-            kinds, inverse = np.unique(slot, return_inverse=True)
-            return kinds, *(np.bincount(inverse, x, len(kinds)).astype("i8") for x in (zeros, ones))
-
-        for value, word, n in _columns(batches):
-            for a in range(0, len(value), STEP * 4):
-                slots, bits = tables.places(value[a : a + STEP * 4], word[a : a + STEP * 4])
-                weight = np.broadcast_to((n[a : a + STEP * 4, None] * 1.0)[:, :, None], slots.shape).ravel()
-                one = np.broadcast_to(bits[:, :, None], slots.shape).ravel()
-                kinds, inverse = np.unique(slots.ravel(), return_inverse=True)
-                total = np.bincount(inverse, weight, len(kinds))
-                ones = np.bincount(inverse, weight * one, len(kinds))
-                held.append((kinds, total - ones, ones))
-                rows += len(kinds)
-                if rows > HELD:
-                    held = [merged()]
-                    yield pa.record_batch([pa.array(x) for x in held[0]], ["slot", "zeros", "ones"])
-                    held, rows = [], 0
-        if held:
-            yield pa.record_batch([pa.array(x) for x in merged()], ["slot", "zeros", "ones"])
+        """Bit counts of all contexts of a task's runs, by parts of the tables."""
+        counts = np.zeros((2, -(-tables.size >> PART_BITS) << PART_BITS), "i8")
+        for value, n in _columns(batches, 4 * BLOCK):
+            bits, weight = byte_bits(value), np.repeat(n.astype("f8"), 8)
+            ones = bits.ravel() * weight
+            for k, slots in enumerate(tables.places(value)):
+                base, size = int(tables.base[k]), 1 << tables.bits[k]
+                flat = slots.ravel() - base
+                one = np.bincount(flat, ones, size)
+                counts[0, base : base + size] += (np.bincount(flat, weight, size) - one).astype("i8")
+                counts[1, base : base + size] += one.astype("i8")
+        task = TaskContext.get()
+        number = task.partitionId() if task else 0
+        for part in range(counts.shape[1] >> PART_BITS):
+            zeros, ones = counts[:, part << PART_BITS : (part + 1) << PART_BITS]
+            if zeros.any() or ones.any():
+                yield _slot_rows(number, part, zeros, ones)
 
     return count
 
 
+def _part_sums(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    zeros, ones = (np.zeros(1 << PART_BITS, "i8") for _ in range(2))
+    for slots, a, b in zip(*(rows[c].to_pylist() for c in ("slots", "zeros", "ones")), strict=True):
+        at = np.frombuffer(slots, "u2")
+        zeros[at] += np.frombuffer(a, "i8")
+        ones[at] += np.frombuffer(b, "i8")
+    return zeros, ones
+
+
+def _summed_part(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    return pa.Table.from_batches([_slot_rows(key[1].as_py(), key[0].as_py(), *_part_sums(rows))])
+
+
 def _packed(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """The slots of a part as levels: a place for each, two bytes wide."""
-    out = np.zeros(1 << PART_BITS, "u2")
-    at = rows["slot"].to_numpy() & ((1 << PART_BITS) - 1)
-    out[at] = level(rows["zeros"].to_numpy()) << 8 | level(rows["ones"].to_numpy())
-    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([out.tobytes()], pa.binary())], ["part", "states"])
+    """The slots of a part as levels, two bytes each."""
+    zeros, ones = _part_sums(rows)
+    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([(level(zeros) << 8 | level(ones)).tobytes()], pa.binary())], ["part", "states"])
 
 
 def train(docs: DataFrame) -> Mixer:
     """The model of all texts of docs (doc_id, data)."""
     spark = docs.sparkSession
-    counted = docs.mapInArrow(_counted, "run bigint, word bigint, n bigint").groupBy("run", "word").agg(F.sum("n").alias("n"))
-    grams = stored(counted.sortWithinPartitions(F.xxhash64("run", "word"), "run", "word"))
-    context = lambda k: F.col("run").bitwiseAND((1 << 8 * (k + 2)) - 1)  # noqa: E731  with the byte
-    kinds = [F.approx_count_distinct(context(k)) for k in range(ORDERS)] + [F.approx_count_distinct(F.struct("word", context(-1)))]
-    distinct = grams.agg(*(x.alias(f"k{i}") for i, x in enumerate(kinds))).first()
-    tables = Tables([min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, 4 * n))))) for n in distinct])
-    # the contexts of three bytes and more lie in one partition each
-    dealt = grams.repartition(partitions(spark), F.shiftright("run", 8).bitwiseAND(0xFFFFFF))
-    summed = dealt.mapInArrow(_slot_counts(tables), "slot bigint, zeros bigint, ones bigint").groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    parts = summed.groupBy(F.shiftright("slot", PART_BITS).alias("part")).applyInArrow(_packed, "part bigint, states binary")
-    states = np.zeros(-(-tables.size >> PART_BITS << PART_BITS) + (1 << PART_BITS), "u2")
-    got = parts.toArrow()  # two bytes a slot
+    size = docs.agg(F.sum(F.octet_length("data").cast("long") + 1)).first()[0] or 0
+    tables = Tables(size)
+    counted = docs.mapInArrow(_counted, "run bigint, n bigint").groupBy("run").agg(F.sum("n").alias("n"))
+    grams = stored(counted.sortWithinPartitions(F.xxhash64("run"), "run"))
+    # counts of a part are summed FAN_IN tasks at a time, so that no group grows with the tasks
+    tasks = partitions(spark)
+    parts = grams.repartition(tasks, F.shiftright("run", WORD + 8).bitwiseAND(0xFFFF)).mapInArrow(_slot_counts(tables), _SLOTS)
+    while tasks > FAN_IN:
+        parts = parts.groupBy("part", F.floor(F.col("task") / FAN_IN).alias("group")).applyInArrow(_summed_part, _SLOTS)
+        tasks = -(-tasks // FAN_IN)
+    got = parts.groupBy("part").applyInArrow(_packed, "part bigint, states binary").toArrow()  # two bytes a slot
+    states = np.zeros(-(-tables.size >> PART_BITS) << PART_BITS, "u2")
     for part, data in zip(got["part"].to_pylist(), got["states"], strict=True):
         states[part << PART_BITS : (part + 1) << PART_BITS] = np.frombuffer(data.as_py(), "u2")
-    states = states[: tables.size]
     del got
     shared = spark.sparkContext.broadcast(states)  # at most INPUTS << MOST_BITS slots
     model = Mixer(tables, states)
+    shapes = [w.shape for w in model.weights]
 
     def over_runs(weights, step):
         def go(batches):
-            mixer, total, out = Mixer(tables, shared.value, weights.copy()), 0.0, None
-            for value, word, n in _columns(batches):
-                out = step(mixer, value, word, n, out)
+            mixer, total, out = Mixer(tables, shared.value, weights), 0.0, None
+            for value, n in _columns(batches):
+                out = step(mixer, value, n, out)
                 total += float(n.sum())
             if out is not None:
-                yield pa.record_batch([pa.array([total]), pa.array([out.ravel().astype("f8").tolist()], pa.list_(pa.float64()))], ["n", "x"])
+                yield pa.record_batch([pa.array([total]), pa.array([out.astype("f8").tolist()], pa.list_(pa.float64()))], ["n", "x"])
 
         return grams.mapInArrow(go, "n double, x array<double>")
 
-    def learned(mixer, value, word, n, _):
-        mixer.learn(value, word, n)
-        return mixer.weights
+    def learned(mixer, value, n, _):
+        mixer.learn(value, n)
+        return np.concatenate([w.ravel() for w in mixer.weights])
 
-    def tallied(mixer, value, word, n, before):
-        return mixer.tally(value, word, n) + (0 if before is None else before)
+    def tallied(mixer, value, n, before):
+        return mixer.tally(value, n) + (0 if before is None else before)
 
     def summed_up(df, weighted):
         """Element sums, by tasks first."""
@@ -448,9 +498,10 @@ def train(docs: DataFrame) -> Mixer:
 
     for _ in range(ROUNDS):
         if len(w := summed_up(over_runs(model.weights, learned), True)):
-            model.weights = np.round(w, 6).reshape(GATES, INPUTS + 1).astype("f4")
+            cut = shapes[0][0] * shapes[0][1]
+            model.weights = [x.reshape(s).astype("f4") for x, s in zip((w[:cut], w[cut:]), shapes, strict=True)]
     if len(t := summed_up(over_runs(model.weights, tallied), False)):
-        model.refined = t.reshape(256, BUCKETS, 2)
+        model.refined = t.reshape(model.refined.shape)
     model.shared = shared
     return model
 
@@ -492,8 +543,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not holder:
-            known = frequent.value
-            holder.append((Scorer(Mixer(tables, shared.value, weights, refined)), {w: math.log10(n + 1) for w, n in known.items()}))
+            holder.append((Scorer(Mixer(tables, shared.value, weights, refined)), {w: math.log10(n + 1) for w, n in frequent.value.items()}))
         scorer, logs = holder[0]
         texts = batch.column("data").to_pylist()
         n_words, n_known, gained, rare = [], [], [], []

@@ -20,16 +20,16 @@ def test_weights_do_not_depend_on_batches(spark):
         weights = []
         for n in (before, "100"):
             spark.conf.set(CONF, n)
-            weights.append(lm_scoring.train(docs).weights)
+            weights.append(np.concatenate(lm_scoring.train(docs).weights))
     finally:
         spark.conf.set(CONF, before)
-    assert np.allclose(*weights, atol=1e-9)
+    assert np.allclose(*weights, atol=1e-5)
 
 
 def test_blocks():
     value = np.arange(3 * lm_scoring.BLOCK + 5)
-    columns = (value, value * 3, value % 7 + 1)
-    batches = [pa.record_batch([pa.array(x[a : a + 10_000]) for x in columns], ["run", "word", "n"]) for a in range(0, len(value), 10_000)]
+    columns = (value, value % 7 + 1)
+    batches = [pa.record_batch([pa.array(x[a : a + 10_000]) for x in columns], ["run", "n"]) for a in range(0, len(value), 10_000)]
     got = [*lm_scoring._columns(iter(batches))]
     assert [len(v) for v, *_ in got] == [lm_scoring.BLOCK] * 3 + [5]
     assert all(np.array_equal(np.concatenate(x), want) for x, want in zip(zip(*got, strict=True), columns, strict=True))
