@@ -1,9 +1,12 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
-The search goes through a text's places and keeps, for the last
-`longest piece` positions only, the best way to reach each position and a
-backpointer. When all surviving paths go through one boundary, the ids up to
-it are committed and forgotten, so memory doesn't grow with the text.
+The search goes once through a text, piece match by piece match, and keeps a
+window of the last places that a longer piece could still reach. A place that
+no match crosses is a boundary where all surviving paths converge: what lies
+before it is committed as soon as the search is further than the longest piece
+behind it. Between two boundaries the paths differ; there the search keeps the
+best way to reach each place and a backpointer, and commits whenever the heads
+of all paths meet, so that its memory is bounded by the longest piece too.
 
 Two ways to score paths:
 
@@ -13,20 +16,22 @@ Two ways to score paths:
   whose neighbouring pieces are all stable, and each position has one such
   path, so the result equals the merges'.
 
-Words that begin with the space mark are never crossed by a piece (runs of
-marks apart), so every such place is a boundary where all paths converge; the
-ids between two of them are remembered by a worker.
+The ids of a stretch between two boundaries depend on its characters alone; a
+worker remembers those of the last it met, in two generations, so that what is
+met again stays.
 
 Defined results: null or empty text gives no ids; characters outside the
 vocabulary become byte pieces; decoding gives the text back exactly, as the
-model's normaliser is the identity; repeated rows give a row each; an empty
-table gives an empty result; other columns are ignored.
+model's normaliser is the identity, but for U+2581, which is the model's own
+sign for a space and comes back as one; bytes that are no UTF-8 count as
+U+FFFD; repeated rows give a row each; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from array import array
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -36,10 +41,8 @@ from pyspark.sql import DataFrame
 from ._common import id_bytes, map_slices
 
 MARK = "▁"
-#: Words that a worker keeps the ids of.
-CACHE = 250_000
-#: Letters and digits.
-_CHAR = r"[^\W_\u00b2\u00b3\u00b9]"
+#: Stretches in a generation of a worker's memory; pairs of pieces it remembers; boundaries it holds before it commits.
+CACHE, PAIRS, HOLD = 150_000, 500_000, 4096
 
 
 class Model:
@@ -63,30 +66,28 @@ class Model:
         proto.ParseFromString(sp.serialized_model_proto())
         self.bpe = proto.trainer_spec.model_type == proto.trainer_spec.BPE
         self.worst = min(self.score.values()) - 10  # of a character outside the vocabulary
-        self.split = self.splitter()
-        self.automaton = ahocorasick.Automaton()
+        self.automaton, self.long = ahocorasick.Automaton(), ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        self.halves: dict[str, list[str]] = {}  # the two parts that a piece's last merge joins
         for piece in self.ids:
-            if not self.bpe or self.merged(piece) == [piece]:
+            parts = self.merged(piece, 2) if self.bpe else [piece]
+            if len(parts) == 1 or len(parts) == 2 and self.merged(piece) == [piece]:
+                self.halves[piece] = parts
                 self.automaton.add_word(piece, piece)
+                if len(piece) > 1:
+                    self.long.add_word(piece)
         self.automaton.make_automaton()
-        self.known: dict[str, bytes] = {}
+        self.long.make_automaton()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.stable: dict[tuple[str, str], bool] = {}
-
-    def splitter(self):
-        """Cuts a text where no piece crosses: before marks, and between letters or digits and the signs that no piece joins to them."""
-        bodies = [p.lstrip(MARK) for p in self.ids if len(p) > 1]
-        if any(MARK in p for p in bodies):
-            return lambda text: [text]
-        signs = [c for c in "\n\t.,;:!?" if not any(re.search(rf"{_CHAR}{re.escape(c)}|{re.escape(c)}{_CHAR}", p) for p in bodies)]
-        own = re.escape("".join(signs)) or MARK
-        return re.compile(rf"{MARK}*{_CHAR}+(?=[{MARK}{own}]|$)|[{own}]+(?={_CHAR}|{MARK}|$)|{MARK}*[^{MARK}]+|{MARK}+").findall
+        self.edges: tuple[dict[str, list[tuple[str, float]]], ...] = ({}, {})
 
     # -- what merges do, for pairs of pieces
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging the best-scored neighbours, the leftmost of equals, gives."""
+    def merged(self, text: str, down_to: int = 1) -> list[str]:
+        """The pieces that merging the best-scored neighbours, the leftmost of equals, gives; no fewer than down_to."""
         parts, score = list(text), self.score
-        while len(parts) > 1:
+        while len(parts) > down_to:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 s = score.get(parts[i] + parts[i + 1])
@@ -97,13 +98,45 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def edge(self, piece: str, side: int) -> list[tuple[str, float]]:
+        """What stands at a piece's left (0) or right (1) end while merges build it: each part, and the score of the merge that ends it."""
+        got = self.edges[side].get(piece)
+        if got is None:
+            got, ends, part = [], -np.inf, piece
+            while True:
+                got.append((part, ends))
+                if len(part) == 1:
+                    break
+                part, ends = self.halves[part][-side], self.score[part]
+            got = self.edges[side][piece] = got[::-1]
+        return got
+
     def fits(self, left: str, right: str) -> bool:
-        """Whether merging leaves the two pieces side by side as they are."""
+        """Whether merging leaves the two pieces side by side as they are.
+
+        Merges go by falling score. Two parts that meet at the border join if
+        they make a piece whose turn comes before that of the merges that end
+        either of them; of equal turns the leftmost is first.
+        """
         got = self.stable.get((left, right))
         if got is None:
-            if len(self.stable) > 2 * CACHE:
+            if len(self.stable) > PAIRS:
                 self.stable.clear()
-            got = self.stable[left, right] = self.merged(left + right) == [left, right]
+            a, b, i, j = self.edge(left, 1), self.edge(right, 0), 0, 0
+            while True:
+                (x, x_ends), (y, y_ends) = a[i], b[j]
+                s = self.score.get(x + y)
+                if s is not None and s > x_ends and s >= y_ends:
+                    got = False
+                    break
+                if x_ends == y_ends == -np.inf:
+                    got = True
+                    break
+                if x_ends >= y_ends:
+                    i += 1
+                else:
+                    j += 1
+            self.stable[left, right] = got
         return got
 
     # -- the search
@@ -154,9 +187,82 @@ class Model:
 
     # -- texts
 
-    def word(self, word: str) -> bytes:
+    def stretches(self, text: str):
+        """Lists of the stretches between boundaries that no match crosses, committed once none can."""
+        begins: list[int] = []  # the character before each stretch's first
+        ends: list[int] = []  # the last characters of all stretches but the last
+        top, last, done, longest = -1, -1, 0, self.longest
+        for end, n in self.long.iter(text) if len(self.long) else ():
+            before = end - n
+            if before >= top:
+                if before < last:  # it crosses nothing but the last stretch
+                    last = end
+                    continue
+            else:  # it joins stretches
+                while begins and before < begins[-1]:
+                    begins.pop()
+                    if ends:
+                        last = ends.pop()
+                if begins and before < last:
+                    top, last = begins[-1], end
+                    continue
+                if begins:
+                    ends.append(last)
+                begins.append(before)
+                top, last = before, end
+                continue
+            if begins:
+                ends.append(last)
+            begins.append(before)
+            top, last = before, end
+            if len(begins) > HOLD:
+                k = len(begins) - 1
+                while k and ends[k - 1] > end - longest:
+                    k -= 1
+                yield self.cut(text, done, begins[:k], ends[:k])
+                done = ends[k - 1] + 1 if k else done
+                del begins[:k], ends[:k]
+        if begins:
+            ends.append(last)
+        yield [*self.cut(text, done, begins, ends), *text[max(done, last + 1) :]]
+
+    @staticmethod
+    def cut(text: str, at: int, begins: list[int], ends: list[int]) -> list[str]:
+        out = []
+        for a, b in zip(begins, ends, strict=True):
+            if at <= a:  # characters that no match holds stand alone
+                out.extend(text[at : a + 1])
+            at = b + 1
+            out.append(text[a + 1 : at])
+        return out
+
+    def within(self, stretch: str) -> list[str]:
+        """The search of stream() by merges, for a stretch that the window holds whole."""
+        best, stable = [""] * (len(stretch) + 1), self.stable  # the last piece of the path to each place
+        for end, piece in self.automaton.iter(stretch):
+            if not best[end + 1]:
+                start = end + 1 - len(piece)
+                if start:
+                    left = best[start]
+                    if not left:  # no piece reached this place: a character of its own
+                        left = best[start] = stretch[start - 1]
+                    fits = stable.get((left, piece))
+                    if not (self.fits(left, piece) if fits is None else fits):
+                        continue
+                best[end + 1] = piece
+        out, end = [], len(stretch)
+        while end:
+            out.append(best[end] or stretch[end - 1])
+            end -= len(out[-1])
+        return out[::-1]
+
+    def searched(self, stretch: str) -> bytes:
+        if self.bpe and stretch in self.halves:
+            pieces = [stretch]
+        else:
+            pieces = self.within(stretch) if self.bpe and len(stretch) <= self.longest else self.stream(stretch)
         ids = array("I")
-        for piece in self.stream(word):
+        for piece in pieces:
             if (i := self.ids.get(piece)) is not None:
                 ids.append(i)
             else:
@@ -167,15 +273,15 @@ class Model:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        words = self.split(MARK + text.replace(" ", MARK))
-        known = self.known
-        for w in set(words):
-            if w not in known:
-                if len(known) > CACHE + len(words):
-                    known.clear()
-                    return self.encode(text)
-                known[w] = self.word(w)
-        return b"".join(map(known.__getitem__, words))
+        out = []
+        for parts in self.stretches(MARK + text.replace(" ", MARK)):
+            if len(self.young) > CACHE:
+                self.young, self.old = {}, self.young
+            young, old = self.young, self.old
+            for x in set(parts).difference(young):
+                young[x] = old.get(x) or self.searched(x)
+            out.append(b"".join(map(young.__getitem__, parts)))
+        return b"".join(out)
 
     def decode(self, ids) -> str:
         out, held = [], bytearray()
@@ -192,14 +298,18 @@ class Model:
         return text.removeprefix(MARK).replace(MARK, " ")
 
 
+@lru_cache(1)
+def loaded(path: str) -> Model:
+    """A worker's model: it outlives the task."""
+    return Model(path)
+
+
 def encode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): ids of each text as little-endian unsigned 32-bit integers."""
-    holder: list[Model] = []
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not holder:
-            holder.append(Model(model))
-        return pa.record_batch([batch.column(0), pa.array([holder[0].encode(t.decode()) for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "ids"])
+        own = loaded(model)
+        return pa.record_batch([batch.column(0), pa.array([own.encode(t.decode("utf-8", "replace")) for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "ids"])
 
     rows = id_bytes(df, id_col, text_col)
     return map_slices(rows, encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
@@ -207,13 +317,11 @@ def encode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
 
 def decode_pieces(df: DataFrame, model: str) -> DataFrame:
     """(doc_id, ids, text) of (doc_id, ids)."""
-    holder: list[Model] = []
 
     def decode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not holder:
-            holder.append(Model(model))
-        texts = [holder[0].decode(np.frombuffer(x, "<u4").tolist()) for x in batch.column(1).to_pylist()]
-        return pa.record_batch([batch.column(0), batch.column(1), pa.array(texts)], ["doc_id", "ids", "text"])
+        own = loaded(model)
+        texts = [own.decode(np.frombuffer(x, "<u4").tolist()) for x in batch.column(1).to_pylist()]
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     rows = df.selectExpr("doc_id", "ids AS data")
     return map_slices(rows, decode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, text string")

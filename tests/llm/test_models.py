@@ -342,3 +342,49 @@ def test_streaming_commits_equal_a_whole_search():
                     best[end] = (best[start][0] + s, start)
         got = list(model.stream(text))
         assert "".join(got) == text and sum(model.score.get(p, model.worst) for p in got) == pytest.approx(best[-1][0])
+
+
+def test_pairs_of_pieces():
+    """The test of two neighbours against merging them."""
+    model, rng = sentence_pieces.Model(PIECES), random.Random(2)
+    every = [*model.halves]
+    short = [p for p in every if len(p) < 4]
+    for i in range(6000):
+        a, b = rng.choice(every if i % 2 else short), rng.choice(every if i % 3 else short)
+        assert model.fits(a, b) == (model.merged(a + b) == [a, b]), (a, b)
+
+
+def test_commits_inside_a_long_text(monkeypatch):
+    """A text is committed piece by piece, in stretches that join to the text, and the window stays small."""
+    monkeypatch.setattr(sentence_pieces, "HOLD", 50)
+    model, rng = sentence_pieces.Model(PIECES), random.Random(3)
+    processor = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for text in (" ".join(rng.choices(["the", "straße", "naïve,", "x1", "日本", "...", "  "], k=3000)), "abcdefgh" * 2000, "".join(rng.choices("日本語é😀", k=3000)), "\n\n" * 500):
+        parts = [*model.stretches(sentence_pieces.MARK + text.replace(" ", sentence_pieces.MARK))]
+        assert "".join(x for p in parts for x in p) == sentence_pieces.MARK + text.replace(" ", sentence_pieces.MARK)
+        assert model.encode(text) == np.array(processor.encode(text), "<u4").tobytes()
+    marked = sentence_pieces.MARK + "the straße " * 1000
+    assert len([*model.stretches(marked.replace(" ", sentence_pieces.MARK))]) > 10, "ids are committed before the text ends"
+    # a stretch longer than the window: paths meet inside it
+    whole = "".join(rng.choices(["ing", "tion", "er", "th", "a"], k=3000))
+    assert "".join(model.stream(whole)) == whole and [*model.stream(whole)] == model.within(whole)
+
+
+def test_memory_of_stretches(monkeypatch):
+    """What a worker remembers is bounded and changes no id."""
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcde", k=5)) for _ in range(50)) for _ in range(60)]
+    want = [sentence_pieces.Model(PIECES).encode(t) for t in texts]
+    monkeypatch.setattr(sentence_pieces, "CACHE", 100)
+    monkeypatch.setattr(sentence_pieces, "PAIRS", 100)
+    model = sentence_pieces.Model(PIECES)
+    assert [model.encode(t) for t in texts * 2] == want * 2
+    assert len(model.young) < 300 and len(model.old) < 300 and len(model.stable) <= 101
+
+
+def test_pieces_edges(spark):
+    long = "word " * 200_000
+    rows = [(1, "a▁b ▁▁ c"), (2, None), (3, ""), (4, long), (None, "x"), (None, "x")]
+    got = {r.doc_id: r.text for r in sentence_pieces.decode_pieces(sentence_pieces.encode_pieces(frame(spark, rows), PIECES), PIECES).collect()}
+    assert got == {1: "a b    c", 2: "", 3: "", 4: long, None: "x"}, "the model's sign for a space comes back as a space"
+    assert sentence_pieces.encode_pieces(frame(spark, []), PIECES).count() == 0
