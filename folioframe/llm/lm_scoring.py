@@ -408,16 +408,17 @@ def _slot_rows(task: int, part: int, zeros: np.ndarray, ones: np.ndarray) -> pa.
 def _slot_counts(tables: Tables):
     def count(batches):
         """Bit counts of all contexts of a task's runs, by parts of the tables."""
-        counts = np.zeros((2, -(-tables.size >> PART_BITS) << PART_BITS), "i8")
-        for value, n in _columns(batches, 4 * BLOCK):
-            bits, weight = byte_bits(value), np.repeat(n.astype("f8"), 8)
-            ones = bits.ravel() * weight
+        counts = np.zeros((2, -(-tables.size >> PART_BITS) << PART_BITS), "f4")  # exact up to 2 ** 24, as levels need no more
+        for value, n in _columns(batches, 2 * BLOCK):
+            weight = np.repeat(n.astype("f8"), 8)
+            ones = byte_bits(value).ravel() * weight
+            weight -= ones
             for k, slots in enumerate(tables.places(value)):
                 base, size = int(tables.base[k]), 1 << tables.bits[k]
-                flat = slots.ravel() - base
-                one = np.bincount(flat, ones, size)
-                counts[0, base : base + size] += (np.bincount(flat, weight, size) - one).astype("i8")
-                counts[1, base : base + size] += one.astype("i8")
+                flat = slots.ravel()
+                flat -= base
+                counts[0, base : base + size] += np.bincount(flat, weight, size)
+                counts[1, base : base + size] += np.bincount(flat, ones, size)
         task = TaskContext.get()
         number = task.partitionId() if task else 0
         for part in range(counts.shape[1] >> PART_BITS):
