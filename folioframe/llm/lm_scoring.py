@@ -5,9 +5,10 @@ contexts. Each points, together with the bits of the current byte so far, into
 a table of bit counts and gives the logit of the smoothed frequency there. Two
 mixers add the logits up with weights that a gate selects: one by the bit's
 place, the longest context that was seen and how often it was, one by the bits
-so far. Each mixed bit is refined by an adaptive table, and a last mixer, whose
-weights are the text's own, joins the two. Minus the sum of the logs of the
-bits' probabilities over a text and its closing zero byte is its score.
+so far. Each mixed bit is refined by an adaptive table. The bits of a byte give
+its probability under each mixer, and a last weight, the text's own, joins the
+two. Minus the sum of the logs over a text and its closing zero byte is its
+score; the mixers' bits for a run of bytes are remembered by a worker.
 
 What is learned before scoring covers every training text. Runs of 5 bytes with
 their word are counted in each task and summed by a shuffle; the bit counts of
@@ -19,9 +20,9 @@ through all its runs, in the order of a hash and in steps of STEP, each bit
 leaving its own count out; the tasks' weights are averaged, and a further round
 starts from the average. A last pass fills the adaptive tables.
 
-Scoring goes on learning: the last mixer's weights start anew for each text
-and move along it, after its first FIRST bytes and each time its length has
-doubled, at most LAST bytes later. A score is a function of the model and of
+Scoring goes on learning: the last weight starts anew for each text and moves
+along it by its gradient, after its first FIRST bytes and each time its length
+has doubled, at most LAST bytes later. A score is a function of the model and of
 the text alone.
 
 The base score is a smoothed unigram model over words. Words that are at least
@@ -39,6 +40,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -72,10 +74,10 @@ BLOCK, HELD = 16 * STEP, 1_000_000
 GATES = (8 * INPUTS * 3, 256)
 #: Bytes of a text that are looked at together; bytes scored with one state at first and at most.
 SEGMENT, FIRST, LAST = 1 << 17, 256, 4096
-#: How fast a text's own weights move, and how far; the weight of a mixed bit in its adaptive table.
-OWN_RATE, MOST_OWN, PRIOR = 10.0, 2.0, 20.0
+#: How fast a text's own weight moves, and how far (as a logit); the weight of a mixed bit in its adaptive table.
+OWN_RATE, MOST_OWN, PRIOR = 0.02, 4.0, 20.0
 #: Entries of a worker's memory of runs.
-MEMORY = 1 << 19
+MEMORY = 1 << 20
 _NODE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -234,36 +236,37 @@ class Mixer:
                 out += np.bincount((cell * 2 + bits).ravel(), weight, out.size)
         return out
 
-    def refine(self, value: np.ndarray) -> np.ndarray:
-        """The two mixers' refined logits (2 x runs x 8 bits)."""
-        out = np.empty((2, len(value), 8), "f4")
+    def chances(self, value: np.ndarray) -> np.ndarray:
+        """The probability of each run's last byte under the two mixers (runs x 2)."""
+        out = np.empty((len(value), 2), "f4")
         sure, ones = self.refined.sum(axis=-1).astype("f4"), self.refined[..., 1].astype("f4")
         for a in range(0, len(value), STEP):
-            logits, gates, rows = self.inputs(value[a : a + STEP])
+            v = value[a : a + STEP]
+            logits, gates, rows = self.inputs(v)
+            is_one = byte_bits(v).astype(bool)
             for which in (0, 1):
                 z = self.mix(logits, gates[which], which)
                 p, cell = squash(z), rows[which] * BUCKETS + bucket(z)
                 q = (ones[which].ravel()[cell] + PRIOR * p) / (sure[which].ravel()[cell] + PRIOR)
-                p = np.clip((p + q) / 2, 1e-6, 1 - 1e-6)
-                out[which, a : a + STEP] = np.log(p / (1 - p))
+                p = np.clip((p + q) / 2, 1e-4, 1 - 1e-4)
+                out[a : a + STEP, which] = np.where(is_one, p, 1 - p).prod(axis=1)
         return out
 
 
 class Scorer:
-    """Bits that texts take: many texts go forward together, each with weights of its own."""
+    """Bits that texts take: many texts go forward together, each with a last weight of its own."""
 
     def __init__(self, model: Mixer):
         self.model = model
-        self.key, self.value = np.full(MEMORY, -1, "i8"), np.zeros((MEMORY, 2, 8), "f4")  # runs met, and their refined logits
+        self.key, self.value = np.full(MEMORY, -1, "i8"), np.zeros((MEMORY, 2), "f4")  # runs met, and their chances
 
-    def logits(self, value: np.ndarray) -> np.ndarray:
-        """Refined logits of runs (runs x 2 x 8), remembered."""
+    def chances(self, value: np.ndarray) -> np.ndarray:
         at = (mixed(value.astype("u8")) & np.uint64(MEMORY - 1)).view("i8")
         out = self.value[at]
         miss = np.flatnonzero(self.key[at] != value)
         if len(miss):
             new, inverse = np.unique(value[miss], return_inverse=True)
-            found = self.model.refine(new).transpose(1, 0, 2)
+            found = self.model.chances(new)
             out[miss] = found[inverse]
             slot = (mixed(new.astype("u8")) & np.uint64(MEMORY - 1)).view("i8")
             self.key[slot], self.value[slot] = new, found
@@ -286,20 +289,19 @@ class Scorer:
         return out
 
     def alone(self, text: bytes) -> float:
-        own, total, at = own_weights(1), 0.0, 0
+        own, total, at = np.zeros(1), 0.0, 0
         for part in segments(text):
             total += self.part([part], own, at)[0]
             at += len(part[1])
         return total
 
     def together(self, texts: list[bytes]) -> np.ndarray:
-        return self.part([next(segments(t)) for t in texts], own_weights(len(texts)), 0)
+        return self.part([next(segments(t)) for t in texts], np.zeros(len(texts)), 0)
 
     def part(self, parts: list[tuple[bytes, bytes]], own: np.ndarray, at: int) -> np.ndarray:
-        """Bits of segments that begin at byte `at` of their texts; own is carried on."""
+        """Bits of segments that begin at byte `at` of their texts; own, the logits of the last weights, are carried on."""
         value, sizes = runs(parts)
-        first, second = self.logits(value).transpose(1, 0, 2)
-        side = 1 - 2 * byte_bits(value).astype("f4")  # what a probability of the bit is the squash of, with the sign turned
+        chances = self.chances(value)
         starts, total = np.cumsum(sizes) - sizes, np.zeros(len(sizes))
         done, longest = 0, int(sizes.max(initial=0))
         while done < longest:
@@ -308,22 +310,26 @@ class Scorer:
             n = np.minimum(sizes[lanes] - done, step)
             begin = np.cumsum(n) - n
             rows = np.repeat(starts[lanes] + done - begin, n) + np.arange(int(n.sum()))
-            w = np.repeat(own[lanes], n, axis=0)
-            a, b, t = first[rows], second[rows], side[rows]
-            z = np.clip(a * w[:, :1] + b * w[:, 1:], -20, 20) * t
-            e = np.exp(z)
-            total[lanes] += np.add.reduceat(np.einsum("ij->i", np.log1p(e)).astype("f8"), begin)
-            # the text's own weights move on: the error is the bit less its probability
-            error = e / (1 + e) * -t
-            first_pull, second_pull, power = (np.add.reduceat(x, begin) for x in (np.einsum("ij,ij->i", error, a), np.einsum("ij,ij->i", error, b), np.einsum("ij,ij->i", a, a) + np.einsum("ij,ij->i", b, b)))
-            own[lanes] = np.clip(own[lanes] + OWN_RATE * np.stack([first_pull, second_pull], axis=1) / (power / 2 + 1)[:, None], 0, MOST_OWN)
+            weight = squash(own[lanes])
+            w = np.repeat(weight, n)
+            first = chances[rows, 0] * w
+            both = first + chances[rows, 1] * (1 - w)
+            total[lanes] -= np.add.reduceat(np.log2(both), begin)
+            # the text's own weight moves on, along its gradient
+            own[lanes] = np.clip(own[lanes] + OWN_RATE * (np.add.reduceat(first / both, begin) - weight * n), -MOST_OWN, MOST_OWN)
             done += step
-        return total / math.log(2)
+        return total
+
+
+_scorers: dict[str, Scorer] = {}
 
 
-def own_weights(n: int) -> np.ndarray:
-    """The last mixer's weights for n texts, as they start."""
-    return np.full((n, 2), 0.5, "f4")
+def scorer_of(name: str, made) -> Scorer:
+    """A worker's scorer of the model of that name: what it remembers outlives the task."""
+    if name not in _scorers:
+        _scorers.clear()
+        _scorers[name] = Scorer(made())
+    return _scorers[name]
 
 
 # ---- training
@@ -457,7 +463,7 @@ def train(docs: DataFrame) -> Mixer:
     grams = stored(counted.sortWithinPartitions(F.xxhash64("run"), "run"))
     # counts of a part are summed FAN_IN tasks at a time, so that no group grows with the tasks
     tasks = partitions(spark)
-    parts = grams.repartition(tasks, F.shiftright("run", WORD + 8).bitwiseAND(0xFFFF)).mapInArrow(_slot_counts(tables), _SLOTS)
+    parts = grams.repartition(tasks, F.shiftright("run", WORD + 8)).mapInArrow(_slot_counts(tables), _SLOTS)
     while tasks > FAN_IN:
         parts = parts.groupBy("part", F.floor(F.col("task") / FAN_IN).alias("group")).applyInArrow(_summed_part, _SLOTS)
         tasks = -(-tasks // FAN_IN)
@@ -540,12 +546,13 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     end = frequent.value.get(END.encode(), 0) or (counts.where(F.col("word") == F.lit(END.encode())).select("n").first() or [0])[0]
     model = train(training)
     shared, tables, weights, refined = model.shared, model.tables, model.weights, model.refined
+    name = uuid.uuid4().hex
     holder: list = []
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not holder:
-            holder.append((Scorer(Mixer(tables, shared.value, weights, refined)), {w: math.log10(n + 1) for w, n in frequent.value.items()}))
-        scorer, logs = holder[0]
+            holder.append({w: math.log10(n + 1) for w, n in frequent.value.items()})
+        scorer, logs = scorer_of(name, lambda: Mixer(tables, shared.value, weights, refined)), holder[0]
         texts = batch.column("data").to_pylist()
         n_words, n_known, gained, rare = [], [], [], []
         for t in texts:
