@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from ..storage import shared_dir, stored
 
-__all__ = ["id_bytes", "map_slices", "partitions", "shared_dir", "slices", "stored", "table"]
+__all__ = ["hot_limit", "id_bytes", "map_slices", "partitions", "shared_dir", "slices", "spread_join", "stored", "table"]
+
+#: A key with fewer rows is never hot.
+LEAST_HOT = 64
 
 
 def partitions(spark: SparkSession) -> int:
@@ -22,6 +25,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hot_limit(spark: SparkSession, rows: int) -> int:
+    """Rows from which on a key is hot: half a task's part. So there are fewer hot keys than twice the partitions."""
+    return max(LEAST_HOT, -(-rows // (2 * partitions(spark))))
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of left with right, which has one row a key, where few keys may hold much of left.
+
+    Their rows of right, fewer than twice the partitions, are broadcast; the
+    others meet by a shuffle. left is read several times.
+    """
+    limit = hot_limit(left.sparkSession, left.count())
+    frequent = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows of the key")).where(F.col("rows of the key") > limit).select(*keys)
+    hot = stored(right.join(F.broadcast(frequent), keys, "left_semi").withColumn("is hot", F.lit(True)))
+    tagged = left.join(F.broadcast(hot), keys, "left")
+    columns = [*left.columns, *(c for c in right.columns if c not in keys)]
+    cold = tagged.where(F.col("is hot").isNull()).select(left.columns).join(right, keys)
+    return tagged.where(F.col("is hot").isNotNull()).select(columns).unionByName(cold.select(columns))
+
+
 def id_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, data): the identifier and the text's UTF-8 bytes, null counted as empty. Other columns don't matter."""
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))

@@ -1,11 +1,13 @@
 """SimHash near-deduplication with an inverted index over fingerprint bytes.
 
 A 64-bit fingerprint has eight positional bytes. If two fingerprints differ in
-at most two bits, at least six of the eight agree, so they agree on the bytes
-of two of the four 16-bit quarters. The index therefore posts each distinct
-fingerprint under its six pairs of quarters (four positional bytes each);
-pairs that meet in a list have their shared positional bytes counted, those
-with fewer than six are dropped, and the rest are verified bit by bit.
+at most two bits, at least LEAST_BYTES = 6 of the eight agree. The index posts
+each distinct fingerprint under the 14 sets of four positions in BLOCKS. Of any
+six positions exactly three of these sets consist, and they cover all six; of
+fewer positions one set at most consists. So a pair's tally, the positional
+bytes of all lists that it meets in, is six or more if and only if six bytes
+agree: pairs below that guaranteed minimum are dropped by the count alone, and
+only the others are verified bit by bit.
 
 Copies share a fingerprint and are one posting. A list with more than
 LONG_LIST postings is not expanded into pairs: its members, which agree on
@@ -15,29 +17,33 @@ under such a value, all that meet there are within distance two, and at most
 33 can, so a star around the smallest loses no connection.
 
 Components come from alternating star contraction over the links; no link,
-component or fingerprint is collected to the driver.
+component or fingerprint is collected to the driver. What a frequent node,
+fingerprint or component needs is broadcast (spread_join), the rest shuffled.
 
 Defined results: null or empty text has fingerprint zero and is linked like
-any other; texts of fewer words than a shingle are one shingle; an empty table
-gives an empty result; other columns are ignored.
+any other; texts of fewer words than a shingle are one shingle; a null
+identifier is larger than all others; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_bytes, map_slices, stored
+from ._common import hot_limit, id_bytes, map_slices, spread_join, stored
 
 SEED = 42
 LONG_LIST = 32
 #: Bits that may differ, and so the least number of equal bytes.
 MOST_BITS, LEAST_BYTES = 2, 6
-#: The six pairs of 16-bit quarters.
-PAIRS = [(a, b) for a in range(4) for b in range(a + 1, 4)]
+#: The sets of four of the positions 0 to 7 whose numbers' binary sum without carry is 0.
+BLOCKS = [c for c in combinations(range(8), 4) if c[0] ^ c[1] ^ c[2] ^ c[3] == 0]
 CHUNK = 1 << 15
 
 
@@ -67,13 +73,24 @@ def fingerprints(df: DataFrame, size: int = 3, id_col: str = "doc_id", text_col:
     return map_slices(rows, one, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint")
 
 
-def _quarter(fp, k: int):
-    return F.shiftrightunsigned(fp, 16 * k).bitwiseAND(0xFFFF)
+def _byte(fp, position: int):
+    return F.shiftrightunsigned(fp, 8 * position).bitwiseAND(0xFF)
+
+
+def postings(distinct: DataFrame) -> DataFrame:
+    """(fp, slot, key): each fingerprint under the four bytes of each of BLOCKS."""
+    fp = F.col("fp")
+    keys = [sum((F.shiftleft(_byte(fp, p), 8 * i) for i, p in enumerate(block)), F.lit(0).cast("long")) for block in BLOCKS]
+    posted = [F.struct(F.lit(slot).alias("slot"), key.alias("key")) for slot, key in enumerate(keys)]
+    return distinct.select("fp", F.explode(F.array(*posted)).alias("p")).select("fp", "p.slot", "p.key")
 
 
-def _shared_bytes(a, b):
-    x = a.bitwiseXOR(b)
-    return sum((F.shiftrightunsigned(x, 8 * i).bitwiseAND(0xFF) == 0).cast("int") for i in range(8))
+def tallies(short: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
+    """(a, b, shared), a < b: the positional bytes of all lists (slot, key, fp) that a pair meets in."""
+    masks = F.array(*(F.lit(sum(1 << p for p in block)) for block in BLOCKS))
+    lists = short.groupBy("slot", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
+    met = lists.select("slot", "fps", F.posexplode("fps").alias("i", "a")).select("slot", "a", F.explode(F.slice("fps", F.col("i") + 2, F.lit(long_list))).alias("b"))
+    return met.groupBy("a", "b").agg(F.bit_count(F.bit_or(F.element_at(masks, F.col("slot") + 1))).alias("shared"))
 
 
 def links(distinct: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
@@ -81,22 +98,28 @@ def links(distinct: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
 
     Pairs from short lists are all given; long lists give stars.
     """
-    fp = F.col("fp")
-    posted = [F.struct(F.lit(i).alias("slot"), F.shiftleft(_quarter(fp, a), 16).bitwiseOR(_quarter(fp, b)).alias("key")) for i, (a, b) in enumerate(PAIRS)]
-    postings = stored(distinct.select("fp", F.explode(F.array(*posted)).alias("p")).select("fp", "p.slot", "p.key"))
-    lists = stored(postings.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    short = postings.join(lists.where(F.col("n") <= long_list).select("slot", "key"), ["slot", "key"]).groupBy("slot", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
-    pairs = short.select("fps", F.posexplode("fps").alias("i", "a")).select("a", F.explode(F.slice("fps", F.col("i") + 2, F.lit(long_list))).alias("b"))
-    close = pairs.where((_shared_bytes(F.col("a"), F.col("b")) >= LEAST_BYTES) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MOST_BITS))
-    # Long lists: bits of the two quarters that the list does not fix
-    flips = F.array(*(F.array(F.lit(0).cast("long"), *(F.shiftleft(F.lit(1).cast("long"), 16 * q + i) for q in range(4) if q not in pair for i in range(16))) for pair in PAIRS))
-    long = postings.join(lists.where(F.col("n") > long_list).select("slot", "key"), ["slot", "key"])
-    spread = long.select("slot", "fp", F.explode(F.element_at(flips, F.col("slot") + 1)).alias("flip")).select("slot", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("near"))
-    met = spread.groupBy("slot", "near").agg(F.sort_array(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
-    stars = met.select(F.element_at("fps", 1).alias("a"), F.explode(F.slice("fps", 2, 64)).alias("b"))
+    posted = stored(postings(distinct))
+    lists = stored(posted.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    met = stored(spread_join(posted, lists, ["slot", "key"]))
+    enough = tallies(met.where(F.col("n") <= long_list), long_list).where(F.col("shared") >= LEAST_BYTES)
+    close = enough.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MOST_BITS).select("a", "b")
+    # long lists: bits of the four bytes that the list does not fix
+    flips = F.array(*(F.array(F.lit(0).cast("long"), *(F.shiftleft(F.lit(1).cast("long"), 8 * p + i) for p in range(8) if p not in block for i in range(8))) for block in BLOCKS))
+    spread = met.where(F.col("n") > long_list).select("slot", "fp", F.explode(F.element_at(flips, F.col("slot") + 1)).alias("flip")).select("slot", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("near"))
+    near = spread.groupBy("slot", "near").agg(F.sort_array(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
+    stars = near.select(F.element_at("fps", 1).alias("a"), F.explode(F.slice("fps", 2, 64)).alias("b"))
     return close.unionByName(stars).distinct()
 
 
+def _with_least(pairs: DataFrame, rows: int) -> DataFrame:
+    """(u, v, m): m is the smallest v of each u. What frequent u's need is broadcast, fewer than twice the partitions."""
+    degrees = stored(pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+    hot = degrees.where(F.col("n") > hot_limit(pairs.sparkSession, rows)).select("u", "m")
+    tagged = pairs.join(F.broadcast(hot), "u", "left")
+    cold = tagged.where("m IS NULL").select("u", "v").join(degrees.select("u", "m"), "u")
+    return tagged.where("m IS NOT NULL").select("u", "v", "m").unionByName(cold.select("u", "v", "m"))
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node of edges (a, b), by alternating star contraction.
 
@@ -104,17 +127,17 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     star its smaller neighbours; neighbourhoods are aggregated, never gathered.
     """
     e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
-    size = e.agg(F.count(F.lit(1)), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.hash("u", "v").cast("long"))).first()
+    state = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.hash("u", "v").cast("long"))).first()
+    size = state(e)
     for _ in range(most_rounds):
         if not size[0]:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(below, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        large = _with_least(both, 2 * size[0]).select("u", "v", F.least("u", "m").alias("m")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large)
+        small = _with_least(large, size[0]).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         e = stored(small.where("u > v").distinct())
-        now = e.agg(F.count(F.lit(1)), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.hash("u", "v").cast("long"))).first()
+        now = state(e)
         if now == size:
             break
         size = now
@@ -128,8 +151,7 @@ def near_dedup(df: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: s
     docs = stored(fingerprints(df, size, id_col, text_col))
     distinct = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(distinct.select("fp")))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = stored(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    # fingerprints that stand alone and occur once need no join; the others' names come by fingerprint
-    named_fp = rooted.join(named, "root").select("fp", "component_id")
-    return docs.join(named_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named_fp = stored(spread_join(rooted.select("fp", "root"), named, ["root"]).select("fp", "component_id"))
+    return spread_join(docs, named_fp, ["fp"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
