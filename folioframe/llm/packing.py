@@ -5,13 +5,26 @@ Pieces are dealt by a hash into groups of bounded size; in each group a
 branch-and-bound search (bin completion) fills one sequence at a time around
 the largest piece left: it enumerates undominated fillings by rising waste,
 prunes a branch when its waste exceeds what the target count of sequences
-allows, and starts from the best-fit-decreasing solution as incumbent. The
-sequences that stay far from full are packed again together, level by level,
-until one group holds all of them.
-
-Defined results: null or empty text gives one piece of the end id; repeated
-rows are packed as often as they occur; an empty table gives an empty result;
-other columns are ignored.
+allows, and starts from the best-fit-decreasing solution as incumbent.
+
+A filling is dominated if a piece that is left would still fit beside it, or
+fits in place of one of its pieces that is shorter, or of two that together are
+no longer: what it leaves can then be packed no better than what the other
+filling leaves.
+
+The sequences that stay far from full are packed again together with those of
+other groups, level by level. Each group hands on its emptiest sequences, and
+at most so many pieces that no later group holds more than the first ones do;
+when a level saves less than one sequence in LEAST_GAIN, it was the last.
+
+The search of a group is given NODES nodes and NODES_PER_BIN for each bin; when
+they are spent, the incumbent stands. No piece depends on that, only how many
+sequences hold them.
+
+Defined results: null or empty text gives one piece of the end id; a null
+identifier is one like any other; repeated rows are packed as often as they
+occur; bytes that are no UTF-8 count as U+FFFD; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +32,7 @@ from __future__ import annotations
 import os
 from array import array
 from bisect import bisect_right
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,10 +45,12 @@ from ._common import id_bytes, map_slices, stored
 
 END_ID = 1
 LENGTH = 4096
-#: Pieces in a group; branch-and-bound nodes in a group; groups packed again together.
-GROUP, NODES, FAN_IN = 40_000, 20_000, 256
-#: Words that a worker keeps the ids of.
-CACHE = 300_000
+#: Pieces in a group; branch-and-bound nodes in a group, and more for each bin; groups packed again together; the share of sequences that a level must save.
+GROUP, NODES, NODES_PER_BIN, FAN_IN, LEAST_GAIN = 40_000, 20_000, 4, 256, 64
+#: Fillings that a node chooses from; branches that are looked at for each; pieces up to which pairs are tried in the test of dominance.
+FILLINGS, TRIES, FEW = 6, 8, 8
+#: Words of a generation that a worker keeps the ids of.
+CACHE = 150_000
 
 
 class WordIds:
@@ -52,7 +68,7 @@ class WordIds:
         import tiktoken
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known, self.merges = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.known, self.old, self.merges = Tokenizer.from_file(path), {}, {}, {}
         printed = sorted(pre_tokenizers.ByteLevel.alphabet())
         plain = [c for c in printed if ord(c) < 256]  # these stand for themselves, the others in order for the rest
         byte_of = {c: ord(c) for c in plain} | dict(zip((c for c in printed if ord(c) >= 256), (b for b in range(256) if chr(b) not in plain), strict=True))
@@ -65,12 +81,16 @@ class WordIds:
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, list(words)
-        other = []
+        if len(self.known) > CACHE:  # two generations: what is met again stays
+            self.known, self.old = {}, self.known
+        new, other = [], []
+        for word in words.difference(self.known):
+            if (got := self.old.get(word)) is None:
+                new.append(word)
+            else:
+                self.known[word] = got
         for word in new:
-            text = word.decode()
+            text = word.decode("utf-8", "replace")
             if text.isascii() and text.isprintable() and "<|" not in text or self.simple(text):
                 core = text.rstrip(".,;:!?")
                 parts = [core.lower(), text[len(core) :]] if core.isalpha() else self.parts(text.lower())
@@ -97,16 +117,19 @@ class WordIds:
         return [b"".join(map(get, words)) for words in split]
 
 
+@lru_cache(1)
+def loaded(path: str) -> WordIds:
+    """A worker's tokenizer: it outlives the task."""
+    return WordIds(path)
+
+
 def tokenised_pieces(df: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids): the pieces of each document; ids are little-endian unsigned 32-bit."""
-    holder: list[WordIds] = []
     end = np.array([END_ID], "<u4").tobytes()
 
     def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not holder:
-            holder.append(WordIds(tokenizer))
         out: tuple[list, ...] = ([], [], [], [], [])
-        for doc, ids in zip(batch.column(0).to_pylist(), holder[0].encode(batch.column(1).to_pylist()), strict=True):
+        for doc, ids in zip(batch.column(0).to_pylist(), loaded(tokenizer).encode(batch.column(1).to_pylist()), strict=True):
             ids += end
             for piece, start in enumerate(range(0, len(ids) // 4, length)):
                 part = ids[start * 4 : (start + length) * 4]
@@ -142,11 +165,26 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(left: dict[int, int], sizes: list[int], room: int, waste: int, most: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Undominated sets of lengths that leave at most `waste` of room, by rising waste; at most `most` are looked at.
+def dominated(left: dict[int, int], sizes: list[int], room: int, taken: tuple[int, ...]) -> bool:
+    """Whether a length that is left would do better in a filling that leaves `room`: beside it, for a shorter one, or for two together no longer."""
 
-    A set is dominated when a length that is left would still fit beside it.
-    """
+    def free(least: int, most: int) -> bool:
+        k = bisect_right(sizes, most) - 1
+        while k >= 0 and sizes[k] >= least:
+            if left.get(sizes[k], 0) > taken.count(sizes[k]):
+                return True
+            k -= 1
+        return False
+
+    if not room:
+        return False  # nothing wastes less
+    if free(1, room) or any(free(n + 1, n + room) for n in set(taken)):
+        return True
+    return len(taken) <= FEW and any(free(n, n + room) for n in {a + b for i, a in enumerate(taken) for b in taken[i + 1 :]})
+
+
+def fillings(left: dict[int, int], sizes: list[int], room: int, waste: int, most: int = FILLINGS) -> list[tuple[int, tuple[int, ...]]]:
+    """Undominated sets of lengths that leave at most `waste` of room, by rising waste; `most` at most, from `most` * TRIES branches."""
     found: list[tuple[int, tuple[int, ...]]] = []
     tries = 0
 
@@ -161,12 +199,12 @@ def fillings(left: dict[int, int], sizes: list[int], room: int, waste: int, most
                 fits = True
                 if grow(room - n, k, (*taken, n)):
                     return True
-                if tries > most * 8:
+                if tries > most * TRIES:
                     return bool(found)
             k -= 1
-        if not fits and room <= waste and (not sizes or not any(left.get(n, 0) > taken.count(n) for n in sizes[: bisect_right(sizes, room)])):
+        if not fits and room <= waste and not dominated(left, sizes, room, taken):
             found.append((room, taken))
-        return room == 0 and not fits or len(found) >= most
+        return len(found) >= most
 
     grow(room, len(sizes) - 1, ())
     return sorted(found)
@@ -186,7 +224,7 @@ def bin_completion(lengths: list[int], capacity: int, target: int, nodes: int) -
     def options(slack: int):
         largest = next(n for n in reversed(sizes) if left[n])
         left[largest] -= 1
-        got = fillings(left, sizes, capacity - largest, slack, 6)
+        got = fillings(left, sizes, capacity - largest, slack)
         left[largest] += 1
         return iter([(w, (largest, *f)) for w, f in got])
 
@@ -221,7 +259,7 @@ def pack_lengths(lengths: np.ndarray, capacity: int = LENGTH, nodes: int = NODES
     bins = best_fit_decreasing(falling, capacity)
     least = -(-int(sum(falling)) // capacity)
     for target in range(least, len(bins)):
-        if (better := bin_completion(falling, capacity, target, nodes)) is not None:
+        if (better := bin_completion(falling, capacity, target, nodes + NODES_PER_BIN * target)) is not None:
             places: dict[int, list[int]] = {}
             for i, n in enumerate(falling):
                 places.setdefault(n, []).append(i)
@@ -231,6 +269,18 @@ def pack_lengths(lengths: np.ndarray, capacity: int = LENGTH, nodes: int = NODES
     return [[int(order[i]) for i in b] for b in bins]
 
 
+def handed_on(bins: list[list[int]], lengths: np.ndarray, capacity: int, most: int) -> set[int]:
+    """The bins to pack again, the emptiest first, with at most `most` pieces in all; a bin that is nearly full stays."""
+    room = [capacity - int(lengths[b].sum()) for b in bins]
+    chosen, pieces = set(), 0
+    for k in sorted(range(len(bins)), key=lambda k: -room[k]):
+        if room[k] <= capacity // 64 or pieces + len(bins[k]) > most:
+            break
+        chosen.add(k)
+        pieces += len(bins[k])
+    return chosen
+
+
 def pack(pieces: DataFrame, capacity: int = LENGTH, group: int = GROUP, nodes: int = NODES, fan_in: int = FAN_IN) -> DataFrame:
     """Adds sequence_id and offset to pieces, which need doc_id, piece and length (1 to capacity) and may have more columns."""
     own = {"sequence_id", "offset", "_group", "_open"}
@@ -239,30 +289,40 @@ def pack(pieces: DataFrame, capacity: int = LENGTH, group: int = GROUP, nodes: i
     columns = pieces.columns
     added = [T.StructField(c, t) for c, t in (("sequence_id", T.LongType()), ("offset", T.LongType()), ("_group", T.IntegerType()), ("_open", T.BooleanType()))]
     schema = T.StructType([*pieces.schema.fields, *added])
+    fan_in = max(2, min(fan_in, group // 8))
+    quota = max(1, group // fan_in)
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         g = int(pdf["_group"].iloc[0])
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         lengths = pdf["length"].to_numpy()
         bin_of, offset, is_open = (np.zeros(len(pdf), "int64") for _ in range(3))
-        for k, b in enumerate(pack_lengths(lengths, capacity, nodes)):
+        bins = pack_lengths(lengths, capacity, nodes)
+        again = handed_on(bins, lengths, capacity, quota)
+        for k, b in enumerate(bins):
             at = np.array(b)
             bin_of[at], offset[at] = k, np.cumsum(lengths[at]) - lengths[at]
-            is_open[at] = capacity - lengths[at].sum() > capacity // 64
+            is_open[at] = k in again
         return pdf[columns].assign(sequence_id=bin_of + (g << 32), offset=offset, _group=g, _open=is_open.astype(bool))
 
-    todo = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
-    done, level = [], 0
+    # by the row, not by the identifier, which rows may share
+    todo = pieces.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
+    done, level, before = [], 0, None
     while True:
-        packed = todo.groupBy("_group").applyInPandas(fill, schema)
+        packed = stored(todo.groupBy("_group").applyInPandas(fill, schema))
         level += 1
         packed = packed.withColumn("sequence_id", F.col("sequence_id") + F.lit(level << 56))
-        if groups == 1:
+        if before is not None:
+            saved = before - packed.select("sequence_id").distinct().count()
+        if groups == 1 or before is not None and saved * LEAST_GAIN < before:
             done.append(packed)
             break
-        packed = stored(packed)
         done.append(packed.where("not _open"))
-        todo = packed.where("_open").select(*columns, (F.col("_group") / fan_in).cast("int").alias("_group"))
+        again = packed.where("_open")
+        before = again.select("sequence_id").distinct().count()
+        if not before:
+            break
+        todo = again.select(*columns, (F.col("_group") / fan_in).cast("int").alias("_group"))
         groups = -(-groups // fan_in)
     out = done[0]
     for x in done[1:]:
