@@ -5,8 +5,9 @@ words that starts at a multiple of that length in its own document. So:
 
 1. every document's non-overlapping blocks are the index, and every rolling
    window of a block's length is a probe; documents are dealt into buckets by
-   a hash of their identifier, and a bucket posts each distinct hash once,
-   whatever the number of documents that hold it;
+   a hash of identifier and text, as many as hold BUCKET_BYTES of text each,
+   and a bucket posts each distinct hash once, whatever the number of
+   documents that hold it;
 2. where a probe meets an index block of another document, the hit is extended
    to all windows of w words around it, and each bucket posts each distinct
    one once with the smallest identifier that holds it;
@@ -18,8 +19,8 @@ step 2 compares 64-bit hashes of the whole window and decides. The text is
 shuffled once and read by all three steps.
 
 Defined results: null or empty text has no words and nothing is removed;
-rows with one identifier don't repeat each other; a null identifier counts as
-larger than all others; an empty table gives an empty result; other columns
+identifiers are integers, others are refused; rows with one identifier don't
+repeat each other; a null identifier counts as larger than all others; an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -38,10 +39,8 @@ from ._common import partitions
 from ._words import hashed_words, window_hashes
 
 WINDOW = 13
-#: Bytes of stored input that a bucket stands for.
-BUCKET_BYTES = 4 << 20
-#: From here on Spark's estimate of the input's bytes is none.
-UNKNOWN = 1 << 56
+#: Bytes of text that a bucket stands for.
+BUCKET_BYTES = 6 << 20
 LAST = np.iinfo("i8").max
 
 
@@ -88,10 +87,12 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     """(doc_id, n_words, n_removed, removed, kept_text): removed has the spans [start, end) of words that went. With carry, also data (the text before) and carried (a struct of those columns of the row)."""
     block = (window + 1) // 2
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n = max(partitions(spark), -(-size // BUCKET_BYTES)) if size < UNKNOWN else 8 * partitions(spark)
+    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"identifiers are integers, not {df.schema[id_col].dataType.simpleString()}")
+    size = df.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    n = max(partitions(spark), -(-size // BUCKET_BYTES))
     docs = df.select(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("int").alias("bucket"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"), *([F.struct(*carry).alias("carried")] if carry else [])
+        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n)).cast("int").alias("bucket"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"), *([F.struct(*carry).alias("carried")] if carry else [])
     )
 
     def dealt(bucket: int, h: np.ndarray, *more: np.ndarray) -> list[tuple]:
@@ -159,9 +160,9 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
             distinct, inverse = np.unique(h, return_inverse=True)
             least = np.full(len(distinct), LAST)
             np.minimum.at(least, inverse, bucket.ids[bucket.text_of[begin]])
-            ids = np.unique(bucket.ids)
             for p, q, x, d in dealt(key[0].as_py(), distinct, least):
-                out.append((p, q, planes(x), np.searchsorted(ids, d).astype("<u4").view("u1").reshape(-1, 4).T.tobytes(), planes(ids.view("u8"))))
+                ids, place = np.unique(d, return_inverse=True)  # the identifiers that these windows need, no others
+                out.append((p, q, planes(x), place.astype("<u4").view("u1").reshape(-1, 4).T.tobytes(), planes(ids.view("u8"))))
         return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["part", "bucket", "windows", "holder", "ids"])
 
     def meet_windows(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
