@@ -1,14 +1,18 @@
 """Media columns: payloads stored as progressive JPEG files and read back.
 
 A payload's bytes become quantised coefficients, the format's own unit: byte b
-is b - 128 below 128 and b - 127 from there on (never zero), 192 bytes fill
-the three 8x8 blocks of an MCU. The file's comment holds the two lengths.
-Reading gives the coefficients, so the payload without loss, and the RGB
-tensor, which the features are computed from.
+is b - 128 below 128 and b - 127 from there on (never zero), and an MCU's four
+luma and two chroma blocks (4:2:0) take 384 bytes, luma first; spaces fill the
+last MCUs up. The file's comment holds the payload's length before and after it
+was padded to a multiple of 192. Reading gives the coefficients, so the payload
+without loss, and the full-resolution RGB tensor with its chroma upsampled,
+which the features are computed from.
 
 Defined results: null text counts as empty and is one MCU of spaces; equal
-texts give equal files and features; repeated rows give a row each; an empty
-table gives an empty result; other columns are ignored.
+texts give equal files and features; a long text is one image (the largest one,
+of 65,520 by 65,520 samples, holds more than a string of Spark's); repeated
+rows give a row each; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ from pyspark.sql import functions as F
 from . import progressive_jpeg
 from ._common import id_bytes, map_slices
 
-UNIT = 192
+#: Bytes that a payload is padded to; bytes of an MCU.
+UNIT, MCU = 192, 384
 #: Bytes of payload that are coded at a time.
 AT_ONCE = 1 << 20
 _SPACE = b" "
@@ -33,13 +38,13 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     """Progressive JPEG files that hold the payloads, padded by spaces to whole MCUs."""
     if not payloads:
         return []
-    sizes = [max(1, -(-len(p) // UNIT)) for p in payloads]
-    grids = [((c := math.isqrt(n - 1) + 1), -(-n // c)) for n in sizes]
-    padded = b"".join(p.ljust(c * r * UNIT, _SPACE) for p, (c, r) in zip(payloads, grids, strict=True))
+    sizes = [max(1, -(-len(p) // UNIT)) * UNIT for p in payloads]
+    grids = [((c := math.isqrt(n - 1) + 1), -(-n // c)) for n in (-(-size // MCU) for size in sizes)]
+    padded = b"".join(p.ljust(c * r * MCU, _SPACE) for p, (c, r) in zip(payloads, grids, strict=True))
     value = np.frombuffer(padded, "u1").astype("i2") - 128
     value += value >= 0
-    comments = [b"payload %d %d" % (len(p), n * UNIT) for p, n in zip(payloads, sizes, strict=True)]
-    return progressive_jpeg.write(value.reshape(-1, 3, 64), np.array([c * r for c, r in grids]), grids, comments)
+    comments = [b"payload %d %d" % (len(p), size) for p, size in zip(payloads, sizes, strict=True)]
+    return progressive_jpeg.write(value.reshape(-1, 64), grids, comments)
 
 
 def decode(files: list[bytes]) -> tuple[list[bytes], list[int], list[np.ndarray]]:
@@ -50,8 +55,7 @@ def decode(files: list[bytes]) -> tuple[list[bytes], list[int], list[np.ndarray]
     for image in images:
         _, n, padded = image.comment.split()
         a = image.bases[0]
-        m = image.shapes[0][0] * image.shapes[0][1]
-        payloads.append(value[a : a + 3 * m].reshape(3, m, 64).swapaxes(0, 1).tobytes()[: int(padded)])
+        payloads.append(value[a : a + -(-int(padded) // 64)].tobytes()[: int(padded)])
         lengths.append(int(n))
     return payloads, lengths, progressive_jpeg.rgb(images, coef)
 
@@ -95,8 +99,9 @@ def read_media(df: DataFrame, tensors: bool = False) -> DataFrame:
 
 
 def digests(df: DataFrame) -> DataFrame:
-    """The digest columns of read_media()'s rows."""
+    """The digest columns of read_media()'s rows, and the tensors where they have them."""
+    tensor = [c for c in ("height", "width", "rgb") if c in df.columns]
     return df.select(
         "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -16)")).alias("tail_crc32"),
-        F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
+        F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature", *tensor,
     )

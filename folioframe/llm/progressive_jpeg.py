@@ -5,9 +5,10 @@ of each image into coefficient arrays, then dequantises, inverse-transforms,
 upsamples chroma and converts to RGB. All lanes of a kind of scan are decoded
 in step: one numpy operation handles one symbol of every lane.
 
-Writing takes whole coefficient blocks and emits a fixed script of scans with
-a restart interval of one MCU: DC without its lowest bit, the first AC
-coefficients without theirs, the other AC coefficients, then the lowest bits.
+Writing takes whole coefficient blocks, four of luma and one of each chroma to
+an MCU (4:2:0), and emits a fixed script of scans with a restart interval of
+one: DC without its lowest bit, the first AC coefficients without theirs, the
+other AC coefficients, then the lowest bits.
 """
 
 from __future__ import annotations
@@ -123,25 +124,44 @@ def _scan_header(components: list[int], first: int, last: int, high: int, low: i
     return _segment(0xDA, bytes([len(components), *(x for c in components for x in (c, 0)), first, last, high << 4 | low]))
 
 
-def write(blocks: np.ndarray, images: np.ndarray, grids: list[tuple[int, int]], comments: list[bytes]) -> list[bytes]:
-    """Progressive JPEG files, 4:4:4, of zigzag coefficient blocks (MCUs x 3 x 64; AC not 0, all within -1023..1023).
+def mcu_order(grids: list[tuple[int, int]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Places of the blocks of 4:2:0 images whose blocks lie as luma, blue, red, each row by row: by MCU (MCUs x 6), and by component."""
+    mcus = np.array([c * r for c, r in grids])
+    columns = np.repeat([c for c, _ in grids], mcus)
+    own = np.arange(int(mcus.sum())) - np.repeat(np.cumsum(mcus) - mcus, mcus)
+    base, m = np.repeat(6 * (np.cumsum(mcus) - mcus), mcus), np.repeat(mcus, mcus)
+    y, x = np.divmod(own, columns)
+    corner = base + 4 * y * columns + 2 * x
+    order = np.stack([corner, corner + 1, corner + 2 * columns, corner + 2 * columns + 1, base + 4 * m + own, base + 5 * m + own], axis=1)
+    luma = (base + 4 * own)[:, None] + np.arange(4)  # row by row the four quarters of an image are just its first blocks
+    return order, [luma.ravel(), order[:, 4], order[:, 5]]
 
-    images: MCUs of each file; grids: their (columns, rows).
+
+def write(blocks: np.ndarray, grids: list[tuple[int, int]], comments: list[bytes]) -> list[bytes]:
+    """Progressive JPEG files, 4:2:0, of zigzag coefficient blocks (blocks x 64; AC not 0, all within -1023..1023).
+
+    grids: (columns, rows) of MCUs of each file; its blocks are luma, blue, red, each row by row.
     """
     dc_code, dc_len = _codes(DC_COUNTS, DC_SYMBOLS)
     ac_code, ac_len = _codes(AC_COUNTS, AC_SYMBOLS)
     scans: list[tuple[bytes, list[bytes]]] = []
     blocks = blocks.astype("i8")
+    order, parts = mcu_order(grids)
+    images = np.array([c * r for c, r in grids])
+    lanes = [images * 4, images, images]
 
     def fields(v, code, length, run=0):
         size, extra = _sized(v)
         return code[size] << size.astype("u8") | extra, length[size] + size
 
-    values, lengths = fields(blocks[:, :, 0] >> 1, dc_code, dc_len)
-    scans.append((_scan_header([1, 2, 3], 0, 0, 0, 1), _entropy(values, lengths, 3, images)))
-    rough = np.sign(blocks[:, :, 1 : SPLIT + 1]) * (np.abs(blocks[:, :, 1 : SPLIT + 1]) >> 1)
+    dc = blocks[:, 0][order]
+    rough = dc >> 1
+    rough[:, 1:4] -= dc[:, 0:3] >> 1  # luma is told by its difference from the block before
+    values, lengths = fields(rough, dc_code, dc_len)
+    scans.append((_scan_header([1, 2, 3], 0, 0, 0, 1), _entropy(values, lengths, 6, images)))
     for c in range(3):  # first AC without the lowest bit: zeros run
-        v = rough[:, c]
+        v = blocks[parts[c], 1 : SPLIT + 1]
+        v = np.sign(v) * (np.abs(v) >> 1)
         values, lengths = np.zeros((len(v), SPLIT + 1), "u8"), np.zeros((len(v), SPLIT + 1), "i8")
         run = np.zeros(len(v), "i8")
         for k in range(SPLIT):
@@ -151,13 +171,13 @@ def write(blocks: np.ndarray, images: np.ndarray, grids: list[tuple[int, int]],
             values[:, k], lengths[:, k] = np.where(some, ac_code[symbol] << size.astype("u8") | extra, 0), np.where(some, ac_len[symbol] + size, 0)
             run = np.where(some, 0, run + 1)
         values[:, SPLIT], lengths[:, SPLIT] = ac_code[0], np.where(run > 0, ac_len[0], 0)
-        scans.append((_scan_header([c + 1], 1, SPLIT, 0, 1), _entropy(values, lengths, SPLIT + 1, images)))
+        scans.append((_scan_header([c + 1], 1, SPLIT, 0, 1), _entropy(values, lengths, SPLIT + 1, lanes[c])))
     for c in range(3):
-        values, lengths = fields(blocks[:, c, SPLIT + 1 :], ac_code, ac_len)
-        scans.append((_scan_header([c + 1], SPLIT + 1, 63, 0, 0), _entropy(values, lengths, 63 - SPLIT, images)))
-    scans.append((_scan_header([1, 2, 3], 0, 0, 1, 0), _entropy((blocks[:, :, 0] & 1).astype("u8"), np.ones(blocks.shape[:2], "i8"), 3, images)))
+        values, lengths = fields(blocks[parts[c], SPLIT + 1 :], ac_code, ac_len)
+        scans.append((_scan_header([c + 1], SPLIT + 1, 63, 0, 0), _entropy(values, lengths, 63 - SPLIT, lanes[c])))
+    scans.append((_scan_header([1, 2, 3], 0, 0, 1, 0), _entropy((dc & 1).astype("u8"), np.ones(dc.shape, "i8"), 6, images)))
     for c in range(3):  # lowest bits: new coefficients head the correction bits before them, the end of block the rest
-        v = blocks[:, c, 1 : SPLIT + 1]
+        v = blocks[parts[c], 1 : SPLIT + 1]
         new = np.abs(v) == 1
         values, lengths = [], []
         for head in range(SPLIT + 1):
@@ -170,11 +190,11 @@ def write(blocks: np.ndarray, images: np.ndarray, grids: list[tuple[int, int]],
                 values.append((np.abs(v[:, j]) & 1).astype("u8"))
                 lengths.append((here & own).astype("i8"))
         values, lengths = np.stack(values, axis=1), np.stack(lengths, axis=1)
-        scans.append((_scan_header([c + 1], 1, SPLIT, 1, 0), _entropy(values, lengths, values.shape[1], images)))
+        scans.append((_scan_header([c + 1], 1, SPLIT, 1, 0), _entropy(values, lengths, values.shape[1], lanes[c])))
     tables = _segment(0xDB, bytes([0, *[1] * 64])) + _segment(0xC4, bytes([0x00, *DC_COUNTS, *DC_SYMBOLS])) + _segment(0xC4, bytes([0x10, *AC_COUNTS, *AC_SYMBOLS])) + _segment(0xDD, bytes([0, 1]))
     out = []
     for i, ((columns, rows), comment) in enumerate(zip(grids, comments, strict=True)):
-        frame = _segment(0xC2, bytes([8, *(8 * rows).to_bytes(2, "big"), *(8 * columns).to_bytes(2, "big"), 3, 1, 0x11, 0, 2, 0x11, 0, 3, 0x11, 0]))
+        frame = _segment(0xC2, bytes([8, *(16 * rows).to_bytes(2, "big"), *(16 * columns).to_bytes(2, "big"), 3, 1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0]))
         out.append(b"".join([b"\xff\xd8", _segment(0xFE, comment), tables, frame, *(x for header, parts in scans for x in (header, parts[i])), b"\xff\xd9"]))
     return out
 

@@ -18,7 +18,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.digests(media.read_media(media.media_column(table(spark, sf_dir, "documents"))))
+    return media.digests(media.read_media(media.media_column(table(spark, sf_dir, "documents")), tensors=True))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
