@@ -15,13 +15,14 @@ its own goes where its first byte's character is.
 
 The query counts each line (with its line break) of each document. Defined
 results: null or empty text is one empty section without tokens; repeated rows
-give rows each; an empty table gives an empty result; other columns are
-ignored.
+give rows each; texts are UTF-8, as Spark's strings are; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,9 @@ from ._common import id_bytes, map_slices
 RULES = ("start", "most", "share")
 
 
+@lru_cache(1)
 def load_ranks(path: str, pattern: str):
-    """A tiktoken encoding of a file of ranks, and the bytes of each token."""
+    """A tiktoken encoding of a file of ranks, and the bytes of each token; a worker keeps them."""
     import tiktoken
 
     with open(path, "rb") as f:
@@ -94,15 +96,12 @@ def section_counts(df: DataFrame, ranks: str, pattern: str, rule: str = "start",
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
-    holder: list = []
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not holder:
-            holder.append(load_ranks(ranks, pattern))
-        encoding, sizes = holder[0]
+        encoding, sizes = load_ranks(ranks, pattern)
         owner, number, bounds, counts, totals = [], [], [], [], []
         for k, data in enumerate(batch.column(1).to_pylist()):
-            ids = encoding.encode_to_numpy(data.decode(), disallowed_special=())
+            ids = encoding.encode_to_numpy(data.decode("utf-8", "replace"), disallowed_special=())
             ends = sections(data)
             got = attribute(*token_spans(data, ids, sizes), ends, rule)
             owner.append(np.full(len(ends), k))
