@@ -42,7 +42,7 @@ from ._common import id_bytes, map_slices
 
 MARK = "▁"
 #: Stretches in a generation of a worker's memory; pairs of pieces it remembers; boundaries it holds before it commits.
-CACHE, PAIRS, HOLD = 150_000, 500_000, 4096
+CACHE, PAIRS, HOLD = 250_000, 500_000, 4096
 
 
 class Model:
@@ -238,36 +238,34 @@ class Model:
 
     def within(self, stretch: str) -> list[str]:
         """The search of stream() by merges, for a stretch that the window holds whole."""
-        best, stable = [""] * (len(stretch) + 1), self.stable  # the last piece of the path to each place
-        for end, piece in self.automaton.iter(stretch):
-            if not best[end + 1]:
-                start = end + 1 - len(piece)
+        best, stable = [""] * (len(stretch) + 1), self.stable  # the last piece of the path to each place; none: its own character
+        for end, n in self.long.iter(stretch):
+            end += 1
+            if not best[end]:
+                start = end - n
+                piece = stretch[start:end]
                 if start:
-                    left = best[start]
-                    if not left:  # no piece reached this place: a character of its own
-                        left = best[start] = stretch[start - 1]
+                    left = best[start] or stretch[start - 1]
                     fits = stable.get((left, piece))
                     if not (self.fits(left, piece) if fits is None else fits):
                         continue
-                best[end + 1] = piece
+                best[end] = piece
         out, end = [], len(stretch)
         while end:
-            out.append(best[end] or stretch[end - 1])
-            end -= len(out[-1])
+            piece = best[end] or stretch[end - 1]
+            out.append(piece)
+            end -= len(piece)
         return out[::-1]
 
     def searched(self, stretch: str) -> bytes:
         if self.bpe and stretch in self.halves:
             pieces = [stretch]
         else:
-            pieces = self.within(stretch) if self.bpe and len(stretch) <= self.longest else self.stream(stretch)
-        ids = array("I")
-        for piece in pieces:
-            if (i := self.ids.get(piece)) is not None:
-                ids.append(i)
-            else:
-                ids.extend(self.bytes[b] for b in piece.encode())
-        return ids.tobytes()
+            pieces = self.within(stretch) if self.bpe and len(stretch) <= self.longest else [*self.stream(stretch)]
+        found = [*map(self.ids.get, pieces)]
+        if None in found:  # characters outside the vocabulary: a piece for each byte
+            found = [x for i, piece in zip(found, pieces, strict=True) for x in ([i] if i is not None else map(self.bytes.__getitem__, piece.encode()))]
+        return array("I", found).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
