@@ -20,6 +20,24 @@ def test_payloads_round_trip():
     assert alone == media.encode(texts), "a file doesn't depend on its batch"
 
 
+def test_a_long_payload():
+    text = bytes(random.Random(3).randrange(256) for _ in range(300_000))
+    payloads, lengths, tensors = media.decode(media.encode([text, b"short"]))
+    assert payloads[0][: len(text)] == text and lengths == [len(text), 5] and tensors[0].shape[0] * tensors[0].shape[1] * 1.5 >= len(text)
+
+
+def test_chroma_is_subsampled():
+    """The written files are 4:2:0, so that reading upsamples: the chroma of a pixel is that of its 2 x 2 square."""
+    images, coef = pj.read(media.encode([bytes(range(256)) * 30]))
+    assert [c[1:3] for c in images[0].components] == [(2, 2), (1, 1), (1, 1)]
+    columns = images[0].shapes[1][1]
+    base = images[0].bases[1]
+    coef[: images[0].bases[1]] = 0  # flat luma: what is left comes from the chroma
+    coef[base : base + columns, 1:] = 0
+    tensor = pj.rgb(images, coef)[0]
+    assert (tensor[::2] == tensor[1::2]).all() and (tensor[:, ::2] == tensor[:, 1::2]).all() and len(np.unique(tensor)) > 4
+
+
 class Bits:
     def __init__(self):
         self.text = ""
@@ -196,8 +214,8 @@ def test_media_column(spark):
         assert (r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256) == (i, len(raw), len(padded), hashlib.sha256(padded).hexdigest())
     by_id = {r.doc_id: r for r in got}
     assert by_id[1].media_sha256 == by_id[5].media_sha256 and by_id[1].feature == by_id[5].feature and by_id[2].media_sha256 == by_id[3].media_sha256
-    tensor = media.read_media(media.media_column(df), tensors=True).where("doc_id = 4").first()
-    assert len(tensor.rgb) == tensor.height * tensor.width * 3
+    tensor = media.digests(media.read_media(media.media_column(df), tensors=True)).where("doc_id = 4").first()
+    assert tensor.payload_sha256 == by_id[4].payload_sha256 and len(tensor.rgb) == tensor.height * tensor.width * 3
     assert media.read_media(media.media_column(df.limit(0))).count() == 0
 
 
@@ -239,3 +257,45 @@ def test_salvage(compressed):
         ids = [h["warc-record-id"] for k, _, _, _, h, _ in found if k == "record"]
         assert set(ids) >= {f"<urn:page:{i}>" for i in range(30) if i != hurt}, "only the damaged record is lost"
     assert list(warc.salvage(b"")) == [] and [x[:3] for x in warc.salvage(b"garbage")] == [("gap", 0, 7)]
+
+
+def test_warc_repeated_identifiers(spark):
+    """Rows that share an identifier: no payload is lost, and one of the rows with the smallest one is the response."""
+    rows = [(3, "u", "same"), (3, "u", "same"), (9, "u", "same"), (9, "u", "of its own"), (8, "u", "of its own"), (1, "u", "first"), (1, "v", "first"), (None, "u", "same"), (None, "u", "nobody else's")]
+    df = spark.createDataFrame([(i, u, h, "d", "a") for i, u, h in rows], PAGES).coalesce(1)
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(df).collect()), key=repr)
+    want = [(3, 4, "response", None), (3, 4, "revisit", 3), (9, 4, "revisit", 3), (9, 10, "revisit", 8), (8, 10, "response", None), (1, 5, "response", None), (1, 5, "revisit", 1), (None, 4, "revisit", 3), (None, 13, "response", None)]
+    assert got == sorted(want, key=repr)
+    payloads = warc.read_archives(warc.write_archives(warc.plan_records(df))).where("payload IS NOT NULL").collect()
+    assert sorted(bytes(r.payload).decode() for r in payloads) == sorted({h for _, _, h in rows})
+
+
+def test_warc_text_identifiers(spark):
+    rows = [("a b>", "u", "x"), ("é", "u", "x"), (None, "u", "y")]
+    df = spark.createDataFrame([(i, u, h, "d", "a") for i, u, h in rows], PAGES.replace("page_id long", "page_id string"))
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.round_trip(df).collect()}
+    assert got == {"a b>": ("response", None), "é": ("revisit", "a b>"), None: ("response", None)}
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+@pytest.mark.parametrize("old, new", [(b"Content-Length: 5\r\n\r\n", b"Content-Length: abc\r\n\r\n"), (b"Content-Length: 5\r\n\r\n", b"Content-Length: " + b"9" * 5000 + b"\r\n\r\n"), (b"Content-Length: 83\r\n", b"Content-Length: " + b"8" * 5000 + b"\r\n")])
+def test_malformed_lengths_are_quarantined(spark, compressed, old, new):
+    """Lengths that are no numbers, or too long to be one, fail a check; the records around are read."""
+    good = [warc.record(i, "u", b"hello", "A") for i in range(3)]
+    assert b"Content-Length: 83\r\n" in good[1] and b"Content-Length: 5\r\n\r\n" in good[1]
+    bad = good[1].replace(old, new)
+    if b"WARC-Block-Digest" in bad:  # a valid digest, so that the length alone is wrong
+        block = bad.split(b"\r\n\r\n", 1)[1][:-4]
+        bad = bad.replace(warc.sha1_base32(good[1].split(b"\r\n\r\n", 1)[1][:-4]).encode(), warc.sha1_base32(block).encode()).replace(b"Content-Length: 83\r\n", b"Content-Length: %d\r\n" % len(block))
+    data = b"".join((warc.member(r) if compressed else r) for r in (good[0], bad, good[2]))
+    df = spark.createDataFrame([("a", bytearray(data))], "archive string, data binary")
+    got = warc.read_archives(df).orderBy("start").collect()
+    assert [r.kind for r in got] == ["record", "gap", "record"] and got[1].reason == "no content length"
+    assert [r.page_id for r in got] == ["0", None, "2"] and got[-1].end == len(data)
+
+
+def test_members_are_bounded(monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER", 10_000)
+    big, small = (warc.member(warc.record(i, "u", b"x" * n, "A")) for i, n in ((1, 50_000), (2, 50)))
+    found = list(warc.salvage(big + small))
+    assert [x[0] for x in found] == ["gap", "record"] and found[0][3] == "member unpacks to too many bytes"

@@ -51,13 +51,64 @@ def test_quality_edges(spark):
     assert [r.score for r in quality.quality_scores(docs, none).collect()] == [0.5] * 4
     nulls = spark.createDataFrame([(1, None), (2, 1), (3, 0), (None, 1)], "doc_id long, quality int")
     assert quality.quality_scores(docs, nulls).count() == 4 and quality.quality_scores(docs.limit(0), nulls).count() == 0
+    unnamed = quality.quality_scores(frame(spark, [(None, "some words"), (None, "some words"), (2, "a b")]), nulls).collect()
+    assert len(unnamed) == 3 and all(r.score is not None for r in unnamed) and not any(r.held_out for r in unnamed if r.doc_id is None)
 
 
 def test_risk_stays_non_negative():
     rng = np.random.default_rng(0)
     positive, other = rng.random((200, 3)) * 0.5 + 0.5, rng.random((80, 3)) * 0.4
-    model = quality.fit(positive, np.concatenate([positive[:120], other]), 0.6, steps=300)
+    moments = [quality.Moments.of(x) for x in (positive, np.concatenate([positive[:120], other]))]
+    model = quality.fit(*moments, 0.6)
     assert (model.score(positive) > 0.5).mean() > 0.95 and (model.score(other) < 0.5).mean() > 0.9
+    # few unlabelled rows and a prior that is too high: the plain risk would go below zero, the weights stay bounded
+    model = quality.fit(quality.Moments.of(positive[:5]), quality.Moments.of(other[:3]), 0.95)
+    assert np.abs(model.weights).max() < 10
+
+
+def brute_scores(docs, labels):
+    """The classifier over rows in memory: the risk's parts are means of each row's loss, step by step."""
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i, _ in docs}
+    x = {i: np.concatenate([[1], quality.expanded(np.array([quality.statistics((t or "").encode())]))[0]]) for i, t in docs}
+    taught = [(i, q) for i, q in labels if q is not None and i in fold and fold[i]]
+    prior = float(np.clip(np.mean([q for i, q in labels if q is not None and zlib.crc32(str(i).encode()) % 5]), 0.05, 0.95))
+    p, u = np.array([x[i] for i, q in taught if q == 1]), np.array([x[i] for i, _ in docs if fold[i]])
+    mean, scale = u[:, 1:].mean(axis=0), u[:, 1:].std(axis=0) + 1e-3
+    shift = lambda m: np.concatenate([m[:, :1], (m[:, 1:] - mean) / scale], axis=1)
+    p, u = shift(p), shift(u)
+    w = np.zeros(p.shape[1])
+    w[0] = 2 * prior - 1
+    first, second = np.zeros_like(w), np.zeros_like(w)
+    clipped = 0
+    for t in range(1, quality.STEPS + 1):
+        zp, zu = p @ w, u @ w
+        wrong = u.T @ (1 + zu) / len(u) / 2 - prior * (p.T @ (1 + zp)) / len(p) / 2  # slope of R_U(-) - prior R_P(-)
+        if ((1 + zu) ** 2).mean() - prior * ((1 + zp) ** 2).mean() < 0:
+            slope, clipped = -wrong, clipped + 1
+        else:
+            slope = wrong - prior * (p.T @ (1 - zp)) / len(p) / 2
+        slope = slope + quality.DECAY * w
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+        w = w - quality.RATE / math.sqrt(t) * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
+    z = shift(np.array([x[i] for i, _ in docs])) @ w
+    return dict(zip([i for i, _ in docs], 1 / (1 + np.exp(-np.clip(quality.SLOPE * z, -30, 30))), strict=True)), clipped
+
+
+def test_quality_equals_brute_force(spark):
+    """Sums over tasks against every row's loss in memory."""
+    docs, labels = (spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want, clipped = brute_scores(rows, [(r.doc_id, r.quality) for r in labels.collect()])
+    assert clipped, "the plain risk falls below zero here"
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs.repartition(5), labels).collect()}
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-3
+
+
+def test_moments_cover_all_rows(spark):
+    texts = [(i, f"text number {i} " * (i % 40)) for i in range(300)]
+    got = quality.moments(quality.measured(frame(spark, texts).repartition(7)))
+    want = quality.Moments.of(np.array([quality.statistics(t.encode()) for _, t in texts]))
+    assert got.n == 300 and np.allclose(got.second, want.second)
 
 
 # ---- token counts
@@ -78,6 +129,56 @@ def test_token_counts(spark, rule):
             assert mine == list(zip(range(len(parts)), [0, *ends[:-1]], ends, strict=True))
 
 
+def brute_sections(text, encoding, rule):
+    """Tokens of each line, character by character: the token that holds a character's first byte owns it."""
+    raw, at, owned, before = text.encode(), 0, [], []
+    lead = [b & 0xC0 != 0x80 for b in raw]
+    for i in encoding.encode_ordinary(text):
+        n = len(encoding.decode_single_token_bytes(i))
+        owned.append([sum(lead[:k]) for k in range(at, at + n) if lead[k]])
+        before.append(sum(lead[:at]))
+        at += n
+    line, of = 0, []
+    for c in text:
+        of.append(line)
+        line += c == "\n"
+    counts = [0.0] * (line + 1)
+    for chars, start in zip(owned, before, strict=True):
+        if not chars:
+            counts[of[start - 1]] += 1
+        elif rule == "start":
+            counts[of[chars[0]]] += 1
+        else:
+            held = Counter(of[c] for c in chars)
+            if rule == "share":
+                for k, n in held.items():
+                    counts[k] += n / len(chars)
+            else:
+                counts[min(k for k, n in held.items() if n == max(held.values()))] += 1
+    return counts
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_sections_equal_brute_force(spark, rule):
+    encoding, _ = token_counts.load_ranks(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(10)
+    texts = ["".join(rng.choices(["word", " ", "\n", "\n\n", "  \n ", "é", "日本", "😀", ".", "\r\n", "\t"], k=rng.randint(0, 40))) for _ in range(60)]
+    got = {}
+    for r in token_counts.section_counts(frame(spark, enumerate(texts)), RANKS, public_tokenizers.PATTERN, rule).collect():
+        got.setdefault(r.doc_id, {})[r.section] = r.n_tokens
+    for i, t in enumerate(texts):
+        want = brute_sections(t, encoding, rule)
+        assert [got[i][k] for k in range(len(want))] == pytest.approx(want), (t, rule)
+
+
+def test_token_counts_edges(spark):
+    long = "some words\n" * 50_000
+    got = token_counts.section_counts(frame(spark, [(1, long), (None, None), (None, None)]), RANKS, public_tokenizers.PATTERN)
+    assert got.where("doc_id = 1").count() == 50_001 and got.where("doc_id IS NULL").count() == 2
+    assert got.where("doc_id = 1").selectExpr("sum(n_tokens)").first()[0] == got.where("doc_id = 1").first().n_document
+    assert token_counts.section_counts(frame(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 def test_token_spans_equal_offsets():
     encoding, sizes = token_counts.load_ranks(RANKS, public_tokenizers.PATTERN)
     rng = random.Random(3)
@@ -155,10 +256,10 @@ def random_model(seed=1):
 def test_bits_are_probabilities():
     """The probabilities of all 256 next bytes sum to one, after any text."""
     scorer = lm_scoring.Scorer(random_model())
-    own = lm_scoring.own_weights(256)
+    own = np.zeros(256)
     before = b"some text before " * 40
     scorer.part([(bytes(4), before)] * 256, own, 0)
-    assert not np.allclose(own, 0.5)
+    assert np.abs(own).min() > 0.01
     cost = scorer.part([(before[-4:], bytes([b])) for b in range(256)], own, len(before))
     assert (2.0**-cost).sum() == pytest.approx(1, abs=1e-4)
 
@@ -200,7 +301,7 @@ def brute_score(text, counts, model):
     """Bits of a text, bit by bit."""
     shown = lambda n: float(lm_scoring._COUNT[int(lm_scoring.level(n))])
     squash = lambda z: 1 / (1 + math.exp(-max(-20, min(20, z))))
-    own, held, due, total, bit_no = [0.5, 0.5], [], 256, 0.0, 0
+    own, held, due, total, bit_no, chances = 0.0, [], 256, 0.0, 0, [1.0, 1.0]
     for names, prefix, bit in brute_bits(text):
         x, seen = [], []
         for name in names:
@@ -212,22 +313,22 @@ def brute_score(text, counts, model):
         often = seen[longest - 1] if longest else 0
         gates = ((bit_no % 8 * 5 + longest) * 3 + (0 if often < 1.5 else 1 if often < 7.5 else 2), prefix)
         rows = (prefix, names[0][1][0])
-        refined = []
         for which in (0, 1):
             z = sum(a * w for a, w in zip(x, model.weights[which][gates[which]].tolist(), strict=True))
             zeros, ones = model.refined[which, rows[which], int(max(0, min(31, (z + 8) * 2)))]
             p = squash(z)
-            p = max(1e-6, min(1 - 1e-6, (p + (ones + 20 * p) / (zeros + ones + 20)) / 2))
-            refined.append(math.log(p / (1 - p)))
-        p = squash(sum(a * w for a, w in zip(refined, own, strict=True)))
-        total -= math.log2(p if bit else 1 - p)
-        held.append((refined, bit - p))
+            p = max(1e-4, min(1 - 1e-4, (p + (ones + 20 * p) / (zeros + ones + 20)) / 2))
+            chances[which] *= p if bit else 1 - p
         bit_no += 1
-        if bit_no == due * 8:
-            power = sum(a * a for x, _ in held for a in x)
-            for k in range(2):
-                own[k] = max(0, min(2, own[k] + 10 * sum(x[k] * e for x, e in held) / (power / 2 + 1)))
-            held, due = [], due + min(due, 4096)
+        if bit_no % 8 == 0:
+            weight = squash(own)
+            both = weight * chances[0] + (1 - weight) * chances[1]
+            total -= math.log2(both)
+            held.append(weight * chances[0] / both - weight)
+            chances = [1.0, 1.0]
+            if bit_no == due * 8:
+                own = max(-4, min(4, own + 0.02 * sum(held)))
+                held, due = [], due + min(due, 4096)
     return total
 
 

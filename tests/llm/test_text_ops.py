@@ -7,8 +7,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import xxhash
+from conftest import SMALL
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from folioframe.llm import exact_dedup, packing, simhash, substring_dedup
@@ -73,6 +76,26 @@ def test_exact_dedup_with_null_identifiers(spark):
     assert sorted((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in got) == [(0, None, 2, True), (1, None, 2, False), (2, 2, 1, True)]
 
 
+def test_neighbours_decide(spark):
+    """On a whole table the sort alone finds every copy, however many partitions; a hot run is cut and joined again."""
+    docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    groups = norm_groups(rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        got = exact_dedup.content_sort(docs).collect()
+        assert not any(r.slices for r in got), "no run of this table is hot"
+        assert {r.doc_id: r.slice_size for r in got} == {i: len(groups[norm(t)]) for i, t in rows}
+        hot = docs.select("doc_id", "text").unionByName(spark.range(10_000, 10_900).selectExpr("id as doc_id", "'one text' as text"))
+        cut = exact_dedup.content_sort(hot).where("slices IS NOT NULL").collect()
+        assert len(cut) == 900 and max(r.slice_size for r in cut) < 100 and sum(r.place == 1 for r in cut) == len({r.slice for r in cut}) > 10
+        out = exact_dedup.exact_dedup(hot).where("doc_id >= 10000").collect()
+        assert {(r.keep_id, r.group_size) for r in out} == {(10_000, 900)} and sum(r.kept for r in out) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def brute_fingerprint(text, size):
     words = WORD.findall((text or "").translate({i: i + 32 for i in range(65, 91)}))
     if not words:
@@ -134,6 +157,34 @@ def test_simhash_links_in_dense_lists(spark, long_list):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+def test_tallies_are_a_filter(spark):
+    """Pairs that meet in a list, before and after the count filter: it keeps those with six equal bytes, and only those."""
+    rng = random.Random(7)
+    points = {rng.getrandbits(64) for _ in range(20)}
+    for x in [*points]:
+        for k in (1, 2, 3, 4, 5):
+            y = x
+            for p in rng.sample(range(8), k):
+                y ^= rng.randrange(1, 256) << 8 * p
+            points.add(y)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = spark.createDataFrame([(signed(x),) for x in points], "fp long")
+    got = {(r.a, r.b): r.shared for r in simhash.tallies(simhash.postings(rows), 200).collect()}
+    equal = lambda a, b: sum((a ^ b) >> 8 * p & 255 == 0 for p in range(8))
+    ordered = sorted(map(signed, points))
+    want = {(a, b): equal(a, b) for k, a in enumerate(ordered) for b in ordered[k + 1 :]}
+    assert {p for p, n in want.items() if n >= 6} == {p for p, n in got.items() if n >= 6}
+    assert all(want[p] == n for p, n in got.items() if n >= 6) and all(n == 4 for n in got.values() if n < 6)
+    assert sum(n < 6 for n in got.values()) > 20 and len(simhash.BLOCKS) == 14
+
+
+def test_one_star(spark):
+    """A node that is an end of most edges: its edges are not brought to one task, and no connection is lost."""
+    edges = spark.createDataFrame([(5, 1000 + i) for i in range(2000)] + [(3, 1500), (1, 2), (1000 + 1999, 5000)], "a long, b long")
+    got = {r.node: r.root for r in simhash.components(edges).collect()}
+    assert got == {2: 1, 5: 3, 5000: 3, **{1000 + i: 3 for i in range(2000)}}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
@@ -165,6 +216,22 @@ def test_substring_dedup(spark, rows):
         assert sum(s.end - s.start for s in r.removed) == r.n_removed
 
 
+def test_substring_edges(spark):
+    a = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, a), (1, f"{a} x"), (2, a), (None, a), (None, f"y {a}"), (3, None), (3, "")]
+    got = sorted(((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(frame(spark, rows)).collect()), key=repr)
+    assert got == sorted([(1, 20, 0), (1, 21, 0), (2, 20, 20), (None, 20, 20), (None, 21, 20), (3, 0, 0), (3, 0, 0)], key=repr)
+    with pytest.raises(TypeError):
+        substring_dedup.substring_dedup(frame(spark, rows).withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+def test_buckets_follow_bytes(spark, rows, monkeypatch):
+    """Many small buckets give what one gives."""
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 2000)
+    got = substring_dedup.substring_dedup(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_substrings(rows)
+
+
 def test_substring_dedup_at_every_offset(spark):
     """A 13-word passage at all alignments to the blocks, and one of 12 words that must stay."""
     rows = [(0, " ".join(f"p{i}" for i in range(13))), (1, " ".join(f"q{i}" for i in range(12)))]
@@ -204,6 +271,68 @@ def test_word_ids_equal_the_tokenizer():
     assert own.encode([t.encode() for t in texts]) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_ids_of_a_whole_table():
+    """Every document of a table against the tokenizers library."""
+    docs = pq.read_table(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")["text"].to_pylist()
+    tokenizer, own = Tokenizer.from_file(BPE), packing.WordIds(BPE)
+    want = [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch([t or "" for t in docs], add_special_tokens=False)]
+    assert own.encode([(t or "").encode() for t in docs]) == want
+
+
+def test_memory_of_words(monkeypatch):
+    texts = [f"word{i} other{i % 7}".encode() for i in range(200)]
+    want = packing.WordIds(BPE).encode(texts)
+    monkeypatch.setattr(packing, "CACHE", 10)
+    own = packing.WordIds(BPE)
+    assert [own.encode([t])[0] for t in texts] == want and len(own.known) < 20
+
+
+def test_dominance():
+    """A filling is kept only if no single exchange gives a fuller one, by trying them all."""
+    rng = random.Random(9)
+    for _ in range(300):
+        sizes = sorted(rng.sample(range(1, 30), 8))
+        left = {n: rng.randint(0, 2) for n in sizes}
+        pool = [n for n in sizes for _ in range(left[n])]
+        if not pool:
+            continue
+        taken = tuple(sorted(rng.sample(pool, rng.randint(1, min(4, len(pool)))), reverse=True))
+        room = rng.randint(0, 10)
+        spare = list(pool)
+        for n in taken:
+            spare.remove(n)
+        parts = [(), *[(n,) for n in taken], *[(a, b) for i, a in enumerate(taken) for b in taken[i + 1 :]]]
+        want = room > 0 and any(sum(s) < x + (len(s) == 2) and x <= sum(s) + room for s in parts for x in spare)
+        assert packing.dominated(left, sizes, room, taken) == want, (left, taken, room)
+
+
+def test_no_group_gathers_all(spark):
+    """Pieces that no two fit together: each level's groups stay as small as the first ones, and the levels end."""
+    pieces = spark.range(4000).selectExpr("id as doc_id", "0 as piece", "3000L as length")
+    out = packing.pack(pieces, capacity=4096, group=100, fan_in=4)
+    placed = out.collect()
+    assert len(placed) == 4000 and len({r.sequence_id for r in placed}) == 4000
+    groups = {}
+    for r in placed:
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert max(groups.values()) <= 150
+    mixed = spark.range(4000).selectExpr("id as doc_id", "0 as piece", "if(id % 2 = 0, 3000L, 1096L) as length")
+    got = packing.pack(mixed.orderBy("length").coalesce(1), capacity=4096, group=100, fan_in=4).collect()
+    assert len(got) == 4000 and len({r.sequence_id for r in got}) < 2200
+
+
+def test_handed_on():
+    lengths = np.array([3000, 2000, 2000, 4090, 10, 5])
+    assert packing.handed_on([[0], [1, 2], [3], [4, 5]], lengths, 4096, 10) == {3, 0, 1}
+    assert packing.handed_on([[0], [1, 2], [3], [4, 5]], lengths, 4096, 3) == {3, 0}
+
+
+def test_pieces_of_repeated_rows(spark):
+    rows = [(None, "a b"), (None, "a b"), (1, "x"), (1, "y"), (2, None), (2, "long " * 30_000)]
+    placed = packing.pack(packing.tokenised_pieces(frame(spark, rows), BPE), group=2).collect()
+    assert sum(r.length for r in placed) == 3 + 3 + 2 + 2 + 1 + 30_001 and sum(r.doc_id is None for r in placed) == 2
+
+
 def test_bin_completion_beats_best_fit():
     lengths = np.array([6, 5, 5, 4, 4, 3, 3] * 1)  # capacity 10: three bins, where best fit may need four
     assert len(packing.pack_lengths(lengths, 10)) == 3
