@@ -159,8 +159,8 @@ def heading_level(style: Column) -> Column:
 
 
 def list_kind(style: Column, number_id: Column) -> Column:
-    """bullet, number or null by numbering and style; the style's own word wins, bullet first."""
-    numbered = (number_id.cast("int") % 2 == 0) | style.contains("List Number") | style.contains("Numbered")
+    """bullet, number or null by numbering and style; the style's own word wins, bullet first; numbering that is no number is a bullet."""
+    numbered = F.coalesce(number_id.try_cast("int") % 2 == 0, F.lit(False)) | style.contains("List Number") | style.contains("Numbered")
     base = F.when(number_id.isNotNull(), F.when(numbered, "number").otherwise("bullet"))
     return F.when(style.contains("List Bullet") | style.contains("Bullet"), "bullet").when(style.contains("List Number") | style.contains("Numbered"), "number").otherwise(base)
 

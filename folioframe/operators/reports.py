@@ -38,8 +38,8 @@ def ordered_findings(found: DataFrame) -> DataFrame:
 
 
 def route(found: DataFrame) -> dict[str, DataFrame]:
-    """Findings by severity; what is neither error nor warning is information."""
-    return {"Error": found.where("severity = 'Error'"), "Warning": found.where("severity = 'Warning'"), "Info": found.where("severity NOT IN ('Error', 'Warning')")}
+    """Findings by severity; what is neither error nor warning, null too, is information."""
+    return {"Error": found.where("severity = 'Error'"), "Warning": found.where("severity = 'Warning'"), "Info": found.where("coalesce(severity, 'Info') NOT IN ('Error', 'Warning')")}
 
 
 def dashboard(jobs: DataFrame) -> DataFrame:

@@ -23,8 +23,10 @@ REQUIRED = {"book": "id", "tgroup": "cols", "imagedata": "fileref", "chapter": "
 ID_FORMS = {
     "book": r"^b\d{3}$", "chapter": r"^ch\d{4}$", "sect1": r"^ch\d{4}s\d{4}$", "sect2": r"^ch\d{4}s\d{4}$", "sect3": r"^ch\d{4}s\d{4}$", "figure": r"^ch\d{4}s\d{4}fg\d{2}$", "table": r"^ch\d{4}s\d{4}tb\d{2}$",
 }
+# The form of figure files, the severities, and what a DOCTYPE may name.
 FILE_FORM = r"^Ch\d{4}s\d{4}fg\d{2}\.\w+"
 SEVERITIES = ["Error", "Warning", "Info"]
+DTD_FILE, DTD_OWNER = "RittDocBook.dtd", "RIS Dev"
 
 
 def _lookup(table: dict[str, str]):
@@ -96,8 +98,8 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
         finding(5, "Invalid ID Format", "Warning", (ident != "") & form.isNotNull() & ~F.regexp_like(ident, form), says("identifier ", ident, " of <", tag, "> is not of the form ", form)),
         finding(6, "Invalid Figure Structure", "Error", (tag == "figure") & missing_link.isNotNull(), says("figure has no ", missing_link)),
         finding(7, "Invalid Table Structure", "Error", (tag == "table") & ~_has("tags", "tgroup"), says("table has no tgroup")),
-        finding(8, "Missing Attribute", "Error", table & (F.coalesce(cols, F.lit("")) == ""), says("tgroup has no attribute cols")),
-        finding(8, "Invalid Attribute Value", "Error", table & (F.coalesce(cols, F.lit("")) != "") & ~(cols.rlike(r"^[0-9]+$") & ~cols.rlike(r"^0+$")), says("cols is no positive number: ", cols)),
+        finding(8, "Missing Attribute", "Error", table & cols.isNull(), says("tgroup has no attribute cols")),
+        finding(8, "Invalid Attribute Value", "Error", table & cols.isNotNull() & ~(cols.rlike(r"^[0-9]+$") & ~cols.rlike(r"^0+$")), says("cols is no positive number: ", cols)),
         finding(9, "Invalid Table Format", "Error", table & F.coalesce("markup", F.lit(False)), says("table holds HTML rows or cells")),
         finding(10, "Invalid Table Structure", "Warning", table & ~_has("held", "tbody"), says("tgroup has no tbody")),
         finding(11, "Invalid Section Hierarchy", "Error", order_wrong, says("<", tag, "> stands in <", parent, ">")),
@@ -114,7 +116,7 @@ def doctype_findings(documents: DataFrame, broken: DataFrame | None = None) -> D
     docs = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("xml", F.lit("")).alias("xml"))
     if broken is not None:
         docs = docs.join(broken.select("doc_id"), "doc_id", "left_anti")
-    kind = F.when(~F.col("xml").contains("<!DOCTYPE"), "Missing DOCTYPE").when(~F.col("xml").contains("RIS Dev"), "Invalid DOCTYPE")
+    kind = F.when(~F.col("xml").contains("<!DOCTYPE"), "Missing DOCTYPE").when(~F.col("xml").contains(DTD_FILE) & ~F.col("xml").contains(DTD_OWNER), "Invalid DOCTYPE")
     text = F.when(F.col("error_type") == "Missing DOCTYPE", "the document has no DOCTYPE").otherwise("the DOCTYPE is another one")
     rows = docs.withColumn("error_type", kind).where("error_type IS NOT NULL")
     return rows.select("doc_id", F.lit(None).cast("int").alias("node_id"), F.lit(14).alias("check_ord"), F.lit(1).alias("line_number"), "error_type", text.alias("error_description"), F.lit("Warning").alias("severity"))

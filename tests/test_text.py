@@ -62,6 +62,6 @@ def test_paths(spark):
 
 
 def test_styles(spark):
-    rows = [("Normal", None), ("Title", None), ("Subtitle", None), ("Heading 3", None), ("Heading 1 Char", None), ("Heading", None), ("List Bullet", None), ("List Number", None), ("Normal", "1"), ("Normal", "2"), ("List Bullet", "2")]
+    rows = [("Normal", None), ("Title", None), ("Subtitle", None), ("Heading 3", None), ("Heading 1 Char", None), ("Heading", None), ("List Bullet", None), ("List Number", None), ("Normal", "1"), ("Normal", "2"), ("List Bullet", "2"), ("Normal", "x")]
     df = spark.createDataFrame(rows, "s string, n string").select(fn.heading_level(F.col("s")), fn.list_kind(F.col("s"), F.col("n")))
-    assert [tuple(r) for r in df.collect()] == [(0, None), (1, None), (2, None), (3, None), (1, None), (0, None), (0, "bullet"), (0, "number"), (0, "bullet"), (0, "number"), (0, "bullet")]
+    assert [tuple(r) for r in df.collect()] == [(0, None), (1, None), (2, None), (3, None), (1, None), (0, None), (0, "bullet"), (0, "number"), (0, "bullet"), (0, "number"), (0, "bullet"), (0, "bullet")]
