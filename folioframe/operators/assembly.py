@@ -153,7 +153,7 @@ def contents(rows: DataFrame) -> DataFrame:
     return joined.select("doc_id", element("toc", F.concat(F.lit("<title>Table of Contents</title>"), F.col("x"))).alias("toc"))
 
 
-def assemble(elements: DataFrame, documents: DataFrame, year: str = "2024") -> DataFrame:
+def assemble(elements: DataFrame, documents: DataFrame, year: str) -> DataFrame:
     """(doc_id, xml): elements (numbered here) with media_name and caption columns, documents (doc_id, title, authors, metadata)."""
     rows = numbered(elements).join(documents.select("doc_id", F.col("title").alias("doc_title")), "doc_id", "left")
     rows = stored(rows.withColumn("filename", figure_file(F.col("elem_id"), extension(F.coalesce("media_name", F.lit(""))))))  # read four times

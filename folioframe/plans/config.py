@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import asdict, dataclass, fields, replace
+from dataclasses import asdict, dataclass, field, fields, replace
+from datetime import date
 
 
 @dataclass(frozen=True)
 class Config:
-    """What a conversion extracts and builds."""
+    """What a conversion extracts and builds; year stands where a document names none, the present one by default."""
 
     extract_images: bool = True
     extract_tables: bool = True
@@ -17,7 +18,7 @@ class Config:
     min_image_size: int = 50
     create_package: bool = True
     output_dir: str = "output"
-    year: str = "2024"
+    year: str = field(default_factory=lambda: str(date.today().year))
 
     @classmethod
     def from_dict(cls, values: dict) -> Config:

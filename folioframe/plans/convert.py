@@ -10,13 +10,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.assembly import assemble, figure_file
+from ..operators.assembly import PROLOG, assemble, figure_file
 from ..operators.numbering import numbered
 from ..operators.reports import document_counts
 from ..operators.validation import findings, validity, verifications
 from ..sources.docx import Docx, read_docx
 from ..sources.packages import book_metadata, build_packages, package_xml
-from ..sources.xml import walk_xml
+from ..sources.xml import indented, walk_xml
 from ..storage import stored
 from .config import Config
 
@@ -38,6 +38,11 @@ class Conversion:
     errors: DataFrame
 
 
+def pretty_printed(xml: DataFrame) -> DataFrame:
+    """(doc_id, xml) with elements on lines of their own, under the prolog."""
+    return indented(xml).select("doc_id", F.concat(F.lit(PROLOG), "pretty", F.lit("\n")).alias("xml"))
+
+
 def convert(docx: Docx, config: Config | None = None) -> Conversion:
     """All tables of documents. Every occurrence of an image is a figure with a file of its own."""
     config = config or Config()
@@ -45,7 +50,7 @@ def convert(docx: Docx, config: Config | None = None) -> Conversion:
     related = docx.images().select("doc_id", "rel_id", "media_name", F.col("filename").alias("original"), "content_type", "width", "height", "data")
     named = elements.join(related.select("doc_id", "rel_id", "media_name"), ["doc_id", "rel_id"], "left")
     good = documents.join(docx.errors().select("doc_id"), "doc_id", "left_anti")
-    xml = stored(assemble(named, good, config.year))
+    xml = stored(pretty_printed(assemble(named, good, config.year)))
     nodes = stored(walk_xml(xml))
     found = findings(nodes, xml)
     figures = numbered(named).where("kind = 'image'").withColumn("filename", figure_file(F.col("elem_id"), F.regexp_extract(F.coalesce("media_name", F.lit("")), r"\.([^./]*)$", 1)))

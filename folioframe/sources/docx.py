@@ -92,13 +92,17 @@ def _path(e, names) -> str | None:
 
 
 def _table(t) -> dict:
-    rows = []
+    """The texts of a table's cells; a merged cell repeats in every column and row that it spans."""
+    rows: list[list[str]] = []
     for tr in t.findall(W + "tr"):
         cells: list[str] = []
         for tc in tr.findall(W + "tc"):
             text = "\n".join("".join(_text(r) for r in p.iter(W + "r")) for p in tc.findall(W + "p")).strip()
             span = _path(tc, ("tcPr", "gridSpan"))
-            cells += [text] * (int(span) if span and span.isdigit() else 1)  # a merged cell repeats
+            merge = next(tc.iterfind(f"{W}tcPr/{W}vMerge"), None)
+            if merge is not None and merge.get(W + "val") != "restart" and rows and len(cells) < len(rows[-1]):
+                text = rows[-1][len(cells)]  # goes on from the row above
+            cells += [text] * (int(span) if span and span.isdigit() else 1)
         rows.append(cells)
     return {"part": "table", "cells": rows}
 

@@ -47,12 +47,13 @@ def package_xml(files: DataFrame, prefer: str | None = None) -> DataFrame:
 
 
 def media_lookup(files: DataFrame, folders: list[str]) -> DataFrame:
-    """(name, path, content) of media (path, content): of equal names the one in the first of the folders that has it."""
+    """(name, path, content) of media (path, content) in the first of the folders that exists, that is, has any."""
     rank = F.lit(None).cast("int")
     for i, folder in reversed(list(enumerate(folders))):
         rank = F.when(F.col("path").contains(f"/{folder.strip('/')}/"), i).otherwise(rank)
     rows = files.withColumn("rank", rank).where("rank IS NOT NULL").withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
-    return rows.groupBy("name").agg(F.min_by(F.struct("path", "content"), "rank").alias("f")).select("name", "f.path", "f.content")
+    first = rows.agg(F.min("rank").alias("rank"))  # one row
+    return rows.join(F.broadcast(first), "rank").groupBy("name").agg(F.min_by(F.struct("path", "content"), "path").alias("f")).select("name", "f.path", "f.content")
 
 
 def image_manifest(images: DataFrame) -> DataFrame:

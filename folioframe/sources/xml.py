@@ -83,6 +83,26 @@ def walk_xml(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml")
     return documents.select(F.col(id_col).cast("string").alias("doc_id"), F.col(xml_col).alias("xml")).mapInArrow(walk, NODES)
 
 
+#: Elements whose white space counts, even where they hold no text of their own.
+TEXT_HOLDERS = ("para", "title", "entry")
+
+
+def pretty(xml: str) -> str:
+    """The root element with its elements on lines of their own, by two spaces a level; an element that holds text stays as it is."""
+    root = ElementTree.fromstring(xml)
+
+    def indent(e, pad: str) -> None:
+        if e.tag not in TEXT_HOLDERS and len(e) and not (e.text or "").strip() and not any((c.tail or "").strip() for c in e):
+            e.text = pad + "  "
+            for c in e:
+                c.tail = pad + "  "
+                indent(c, pad + "  ")
+            e[-1].tail = pad
+
+    indent(root, "\n")
+    return ElementTree.tostring(root, encoding="unicode")
+
+
 def indented(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml") -> DataFrame:
     """(doc_id, well_formed, error, pretty): whether each text parses, and its elements indented; text with content keeps its white space."""
 
@@ -91,9 +111,7 @@ def indented(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml")
             out = []
             for doc, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
-                    root = ElementTree.fromstring(xml or "")
-                    ElementTree.indent(root)
-                    out.append({"doc_id": doc, "well_formed": True, "error": None, "pretty": ElementTree.tostring(root, encoding="unicode")})
+                    out.append({"doc_id": doc, "well_formed": True, "error": None, "pretty": pretty(xml or "")})
                 except ElementTree.ParseError as e:
                     out.append({"doc_id": doc, "well_formed": False, "error": str(e), "pretty": None})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.string()), ("well_formed", pa.bool_()), ("error", pa.string()), ("pretty", pa.string())]))

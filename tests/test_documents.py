@@ -117,7 +117,7 @@ def test_parse_mixed_content():
 def test_indented(spark):
     rows = spark.createDataFrame([("a", "<a><b>x</b><c>y <d/></c></a>"), ("b", "<a>"), ("c", None)], "doc_id string, xml string")
     got = {r.doc_id: r for r in indented(rows).collect()}
-    assert got["a"].pretty == "<a>\n  <b>x</b>\n  <c>y <d />\n  </c>\n</a>" and [got[k].well_formed for k in "abc"] == [True, False, False]
+    assert got["a"].pretty == "<a>\n  <b>x</b>\n  <c>y <d /></c>\n</a>" and [got[k].well_formed for k in "abc"] == [True, False, False]
 
 
 RULES = {
@@ -138,13 +138,15 @@ RULES = {
 def test_rules(spark):
     head = '<!DOCTYPE book PUBLIC "RIS Dev" "x">'
     valid = "<book id='b001'><bookinfo><title>t</title></bookinfo><figure id='ch0001s0001fg01'><title>t</title><mediaobject><imageobject><imagedata fileref='multimedia/a.png' width='1' scalefit='1'/></imageobject></mediaobject></figure></book>"
-    cases = {**{k: head + v for k, v in RULES.items()}, "": head + valid, "Missing DOCTYPE": valid, "Invalid DOCTYPE": "<!DOCTYPE book>" + valid}
+    cases = {**{k: head + v for k, v in RULES.items()}, "": head + valid, "Missing DOCTYPE": valid, "Invalid DOCTYPE": "<!DOCTYPE book>" + valid, "file": '<!DOCTYPE book SYSTEM "RittDocBook.dtd">' + valid}
     docs = spark.createDataFrame(list(cases.items()), "doc_id string, xml string")
     nodes = walk_xml(docs)
     got = {}
     for r in findings(nodes, docs).collect():
         got.setdefault(r.doc_id, []).append(r.error_type)
-    assert got == {k: [k] for k in cases if k}
+    assert got == {k: [k] for k in cases if k and k != "file"}, "a DOCTYPE that names the file alone is valid"
+    empty = findings(walk_xml(spark.createDataFrame([("d", head + "<book id='b001'><title>t</title><table id='ch0001s0001tb01'><title>t</title><tgroup cols=''><tbody/></tgroup></table></book>")], "doc_id string, xml string"))).collect()
+    assert [(r.check_ord, r.error_type) for r in empty] == [(8, "Invalid Attribute Value")], "an empty number of columns is a wrong one, not a missing one"
     twice = head + "<book id='b001'><title>t</title><table id='ch0001s0001tb01'><title>t</title><tgroup><thead/></tgroup></table><imagedata fileref='x'/><imagedata/></book>"
     rows = sorted((r.node_id, r.check_ord, r.severity) for r in findings(walk_xml(spark.createDataFrame([("d", twice)], "doc_id string, xml string"))).collect())
     assert rows == [(2, 8, "Error"), (2, 10, "Warning"), (4, 3, "Error"), (6, 13, "Warning"), (6, 13, "Warning"), (7, 3, "Error"), (7, 12, "Error")]
