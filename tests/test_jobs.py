@@ -56,12 +56,15 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame(LOG[:8], SCHEMA).coalesce(1).write.parquet(str(tmp_path / "log"))
     stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "log"))
     q = job_states(stream).writeStream.outputMode("update").format("memory").queryName("states").option("checkpointLocation", str(tmp_path / "c1")).start()
-    d = live_dashboard(stream).writeStream.outputMode("complete").format("memory").queryName("board").option("checkpointLocation", str(tmp_path / "c2")).start()
+    boards = []
+    d = live_dashboard(stream, lambda board, batch: boards.extend(board.collect())).option("checkpointLocation", str(tmp_path / "c2")).start()
     try:
         q.processAllAvailable()
         d.processAllAvailable()
         assert {r.job_id: r.status for r in spark.table("states").collect()} == {"a": "completed", "b": "failed", "c": "pending"}
-        assert spark.table("board").first().completed == 1
+        a = next(r for r in spark.table("states").collect() if r.job_id == "a")
+        assert a.metrics == {"images": 3.0, "tables": 2.0} and a.output_files == ["a.zip", "a.docx"] and a.completed_at.second == 4
+        assert boards[-1] == reports.dashboard(jobs.fold(spark.createDataFrame(LOG[:8], SCHEMA))).first(), "jobs are counted, not events"
     finally:
         q.stop()
         d.stop()
