@@ -12,8 +12,10 @@ _written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; one of our own only where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; one of our own only where it is unset and all run on one machine."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="folioframe-")
         spark.sparkContext.setCheckpointDir(path)
