@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from .functions import text as fn
 from .operators import assembly, jobs, numbering, references, reports
-from .operators.validation import EXCLUDED, findings, verifications
+from .operators.validation import EXCLUDED, findings, validity, verifications
 from .operators.rendering import render_html, xml_counts
 from .plans.convert import convert
 from .sources import adapters
 from .sources.docx import Docx
 from .sources.docx_builder import build_docx
 from .sources.packages import BOOK_FIELDS, book_metadata
-from .sources.xml import tag_scan, walk_xml
+from .sources.xml import indented, tag_scan, walk_xml
 from .storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -357,6 +357,112 @@ def required_attribute(spark, sf_dir):
     return links.groupBy("page_id").agg(F.count_if(~tag.contains("href=")).alias("no_href"), F.count_if(tag.rlike('href="[^"]*"') & ~tag.rlike('href="(https?://|/|#)[^"]*"')).alias("odd_href"), F.count(F.lit(1)).alias("links"))
 
 
+# ---- the rules on generated books: each order is a book whose key decides what is wrong with it
+
+_BOOK = """concat(
+  CASE WHEN k % 5 = 0 THEN '' WHEN k % 5 = 1 THEN '<!DOCTYPE book SYSTEM "other.dtd">' WHEN k % 5 = 2 THEN '<!DOCTYPE book PUBLIC "RIS Dev" "x">' ELSE '<!DOCTYPE book SYSTEM "RittDocBook.dtd">' END,
+  CASE WHEN k % 7 = 0 THEN '<book>' WHEN k % 7 = 1 THEN '<book id="b1">' ELSE '<book id="b001">' END,
+  CASE WHEN k % 11 = 0 THEN '' WHEN k % 11 = 1 THEN '<bookinfo><title>t</title></bookinfo>' ELSE '<title>t</title>' END,
+  CASE WHEN k % 3 = 0 THEN '<note/>' ELSE '' END,
+  CASE WHEN k % 13 = 0 THEN '<chapter id="ch0001"><title>a</title></chapter>' ELSE '' END,
+  '<chapter id="ch0001"><title>c</title>', CASE WHEN k % 9 = 0 THEN '<sect2 id="ch0001s0002"><title>s</title></sect2>' ELSE '<sect1 id="ch0001s0002"><title>s</title><sect2 id="ch0001s0003"><title>s</title></sect2></sect1>' END,
+  '<figure id="ch0001s0001fg01"><title>f</title>', CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN '<mediaobject/>' WHEN 2 THEN '<mediaobject><imageobject/></mediaobject>'
+    ELSE concat('<mediaobject><imageobject><imagedata', CASE k % 8 WHEN 3 THEN '' ELSE concat(' fileref="multimedia/', CASE WHEN k % 16 = 7 THEN 'Ch0001s0001fg01.png' ELSE 'other.png' END, '"') END, CASE WHEN k % 3 = 1 THEN ' width="1"' ELSE '' END, ' scalefit="1"/></imageobject></mediaobject>') END, '</figure>',
+  '<table id="ch0001s0001tb01"><title>t</title>', CASE k % 6 WHEN 0 THEN '' WHEN 1 THEN '<tgroup><tbody/></tgroup>' WHEN 2 THEN '<tgroup cols=""><tbody/></tgroup>' WHEN 3 THEN '<tgroup cols="0"/>' WHEN 4 THEN '<tgroup cols="2"><tbody><tr/></tbody></tgroup>' ELSE '<tgroup cols="2"><tbody/></tgroup>' END, '</table>',
+  '</chapter></book>', CASE WHEN k % 17 = 0 THEN '<' ELSE '' END)"""
+
+#: What is wrong with a book: rule, kind, severity, when.
+_WRONG = [
+    (1, "Excluded Element", "Error", "k % 3 = 0"), (2, "Missing Title", "Error", "k % 11 = 0"), (3, "Missing Attribute", "Error", "k % 7 = 0"), (3, "Missing Attribute", "Error", "k % 6 = 1"), (3, "Missing Attribute", "Error", "k % 8 = 3"),
+    (4, "Duplicate ID", "Error", "k % 13 = 0"), (5, "Invalid ID Format", "Warning", "k % 7 = 1"), (6, "Invalid Figure Structure", "Error", "k % 4 <> 3"), (7, "Invalid Table Structure", "Error", "k % 6 = 0"),
+    (8, "Missing Attribute", "Error", "k % 6 = 1"), (8, "Invalid Attribute Value", "Error", "k % 6 IN (2, 3)"), (9, "Invalid Table Format", "Error", "k % 6 = 4"), (10, "Invalid Table Structure", "Warning", "k % 6 = 3"),
+    (11, "Invalid Section Hierarchy", "Error", "k % 9 = 0"), (12, "Missing Attribute", "Error", "k % 8 = 3"), (13, "Missing Attribute", "Warning", "k % 8 = 7 AND k % 3 <> 1"), (14, "Missing DOCTYPE", "Warning", "k % 5 = 0"), (14, "Invalid DOCTYPE", "Warning", "k % 5 = 1"),
+]
+_BOOKS_SQL = "WITH b AS (SELECT o_orderkey AS k FROM orders), wrong AS (" + " UNION ALL ".join(f"SELECT k, {n} AS check_ord, '{kind}' AS error_type, '{severity}' AS severity FROM b WHERE k % 17 <> 0 AND ({when})" for n, kind, severity, when in _WRONG) + " UNION ALL SELECT k, 0, 'XML Parse Error', 'Error' FROM b WHERE k % 17 = 0)"
+
+
+def _books(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k").select(F.col("k").cast("string").alias("doc_id"), F.expr(_BOOK).alias("xml"))
+
+
+def _book_findings(spark, sf_dir):
+    books = _books(spark, sf_dir)
+    return findings(stored(walk_xml(books)), books)
+
+
+@query(f"{_BOOKS_SQL} SELECT CAST(k AS VARCHAR) AS doc_id, check_ord, error_type, severity, count(*) AS n FROM wrong GROUP BY ALL")
+def rule_findings(spark, sf_dir):
+    """All rules, each with books that break it."""
+    return _book_findings(spark, sf_dir).groupBy("doc_id", "check_ord", "error_type", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""{_BOOKS_SQL} SELECT CAST(b.k AS VARCHAR) AS doc_id, count(*) FILTER (severity = 'Error') AS n_error, count(*) FILTER (severity = 'Warning') AS n_warning, count(*) FILTER (severity = 'Info') AS n_info,
+  count(severity) AS total, count(*) FILTER (severity = 'Error') = 0 AS is_valid FROM b LEFT JOIN wrong w ON b.k = w.k GROUP BY b.k""")
+def rule_validity(spark, sf_dir):
+    return validity(_book_findings(spark, sf_dir), _books(spark, sf_dir))
+
+
+@query(f"{_BOOKS_SQL}, h AS (SELECT d.severity, count(w.severity) AS n FROM (VALUES ('Error'), ('Warning'), ('Info')) d(severity) LEFT JOIN wrong w USING (severity) GROUP BY 1) SELECT * FROM h UNION ALL SELECT 'Total', CAST(sum(n) AS BIGINT) FROM h")
+def rule_severities(spark, sf_dir):
+    return reports.severity_histogram(_book_findings(spark, sf_dir))
+
+
+@query(f"{_BOOKS_SQL} SELECT error_type, count(*) AS n, min(k * 100 + check_ord) AS first_seq FROM wrong GROUP BY 1")
+def rule_types(spark, sf_dir):
+    return reports.type_histogram(_book_findings(spark, sf_dir).withColumn("seq", F.col("doc_id").cast("long") * 100 + F.col("check_ord")))
+
+
+@query(f"""{_BOOKS_SQL} SELECT CAST(k AS VARCHAR) AS doc_id, CAST(row_number() OVER (PARTITION BY k ORDER BY r, check_ord) AS INT) AS row_no, severity FROM
+  (SELECT *, CASE severity WHEN 'Error' THEN 0 ELSE 1 END AS r FROM wrong)""")
+def rule_order(spark, sf_dir):
+    """Findings in the order of a report: errors first, numbered within a book."""
+    return reports.ordered_findings(_book_findings(spark, sf_dir)).select("doc_id", "row_no", "severity")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, 'Figure Naming' AS fix_type, 'rename other.png' AS fix_description FROM orders WHERE o_orderkey % 17 <> 0 AND o_orderkey % 16 = 15")
+def rule_naming(spark, sf_dir):
+    """Figure files whose names break the convention."""
+    return verifications(walk_xml(_books(spark, sf_dir))).select("doc_id", "fix_type", "fix_description")
+
+
+# ---- XML as nodes and as HTML
+
+_ORDER_XML = """concat('<order key="', l_orderkey, '"><?skip this?>', array_join(transform(array_sort(collect_list(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate))),
+  r -> concat('<line>p', r.l_partkey, '<b>s', r.l_suppkey, '</b> &amp; more</line>')), ''), '</order>')"""
+
+
+@query("""
+WITH r AS (SELECT l_orderkey AS k, l_partkey AS p, l_suppkey AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) AS i FROM lineitem)
+SELECT CAST(k AS VARCHAR) AS doc_id, 0 AS node_id, CAST(NULL AS INT) AS parent_id, 0 AS ord, 'order' AS tag, CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS tail, CAST(2 * count(*) AS INT) AS subtree_end, CAST(k AS VARCHAR) AS key_attr FROM r GROUP BY k
+UNION ALL SELECT CAST(k AS VARCHAR), CAST(2 * i - 1 AS INT), 0, CAST(i - 1 AS INT), 'line', 'p' || p, NULL, CAST(2 * i AS INT), NULL FROM r
+UNION ALL SELECT CAST(k AS VARCHAR), CAST(2 * i AS INT), CAST(2 * i - 1 AS INT), 0, 'b', 's' || s, ' & more', CAST(2 * i AS INT), NULL FROM r
+""")
+def node_walk(spark, sf_dir):
+    """Orders as XML texts, walked."""
+    xml = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(_ORDER_XML).alias("xml"))
+    return walk_xml(xml, "l_orderkey").select("doc_id", "node_id", "parent_id", "ord", "tag", "text", "tail", "subtree_end", F.col("attrs")["key"].alias("key_attr"))
+
+
+@query("""
+SELECT CAST(p_partkey AS VARCHAR) AS doc_id, '<div class="docbook-content"><h1 class="book-title">' || p_name || '</h1><section class="chapter" id="ch' || p_partkey || '"><h2 class="chapter-title">' || p_type || '</h2><p>' || p_size
+  || '<strong>' || p_brand || '</strong> <em>a &lt; b</em></p><ul class="itemizedlist"><li><p>x</p></li></ul></section></div>' AS html FROM part
+""")
+def node_html(spark, sf_dir):
+    """Parts as books, rendered."""
+    xml = F.expr("""concat('<book><title>', p_name, '</title><chapter id="ch', p_partkey, '"><title>', p_type, '</title><para>', p_size, '<emphasis role="bold">', p_brand, '</emphasis> <emphasis>a &lt; b</emphasis></para><itemizedlist><listitem><para>x</para></listitem></itemizedlist></chapter></book>')""")
+    return render_html(stored(walk_xml(table(spark, sf_dir, "part").select("p_partkey", xml.alias("xml")), "p_partkey")))
+
+
+@query("SELECT doc_id, CAST(len(string_split(text, chr(10))) AS INT) AS n_lines, CAST(length(text) AS INT) AS n_chars FROM documents")
+def text_sizes(spark, sf_dir):
+    return xml_counts(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("xml")))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey % 17 <> 0 AS well_formed FROM orders")
+def well_formed(spark, sf_dir):
+    return indented(_books(spark, sf_dir)).select("doc_id", "well_formed")
+
+
 # ---- tables, metadata and assembly
 
 
@@ -402,7 +508,7 @@ def book_metadata_fields(spark, sf_dir):
 def _conversation_xml(spark, sf_dir):
     rows = adapters.conversation_elements(table(spark, sf_dir, "conversations")).withColumns({"media_name": F.lit(None).cast("string"), "caption": F.lit(None).cast("string"), "rows": F.lit(None).cast("array<array<string>>"), "header_rows": F.lit(1)})
     docs = rows.groupBy("doc_id").agg(F.min_by("text", "pos").alias("t")).select("doc_id", F.lit("Talk").alias("title"), F.array(F.lit("Ada B Lovelace")).alias("authors"), F.create_map().cast("map<string,string>").alias("metadata"))
-    return stored(assembly.assemble(rows, docs))
+    return stored(assembly.assemble(rows, docs, "2024"))
 
 
 @query()
