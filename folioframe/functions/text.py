@@ -57,7 +57,8 @@ def inline_tokens(c: Column) -> Column:
     marked = F.transform(found, token)
     woven = F.flatten(F.transform(F.arrays_zip(plain.alias("p"), marked.alias("m")), lambda z: F.array(z["p"], z["m"])))
     kept = F.filter(woven, lambda t: t.isNotNull() & (t["text"] != ""))
-    return F.when(F.size(kept) > 0, kept).otherwise(F.array(F.struct(c.alias("text"), F.lit(None).cast("string").alias("fmt"))))
+    # only an empty text has no token that is not empty
+    return F.when(c == "", F.array(F.struct(c.alias("text"), F.lit(None).cast("string").alias("fmt")))).otherwise(kept)
 
 
 def references(c: Column) -> Column:

@@ -173,7 +173,8 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS IN
 FROM t
 """)
 def inline_tokens(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.filter(fn.inline_tokens(fn.clean_text(F.col("text"))), lambda t: t["fmt"].isNotNull())).alias("token", "t"))
+    clean = table(spark, sf_dir, "documents").select("doc_id", fn.clean_text(F.col("text")).alias("clean"))
+    rows = clean.select("doc_id", F.posexplode(F.filter(fn.inline_tokens(F.col("clean")), lambda t: t["fmt"].isNotNull())).alias("token", "t"))
     return rows.select("doc_id", "token", "t.fmt", "t.text")
 
 
