@@ -13,7 +13,7 @@ score; the mixers' bits for a run of bytes are remembered by a worker.
 What is learned before scoring covers every training text. Runs of 5 bytes with
 their word are counted in each task and summed by a shuffle; the bit counts of
 all contexts follow from those sums. The tables' sizes follow the number of
-training bytes, up to MOST_BITS for each predictor, which bounds what is
+training bytes, up to MOST_BITS of each predictor, which bounds what is
 broadcast; counts are kept on a scale that is exact up to 63 and logarithmic
 beyond, so none overflows. Weights are learned online: each task goes once
 through all its runs, in the order of a hash and in steps of STEP, each bit
@@ -25,9 +25,11 @@ along it by its gradient, after its first FIRST bytes and each time its length
 has doubled, at most LAST bytes later. A score is a function of the model and of
 the text alone.
 
-The base score is a smoothed unigram model over words. Words that are at least
-one in FREQUENT of all are at most FREQUENT in number and are broadcast; the
-others' counts are joined by a shuffle, on words that cannot be hot.
+The base score is a smoothed unigram model over words, which stand as 64-bit
+hashes (of 10 million words two share one with a chance of 3 in a million).
+Words that are at least one in FREQUENT of all are at most FREQUENT in number
+and are broadcast as two arrays; the others' counts are joined by a shuffle, on
+words that cannot be hot.
 
 Defined results: null or empty text is its end alone (one token, one byte); a
 null identifier is learned from and its held_out is null; a long text is read
@@ -41,7 +43,6 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -51,25 +52,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._common import id_bytes, map_slices, partitions, slices, stored
-from ._words import mixed, prefix_hashes
+from ._words import hashed_words, mixed, prefix_hashes
 
 #: Folds, and the one that is held out.
 FOLDS, HELD_OUT = 7, 2
-#: Stands for a text's end among the words; no word holds white space.
-END = "\n"
+#: Stands for a text's end among the words' hashes.
+END = 1
 #: Words of at least a share of 1 / FREQUENT are broadcast.
-FREQUENT = 100_000
+FREQUENT = 1_000_000
 #: Bytes of the longest context; predictors: one for each length and the word.
 ORDERS = 4
 INPUTS = ORDERS + 1
 #: Bits of a word's hash.
 WORD = 24
-#: Slots of a predictor's table as powers of two; slots that a group of the shuffle packs; tasks whose counts are summed at a time.
-LEAST_BITS, MOST_BITS, PART_BITS, FAN_IN = 12, 21, 16, 32
+#: Slots of the predictors' tables as powers of two, at least and at most; slots that a group of the shuffle packs; tasks whose counts are summed at a time.
+LEAST_BITS, MOST_BITS, PART_BITS, FAN_IN = 12, (16, 19, 20, 21, 21), 16, 32
 BUCKETS = 32
 ROUNDS, STEP, RATE = 2, 4096, 5.0
 #: Runs that a task looks at in one go; rows that a task sums before it hands them on.
-BLOCK, HELD = 16 * STEP, 1_000_000
+BLOCK, HELD = 16 * STEP, 750_000
 #: Gates of the two mixers: place of the bit x longest context seen x how often; the bits so far.
 GATES = (8 * INPUTS * 3, 256)
 #: Bytes of a text that are looked at together; bytes scored with one state at first and at most.
@@ -144,8 +145,7 @@ class Tables:
 
     def __init__(self, size: int):
         """size: training bytes."""
-        grown = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, size)))))
-        self.bits = [min(grown, 8 * (k + 2)) for k in range(ORDERS)] + [grown]
+        self.bits = [min(most, max(LEAST_BITS, math.ceil(math.log2(max(1, size))))) for most in MOST_BITS]
         self.base = np.cumsum([0, *(1 << b for b in self.bits)])[:-1]
         self.size = sum(1 << b for b in self.bits)
 
@@ -415,7 +415,7 @@ def _slot_counts(tables: Tables):
     def count(batches):
         """Bit counts of all contexts of a task's runs, by parts of the tables."""
         counts = np.zeros((2, -(-tables.size >> PART_BITS) << PART_BITS), "f4")  # exact up to 2 ** 24, as levels need no more
-        for value, n in _columns(batches, 2 * BLOCK):
+        for value, n in _columns(batches):
             weight = np.repeat(n.astype("f8"), 8)
             ones = byte_bits(value).ravel() * weight
             weight -= ones
@@ -472,7 +472,7 @@ def train(docs: DataFrame) -> Mixer:
     for part, data in zip(got["part"].to_pylist(), got["states"], strict=True):
         states[part << PART_BITS : (part + 1) << PART_BITS] = np.frombuffer(data.as_py(), "u2")
     del got
-    shared = spark.sparkContext.broadcast(states)  # at most INPUTS << MOST_BITS slots
+    shared = spark.sparkContext.broadcast(states)  # at most 5.8 million slots
     model = Mixer(tables, states)
     shapes = [w.shape for w in model.weights]
 
@@ -513,18 +513,47 @@ def train(docs: DataFrame) -> Mixer:
     return model
 
 
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of the texts, lower-cased (A-Z), and its text's position."""
+    h, of = hashed_words([t.lower() for t in texts])
+    return h.view("i8"), of
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): tokens of docs (doc_id, data) and how often they occur; END for the ends."""
+    """(word, n): hashes of the tokens of docs (doc_id, data) and how often they occur; END for the ends."""
 
     def count(batches):
-        for batch in slices(batches, most=16 << 20):
-            texts = batch.column("data").to_pylist()
-            words: Counter = Counter()
-            for t in texts:
-                words.update(t.lower().split())
-            yield pa.record_batch([pa.array([*words, END.encode()], pa.binary()), pa.array([*words.values(), len(texts)], pa.int64())], ["word", "n"])
+        held, rows, ends = [], 0, 0
+        for batch in slices(batches):
+            h, _ = word_hashes(batch.column("data").to_pylist())
+            held.append(_summed(h, np.ones(len(h))))
+            rows, ends = rows + len(held[-1][0]), ends + len(batch)
+            if rows > HELD:
+                held = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+                rows = len(held[0][0])
+                if rows > HELD // 2:
+                    yield pa.record_batch([pa.array(x) for x in held[0]], ["word", "n"])
+                    held, rows = [], 0
+        held.append((np.array([END]), np.array([ends])))
+        yield pa.record_batch([pa.array(x) for x in _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))], ["word", "n"])
+
+    return docs.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
+
 
-    return docs.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+def unigrams(texts: list[bytes], known: np.ndarray, logs: np.ndarray):
+    """Words, known words and the sum of their logs for each text; and its other words as a list of (word, n). known rises."""
+    h, of = word_hashes(texts)
+    at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+    found = known[at] == h if len(known) else np.zeros(len(h), bool)
+    gained = np.bincount(of[found], logs[at[found]], len(texts)).astype("f8")
+    words, owner = h[~found], of[~found]
+    order = np.lexsort((words, owner))
+    words, owner = words[order], owner[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(words)), bool), (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])]))
+    n = np.diff(np.append(first, len(words)))
+    offsets = np.searchsorted(owner[first], np.arange(len(texts) + 1)).astype("i4")
+    rare = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(words[first]), pa.array(n.astype("i8"))], ["word", "n"]))
+    return np.bincount(of, minlength=len(texts)), np.bincount(of[found], minlength=len(texts)), gained, rare
 
 
 # ---- scoring
@@ -541,35 +570,23 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     training = rows.where(~F.coalesce(held_out(), F.lit(False)))
     counts = stored(word_counts(training))
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    common = counts.where(F.col("n") >= max(1, total / FREQUENT)).toArrow()  # at most FREQUENT rows
-    frequent = spark.sparkContext.broadcast(dict(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True)))
-    end = frequent.value.get(END.encode(), 0) or (counts.where(F.col("word") == F.lit(END.encode())).select("n").first() or [0])[0]
+    common = counts.where(F.col("n") >= max(1, total / FREQUENT)).orderBy("word").toArrow()  # at most FREQUENT rows
+    frequent = spark.sparkContext.broadcast((common["word"].to_numpy(), np.log10(common["n"].to_numpy() + 1.0)))
+    end = (counts.where(F.col("word") == END).select("n").first() or [0])[0]
     model = train(training)
     shared, tables, weights, refined = model.shared, model.tables, model.weights, model.refined
     name = uuid.uuid4().hex
-    holder: list = []
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not holder:
-            holder.append({w: math.log10(n + 1) for w, n in frequent.value.items()})
-        scorer, logs = scorer_of(name, lambda: Mixer(tables, shared.value, weights, refined)), holder[0]
+        scorer = scorer_of(name, lambda: Mixer(tables, shared.value, weights, refined))
         texts = batch.column("data").to_pylist()
-        n_words, n_known, gained, rare = [], [], [], []
-        for t in texts:
-            words = t.lower().split()
-            found = [*map(logs.get, words)]
-            here = [x for x in found if x is not None]
-            n_words.append(len(words))
-            n_known.append(len(here))
-            gained.append(math.fsum(here))
-            rare.append([{"word": w, "n": n} for w, n in Counter(w for w, x in zip(words, found, strict=True) if x is None).items()] if len(here) < len(words) else [])
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+        n_words, n_known, gained, rare = unigrams(texts, *frequent.value)
         return pa.record_batch(
-            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_known, pa.int64()), pa.array(gained, pa.float64()), pa.array(-scorer.bits(texts) * math.log10(2)), pa.array(rare, kind)],
+            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(n_words.astype("i8")), pa.array(n_known.astype("i8")), pa.array(gained), pa.array(-scorer.bits(texts) * math.log10(2)), rare],
             ["doc_id", "n_bytes", "n_words", "n_known", "gained", "score", "rare"],
         )
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_words bigint, n_known bigint, gained double, score double, rare array<struct<word:binary,n:bigint>>"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_words bigint, n_known bigint, gained double, score double, rare array<struct<word:bigint,n:bigint>>"
     scored = stored(map_slices(rows, score, schema, 4 * SEGMENT).withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))
     seen = counts.where(F.col("n") < max(1, total / FREQUENT))

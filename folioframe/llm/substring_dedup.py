@@ -209,7 +209,7 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
             removed.append(lost)
             kept.append(b" ".join(words))
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        return pa.table([rows["doc_id"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string()), *(rows[c] for c in more)], ["doc_id", "n_words", "n_removed", "removed", "kept_text", *more])
+        return pa.table([rows["doc_id"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string(), safe=False), *(rows[c] for c in more)], ["doc_id", "n_words", "n_removed", "removed", "kept_text", *more])
 
     more = ["data", "carried"] if carry else []
     schema = T.StructType.fromDDL("doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<start:int,end:int>>, kept_text string")

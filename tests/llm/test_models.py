@@ -333,7 +333,8 @@ def brute_score(text, counts, model):
 
 
 def test_score_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "LEAST_BITS", 21)  # few of this small table's contexts share a slot
+    monkeypatch.setattr(lm_scoring, "LEAST_BITS", 21)
+    monkeypatch.setattr(lm_scoring, "MOST_BITS", (21,) * 5)  # few of this small table's contexts share a slot
     rng = random.Random(14)
     words = ["the", "cat", "Sat", "on", "mat", "él", "ran", "7,", "far.\n"]
     rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 40)))) for i in range(12)] + [(100, "".join(rng.choices("xyz ", k=300))), (101, " ".join(rng.choices(words, k=120)))]

@@ -14,6 +14,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from folioframe.llm import _common as common
 from folioframe.llm import exact_dedup, packing, simhash, substring_dedup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, bucket string, fp string, piece string"
@@ -178,6 +179,16 @@ def test_tallies_are_a_filter(spark):
     assert sum(n < 6 for n in got.values()) > 20 and len(simhash.BLOCKS) == 14
 
 
+def test_spread_join(spark):
+    """A join whose left side has a hot key, a null key, keys without partner and clashing names."""
+    left = spark.createDataFrame([(1, i, "l") for i in range(700)] + [(k, k, "l") for k in range(2, 40)] + [(None, 7, "l"), (99, 8, "l")], "k long, v long, is_hot string")
+    right = spark.createDataFrame([(k, f"r{k}") for k in range(45)], "k long, w string")
+    got = common.spread_join(left, right, ["k"])
+    assert got.columns == ["k", "v", "is_hot", "w"]
+    assert sorted(map(tuple, got.collect())) == sorted([(1, i, "l", "r1") for i in range(700)] + [(k, k, "l", f"r{k}") for k in range(2, 40)])
+    assert common.spread_join(left.limit(0), right, ["k"]).count() == 0
+
+
 def test_one_star(spark):
     """A node that is an end of most edges: its edges are not brought to one task, and no connection is lost."""
     edges = spark.createDataFrame([(5, 1000 + i) for i in range(2000)] + [(3, 1500), (1, 2), (1000 + 1999, 5000)], "a long, b long")
