@@ -17,8 +17,8 @@ through q = 0.3 and q = 0.5.
 
 Inputs of a score are the text's bytes alone. Defined results: null text
 counts as empty and is scored like any other; rows with a null label don't
-teach; a document with several labels teaches with each; a null identifier is
-in no held-out fold; without positives every score is 0.5; repeated rows are
+teach, nor do rows with a null identifier, whose fold is unknown (held_out is
+false); a document with several labels teaches with each; without positives every score is 0.5; repeated rows are
 scored each and count as often as they occur; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -161,7 +161,7 @@ def train(measured_docs: DataFrame, labels: DataFrame) -> Model | None:
     if not prior:
         return None
     positive = moments(measured_docs.join(taught.where("q = 1").select("doc_id"), "doc_id"))
-    unlabelled = moments(measured_docs.where(~held_out()))
+    unlabelled = moments(measured_docs.where(F.col("doc_id").isNotNull() & ~held_out()))
     if not positive.n or not unlabelled.n:
         return None
     return fit(positive, unlabelled, float(np.clip(prior, 0.05, 0.95)))
