@@ -32,7 +32,6 @@ from __future__ import annotations
 import os
 from array import array
 from bisect import bisect_right
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,7 +48,7 @@ LENGTH = 4096
 GROUP, NODES, NODES_PER_BIN, FAN_IN, LEAST_GAIN = 40_000, 20_000, 4, 256, 64
 #: Fillings that a node chooses from; branches that are looked at for each; pieces up to which pairs are tried in the test of dominance.
 FILLINGS, TRIES, FEW = 6, 8, 8
-#: Words of a generation that a worker keeps the ids of.
+#: Words of a generation that a task keeps the ids of.
 CACHE = 150_000
 
 
@@ -117,19 +116,16 @@ class WordIds:
         return [b"".join(map(get, words)) for words in split]
 
 
-@lru_cache(1)
-def loaded(path: str) -> WordIds:
-    """A worker's tokenizer: it outlives the task."""
-    return WordIds(path)
-
-
 def tokenised_pieces(df: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids): the pieces of each document; ids are little-endian unsigned 32-bit."""
+    holder: list[WordIds] = []  # a task's own: idle workers keep nothing
     end = np.array([END_ID], "<u4").tobytes()
 
     def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not holder:
+            holder.append(WordIds(tokenizer))
         out: tuple[list, ...] = ([], [], [], [], [])
-        for doc, ids in zip(batch.column(0).to_pylist(), loaded(tokenizer).encode(batch.column(1).to_pylist()), strict=True):
+        for doc, ids in zip(batch.column(0).to_pylist(), holder[0].encode(batch.column(1).to_pylist()), strict=True):
             ids += end
             for piece, start in enumerate(range(0, len(ids) // 4, length)):
                 part = ids[start * 4 : (start + length) * 4]
