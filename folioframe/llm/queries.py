@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lm_scoring, media, packing, quality, sentence_pieces, simhash, substring_dedup, token_counts, warc
+from . import divergence, exact_dedup, lm_scoring, media, packing, quality, sentence_pieces, simhash, substring_dedup, token_counts, warc
 from ._common import table
 
 
@@ -57,6 +57,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_media": op2_media,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_source_divergence": op11_source_divergence,
 }
 
-ORACLES: dict[str, str] = {"op5_substring_dedup": substring_dedup.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op5_substring_dedup": substring_dedup.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE, "op11_source_divergence": divergence.ORACLE}
