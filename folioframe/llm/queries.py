@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, exact_dedup, lm_scoring, media, packing, quality, sentence_pieces, simhash, substring_dedup, token_counts, warc
+from . import divergence, embedding_dedup, exact_dedup, lm_scoring, media, packing, quality, sentence_pieces, simhash, substring_dedup, token_counts, vector_codes, warc
 from ._common import table
 
 
@@ -61,6 +61,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_media": op2_media,
@@ -73,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-ORACLES: dict[str, str] = {"op5_substring_dedup": substring_dedup.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE, "op11_source_divergence": divergence.ORACLE}
+ORACLES: dict[str, str] = {"op5_substring_dedup": substring_dedup.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE, "op11_source_divergence": divergence.ORACLE, "op12_embedding_dedup": embedding_dedup.ORACLE, "op13_vector_codes": vector_codes.ORACLE}
