@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+_hooked: list[bool] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,17 +31,31 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if not _written:
+    if not _hooked:
         atexit.register(_remove, spark)
+        _hooked.append(True)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the files of a table that stored() returned, once nothing will read it again."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        name = path.rsplit("/", 1)[1]
+        mine = [p for p in _written if p.rsplit("/", 1)[1] == name]
+        for p in mine:
+            _delete(df.sparkSession, p)
+            _written.remove(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _remove(spark: SparkSession) -> None:
     try:
-        jvm = spark.sparkContext._jvm
         for path in _written:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
     except Exception:  # noqa: BLE001  the session may be gone at exit; the cluster's own cleaner takes the rest
         pass
