@@ -50,6 +50,8 @@ SCALE, PARTS, ENTRIES, ROUNDS, GROUPS = 4096, 8, 16, 6, 4
 SLACK = 1e-6
 #: Components below this are computed with 64-bit integers.
 EXACT = 1 << 26
+#: Bits of a limb of a sum.
+LIMB = 40
 #: Integers that fit a float.
 LARGE = 1 << 1000
 STATE = "vec_id {id}, label {label}, ints binary, entry binary, upper binary, lower binary"
@@ -233,14 +235,27 @@ def _sums(state: DataFrame, width: int, entries: int) -> dict[tuple[int, int, in
                 used, first, n = np.unique(entry[order, p], return_index=True, return_counts=True)
                 total[p, used] += np.add.reduceat(x[order, p], first, axis=0).astype(object)
                 count[p, used] += n
-        rows = [(p, e, i, str(total[p, e, i])) for p in range(PARTS) for e in range(entries) if count[p, e] for i in range(size)]
-        rows += [(p, e, -1, str(count[p, e])) for p in range(PARTS) for e in range(entries) if count[p, e]]
+        sums = [(p, e, i, total[p, e, i]) for p in range(PARTS) for e in range(entries) if count[p, e] for i in range(size)]
+        sums += [(p, e, -1, int(count[p, e])) for p in range(PARTS) for e in range(entries) if count[p, e]]
+        rows = [(p, e, i, k, limb) for p, e, i, value in sums for k, limb in enumerate(_limbs(int(value)))]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["part", "entry", "position", "value"])
-
-    sums = state.select("ints", "entry").mapInArrow(run, "part bigint, entry bigint, position bigint, value string")
-    found = sums.groupBy("part", "entry", "position").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("string").alias("value")).collect()
-    return {(r.part, r.entry, r.position): int(r.value) for r in found}
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["part", "entry", "position", "limb", "value"])
+
+    sums = state.select("ints", "entry").mapInArrow(run, "part bigint, entry bigint, position bigint, limb bigint, value bigint")
+    out: dict[tuple[int, int, int], int] = {}
+    for r in sums.groupBy("part", "entry", "position", "limb").agg(F.sum("value").alias("value")).collect():
+        key = (r.part, r.entry, r.position)
+        out[key] = out.get(key, 0) + (r.value << LIMB * r.limb)
+    return out
+
+
+def _limbs(value: int) -> list[int]:
+    """value in base 2 ** LIMB, the last limb signed, so that sums of any size add up as longs."""
+    out = []
+    while not -(1 << LIMB) <= value < 1 << LIMB:
+        out.append(value & ((1 << LIMB) - 1))
+        value >>= LIMB
+    return [*out, value]
 
 
 def moved_codebooks(books: Codebooks, sums: dict[tuple[int, int, int], int]) -> Codebooks:
