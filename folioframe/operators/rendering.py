@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import escaped
+from .structure import subtree_text
+
+__all__ = ["placeholder", "render_html", "subtree_text", "xml_counts"]
 
 # Heading tags of titles by their parent, and classes of plain blocks.
 TITLES = {"book": "h1", "bookinfo": "h1", "chapter": "h2", "sect1": "h3", "section": "h3", "sect2": "h4", "sect3": "h5", "figure": "figcaption"}
@@ -63,15 +66,6 @@ def render_html(nodes: DataFrame) -> DataFrame:
     return body.select("doc_id", cat('<div class="docbook-content">', F.col("body"), "</div>").alias("html"))
 
 
-def subtree_text(nodes: DataFrame, tags: list[str]) -> DataFrame:
-    """(doc_id, node_id, tag, content): all text below the elements of some tags, in document order."""
-    rows = nodes.where("error IS NULL")
-    tops = rows.where(F.col("tag").isin(tags)).select("doc_id", F.col("node_id").alias("top"), F.col("subtree_end").alias("last"), F.col("tag").alias("top_tag"))
-    below = tops.join(rows, "doc_id").where("node_id >= top AND node_id <= last")
-    parts = F.array(F.struct(F.col("node_id").alias("at"), F.lit(0).alias("turn"), F.lit(0).alias("inner"), F.coalesce("text", F.lit("")).alias("x")), F.struct(F.col("subtree_end").alias("at"), F.lit(1).alias("turn"), (-F.col("node_id")).alias("inner"), F.when(F.col("node_id") == F.col("top"), "").otherwise(F.coalesce("tail", F.lit(""))).alias("x")))
-    return below.select("doc_id", "top", "top_tag", F.explode(parts).alias("p")).groupBy("doc_id", "top", "top_tag").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["x"]), "").alias("content")).select("doc_id", F.col("top").alias("node_id"), F.col("top_tag").alias("tag"), "content")
-
-
 def xml_counts(documents: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_chars) of (doc_id, xml)."""
     return documents.select("doc_id", F.size(F.split("xml", "\n", -1)).alias("n_lines"), F.length("xml").alias("n_chars"))

@@ -1,9 +1,10 @@
 """Structural rules over a node table, in one pass.
 
-nodes are those of sources.xml.walk_xml. Every rule is a nullable finding; a
-node's findings are exploded in rule order. Facts about children and
-descendants come from one aggregation by parent and one by ancestor, duplicate
-identifiers from one window.
+nodes are those of sources.xml.walk_xml, whose columns tell what stands inside
+an element; a table of another origin gets them from structure.summarised.
+Every rule is a nullable finding of one node, without a join; a node's findings
+are exploded in rule order. Only checked identifiers are shuffled, to find
+those that are used again.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ REQUIRED = {"book": "id", "tgroup": "cols", "imagedata": "fileref", "chapter": "
 ID_FORMS = {
     "book": r"^b\d{3}$", "chapter": r"^ch\d{4}$", "sect1": r"^ch\d{4}s\d{4}$", "sect2": r"^ch\d{4}s\d{4}$", "sect3": r"^ch\d{4}s\d{4}$", "figure": r"^ch\d{4}s\d{4}fg\d{2}$", "table": r"^ch\d{4}s\d{4}tb\d{2}$",
 }
-# The form of figure files, the severities, and what a DOCTYPE may name.
+# The form of figure files, HTML cells, the severities, and what a DOCTYPE may name.
 FILE_FORM = r"^Ch\d{4}s\d{4}fg\d{2}\.\w+"
+CELLS = ["tr", "td", "th"]
 SEVERITIES = ["Error", "Warning", "Info"]
 DTD_FILE, DTD_OWNER = "RittDocBook.dtd", "RIS Dev"
 
@@ -33,26 +35,6 @@ def _lookup(table: dict[str, str]):
     return F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), F.col("tag"))
 
 
-_NONE = "CAST(array() AS array<string>)"
-
-
-def _facts(nodes: DataFrame) -> DataFrame:
-    """Nodes with what the rules ask of their children: tags, and the tags below the first child of some kinds.
-
-    One aggregation by parent; a second one, over the few holders only, brings
-    grandchildren.
-    """
-    first = lambda tag: F.min(F.when(F.col("tag") == tag, F.col("node_id")))
-    kids = nodes.where("parent_id IS NOT NULL").groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.collect_set("tag").alias("tags"), F.min_by(F.col("attrs")["cols"], F.when(F.col("tag") == "tgroup", F.col("node_id"))).alias("cols"), *(first(t).alias(f"first_{t}") for t in ("mediaobject", "imageobject", "tgroup", "bookinfo")))
-    rows = nodes.join(kids, ["doc_id", "node_id"], "left").withColumn("tags", F.coalesce("tags", F.expr(_NONE)))
-    holders = rows.where(F.col("tag").isin("mediaobject", "imageobject", "tgroup", "bookinfo")).select("doc_id", F.col("node_id").alias("h"), F.col("tags").alias("held"), F.col("first_imageobject").alias("h_image"))
-    second = F.when(F.col("tag") == "figure", F.col("first_mediaobject")).when(F.col("tag") == "table", F.col("first_tgroup")).when(F.col("tag") == "book", F.col("first_bookinfo"))
-    rows = rows.withColumn("h", second).join(holders, ["doc_id", "h"], "left").drop("h")
-    images = holders.select("doc_id", F.col("h").alias("h_image"), F.col("held").alias("image_tags"))
-    rows = rows.join(images, ["doc_id", "h_image"], "left")
-    return rows.withColumn("held", F.coalesce("held", F.expr(_NONE))).withColumn("image_tags", F.coalesce("image_tags", F.expr(_NONE)))
-
-
 def _has(tags: str, tag: str):
     return F.array_contains(tags, tag)
 
@@ -63,23 +45,16 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     documents (doc_id, xml) adds those about the document type, on line 1.
     """
     broken = nodes.where("error IS NOT NULL").select("doc_id", F.lit(None).cast("int").alias("node_id"), F.lit(0).alias("check_ord"), F.lit(None).cast("int").alias("line_number"), F.lit("XML Parse Error").alias("error_type"), F.col("error").alias("error_description"), F.lit("Error").alias("severity"))
-    rows = _facts(nodes.where("error IS NULL"))
-    ident = F.coalesce(F.col("attrs")["id"], F.lit(""))
-    form = _lookup(ID_FORMS)
-    order = Window.partitionBy("doc_id", "dup_key").orderBy("node_id")
-    # elements without a checked identifier get a key of their own
-    rows = rows.withColumn("dup_key", F.when(form.isNotNull() & (ident != ""), F.concat(F.lit("id "), ident)).otherwise(F.concat(F.lit("node "), F.col("node_id").cast("string"))))
-    rows = rows.withColumn("again", F.row_number().over(order) > 1)
-    tables = nodes.where("tag = 'table'").select("doc_id", F.col("node_id").alias("t"), F.col("subtree_end").alias("e"))
-    cells = nodes.where(F.col("tag").isin("tr", "td", "th") & F.array_contains("path", "table")).select("doc_id", F.col("node_id").alias("c"))
-    markup = tables.join(cells, "doc_id").where("c > t AND c <= e").select("doc_id", F.col("t").alias("node_id"), F.lit(True).alias("markup")).distinct()
-    rows = rows.join(markup, ["doc_id", "node_id"], "left")
+    rows = nodes.where("error IS NULL")
     tag, attrs = F.col("tag"), F.col("attrs")
+    ident = F.coalesce(attrs["id"], F.lit(""))
+    form = _lookup(ID_FORMS)
     parent = F.try_element_at("path", F.lit(-1))
     required = _lookup(REQUIRED)
-    cols = F.col("cols")
+    cols = attrs["cols"]
     fileref = F.coalesce(attrs["fileref"], F.lit(""))
-    table = (tag == "table") & _has("tags", "tgroup")
+    table = (tag == "table") & _has("kids", "tgroup")
+    group = (tag == "tgroup") & (F.col("nth") == 1) & parent.eqNullSafe(F.lit("table"))  # a table's first one; what is wrong with it is the table's
 
     def finding(n: int, kind: str, severity: str, when, text):
         return F.when(when, F.struct(F.lit(n).alias("check_ord"), F.lit(kind).alias("error_type"), text.alias("error_description"), F.lit(severity).alias("severity")))
@@ -87,27 +62,31 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     def says(*parts):
         return F.concat(*(F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts))
 
-    missing_link = F.when(~_has("tags", "mediaobject"), "mediaobject").when(~_has("held", "imageobject"), "imageobject").when(~_has("image_tags", "imagedata"), "imagedata")
-    titled = _has("tags", "title") | ((tag == "book") & _has("held", "title"))
+    missing_link = F.when(~_has("kids", "mediaobject"), "mediaobject").when(~_has("below", "mediaobject/imageobject"), "imageobject").when(~_has("below", "mediaobject/imageobject/imagedata"), "imagedata")
+    titled = _has("kids", "title") | ((tag == "book") & _has("below", "bookinfo/title"))
     order_wrong = ((tag == "sect2") & ~parent.eqNullSafe(F.lit("sect1"))) | ((tag == "sect3") & ~parent.eqNullSafe(F.lit("sect2")))
     checks = [
         finding(1, "Excluded Element", "Error", tag.isin(EXCLUDED), says("<", tag, "> is not part of the document type")),
         finding(2, "Missing Title", "Error", tag.isin(TITLED) & ~titled, says("<", tag, "> has no title")),
         finding(3, "Missing Attribute", "Error", required.isNotNull() & ~F.array_contains(F.map_keys(attrs), required), says("<", tag, "> has no attribute ", required)),
-        finding(4, "Duplicate ID", "Error", F.col("again"), says("identifier ", ident, " was used before")),
         finding(5, "Invalid ID Format", "Warning", (ident != "") & form.isNotNull() & ~F.regexp_like(ident, form), says("identifier ", ident, " of <", tag, "> is not of the form ", form)),
         finding(6, "Invalid Figure Structure", "Error", (tag == "figure") & missing_link.isNotNull(), says("figure has no ", missing_link)),
-        finding(7, "Invalid Table Structure", "Error", (tag == "table") & ~_has("tags", "tgroup"), says("table has no tgroup")),
-        finding(8, "Missing Attribute", "Error", table & cols.isNull(), says("tgroup has no attribute cols")),
-        finding(8, "Invalid Attribute Value", "Error", table & cols.isNotNull() & ~(cols.rlike(r"^[0-9]+$") & ~cols.rlike(r"^0+$")), says("cols is no positive number: ", cols)),
-        finding(9, "Invalid Table Format", "Error", table & F.coalesce("markup", F.lit(False)), says("table holds HTML rows or cells")),
-        finding(10, "Invalid Table Structure", "Warning", table & ~_has("held", "tbody"), says("tgroup has no tbody")),
+        finding(7, "Invalid Table Structure", "Error", (tag == "table") & ~_has("kids", "tgroup"), says("table has no tgroup")),
+        finding(8, "Missing Attribute", "Error", group & cols.isNull(), says("tgroup has no attribute cols")),
+        finding(8, "Invalid Attribute Value", "Error", group & cols.isNotNull() & ~(cols.rlike(r"^[0-9]+$") & ~cols.rlike(r"^0+$")), says("cols is no positive number: ", cols)),
+        finding(9, "Invalid Table Format", "Error", table & F.arrays_overlap("descendants", F.array(*map(F.lit, CELLS))), says("table holds HTML rows or cells")),
+        finding(10, "Invalid Table Structure", "Warning", table & ~_has("below", "tgroup/tbody"), says("tgroup has no tbody")),
         finding(11, "Invalid Section Hierarchy", "Error", order_wrong, says("<", tag, "> stands in <", parent, ">")),
         finding(12, "Missing Attribute", "Error", (tag == "imagedata") & (fileref == ""), says("imagedata has no fileref")),
         *(finding(13, "Missing Attribute", "Warning", (tag == "imagedata") & (fileref != "") & (F.coalesce(attrs[a], F.lit("")) == ""), says(f"imagedata has no {a}")) for a in ("width", "scalefit")),
     ]
-    found = rows.select("doc_id", "node_id", F.col("line").alias("line_number"), F.explode(F.array_compact(F.array(*checks))).alias("f")).select("doc_id", "node_id", "f.check_ord", "line_number", "f.error_type", "f.error_description", "f.severity")
-    out = broken.unionByName(found)
+    found = rows.select("doc_id", "node_id", "parent_id", "line", "parent_line", F.explode(F.array_compact(F.array(*checks))).alias("f"))
+    of_table = F.col("f.check_ord") == 8
+    found = found.select("doc_id", F.when(of_table, F.col("parent_id")).otherwise(F.col("node_id")).alias("node_id"), "f.check_ord", F.when(of_table, F.col("parent_line")).otherwise(F.col("line")).alias("line_number"), "f.error_type", "f.error_description", "f.severity")
+    again = rows.where(form.isNotNull() & (ident != "")).select("doc_id", "node_id", F.col("line").alias("line_number"), ident.alias("ident"))
+    again = again.withColumn("turn", F.row_number().over(Window.partitionBy("doc_id", "ident").orderBy("node_id"))).where("turn > 1")
+    again = again.select("doc_id", "node_id", F.lit(4).alias("check_ord"), "line_number", F.lit("Duplicate ID").alias("error_type"), says("identifier ", F.col("ident"), " was used before").alias("error_description"), F.lit("Error").alias("severity"))
+    out = broken.unionByName(found).unionByName(again)
     return out.unionByName(doctype_findings(documents, broken)) if documents is not None else out
 
 

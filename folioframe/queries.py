@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from .functions import text as fn
 from .operators import assembly, jobs, numbering, references, reports
+from .operators.conformance import refused
 from .operators.validation import EXCLUDED, findings, validity, verifications
 from .operators.rendering import render_html, xml_counts
+from .operators.structure import structural_join, subtree_text
 from .plans.convert import convert
 from .sources import adapters
-from .sources.docx import Docx
+from .sources.docx import Docx, related_images
+from .sources.dtd import Definition, rules
 from .sources.docx_builder import build_docx
-from .sources.packages import BOOK_FIELDS, book_metadata
-from .sources.xml import indented, tag_scan, walk_xml
+from .sources.packages import BOOK_FIELDS, book_metadata, media_lookup
+from .sources.xml import indented, recovery_log, tag_scan, walk_xml
 from .storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,9 +122,14 @@ def scan_tags(spark, sf_dir):
 # ---- numbering
 
 
+def _numbered_pages(spark, sf_dir):
+    pages = adapters.page_elements(table(spark, sf_dir, "pages"))
+    return numbering.numbered(pages, order=("page_id", "i"), place="pos").withColumn("pos", F.col("pos").cast("int"))
+
+
 @query(f"WITH {_PAGE_ELEMENTS}{_NUMBERED} SELECT doc_id, pos, chapter_no, section_no, list_id, {_ELEM_ID} AS elem_id FROM num")
 def numbering_pages(spark, sf_dir):
-    return numbering.numbered(adapters.page_elements(table(spark, sf_dir, "pages"))).select("doc_id", "pos", "chapter_no", "section_no", "list_id", "elem_id")
+    return _numbered_pages(spark, sf_dir).select("doc_id", "pos", "chapter_no", "section_no", "list_id", "elem_id")
 
 
 @query(f"WITH {_TEXT_ELEMENTS}{_NUMBERED} SELECT doc_id, pos, chapter_no, section_no, list_id, kind_no, global_no, {_ELEM_ID} AS elem_id FROM num")
@@ -131,7 +139,7 @@ def numbering_texts(spark, sf_dir):
 
 @query(f"WITH {_PAGE_ELEMENTS}{_NUMBERED} SELECT doc_id, list_id, any_value(lt) AS list_type, min(pos) AS first_pos, count(*) AS n_items FROM num WHERE list_id IS NOT NULL GROUP BY doc_id, list_id")
 def list_groups(spark, sf_dir):
-    return numbering.list_groups(numbering.numbered(adapters.page_elements(table(spark, sf_dir, "pages"))))
+    return numbering.list_groups(_numbered_pages(spark, sf_dir))
 
 
 @query(f"WITH {_TEXT_ELEMENTS}{_NUMBERED} SELECT doc_id, CASE kind WHEN 'image' THEN 'figure' ELSE 'table' END AS kind, global_no AS n, {_ELEM_ID} AS linkend FROM num WHERE kind <> 'paragraph'")
@@ -382,13 +390,18 @@ _WRONG = [
 _BOOKS_SQL = "WITH b AS (SELECT o_orderkey AS k FROM orders), wrong AS (" + " UNION ALL ".join(f"SELECT k, {n} AS check_ord, '{kind}' AS error_type, '{severity}' AS severity FROM b WHERE k % 17 <> 0 AND ({when})" for n, kind, severity, when in _WRONG) + " UNION ALL SELECT k, 0, 'XML Parse Error', 'Error' FROM b WHERE k % 17 = 0)"
 
 
+def _tasks(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _books(spark, sf_dir):
-    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k").select(F.col("k").cast("string").alias("doc_id"), F.expr(_BOOK).alias("xml"))
+    keys = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k").repartition(_tasks(spark))  # keys are spread, not texts
+    return keys.select(F.col("k").cast("string").alias("doc_id"), F.expr(_BOOK).alias("xml"))
 
 
 def _book_findings(spark, sf_dir):
     books = _books(spark, sf_dir)
-    return findings(stored(walk_xml(books)), books)
+    return findings(walk_xml(books), books)
 
 
 @query(f"{_BOOKS_SQL} SELECT CAST(k AS VARCHAR) AS doc_id, check_ord, error_type, severity, count(*) AS n FROM wrong GROUP BY ALL")
@@ -444,6 +457,140 @@ def node_walk(spark, sf_dir):
     return walk_xml(xml, "l_orderkey").select("doc_id", "node_id", "parent_id", "ord", "tag", "text", "tail", "subtree_end", F.col("attrs")["key"].alias("key_attr"))
 
 
+@query("""
+WITH r AS (SELECT l_orderkey AS k, 'p' || l_partkey || 's' || l_suppkey || ' & more' AS x, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) AS i FROM lineitem)
+SELECT CAST(k AS VARCHAR) AS doc_id, 0 AS node_id, 'order' AS tag, string_agg(x, '' ORDER BY i) AS content FROM r GROUP BY k
+UNION ALL SELECT CAST(k AS VARCHAR), CAST(2 * i - 1 AS INT), 'line', x FROM r
+""")
+def subtree_texts(spark, sf_dir):
+    """All text inside orders and their lines."""
+    xml = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(_ORDER_XML).alias("xml"))
+    return subtree_text(stored(walk_xml(xml, "l_orderkey")), ["order", "line"])
+
+
+@query("""
+WITH r AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) AS i FROM lineitem)
+SELECT CAST(k AS VARCHAR) AS doc_id, 0 AS ancestor, CAST(2 * i AS INT) AS descendant FROM r UNION ALL SELECT CAST(k AS VARCHAR), CAST(2 * i - 1 AS INT), CAST(2 * i AS INT) FROM r
+""")
+def nested_nodes(spark, sf_dir):
+    """Which orders and lines each bold text stands in."""
+    xml = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(_ORDER_XML).alias("xml"))
+    nodes = stored(walk_xml(xml, "l_orderkey").select("doc_id", "node_id", "subtree_end", "tag"))
+    return structural_join(nodes.where("tag IN ('order', 'line')"), nodes.where("tag = 'b'"))
+
+
+# ---- broken XML: each order is a text whose key decides what is wrong with it
+
+#: Text; its nodes as (node_id, parent_id, tag, text, tail, subtree_end); what is mended as (line, problem, subject, action). K stands for the key.
+_BROKEN = [
+    ("<a><b>K<c>x</b>y</a>", [(0, None, "a", None, None, 2), (1, 0, "b", "K", "y", 2), (2, 1, "c", "x", None, 2)], [(1, "end tag is missing", "c", "closed")]),
+    ("<a>K</z>x</a>", [(0, None, "a", "Kx", None, 0)], [(1, "end tag without a start", "z", "dropped")]),
+    ("<a>\n<b k=K k='2' l>K & < &lt;</b></a>", [(0, None, "a", "\n", None, 1), (1, 0, "b", "K & < <", None, 1)], [(2, "attribute without quotes", "k", "kept"), (2, "attribute is repeated", "k", "dropped"), (2, "attribute without a value", "l", "dropped"), (2, "stray ampersand", "", "kept as text"), (2, "stray <", "", "kept as text")]),
+    ("<a/>K<b><b>x</b></b>", [(0, None, "a", None, None, 0)], [(1, "text outside the root", "", "dropped"), (1, "element after the root", "b", "dropped")]),
+    ("<a><b>K\n<c", [(0, None, "a", None, None, 2), (1, 0, "b", "K\n", None, 2), (2, 1, "c", None, None, 2)], [(2, "tag does not end", "c", "ended there"), (2, "end tag is missing", "c", "closed at the end"), (2, "end tag is missing", "b", "closed at the end"), (2, "end tag is missing", "a", "closed at the end")]),
+    ("<a>&name;K<!-- x --><b/>t<![CDATA[<K>]]></a>", [(0, None, "a", "&name;K", None, 1), (1, 0, "b", None, "t<K>", 1)], []),
+    ("K", [], [(1, "text outside the root", "", "dropped")]),
+]
+
+
+def _sql(value) -> str:
+    return "NULL" if value is None else str(value) if isinstance(value, int) else "'" + value.replace("'", "''") + "'"
+
+
+def _broken_sql(part: int, columns: str, typed: str) -> str:
+    """The rows of a part of _BROKEN for every order."""
+    rows = ", ".join(f"({case}, {i}, {', '.join(_sql(v) for v in row)})" for case, entry in enumerate(_BROKEN) for i, row in enumerate(entry[part]))
+    return f"WITH t(kind, seq, {columns}) AS (VALUES {rows}) SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, {typed} FROM orders JOIN t ON t.kind = o_orderkey % {len(_BROKEN)}"
+
+
+def _broken(spark, sf_dir):
+    texts = F.array(*(F.lit(text) for text, _, _ in _BROKEN))
+    keys = table(spark, sf_dir, "orders").select("o_orderkey").repartition(_tasks(spark))
+    return keys.select(F.col("o_orderkey").cast("string").alias("doc_id"), F.replace(F.element_at(texts, (F.col("o_orderkey") % len(_BROKEN) + 1).cast("int")), F.lit("K"), F.col("o_orderkey").cast("string")).alias("xml"))
+
+
+@query(_broken_sql(1, "node_id, parent_id, tag, text, tail, subtree_end", "node_id, parent_id, tag, replace(text, 'K', CAST(o_orderkey AS VARCHAR)) AS text, replace(tail, 'K', CAST(o_orderkey AS VARCHAR)) AS tail, subtree_end"))
+def recovered_nodes(spark, sf_dir):
+    """The nodes of broken texts."""
+    return walk_xml(_broken(spark, sf_dir), recover=True).where("error IS NULL").select("doc_id", "node_id", "parent_id", "tag", "text", "tail", "subtree_end")
+
+
+@query(_broken_sql(2, "line, problem, subject, action", "seq, line, problem, subject, action"))
+def recovery_steps(spark, sf_dir):
+    """What was mended in them."""
+    return recovery_log(_broken(spark, sf_dir))
+
+
+_RECOVERED_SQL = _BOOKS_SQL.replace("k % 17 <> 0 AND ", "").replace("SELECT k, 0, 'XML Parse Error', 'Error' FROM b WHERE k % 17 = 0", "SELECT k, 0, '', '' FROM b WHERE false")
+
+
+@query(f"{_RECOVERED_SQL} SELECT CAST(k AS VARCHAR) AS doc_id, check_ord, error_type, severity, count(*) AS n FROM wrong GROUP BY ALL")
+def recovered_findings(spark, sf_dir):
+    """The rules on books read by the recovering reader: a broken end doesn't hide what else is wrong."""
+    books = _books(spark, sf_dir)
+    return findings(walk_xml(books, recover=True), books).groupBy("doc_id", "check_ord", "error_type", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- a document type's content models, on the generated books
+
+_BOOK_TYPE = """
+<!ENTITY % start "(title | bookinfo)?">
+<!ELEMENT book (%start;, chapter+)> <!ELEMENT bookinfo (title)> <!ELEMENT chapter (title, sect1, figure, table)> <!ELEMENT sect1 (title, sect2*)> <!ELEMENT (sect2) (title)> <!ELEMENT title (#PCDATA)>
+<!ELEMENT figure (title, mediaobject)> <!ELEMENT mediaobject (imageobject+)> <!ELEMENT imageobject (imagedata)> <!ELEMENT imagedata EMPTY> <!ELEMENT table (title, tgroup)> <!ELEMENT tgroup (thead?, tbody)> <!ELEMENT tbody (row*)>
+<!ATTLIST book id (b001) #REQUIRED> <!ATTLIST tgroup cols CDATA #REQUIRED> <!ATTLIST imagedata fileref CDATA #REQUIRED scalefit (0|1) "1">
+"""
+#: What the type refuses: element, problem, subject, place among the children, when.
+_REFUSED = [
+    ("note", "element not declared", "NULL", "NULL", "k % 3 = 0"), ("book", "child not allowed", "'note'", "CASE WHEN k % 11 = 0 THEN 0 ELSE 1 END", "k % 3 = 0"), ("book", "attribute is missing", "'id'", "NULL", "k % 7 = 0"), ("book", "attribute value not allowed", "'id'", "NULL", "k % 7 = 1"),
+    ("chapter", "content is incomplete", "NULL", "NULL", "k % 13 = 0"), ("chapter", "child not allowed", "'sect2'", "1", "k % 9 = 0"), ("figure", "content is incomplete", "NULL", "NULL", "k % 4 = 0"), ("mediaobject", "content is incomplete", "NULL", "NULL", "k % 4 = 1"),
+    ("imageobject", "content is incomplete", "NULL", "NULL", "k % 4 = 2"), ("imagedata", "attribute is missing", "'fileref'", "NULL", "k % 8 = 3"), ("table", "content is incomplete", "NULL", "NULL", "k % 6 = 0"), ("tgroup", "content is incomplete", "NULL", "NULL", "k % 6 = 3"),
+    ("tgroup", "attribute is missing", "'cols'", "NULL", "k % 6 = 1"), ("tbody", "child not allowed", "'tr'", "0", "k % 6 = 4"), ("tr", "element not declared", "NULL", "NULL", "k % 6 = 4"),
+]
+
+
+@query("WITH b AS (SELECT o_orderkey AS k FROM orders) " + " UNION ALL ".join(f"SELECT CAST(k AS VARCHAR) AS doc_id, '{tag}' AS tag, '{problem}' AS problem, {subject} AS subject, CAST({at} AS INT) AS at FROM b WHERE {when}" for tag, problem, subject, at, when in _REFUSED))
+def content_models(spark, sf_dir):
+    """The elements of books that a document type refuses."""
+    return refused(walk_xml(_books(spark, sf_dir), recover=True), rules(spark, Definition(_BOOK_TYPE))).select("doc_id", "tag", "problem", "subject", "at")
+
+
+# ---- media: a document's folder, and ends of paths
+
+
+@query("""
+WITH d AS (SELECT o_orderkey AS k, '/in/g' || o_orderkey % 50 || '/' AS parent FROM orders),
+f AS (SELECT l_orderkey AS k, '/in/g' || l_orderkey % 50 || '/' || CASE l_orderkey % 5 WHEN 0 THEN 'b' || l_orderkey || '_multimedia' WHEN 1 THEN 'b' || l_orderkey || '_MultiMedia' WHEN 2 THEN 'multimedia' WHEN 3 THEN 'MultiMedia' ELSE 'other' END AS folder, l_orderkey || '-' || l_linenumber || '.png' AS name FROM lineitem),
+folders AS (SELECT DISTINCT folder FROM f),
+c AS (SELECT k, 0 AS r, parent || 'b' || k || '_multimedia' AS folder FROM d UNION ALL SELECT k, 1, parent || 'multimedia' FROM d UNION ALL SELECT k, 2, parent || 'b' || k || '_MultiMedia' FROM d UNION ALL SELECT k, 3, parent || 'MultiMedia' FROM d),
+b AS (SELECT k, arg_min(folder, r) AS folder FROM c JOIN folders USING (folder) GROUP BY k)
+SELECT CAST(b.k AS VARCHAR) AS doc_id, b.folder, count(*) AS files, min(f.name) AS first_name FROM b JOIN f USING (folder) GROUP BY 1, 2
+""")
+def media_folders(spark, sf_dir):
+    """Orders as books, lines as their media, in folders of their own and in shared ones: what each book finds."""
+    key, line = F.col("o_orderkey"), F.col("l_orderkey")
+    books = table(spark, sf_dir, "orders").select(key.cast("string").alias("doc_id"), F.concat(F.lit("/in/g"), key % 50, F.lit("/b"), key, F.lit("_docbook42.xml")).alias("path"))
+    own = lambda end: F.concat(F.lit("b"), line, F.lit(end))
+    folder = F.when(line % 5 == 0, own("_multimedia")).when(line % 5 == 1, own("_MultiMedia")).when(line % 5 == 2, "multimedia").when(line % 5 == 3, "MultiMedia").otherwise("other")
+    files = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("/in/g"), line % 50, F.lit("/"), folder, F.lit("/"), line, F.lit("-"), "l_linenumber", F.lit(".png")).alias("path"), F.lit(b"").alias("content"))
+    return media_lookup(books, files).groupBy("doc_id", "folder").agg(F.count(F.lit(1)).alias("files"), F.min("name").alias("first_name"))
+
+
+@query("""
+WITH m AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) AS i FROM lineitem),
+f AS (SELECT k, i, 'word/media/' || i % 2 || '/pic' || i % 3 || '.png' AS name FROM m), t AS (SELECT k, i, CASE i % 3 WHEN 0 THEN '../x/pic0.png' WHEN 1 THEN '../ic1.png' ELSE 'gone.png' END AS target FROM m),
+j AS (SELECT t.k, t.i, f.i AS medium FROM t JOIN f ON t.k = f.k AND t.i % 3 = 0 AND f.i % 3 = 0 UNION ALL SELECT t.k, t.i, min(f.i) FROM t JOIN f ON t.k = f.k AND t.i % 3 = 1 AND f.i % 3 = 1 GROUP BY 1, 2)
+SELECT CAST(k AS VARCHAR) AS doc_id, 'r' || i AS rel_id, 'word/media/' || medium % 2 || '/pic' || medium % 3 || '.png' AS media_name, row_number() OVER (PARTITION BY k ORDER BY i, medium) AS image_no FROM j
+""")
+def image_relations(spark, sf_dir):
+    """Lines as media with equal names in different folders, and as relationships: by name, by the end of a path, by nothing."""
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc_id"), F.row_number().over(order).alias("i"))
+    media = rows.select("doc_id", F.concat(F.lit("word/media/"), F.col("i") % 2, F.lit("/pic"), F.col("i") % 3, F.lit(".png")).alias("media_name"), F.lit("png").alias("ext"), F.col("i").alias("media_ord"))
+    target = F.when(F.col("i") % 3 == 0, "../x/pic0.png").when(F.col("i") % 3 == 1, "../ic1.png").otherwise("gone.png")
+    rels = rows.select("doc_id", F.concat(F.lit("r"), "i").alias("rel_id"), F.col("i").alias("rel_ord"), F.lit("image").alias("rel_type"), target.alias("target"), F.lit(False).alias("is_external"))
+    return related_images(rels, media).select("doc_id", "rel_id", "media_name", "image_no")
+
+
 @query("""
 SELECT CAST(p_partkey AS VARCHAR) AS doc_id, '<div class="docbook-content"><h1 class="book-title">' || p_name || '</h1><section class="chapter" id="ch' || p_partkey || '"><h2 class="chapter-title">' || p_type || '</h2><p>' || p_size
   || '<strong>' || p_brand || '</strong> <em>a &lt; b</em></p><ul class="itemizedlist"><li><p>x</p></li></ul></section></div>' AS html FROM part

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .xml import tag_scan
 
 
+#: Page numbers of a slice of a host's elements.
+PAGES = 64
+
+
 def page_elements(pages: DataFrame) -> DataFrame:
-    """Elements of each host's pages: h1 as level 1, li as bullets, p as paragraphs."""
-    tags = tag_scan(pages).withColumnRenamed("host", "doc_id")  # before the shuffle, so that later windows reuse it
-    pos = F.row_number().over(Window.partitionBy("doc_id").orderBy("page_id", "i")) - 1
-    return tags.select("doc_id", pos.alias("pos"), F.lit("paragraph").alias("kind"), "text", F.when(F.col("tag") == "h1", 1).otherwise(0).alias("level"), F.when(F.col("tag") == "li", "bullet").alias("list_type"), "page_id", "i")
+    """Elements of each host's pages, ordered by page_id and i: h1 as level 1, li as bullets, p as paragraphs. slice cuts hosts by pages."""
+    tags = tag_scan(pages)
+    return tags.select(F.col("host").alias("doc_id"), F.lit("paragraph").alias("kind"), "text", F.when(F.col("tag") == "h1", 1).otherwise(0).alias("level"), F.when(F.col("tag") == "li", "bullet").alias("list_type"), "page_id", "i", F.floor(F.col("page_id") / PAGES).alias("slice"))
 
 
 def conversation_elements(turns: DataFrame) -> DataFrame:

@@ -224,8 +224,11 @@ def related_images(rels: DataFrame, media: DataFrame) -> DataFrame:
     files = media.withColumn("base", basename(F.col("media_name")))
     hit = inner.join(files, ["doc_id", "base"])
     missed = inner.where(F.col("rel_type") == "image").join(hit.select("doc_id", "rel_id").distinct(), ["doc_id", "rel_id"], "left_anti")
-    # within a document only: the equality on doc_id keeps this a hash or merge join
-    tail = missed.join(files.drop("base"), "doc_id").where(F.col("media_name").endswith(F.regexp_replace("target", r"^(\.\./)+|^/", "")))
+    # ends of media paths as long as the document's targets, so that path ends meet targets by equality
+    missed = missed.withColumn("end", F.regexp_replace("target", r"^(\.\./)+|^/", ""))
+    lengths = missed.select("doc_id", F.length("end").alias("n")).distinct()
+    ends = files.drop("base").join(lengths, "doc_id").where(F.length("media_name") >= F.col("n")).withColumn("end", F.expr("right(media_name, n)")).drop("n")
+    tail = missed.join(ends, ["doc_id", "end"]).drop("end")
     first = tail.withColumn("k", F.row_number().over(Window.partitionBy("doc_id", "rel_id").orderBy("media_ord"))).where("k = 1").drop("k")
     both = hit.unionByName(first)
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("rel_ord", "media_ord"))

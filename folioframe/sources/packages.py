@@ -46,14 +46,22 @@ def package_xml(files: DataFrame, prefer: str | None = None) -> DataFrame:
     return files.select("path", "content").mapInArrow(read, "path string, member string, xml string, error string").withColumn("name", package_name(F.col("path")))
 
 
-def media_lookup(files: DataFrame, folders: list[str]) -> DataFrame:
-    """(name, path, content) of media (path, content) in the first of the folders that exists, that is, has any."""
-    rank = F.lit(None).cast("int")
-    for i, folder in reversed(list(enumerate(folders))):
-        rank = F.when(F.col("path").contains(f"/{folder.strip('/')}/"), i).otherwise(rank)
-    rows = files.withColumn("rank", rank).where("rank IS NOT NULL").withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
-    first = rows.agg(F.min("rank").alias("rank"))  # one row
-    return rows.join(F.broadcast(first), "rank").groupBy("name").agg(F.min_by(F.struct("path", "content"), "path").alias("f")).select("name", "f.path", "f.content")
+def media_folders(path, name) -> list:
+    """Folders in which a document's media may stand, in the order in which they are tried. path: its XML file, name: its package name."""
+    parent = F.regexp_extract(path, r"^(.*/)", 1)
+    return [F.concat(parent, name, F.lit("_multimedia")), F.concat(parent, F.lit("multimedia")), F.concat(parent, name, F.lit("_MultiMedia")), F.concat(parent, F.lit("MultiMedia"))]
+
+
+def media_lookup(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """(doc_id, folder, name, path, content): each document's media, from the first of its folders that exists, that is, holds a file.
+
+    documents: doc_id and path of XML files; files: path and content of media.
+    Folders meet by equality; a folder that many documents share is listed once.
+    """
+    media = files.withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]*$", 1)).withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
+    tried = documents.select("doc_id", F.posexplode(F.array(*media_folders(F.col("path"), package_name(F.col("path"))))).alias("rank", "folder"))
+    found = tried.join(media.select("folder").distinct(), "folder").groupBy("doc_id").agg(F.min_by("folder", "rank").alias("folder"))
+    return found.join(media, "folder").select("doc_id", "folder", "name", "path", "content")
 
 
 def image_manifest(images: DataFrame) -> DataFrame:

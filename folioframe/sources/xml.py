@@ -1,7 +1,24 @@
-"""XML texts as node tables."""
+"""XML texts as node tables.
+
+Each text is read once, with a stack of its open elements. Beside its own
+columns a node carries what the stack knows when it closes: its place in
+preorder (subtree_end), its characters in the document's text stream
+(start_char, end_char), the tags of its children and of all nodes below it, and
+the ways down to its first children (below, such as mediaobject/imageobject:
+the first imageobject of the first mediaobject). Rules about the inside of an
+element need no join.
+
+Two readers feed the stack: expat, which stops at the first error, and with
+recover=True a tokenizer of our own, which closes, drops or opens elements and
+goes on; recovery_log tells what it did.
+
+A text is read by one task. Where few files hold many texts, repartition the
+table, best before a column with the text is made.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from xml.etree import ElementTree
 from xml.parsers import expat
@@ -10,77 +27,334 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NODES = "doc_id string, node_id int, parent_id int, ord int, tag string, attrs map<string,string>, text string, tail string, line int, subtree_end int, path array<string>, error string"
-_ARROW = pa.schema([
-    ("doc_id", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("ord", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("tail", pa.string()),
-    ("line", pa.int32()), ("subtree_end", pa.int32()), ("path", pa.list_(pa.string())), ("error", pa.string()),
-])
+NODES = (
+    "doc_id string, node_id int, parent_id int, ord int, tag string, attrs map<string,string>, text string, tail string, line int, subtree_end int, path array<string>, error string,"
+    " nth int, parent_line int, start_char bigint, end_char bigint, kids array<string>, descendants array<string>, below array<string>"
+)
+_TYPES = {
+    "node_id": pa.int32(), "parent_id": pa.int32(), "ord": pa.int32(), "tag": pa.string(), "attrs": pa.map_(pa.string(), pa.string()), "text": pa.string(), "tail": pa.string(), "line": pa.int32(), "subtree_end": pa.int32(), "path": pa.list_(pa.string()),
+    "nth": pa.int32(), "parent_line": pa.int32(), "start_char": pa.int64(), "end_char": pa.int64(), "kids": pa.list_(pa.string()), "descendants": pa.list_(pa.string()), "below": pa.list_(pa.string()),
+}
+_OWN = list(_TYPES)
+_ORDER = [c.split()[0] for c in NODES.replace("<string,string>", "").split(",")]
+#: Steps of the ways in below; rows of a batch.
+STEPS, ROWS = 3, 50_000
+LOG = "doc_id string, seq int, line int, problem string, subject string, action string"
+
+
+class Nodes:
+    """Columns of nodes in preorder, filled by start, end and data."""
+
+    def __init__(self) -> None:
+        self.columns: dict[str, list] = {c: [] for c in _OWN}
+        self.stack: list[int] = []
+        self.chars = 0
+        self._path: list[tuple[str, ...]] = [()]
+        self._counts: list[dict[str, int]] = [{}]  # of each open element, its children by tag
+        self._children: list[int] = [0]
+        self._first: list[dict[str, int]] = [{}]  # the first child of each tag
+        self._inside: list[set[str]] = [set()]
+        self._texts: list[list[str]] = []
+        self._tails: list[list[str]] = []
+        self._closed: int | None = None  # the node whose tail is read
+
+    def start(self, tag: str, attributes: list[tuple[str, str]], line: int) -> None:
+        c, n = self.columns, len(self._texts)
+        parent = self.stack[-1] if self.stack else None
+        counts = self._counts[-1]
+        ordinal = self._children[-1]
+        self._children[-1] += 1
+        counts[tag] = nth = counts.get(tag, 0) + 1
+        self._first[-1].setdefault(tag, n)
+        row = {"node_id": n, "parent_id": parent, "ord": ordinal, "tag": tag, "attrs": attributes, "text": None, "tail": None, "line": line, "subtree_end": n, "path": self._path[-1], "nth": nth, "parent_line": c["line"][parent] if parent is not None else None, "start_char": self.chars, "end_char": self.chars, "kids": (), "descendants": (), "below": ()}
+        for name, column in c.items():
+            column.append(row[name])
+        self._texts.append([])
+        self._tails.append([])
+        self.stack.append(n)
+        self._path.append((*self._path[-1], tag))
+        self._counts.append({})
+        self._children.append(0)
+        self._first.append({})
+        self._inside.append(set())
+        self._closed = None
+
+    def end(self) -> None:
+        n, c = self.stack.pop(), self.columns
+        self._path.pop()
+        self._counts.pop()
+        self._children.pop()
+        first, inside = self._first.pop(), self._inside.pop()
+        c["subtree_end"][n], c["end_char"][n] = len(self._texts) - 1, self.chars
+        if first:
+            inside.update(first)
+            c["kids"][n], c["descendants"][n] = tuple(first), tuple(sorted(inside))
+            ways = list(first)
+            for tag, child in first.items():
+                ways += [f"{tag}/{w}" for w in c["below"][child] if w.count("/") < STEPS - 1]
+            c["below"][n] = tuple(ways)
+        self._inside[-1] |= inside
+        self._closed = n
+
+    def data(self, text: str) -> None:
+        if self._closed is not None and self.stack:
+            self._tails[self._closed].append(text)
+        elif self.stack:
+            self._texts[self.stack[-1]].append(text)
+        else:
+            return
+        self.chars += len(text)
+
+    def finish(self) -> dict[str, list]:
+        self.columns["text"] = ["".join(t) or None for t in self._texts]
+        self.columns["tail"] = ["".join(t) or None for t in self._tails]
+        return self.columns
+
+
+def _local(name: str) -> str:
+    return name.rpartition("}")[2].rpartition(":")[2]
 
 
-def parse(xml: str | bytes | None) -> tuple[list[dict], str | None]:
-    """Nodes in preorder and the parser's error, if it stopped. Comments and processing instructions are no nodes; entities stay unresolved."""
-    nodes: list[dict] = []
-    stack: list[int] = []
-    texts: list[list[str]] = []
-    tails: list[list[str]] = []
-    last: list[int | None] = [None]  # the node whose tail text is read, if one has just ended
+def strict(xml: str | bytes | None) -> tuple[Nodes, str | None]:
+    """Nodes and the parser's error, if it stopped. Comments and processing instructions are no nodes; entities stay unresolved."""
+    nodes = Nodes()
     parser = expat.ParserCreate(namespace_separator="}")
     parser.buffer_text = True
     parser.UseForeignDTD(False)
-
-    def start(name, attributes):
-        parent = stack[-1] if stack else None
-        n = len(nodes)
-        if parent is not None:
-            nodes[parent]["children"] += 1
-        nodes.append({
-            "node_id": n, "parent_id": parent, "ord": nodes[parent]["children"] - 1 if parent is not None else 0, "tag": name.rpartition("}")[2], "attrs": [(k.rpartition("}")[2], v) for k, v in attributes.items()], "line": parser.CurrentLineNumber,
-            "children": 0, "subtree_end": n, "path": [nodes[i]["tag"] for i in stack],
-        })
-        texts.append([])
-        tails.append([])
-        stack.append(n)
-        last[0] = None
-
-    def end(_):
-        n = stack.pop()
-        nodes[n]["subtree_end"] = len(nodes) - 1
-        last[0] = n
-
-    def data(text):
-        if last[0] is not None:
-            tails[last[0]].append(text)
-        elif stack:
-            texts[stack[-1]].append(text)
-
-    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, data
-    error = None
+    parser.StartElementHandler = lambda name, attributes: nodes.start(name.rpartition("}")[2], [(k.rpartition("}")[2], v) for k, v in attributes.items()], parser.CurrentLineNumber)
+    parser.EndElementHandler = lambda _: nodes.end()
+    parser.CharacterDataHandler = nodes.data
     try:
         parser.Parse(xml if xml is not None else "", True)
     except expat.ExpatError as e:
-        error = str(e)
-    for node, text, tail in zip(nodes, texts, tails, strict=True):
-        node["text"], node["tail"] = "".join(text) or None, "".join(tail) or None
-        del node["children"]
-    return nodes, error
+        return nodes, str(e)
+    return nodes, None
+
+
+# ---- the recovering reader
+
+_NAME = r"[^\s<>/=\"'&;!?]+"
+_OPEN, _CLOSE = re.compile(rf"<({_NAME})"), re.compile(rf"</\s*({_NAME})?[^<>]*(>?)")
+_ATTRIBUTE = re.compile(rf"\s*({_NAME})(?:\s*=\s*(?:\"([^\"<]*)\"|'([^'<]*)'|([^\s<>\"']+)))?")
+_REFERENCE = re.compile(r"&(?:#(\d+)|#x([0-9A-Fa-f]+)|([^\s&;<]+));|&")
+_REST = re.compile(r"[^<>]*?(/?)(>|(?=<)|\Z)")
+_ILLEGAL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
+# The entities that need no declaration.
+_KNOWN = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
+
+
+class _Recovery:
+    """Reads a text to its end, whatever is wrong with it, and writes down what was mended."""
+
+    def __init__(self, xml: str) -> None:
+        self.xml = xml.replace("\r\n", "\n").replace("\r", "\n")
+        self.nodes, self.log = Nodes(), []
+        self.line, self._counted = 1, 0
+        self.open: list[str] = []
+
+    def note(self, at: int, problem: str, subject: str, action: str) -> None:
+        self.log.append((self.line_at(at), problem, subject, action))
+
+    def line_at(self, at: int) -> int:
+        if at > self._counted:
+            self.line += self.xml.count("\n", self._counted, at)
+            self._counted = at
+        return self.line
+
+    def decoded(self, text: str, at: int) -> str:
+        if "&" in text:
+            text = _REFERENCE.sub(lambda m: self._reference(m, at), text)
+        if _ILLEGAL.search(text):
+            self.note(at, "illegal character", "", "dropped")
+            text = _ILLEGAL.sub("", text)
+        return text
+
+    def _reference(self, m: re.Match, at: int) -> str:
+        decimal, hexadecimal, name = m.groups()
+        if name:
+            return _KNOWN.get(name, m[0])  # others stay unresolved
+        if decimal or hexadecimal:
+            code = int(decimal or hexadecimal, 10 if decimal else 16) if len(decimal or hexadecimal) < 9 else -1
+            if code in (9, 10, 13) or 32 <= code < 0xD800 or 0xE000 <= code < 0xFFFE or 0x10000 <= code < 0x110000:
+                return chr(code)
+            self.note(at, "illegal character", m[0], "dropped")
+            return ""
+        self.note(at, "stray ampersand", "", "kept as text")
+        return "&"
 
+    def text(self, start: int, stop: int, literal: bool = False) -> None:
+        if start < stop:
+            piece = self.xml[start:stop]
+            if self.open:
+                self.nodes.data(_ILLEGAL.sub("", piece) if literal else self.decoded(piece, start))
+            elif piece.strip(" \t\n\ufeff"):
+                self.note(start, "text outside the root", "", "dropped")
 
-def walk_xml(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml") -> DataFrame:
+    def run(self) -> None:
+        xml, at, size = self.xml, 0, len(self.xml)
+        while at < size:
+            lt = xml.find("<", at)
+            self.text(at, lt if lt >= 0 else size)
+            if lt < 0:
+                break
+            at = self.markup(lt)
+        for tag in reversed(self.open):
+            self.note(size, "end tag is missing", tag, "closed at the end")
+            self.nodes.end()
+        self.open.clear()
+
+    def markup(self, at: int) -> int:
+        """Reads what begins with a '<'; returns where to go on."""
+        xml = self.xml
+        for begin, finish, what in (("<!--", "-->", "comment"), ("<![CDATA[", "]]>", "CDATA section"), ("<?", "?>", "processing instruction")):
+            if xml.startswith(begin, at):
+                stop = xml.find(finish, at + len(begin))
+                if stop < 0:
+                    self.note(at, f"{what} does not end", "", "kept as text" if what == "CDATA section" else "dropped")
+                    stop = len(xml)
+                if what == "CDATA section":
+                    self.text(at + len(begin), stop, literal=True)
+                return min(len(xml), stop + len(finish))
+        if xml.startswith("<!", at):
+            return self.declaration(at)
+        if xml.startswith("</", at):
+            return self.closing(at)
+        return self.opening(at)
+
+    def declaration(self, at: int) -> int:
+        stop, subset = self.xml.find(">", at), self.xml.find("[", at)
+        if 0 <= subset < stop:
+            stop = self.xml.find("]", subset)
+            stop = self.xml.find(">", stop) if stop >= 0 else -1
+        if stop < 0:
+            self.note(at, "declaration does not end", "", "dropped")
+            return len(self.xml)
+        return stop + 1
+
+    def closing(self, at: int) -> int:
+        m = _CLOSE.match(self.xml, at)
+        tag = _local(m[1] or "")
+        if not m[2]:
+            self.note(at, "tag does not end", tag, "ended there")
+        if tag in self.open:
+            while self.open[-1] != tag:
+                self.note(at, "end tag is missing", self.open.pop(), "closed")
+                self.nodes.end()
+            self.open.pop()
+            self.nodes.end()
+        else:
+            self.note(at, "end tag without a start", tag, "dropped")
+        return m.end()
+
+    def opening(self, at: int) -> int:
+        xml = self.xml
+        m = _OPEN.match(xml, at)
+        if not m:
+            self.note(at, "stray <", "", "kept as text" if self.open else "dropped")
+            if self.open:
+                self.nodes.data("<")
+            return at + 1
+        tag, stop = _local(m[1]), m.end()
+        attributes: dict[str, str] = {}
+        while a := _ATTRIBUTE.match(xml, stop):
+            name, value = a[1], next((v for v in a.groups()[1:] if v is not None), None)
+            if value is None:
+                self.note(at, "attribute without a value", name, "dropped")
+            elif a[4] is not None:
+                self.note(at, "attribute without quotes", name, "kept")
+            if name in attributes:
+                self.note(at, "attribute is repeated", name, "dropped")
+            elif value is not None and not name.startswith("xmlns"):
+                attributes[name] = self.decoded(re.sub(r"\s", " ", value), at)
+            stop = a.end()
+        rest = _REST.match(xml, stop)
+        if rest[0].strip(" \t\n/>"):
+            self.note(at, "tag holds something else", tag, "dropped")
+        if not rest[2]:
+            self.note(at, "tag does not end", tag, "ended there")
+        if not self.open and len(self.nodes.columns["tag"]):
+            self.note(at, "element after the root", tag, "dropped")
+            return self.skipped(rest.end(), tag, bool(rest[1]))
+        self.nodes.start(tag, [(_local(k), v) for k, v in attributes.items()], self.line_at(at))
+        if rest[1]:
+            self.nodes.end()
+        else:
+            self.open.append(tag)
+        return rest.end()
+
+    def skipped(self, at: int, tag: str, empty: bool) -> int:
+        """Past an element that is dropped with all that is in it."""
+        depth = 0 if empty else 1
+        tags = re.compile(rf"<(/?)(?:{_NAME}:)?{re.escape(tag)}(?=[\s/>])[^<>]*?(/?)>")
+        while depth and (m := tags.search(self.xml, at)):
+            depth += -1 if m[1] else 0 if m[2] else 1
+            at = m.end()
+        return len(self.xml) if depth else at
+
+
+def recovered(xml: str | None) -> tuple[Nodes, str | None, list[tuple]]:
+    """Nodes, an error only where there is no element at all, and (line, problem, subject, action) of what was mended."""
+    reader = _Recovery(xml or "")
+    reader.run()
+    return reader.nodes, None if reader.nodes.columns["tag"] else "no element found", reader.log
+
+
+def parse(xml: str | bytes | None, recover: bool = False) -> tuple[list[dict], str | None]:
+    """Nodes as dicts, and the error."""
+    nodes, error = recovered(xml)[:2] if recover else strict(xml)
+    columns = nodes.finish()
+    lists = {k: v if k not in ("path", "kids", "descendants", "below") else [list(x) for x in v] for k, v in columns.items()}
+    return [dict(zip(lists, row, strict=True)) for row in zip(*lists.values(), strict=True)], error
+
+
+# ---- tables
+
+
+def _batch(docs: list[str], columns: dict[str, list], errors: list[str | None]) -> pa.RecordBatch:
+    arrays = {c: pa.array(columns[c], t) for c, t in _TYPES.items()} | {"doc_id": pa.array(docs, pa.string()), "error": pa.array(errors, pa.string())}
+    return pa.record_batch([arrays[c] for c in _ORDER], _ORDER)
+
+
+def _texts(documents: DataFrame, id_col: str, xml_col: str) -> DataFrame:
+    return documents.select(F.col(id_col).cast("string").alias("doc_id"), F.col(xml_col).alias("xml"))
+
+
+def walk_xml(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml", recover: bool = False) -> DataFrame:
     """The nodes of each XML text; a text that doesn't parse gives one row with its error and no node."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs: list[str] = []
+        errors: list[str | None] = []
+        held: dict[str, list] = {c: [] for c in _OWN}
         for batch in batches:
-            rows = []
             for doc, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                nodes, error = parse(xml)
-                rows += [{"doc_id": doc, "error": error}] if error else [{"doc_id": doc, **n} for n in nodes]
-                if len(rows) > 50_000:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-                    rows = []
+                nodes, error = recovered(xml)[:2] if recover else strict(xml)
+                columns = nodes.finish() if not error else {c: [None] for c in _OWN}
+                n = len(columns["tag"])
+                docs += [doc] * n
+                errors += [error] * n
+                for c, values in columns.items():
+                    held[c] += values
+                if len(docs) >= ROWS:
+                    yield _batch(docs, held, errors)
+                    docs, errors, held = [], [], {c: [] for c in _OWN}
+        if docs:
+            yield _batch(docs, held, errors)
+
+    return _texts(documents, id_col, xml_col).mapInArrow(walk, NODES)
+
+
+def recovery_log(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml") -> DataFrame:
+    """(doc_id, seq, line, problem, subject, action): what the recovering reader met in each text, in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(doc, i, *entry) for doc, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, entry in enumerate(recovered(xml)[2])]
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+                doc, seq, line, problem, subject, action = zip(*rows, strict=True)
+                yield pa.record_batch([pa.array(doc, pa.string()), pa.array(seq, pa.int32()), pa.array(line, pa.int32()), *(pa.array(x, pa.string()) for x in (problem, subject, action))], [c.split()[0] for c in LOG.split(", ")])
 
-    return documents.select(F.col(id_col).cast("string").alias("doc_id"), F.col(xml_col).alias("xml")).mapInArrow(walk, NODES)
+    return _texts(documents, id_col, xml_col).mapInArrow(run, LOG)
 
 
 #: Elements whose white space counts, even where they hold no text of their own.
@@ -116,7 +390,7 @@ def indented(documents: DataFrame, id_col: str = "doc_id", xml_col: str = "xml")
                     out.append({"doc_id": doc, "well_formed": False, "error": str(e), "pretty": None})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.string()), ("well_formed", pa.bool_()), ("error", pa.string()), ("pretty", pa.string())]))
 
-    return documents.select(F.col(id_col).cast("string").alias("doc_id"), F.col(xml_col).alias("xml")).mapInArrow(run, "doc_id string, well_formed boolean, error string, pretty string")
+    return _texts(documents, id_col, xml_col).mapInArrow(run, "doc_id string, well_formed boolean, error string, pretty string")
 
 
 def tag_scan(pages: DataFrame, tags: str = "h1|p|li") -> DataFrame:

@@ -67,3 +67,28 @@ def test_outline_drops_what_comes_before(spark):
 
 def test_empty(spark):
     assert numbering.numbered(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_slices_number_like_whole_documents(spark):
+    """Documents cut over many slices, in one case unevenly, give the numbers of the state machine."""
+    rng = random.Random(9)
+    docs = {f"d{i}": [e for _ in range(6) for e in random_document(rng)] for i in range(12)} | {"none": [("paragraph", 0, "bullet")] * 40, "deep": [("paragraph", 4, None)] * 9 + [("image", 0, None)] * 9}
+    rows = [(d, p, k, "t", lv, ls, p // 8 if d != "d3" else [0, 0, 1, 5, 5, 6, 9][min(6, p // 9)]) for d, x in docs.items() for p, (k, lv, ls) in enumerate(x)]
+    frame = spark.createDataFrame(rows, SCHEMA + ", slice long")
+    got = {(r.doc_id, r.pos): r for r in numbering.numbered(frame, place="place").collect()}
+    for d, x in docs.items():
+        images = tables = 0
+        before = None
+        for p, want in enumerate(machine(x)):
+            r = got[d, p]
+            assert (r.chapter_no, r.section_no, r.depth, r.list_id, r.kind_no) == want and r.place == p
+            images, tables = images + (x[p][0] == "image"), tables + (x[p][0] == "table")
+            assert r.global_no == {"image": images, "table": tables}.get(x[p][0])
+            last = p + 1 == len(x) or got[d, p + 1].own_list != r.own_list
+            assert r.list_start == int(r.own_list is not None and r.own_list != before) and r.list_end == (r.own_list is not None and last)
+            before = r.own_list
+
+
+def test_null_documents_are_one_document(spark):
+    rows = [(None, i, "paragraph", "t", 1, None) for i in range(3)]
+    assert sorted(r.chapter_no for r in numbering.numbered(spark.createDataFrame(rows, SCHEMA)).collect()) == [1, 2, 3]
