@@ -80,8 +80,9 @@ def _root(squares: np.ndarray) -> np.ndarray:
     """Roots as floats, infinite beyond them; they only bound."""
     if squares.dtype != object:
         return np.sqrt(squares.astype("f8"))
-    roots = [math.isqrt(int(v)) for v in squares.ravel()]
-    return np.array([float(v) if v < LARGE else math.inf for v in roots], "f8").reshape(squares.shape)
+    squares, shape = squares.ravel(), squares.shape
+    roots = [math.sqrt(v) if v < LARGE else float(math.isqrt(v)) if v < LARGE * LARGE else math.inf for v in map(int, squares)]
+    return np.array(roots, "f8").reshape(shape)
 
 
 def clustered(entries: np.ndarray, groups: int = GROUPS, steps: int = 10) -> np.ndarray:
@@ -104,7 +105,7 @@ def assign(x: np.ndarray, book: np.ndarray, group: np.ndarray, moved: np.ndarray
     """
     members = [np.flatnonzero(group == g) for g in range(GROUPS)]
     if fresh:
-        upper[:], lower[:] = np.inf, -np.inf
+        upper[:], lower[:] = np.inf, [-np.inf if len(m) else np.inf for m in members]
         todo = np.arange(len(x))
     else:
         upper += moved[entry]
