@@ -9,7 +9,8 @@ from __future__ import annotations
 import io
 import struct
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
+from typing import BinaryIO
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -107,10 +108,24 @@ def _table(t) -> dict:
     return {"part": "table", "cells": rows}
 
 
-def parts(content: bytes) -> Iterator[dict]:
-    """Rows of one document: body elements, media, relationships, properties, or one error row."""
+#: Kinds of rows of a document.
+KINDS = ("document", "paragraph", "table", "media", "rel", "property", "error")
+
+
+def parts(content: bytes | BinaryIO, wanted: Collection[str] = KINDS) -> Iterator[dict]:
+    """Rows of one document, of the wanted kinds: body elements, media, relationships, properties, or one error row.
+
+    Only members of the archive that the wanted kinds need are unpacked, and
+    the main one, which decides whether the document can be read.
+    """
+    for row in _parts(content, wanted):
+        if row["part"] in wanted:
+            yield row
+
+
+def _parts(content: bytes | BinaryIO, wanted: Collection[str]) -> Iterator[dict]:
     try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
+        archive = zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes | bytearray) else content)
         names = archive.namelist()
         body = ElementTree.fromstring(archive.read("word/document.xml")).find(W + "body")
     except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
@@ -118,18 +133,18 @@ def parts(content: bytes) -> Iterator[dict]:
         return
     yield {"part": "document"}
     styles = {}
-    if "word/styles.xml" in names:
+    if "word/styles.xml" in names and "paragraph" in wanted:
         for s in ElementTree.fromstring(archive.read("word/styles.xml")).iter(W + "style"):
             name = s.find(W + "name")
             if name is not None:  # built-in headings are stored in lower case
                 styles[s.get(W + "styleId")] = (name.get(W + "val") or "").replace("heading ", "Heading ")
     for i, e in enumerate(body if body is not None else ()):
-        if e.tag == W + "p":
+        if e.tag == W + "p" and "paragraph" in wanted:
             yield {"idx": i, **_paragraph(e, styles)}
-        elif e.tag == W + "tbl":
+        elif e.tag == W + "tbl" and "table" in wanted:
             yield {"idx": i, **_table(e)}
     for i, name in enumerate(names):
-        if name.startswith("word/media/"):
+        if name.startswith("word/media/") and "media" in wanted:
             data = archive.read(name)
             width, height = image_size(data)
             yield {"part": "media", "idx": i, "name": name, "width": width, "height": height, "data": data}
