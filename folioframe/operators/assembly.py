@@ -1,8 +1,10 @@
 """Ordered assembly of numbered elements into one XML text per document.
 
-Every element becomes the text that it opens, holds and closes; a window gives
-which sections and lists end before it, and one ordered aggregation per
-document joins the texts.
+Every element becomes the text that it opens, holds and closes; the numbering
+tells which sections and lists end before it. The texts are joined as a tree:
+BLOCK neighbours at a time, then the blocks. So no task sorts all pieces of a
+document, and only its blocks meet where its one text is made. References are
+resolved by joining those that occur, not by a map of all targets.
 """
 
 from __future__ import annotations
@@ -13,13 +15,22 @@ from pyspark.sql import functions as F
 from ..functions.text import BOOK_DEFAULTS, clean_text, escaped, extension, filled, padded, person_name
 from ..storage import stored
 from .numbering import chapter_code, numbered, sections
-from .references import paragraph_xml, target_maps, targets
+from .references import paragraph_xml, row_links, targets
 
 # The document type that packages declare.
 PUBLIC_ID = "-//RIS Dev//DTD DocBook V4.3 -Based Variant V1.1//EN"
 SYSTEM_ID = "http://LOCALHOST/dtd/V1.1/RittDocBook.dtd"
 PROLOG = f'<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE book PUBLIC "{PUBLIC_ID}"\n  "{SYSTEM_ID}">\n'
 MEDIA = "multimedia/"
+#: Places of neighbouring pieces that are joined first.
+BLOCK = 4096
+
+
+def joined(pieces: DataFrame, order: list[str], text: str = "xml", block: int = BLOCK) -> DataFrame:
+    """(doc_id, text): the pieces of each document, joined in order; the first column of order holds places from 0 on."""
+    inside = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, text))), lambda p: p[text]), "")
+    blocks = pieces.groupBy("doc_id", F.floor(F.col(order[0]) / block).alias("block")).agg(inside.alias(text))
+    return blocks.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", text))), lambda p: p[text]), "").alias(text))
 
 
 def element(tag: str, body, attributes: str = ""):
@@ -95,9 +106,8 @@ def _closing(depth):
 
 
 def fragments(rows: DataFrame) -> DataFrame:
-    """(doc_id, pos, xml) of numbered elements that carry links (a map, may be null), doc_title, caption, rows, header_rows and filename."""
-    doc = Window.partitionBy("doc_id").orderBy("pos")
-    rows = rows.withColumn("first_row", F.row_number().over(doc) == 1).withColumn("depth_end", F.lag("depth").over(doc))
+    """(doc_id, pos, place, depth, xml) of numbered elements that carry place, links (a map, may be null), doc_title, caption, rows, header_rows and filename."""
+    rows = rows.withColumn("first_row", F.col("place") == 0).withColumn("depth_end", F.col("depth_before"))
     own = F.col("own_level")
     at = F.coalesce(F.col("depth_before"), F.lit(0))
     target = F.least(own, F.lit(4)) - 1
@@ -127,7 +137,7 @@ def fragments(rows: DataFrame) -> DataFrame:
         F.when(F.col("is_heading"), heading).when(F.col("own_list").isNotNull(), item).when(F.col("kind") == "image", figure_xml(F.col("elem_id"), F.col("caption"), F.col("kind_no"), F.col("filename")))
         .when(F.col("kind") == "table", table_xml(F.col("elem_id"), F.col("caption"), F.col("kind_no"), F.col("rows"), F.col("header_rows"))).when(F.trim(F.coalesce("text", F.lit(""))) == "", "").otherwise(para)
     )
-    return rows.select("doc_id", "pos", "depth", F.concat(implicit, body).alias("xml"))
+    return rows.select("doc_id", "pos", "place", "depth", F.concat(implicit, body).alias("xml"))
 
 
 def contents(rows: DataFrame) -> DataFrame:
@@ -149,17 +159,17 @@ def contents(rows: DataFrame) -> DataFrame:
     tag = F.when(F.col("depth") == 0, "tocchap").otherwise(F.concat(F.lit("toclevel"), F.col("depth").cast("string")))
     link = F.when(F.col("depth") == 0, chapter_code()).otherwise(F.concat(chapter_code(), padded("s", F.col("section_no"), 4)))
     entry = F.concat(F.lit("<"), tag, F.lit('><tocentry linkend="'), link, F.lit('">'), escaped(F.col("title")), F.lit("</tocentry>"), ends(F.col("depth"), F.coalesce("after", F.lit(-1))))
-    joined = every.select("doc_id", "chapter_no", "section_no", entry.alias("x")).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chapter_no", "section_no", "x"))), lambda s: s["x"]), "").alias("x"))
-    return joined.select("doc_id", element("toc", F.concat(F.lit("<title>Table of Contents</title>"), F.col("x"))).alias("toc"))
+    listed = every.select("doc_id", (F.row_number().over(order) - 1).alias("place"), entry.alias("x"))
+    return joined(listed, ["place"], "x").select("doc_id", element("toc", F.concat(F.lit("<title>Table of Contents</title>"), F.col("x"))).alias("toc"))
 
 
 def assemble(elements: DataFrame, documents: DataFrame, year: str) -> DataFrame:
     """(doc_id, xml): elements (numbered here) with media_name and caption columns, documents (doc_id, title, authors, metadata)."""
-    rows = numbered(elements).join(documents.select("doc_id", F.col("title").alias("doc_title")), "doc_id", "left")
+    rows = numbered(elements, place="place").join(documents.select("doc_id", F.col("title").alias("doc_title")), "doc_id", "left")
     rows = stored(rows.withColumn("filename", figure_file(F.col("elem_id"), extension(F.coalesce("media_name", F.lit(""))))))  # read four times
-    rows = rows.join(target_maps(targets(rows)), "doc_id", "left")
-    pieces = fragments(rows)
-    body = pieces.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "xml"))), lambda s: s["xml"]), "").alias("body"), F.max_by("depth", "pos").alias("depth"))
+    pieces = fragments(rows.join(row_links(rows, targets(rows)), ["doc_id", "pos"], "left"))
+    last = rows.groupBy("doc_id").agg(F.max_by("depth", "pos").alias("depth"))
+    body = joined(pieces.where("xml <> ''"), ["place"]).withColumnRenamed("xml", "body").join(last, "doc_id")
     out = book_info(documents, year).join(body, "doc_id", "left").join(contents(rows), "doc_id", "left")
     inner = F.concat(F.col("bookinfo"), F.coalesce("toc", F.lit("")), F.when(F.col("body").isNull(), "").otherwise(F.concat("body", _closing(F.col("depth")), F.lit("</chapter>"))))
     return out.select("doc_id", F.concat(F.lit(PROLOG), F.lit('<book id="b001">'), inner, F.lit("</book>\n")).alias("xml"))

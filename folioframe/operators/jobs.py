@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .reports import TERMINAL
@@ -45,3 +45,39 @@ def cancel(events: DataFrame, job_ids: list[str], at) -> DataFrame:
     """Events that cancel jobs which have not ended."""
     state = fold(events).where(F.col("job_id").isin(job_ids) & ~F.col("status").isin(TERMINAL))
     return state.select("job_id", F.lit(1 << 40).alias("seq"), at.alias("ts"), "filename", F.lit("cancelled").alias("status"), "progress", F.lit(None).cast("string").alias("error"), F.array().cast("array<string>").alias("output_files"), F.create_map().cast("map<string,double>").alias("metrics"))
+
+
+#: Place of each state in the sequence.
+RANK = {name: i for i, (name, _) in enumerate(STAGES)}
+
+
+def verdict(before: str | None, after: str) -> str:
+    """What a step from one state to the next is, by the sequence of stages."""
+    if before in TERMINAL:
+        return "after the end"
+    if after in TERMINAL and after not in RANK:
+        return "stopped"
+    if after not in RANK or (before is not None and before not in RANK):
+        return "unknown"
+    step = RANK[after] - (RANK[before] if before is not None else -1)
+    return "repeated" if step == 0 else "next" if step == 1 else "skipped" if step > 1 else "back"
+
+
+def transitions(events: DataFrame) -> DataFrame:
+    """(job_id, seq, ts, before, status, verdict): each event that names a state, held against the sequence of stages.
+
+    Events count by (ts, seq); the first terminal state stays the one before all that follows.
+    """
+    rows = events.where(F.coalesce("status", F.lit("")) != "").select("job_id", "seq", "ts", "status")
+    by = Window.partitionBy("job_id").orderBy("ts", "seq")
+    earlier = by.rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.first(F.when(F.col("status").isin(TERMINAL), F.col("status")), ignorenulls=True).over(earlier)
+    rows = rows.withColumn("before", F.coalesce(ended, F.lag("status").over(by)))
+    rank = F.create_map(*(F.lit(x) for pair in RANK.items() for x in pair))
+    to, since = F.try_element_at(rank, F.col("status")), F.when(F.col("before").isNull(), -1).otherwise(F.try_element_at(rank, F.col("before")))
+    step = to - since
+    said = (
+        F.when(F.col("before").isin(TERMINAL), "after the end").when(F.col("status").isin(TERMINAL) & to.isNull(), "stopped").when(step.isNull(), "unknown")
+        .when(step == 0, "repeated").when(step == 1, "next").when(step > 1, "skipped").otherwise("back")
+    )
+    return rows.select("job_id", "seq", "ts", "before", "status", said.alias("verdict"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import REFERENCE, escaped, inline_tokens, reference_kind, reference_number, references
+from ..functions.text import REFERENCE, clean_text, escaped, inline_tokens, reference_kind, reference_number, references
 
 
 def reference_rows(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -31,6 +31,14 @@ def target_maps(ids: DataFrame) -> DataFrame:
     return ids.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(" ", "kind", F.col("n").cast("string")), "linkend"))).alias("links"))
 
 
+def row_links(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, pos, links): for each element whose text refers to figures or tables of its document, those targets as a map from 'kind n'."""
+    texts = rows.select("doc_id", "pos", clean_text(F.col("text")).alias("text")).where(F.col("text").rlike(REFERENCE))
+    wanted = reference_rows(texts).select("doc_id", "pos", "kind", "n").distinct()
+    found = wanted.join(ids, ["doc_id", "kind", "n"])
+    return found.groupBy("doc_id", "pos").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(" ", "kind", F.col("n").cast("string")), "linkend"))).alias("links"))
+
+
 def _target(ref, links):
     kind = F.when(F.lower(ref).startswith("fig"), "figure").otherwise("table")
     return F.try_element_at(links, F.concat_ws(" ", kind, F.coalesce(reference_number(F.regexp_extract(ref, REFERENCE, 2)).cast("string"), F.lit(""))))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import escaped
+from .assembly import joined
 from .structure import subtree_text
 
 __all__ = ["placeholder", "render_html", "subtree_text", "xml_counts"]
@@ -62,7 +63,7 @@ def render_html(nodes: DataFrame) -> DataFrame:
     finish = cat(closing, F.when(inline, escaped(F.col("tail"))).otherwise(""))
     events = F.array(F.struct(F.col("node_id").alias("at"), F.lit(0).alias("turn"), F.lit(0).alias("inner"), begin.alias("html")), F.struct(F.col("subtree_end").alias("at"), F.lit(1).alias("turn"), (-F.col("node_id")).alias("inner"), finish.alias("html")))
     pieces = rows.select("doc_id", F.explode(events).alias("e")).where("e.html <> ''")
-    body = pieces.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["html"]), "").alias("body"))
+    body = joined(pieces.select("doc_id", "e.*"), ["at", "turn", "inner"], "html").withColumnRenamed("html", "body")
     return body.select("doc_id", cat('<div class="docbook-content">', F.col("body"), "</div>").alias("html"))
 
 

@@ -329,6 +329,20 @@ def job_state(spark, sf_dir):
     return state.select("job_id", "status", F.round("progress", 4).alias("progress"), F.size("metrics").alias("n_metrics"), F.round(total, 4).alias("metric_sum"))
 
 
+@query("""
+WITH s AS (SELECT CAST(user_id AS VARCHAR) AS job_id, event_id AS seq, ts, CASE event_type WHEN 'signup' THEN 'pending' WHEN 'click' THEN 'processing' WHEN 'view' THEN 'converting' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'extracting' END AS status FROM events),
+b AS (SELECT *, coalesce(first_value(CASE WHEN status IN ('completed', 'failed') THEN status END IGNORE NULLS) OVER (PARTITION BY job_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lag(status) OVER (PARTITION BY job_id ORDER BY ts, seq)) AS before FROM s),
+r AS (SELECT *, list_position(['pending', 'processing', 'extracting', 'converting', 'completed'], status) AS t, coalesce(list_position(['pending', 'processing', 'extracting', 'converting', 'completed'], before), 0) AS f FROM b)
+SELECT job_id, seq, before, status, CASE WHEN before IN ('completed', 'failed') THEN 'after the end' WHEN status = 'failed' THEN 'stopped' WHEN t = f THEN 'repeated' WHEN t = f + 1 THEN 'next' WHEN t > f THEN 'skipped' ELSE 'back' END AS verdict FROM r
+""")
+def job_transitions(spark, sf_dir):
+    """Users as jobs, their events as stages: which steps follow the sequence."""
+    names = F.create_map(*(F.lit(x) for x in ("signup", "pending", "click", "processing", "view", "converting", "purchase", "completed", "error", "failed")))
+    log = adapters.event_log(table(spark, sf_dir, "events")).drop("status")
+    kinds = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.coalesce(F.try_element_at(names, F.col("event_type")), F.lit("extracting")).alias("status"))
+    return jobs.transitions(log.join(kinds, "seq")).select("job_id", "seq", "before", "status", "verdict")
+
+
 # ---- rules on tables
 
 
@@ -659,7 +673,35 @@ def _conversation_xml(spark, sf_dir):
     return stored(assembly.assemble(rows, docs, "2024"))
 
 
-@query()
+_CLEAN = r"trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g'), '\s+', ' ', 'g'))"
+#: Conversations as books: their texts hold no markers and no references.
+_TALKS = f"""t AS (
+  SELECT CAST(conv_id AS VARCHAR) AS doc_id, turn, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 0 END AS level, replace(replace(replace(replace({_CLEAN}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS x FROM conversations
+), c AS (
+  SELECT *, row_number() OVER w = 1 AS first, sum(CASE WHEN level = 1 THEN 1 ELSE 0 END) OVER w + CASE WHEN first_value(level) OVER w <> 1 THEN 1 ELSE 0 END AS chapter,
+         coalesce(last_value(CASE WHEN level > 0 THEN level - 1 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS depth FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY turn ROWS UNBOUNDED PRECEDING)
+), n AS (
+  SELECT *, sum(CASE WHEN level = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, chapter ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section FROM c
+), b AS (
+  SELECT doc_id, string_agg(CASE WHEN first AND level <> 1 THEN '<chapter id="ch0001"><title>Talk</title>' ELSE '' END
+      || CASE level WHEN 1 THEN CASE WHEN first THEN '' ELSE CASE depth WHEN 1 THEN '</sect1>' ELSE '' END || '</chapter>' END || printf('<chapter id="ch%04d"><title>', CAST(chapter AS INT)) || x || '</title>'
+        WHEN 2 THEN CASE depth WHEN 1 THEN '</sect1>' ELSE '' END || printf('<sect1 id="ch%04ds%04d"><title>', CAST(chapter AS INT), CAST(section AS INT)) || x || '</title>' ELSE CASE x WHEN '' THEN '' ELSE '<para>' || x || '</para>' END END, '' ORDER BY turn)
+    || CASE coalesce(arg_max(level, turn) FILTER (level > 0), 1) WHEN 2 THEN '</sect1>' ELSE '' END || '</chapter>' AS body FROM n GROUP BY doc_id
+), e AS (
+  SELECT doc_id, turn, chapter, section, level - 1 AS depth, x FROM n WHERE level > 0 UNION ALL SELECT doc_id, -1, 1, 0, 0, 'Talk' FROM n WHERE first AND level <> 1
+), k AS (
+  SELECT doc_id, '<toc><title>Table of Contents</title>' || string_agg(x, '' ORDER BY chapter, section) || '</toc>' AS toc FROM (
+    SELECT doc_id, chapter, section, CASE depth WHEN 0 THEN printf('<tocchap><tocentry linkend="ch%04d">', CAST(chapter AS INT)) ELSE printf('<toclevel1><tocentry linkend="ch%04ds%04d">', CAST(chapter AS INT), CAST(section AS INT)) END || x || '</tocentry>'
+      || CASE depth WHEN 1 THEN '</toclevel1>' ELSE '' END || CASE WHEN coalesce(lead(depth) OVER (PARTITION BY doc_id ORDER BY chapter, section), -1) <= 0 THEN '</tocchap>' ELSE '' END AS x FROM e
+  ) GROUP BY doc_id
+), books AS (
+  SELECT doc_id, '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<!DOCTYPE book PUBLIC "{assembly.PUBLIC_ID}"' || chr(10) || '  "{assembly.SYSTEM_ID}">' || chr(10)
+    || '<book id="b001"><bookinfo><isbn>0000000000000</isbn><title>Talk</title><authorgroup><author><personname><firstname>Ada B</firstname><surname>Lovelace</surname></personname></author></authorgroup><publisher><publishername>Unknown Publisher</publishername></publisher><pubdate>2024</pubdate>'
+    || '<edition>1st Edition</edition><copyright><year>2024</year><holder>Copyright Holder</holder></copyright></bookinfo>' || toc || body || '</book>' || chr(10) AS xml FROM b JOIN k USING (doc_id)
+)"""
+
+
+@query(f"WITH {_TALKS} SELECT doc_id, xml FROM books")
 def xml_assembly(spark, sf_dir):
     return _conversation_xml(spark, sf_dir)
 
@@ -685,7 +727,7 @@ def html_render(spark, sf_dir):
     return render_html(stored(walk_xml(_conversation_xml(spark, sf_dir))))
 
 
-@query()
+@query(f"WITH {_TALKS} SELECT doc_id, CAST(len(string_split(xml, chr(10))) AS INT) AS n_lines, CAST(length(xml) AS INT) AS n_chars FROM books")
 def xml_sizes(spark, sf_dir):
     return xml_counts(_conversation_xml(spark, sf_dir))
 
