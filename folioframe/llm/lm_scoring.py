@@ -188,17 +188,20 @@ class Mixer:
 
     def inputs(self, value: np.ndarray, leave_out: bool = False):
         """The predictors' logits (each runs x 8 bits), the two mixers' gates and the rows of their adaptive tables."""
-        less = (byte_bits(value) << 16).astype("i4") if leave_out else None
-        logits, longest, often = [], np.zeros((len(value), 8), "i8"), np.zeros((len(value), 8), "u1")
+        less = byte_bits(value) << 16 if leave_out else None
+        logit_of, seen_of = (LOGIT_LESS, SEEN_LESS) if leave_out else (LOGIT, SEEN)
+        logits, longest, often = [], np.zeros((len(value), 8), "u1"), np.zeros((len(value), 8), "u1")
         for k, slots in enumerate(self.tables.places(value)):
-            state = self.states[slots].astype("i4")
+            state = self.states.take(slots).astype("i8")  # the type that indexes need
             if leave_out:
                 state += less
-            logits.append((LOGIT_LESS if leave_out else LOGIT)[state])
+            logits.append(logit_of.take(state))
             if k < ORDERS:
-                seen = (SEEN_LESS if leave_out else SEEN)[state]
-                there = (seen > 0) & (longest == k)  # a longer context is seen only where the shorter ones are
-                longest += there
+                seen = seen_of.take(state)
+                there = seen > 0
+                if k:
+                    there &= longest == k  # a longer context is seen only where the shorter ones are
+                longest += there.view("u1")
                 np.copyto(often, seen, where=there)
         prefix = prefixes(value)
         gates = [(np.arange(8) * INPUTS + longest) * 3 + np.maximum(often, 1) - 1, prefix]
@@ -206,9 +209,9 @@ class Mixer:
 
     def mix(self, logits: list[np.ndarray], gate: np.ndarray, which: int) -> np.ndarray:
         weights = self.weights[which].T.copy()
-        z = weights[INPUTS][gate]
+        z = weights[INPUTS].take(gate)
         for x, w in zip(logits, weights, strict=False):
-            z += x * w[gate]
+            z += x * w.take(gate)
         return z
 
     def learn(self, value: np.ndarray, count: np.ndarray) -> None:
@@ -247,7 +250,7 @@ class Mixer:
             for which in (0, 1):
                 z = self.mix(logits, gates[which], which)
                 p, cell = squash(z), rows[which] * BUCKETS + bucket(z)
-                q = (ones[which].ravel()[cell] + PRIOR * p) / (sure[which].ravel()[cell] + PRIOR)
+                q = (ones[which].ravel().take(cell) + PRIOR * p) / (sure[which].ravel().take(cell) + PRIOR)
                 p = np.clip((p + q) / 2, 1e-4, 1 - 1e-4)
                 out[a : a + STEP, which] = np.where(is_one, p, 1 - p).prod(axis=1)
         return out
