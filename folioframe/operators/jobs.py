@@ -17,6 +17,11 @@ def created(files: DataFrame, at) -> DataFrame:
     return files.select(F.substring(F.expr("uuid()"), 1, 8).alias("job_id"), F.lit(0).cast("long").alias("seq"), at.alias("ts"), "filename", F.lit("pending").alias("status"), F.lit(0.0).alias("progress"), none.cast("string").alias("error"), F.array().cast("array<string>").alias("output_files"), F.create_map().cast("map<string,double>").alias("metrics"))
 
 
+def parsed_metrics(text):
+    """Metrics written as a JSON object of numbers, as a map; null where it is none."""
+    return F.from_json(text, "map<string,double>")
+
+
 def fold(events: DataFrame) -> DataFrame:
     """The latest state of each job by (ts, seq).
 

@@ -39,10 +39,17 @@ def _has(tags: str, tag: str):
     return F.array_contains(tags, tag)
 
 
-def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+def used_again(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The rows (doc_id, ident, ...) whose identifier an earlier row of their document has, by the order of some columns."""
+    return rows.withColumn("turn", F.row_number().over(Window.partitionBy("doc_id", "ident").orderBy(*order))).where("turn > 1").drop("turn")
+
+
+def findings(nodes: DataFrame, documents: DataFrame | None = None, excluded: list[str] = EXCLUDED, titled_tags: list[str] = TITLED, required_attributes: dict[str, str] = REQUIRED) -> DataFrame:
     """All findings: doc_id, node_id, check_ord, line_number, error_type, error_description, severity.
 
     documents (doc_id, xml) adds those about the document type, on line 1.
+    Other document types have other excluded elements, elements with titles and
+    required attributes.
     """
     broken = nodes.where("error IS NOT NULL").select("doc_id", F.lit(None).cast("int").alias("node_id"), F.lit(0).alias("check_ord"), F.lit(None).cast("int").alias("line_number"), F.lit("XML Parse Error").alias("error_type"), F.col("error").alias("error_description"), F.lit("Error").alias("severity"))
     rows = nodes.where("error IS NULL")
@@ -50,7 +57,7 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     ident = F.coalesce(attrs["id"], F.lit(""))
     form = _lookup(ID_FORMS)
     parent = F.try_element_at("path", F.lit(-1))
-    required = _lookup(REQUIRED)
+    required = _lookup(required_attributes)
     cols = attrs["cols"]
     fileref = F.coalesce(attrs["fileref"], F.lit(""))
     table = (tag == "table") & _has("kids", "tgroup")
@@ -66,8 +73,8 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     titled = _has("kids", "title") | ((tag == "book") & _has("below", "bookinfo/title"))
     order_wrong = ((tag == "sect2") & ~parent.eqNullSafe(F.lit("sect1"))) | ((tag == "sect3") & ~parent.eqNullSafe(F.lit("sect2")))
     checks = [
-        finding(1, "Excluded Element", "Error", tag.isin(EXCLUDED), says("<", tag, "> is not part of the document type")),
-        finding(2, "Missing Title", "Error", tag.isin(TITLED) & ~titled, says("<", tag, "> has no title")),
+        finding(1, "Excluded Element", "Error", tag.isin(excluded), says("<", tag, "> is not part of the document type")),
+        finding(2, "Missing Title", "Error", tag.isin(titled_tags) & ~titled, says("<", tag, "> has no title")),
         finding(3, "Missing Attribute", "Error", required.isNotNull() & ~F.array_contains(F.map_keys(attrs), required), says("<", tag, "> has no attribute ", required)),
         finding(5, "Invalid ID Format", "Warning", (ident != "") & form.isNotNull() & ~F.regexp_like(ident, form), says("identifier ", ident, " of <", tag, "> is not of the form ", form)),
         finding(6, "Invalid Figure Structure", "Error", (tag == "figure") & missing_link.isNotNull(), says("figure has no ", missing_link)),
@@ -84,8 +91,7 @@ def findings(nodes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     of_table = F.col("f.check_ord") == 8
     found = found.select("doc_id", F.when(of_table, F.col("parent_id")).otherwise(F.col("node_id")).alias("node_id"), "f.check_ord", F.when(of_table, F.col("parent_line")).otherwise(F.col("line")).alias("line_number"), "f.error_type", "f.error_description", "f.severity")
     again = rows.where(form.isNotNull() & (ident != "")).select("doc_id", "node_id", F.col("line").alias("line_number"), ident.alias("ident"))
-    again = again.withColumn("turn", F.row_number().over(Window.partitionBy("doc_id", "ident").orderBy("node_id"))).where("turn > 1")
-    again = again.select("doc_id", "node_id", F.lit(4).alias("check_ord"), "line_number", F.lit("Duplicate ID").alias("error_type"), says("identifier ", F.col("ident"), " was used before").alias("error_description"), F.lit("Error").alias("severity"))
+    again = used_again(again, ["node_id"]).select("doc_id", "node_id", F.lit(4).alias("check_ord"), "line_number", F.lit("Duplicate ID").alias("error_type"), says("identifier ", F.col("ident"), " was used before").alias("error_description"), F.lit("Error").alias("severity"))
     out = broken.unionByName(found).unionByName(again)
     return out.unionByName(doctype_findings(documents, broken)) if documents is not None else out
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import text as fn
 from .operators import assembly, jobs, numbering, references, reports
 from .operators.conformance import refused
-from .operators.validation import EXCLUDED, findings, validity, verifications
+from .operators.validation import EXCLUDED, findings, used_again, validity, verifications
 from .operators.rendering import render_html, xml_counts
 from .operators.structure import structural_join, subtree_text
 from .plans.convert import convert
@@ -314,7 +314,7 @@ def failed_jobs(spark, sf_dir):
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_metrics(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    return table(spark, sf_dir, "events").select("event_id", F.try_element_at(jobs.parsed_metrics(F.col("props")), F.lit("k")).cast("long").alias("k"))
 
 
 @query("""
@@ -346,13 +346,18 @@ def job_transitions(spark, sf_dir):
 # ---- rules on tables
 
 
+def _page_texts(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.col("html").alias("xml"))
+
+
 @query("""
 WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS k FROM lineitem)
 SELECT l_orderkey, l_linenumber, count(*) - 1 AS repeats FROM r GROUP BY 1, 2 HAVING max(k) > 1
 """)
 def duplicate_ids(spark, sf_dir):
-    order = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax")
-    return table(spark, sf_dir, "lineitem").withColumn("k", F.row_number().over(order)).where("k > 1").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("repeats"))
+    rows = table(spark, sf_dir, "lineitem").withColumns({"doc_id": F.col("l_orderkey"), "ident": F.col("l_linenumber")})
+    again = used_again(rows, ["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax"])
+    return again.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("repeats"))
 
 
 @query(f"""
@@ -360,14 +365,19 @@ WITH t AS (SELECT page_id, unnest(regexp_extract_all(lower(coalesce(html, '')),
 SELECT page_id, tag, count(*) AS n FROM t WHERE tag IN ({", ".join(f"'{x}'" for x in EXCLUDED)}) GROUP BY 1, 2
 """)
 def excluded_tags(spark, sf_dir):
-    tags = F.explode(F.regexp_extract_all(F.lower(F.coalesce("html", F.lit(""))), F.lit("<([a-z0-9]+)[ >]"), F.lit(1)))
-    return table(spark, sf_dir, "pages").select("page_id", tags.alias("tag")).where(F.col("tag").isin(EXCLUDED)).groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+    """Pages read by the recovering reader, under the rule about elements that the type leaves out."""
+    nodes = walk_xml(_page_texts(spark, sf_dir), recover=True).withColumn("tag", F.lower("tag"))
+    found = findings(nodes).where("check_ord = 1").join(nodes.select("doc_id", "node_id", "tag"), ["doc_id", "node_id"])
+    return found.groupBy(F.col("doc_id").cast("long").alias("page_id"), "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber = 1)")
 def missing_title(spark, sf_dir):
-    titles = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, sf_dir, "orders").select("o_orderkey").join(titles, "o_orderkey", "left_anti")
+    """Orders as chapters whose first line is the title, under the rule about titles."""
+    line = F.when(F.col("l_linenumber") == 1, "<title>t</title>").otherwise("<para>p</para>")
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_join(F.collect_list(line), "").alias("inner"))
+    books = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select(F.col("o_orderkey").alias("doc_id"), F.concat(F.lit("<chapter id='ch0001'>"), F.coalesce("inner", F.lit("")), F.lit("</chapter>")).alias("xml"))
+    return findings(walk_xml(books)).where("check_ord = 2").select(F.col("doc_id").cast("long").alias("o_orderkey"))
 
 
 @query(r"""
@@ -375,9 +385,12 @@ WITH a AS (SELECT page_id, unnest(regexp_extract_all(coalesce(html, ''), '<a(\s[
 SELECT page_id, count(*) FILTER (NOT contains(tag, 'href=')) AS no_href, count(*) FILTER (regexp_matches(tag, 'href="[^"]*"') AND NOT regexp_matches(tag, 'href="(https?://|/|#)[^"]*"')) AS odd_href, count(*) AS links FROM a GROUP BY 1
 """)
 def required_attribute(spark, sf_dir):
-    tag = F.col("tag")
-    links = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"<a(\s[^>]*)?>"), F.lit(0))).alias("tag"))
-    return links.groupBy("page_id").agg(F.count_if(~tag.contains("href=")).alias("no_href"), F.count_if(tag.rlike('href="[^"]*"') & ~tag.rlike('href="(https?://|/|#)[^"]*"')).alias("odd_href"), F.count(F.lit(1)).alias("links"))
+    """Links of pages read by the recovering reader, under the rule about attributes that elements need."""
+    nodes = stored(walk_xml(_page_texts(spark, sf_dir), recover=True).where("tag = 'a'"))
+    bare = findings(nodes, required_attributes={"a": "href"}).where("check_ord = 3").select("doc_id", "node_id", F.lit(True).alias("bare"))
+    href = F.col("attrs")["href"]
+    links = nodes.select("doc_id", "node_id", (href.isNotNull() & ~href.rlike("^(https?://|/|#)")).alias("odd")).join(bare, ["doc_id", "node_id"], "left")
+    return links.groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(F.count_if(F.coalesce("bare", F.lit(False))).alias("no_href"), F.count_if("odd").alias("odd_href"), F.count(F.lit(1)).alias("links"))
 
 
 # ---- the rules on generated books: each order is a book whose key decides what is wrong with it
@@ -625,6 +638,16 @@ def well_formed(spark, sf_dir):
     return indented(_books(spark, sf_dir)).select("doc_id", "well_formed")
 
 
+@query(r"""
+WITH r AS (SELECT l_orderkey AS k, chr(10) || '  <line>p' || l_partkey || '<b>s' || l_suppkey || '</b> &amp; more</line>' AS x, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) AS i FROM lineitem)
+SELECT CAST(k AS VARCHAR) AS doc_id, '<order key="' || k || '">' || string_agg(x, '' ORDER BY i) || chr(10) || '</order>' AS pretty FROM r GROUP BY k
+""")
+def pretty_xml(spark, sf_dir):
+    """Orders as XML on lines of their own; a line holds text and stays as it is."""
+    xml = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(_ORDER_XML).alias("xml"))
+    return indented(xml, "l_orderkey").select("doc_id", "pretty")
+
+
 # ---- tables, metadata and assembly
 
 
@@ -722,7 +745,21 @@ def naming_checks(spark, sf_dir):
     return verifications(walk_xml(_conversation_xml(spark, sf_dir)))
 
 
-@query()
+_BOOK_HEAD = (
+    '<div class="docbook-content"><div class="bookinfo"><div class="isbn"><strong>ISBN:</strong> 0000000000000</div><h1 class="book-title">Talk</h1><div class="author"><span class="firstname">Ada B </span><span class="surname">Lovelace </span></div>'
+    '<div class="publisher"><strong>PUBLISHER:</strong> Unknown Publisher</div><div class="pubdate"><strong>PUBDATE:</strong> 2024</div><div class="copyright"><strong>COPYRIGHT:</strong> 2024Copyright Holder</div></div><h4>Table of Contents</h4>'
+)
+
+
+@query(f"""
+WITH {_TALKS}, h AS (
+  SELECT doc_id, string_agg(CASE WHEN first AND level <> 1 THEN '<section class="chapter" id="ch0001"><h2 class="chapter-title">Talk</h2>' ELSE '' END
+      || CASE level WHEN 1 THEN CASE WHEN first THEN '' ELSE CASE depth WHEN 1 THEN '</section>' ELSE '' END || '</section>' END || printf('<section class="chapter" id="ch%04d"><h2 class="chapter-title">', CAST(chapter AS INT)) || x || '</h2>'
+        WHEN 2 THEN CASE depth WHEN 1 THEN '</section>' ELSE '' END || printf('<section class="sect1" id="ch%04ds%04d"><h3 class="section-title">', CAST(chapter AS INT), CAST(section AS INT)) || x || '</h3>' ELSE CASE x WHEN '' THEN '' ELSE '<p>' || x || '</p>' END END, '' ORDER BY turn)
+    || CASE coalesce(arg_max(level, turn) FILTER (level > 0), 1) WHEN 2 THEN '</section>' ELSE '' END || '</section></div>' AS body FROM n GROUP BY doc_id
+)
+SELECT doc_id, '{_BOOK_HEAD}' || body AS html FROM h
+""")
 def html_render(spark, sf_dir):
     return render_html(stored(walk_xml(_conversation_xml(spark, sf_dir))))
 
@@ -732,7 +769,11 @@ def xml_sizes(spark, sf_dir):
     return xml_counts(_conversation_xml(spark, sf_dir))
 
 
-@query()
+@query(f"""
+WITH t AS (SELECT 'talk' || conv_id AS stem, role, {_CLEAN} AS x FROM conversations)
+SELECT stem || '.docx' AS doc_id, stem, stem || '.docx' AS title, count(*) FILTER (x <> '') AS n_text, CAST(0 AS BIGINT) AS n_images, CAST(0 AS BIGINT) AS n_tables, count(*) FILTER (x <> '' AND role = 'system') AS n_chapters,
+  CAST(0 AS BIGINT) AS n_error, CAST(0 AS BIGINT) AS n_warning, CAST(0 AS BIGINT) AS n_info, CAST(0 AS BIGINT) AS total, true AS is_valid, true AS success FROM t GROUP BY stem
+""")
 def docx_convert(spark, sf_dir):
     """Conversations as Word files, converted: results of each."""
     turns = table(spark, sf_dir, "conversations").select(F.concat(F.lit("talk"), F.col("conv_id"), F.lit(".docx")).alias("path"), F.struct("turn", "role", "text").alias("t"))
