@@ -6,8 +6,8 @@ entries lower-cases it and zeroes all other bytes, so that the edges between
 zeros and the rest are the terms' boundaries. Each slice is hashed by xxhash,
 equal hashes are grouped, and every slice's bytes are compared with those of
 its group's first one; slices that differ become groups of their own. A task
-sums what it finds and hands on one row for each (language, term, source) and
-one for the documents of each (language, term).
+sums what it finds and hands on a row for each (language, term, source), with
+the documents of each (language, term) in one of them.
 
 A language keeps the terms that at least MIN_DOCS of its documents hold. With
 count c of a term in a source, N the source's sum over kept terms and V the
@@ -85,46 +85,65 @@ def grouped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, digest: Hash
 
 
 class _Sums:
-    """What a task has counted and not yet handed on."""
+    """What a task has counted and not yet handed on: occurrences by (source, term), documents by (language, term)."""
 
     def __init__(self) -> None:
         self.terms: dict[bytes, int] = {}
-        self.groups: dict[tuple[str, str | None], int] = {}
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.groups: dict[tuple[str, str], int] = {}
+        self.spoken: dict[str, int] = {}
+        self.counts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.docs: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = self.bytes = 0
 
-    def add(self, keys: list[tuple[str, str | None]], terms: list[bytes], key_of: np.ndarray, term_of: np.ndarray) -> None:
-        """Counts of (keys[key_of], terms[term_of])."""
-        key_no = np.array([self.groups.setdefault(k, len(self.groups)) for k in keys], "i8")
+    def numbered(self, terms: list[bytes]) -> np.ndarray:
+        """The terms' numbers here."""
         before = len(self.terms)
-        term_no = np.array([self.terms.setdefault(t, len(self.terms)) for t in terms], "i8")
-        self.bytes += sum(len(t) for t, no in zip(terms, term_no.tolist(), strict=True) if no >= before)
-        entry, n = np.unique(key_no[key_of] << 32 | term_no[term_of], return_counts=True)
-        self.parts.append((entry, n))
-        self.size += len(entry)
+        out = np.array([self.terms.setdefault(t, len(self.terms)) for t in terms], "i8")
+        self.bytes += sum(len(t) for t, no in zip(terms, out.tolist(), strict=True) if no >= before)
+        return out
+
+    def add(self, group: np.ndarray, lang: np.ndarray, term: np.ndarray, n: np.ndarray, new: np.ndarray) -> None:
+        """n occurrences of terms (numbers) in a document of a source; new: whether the document has not been counted for the term."""
+        self.counts.append(_totals(group << 32 | term, n))
+        self.docs.append(_totals(lang[new] << 32 | term[new], np.ones(int(new.sum()), "i8")))
+        self.size += len(self.counts[-1][0])
         if self.size > ENTRIES:
             self._sum()
 
     def _sum(self) -> None:
-        entry, place = np.unique(np.concatenate([e for e, _ in self.parts]), return_inverse=True)
-        total = np.zeros(len(entry), "i8")
-        np.add.at(total, place, np.concatenate([n for _, n in self.parts]))
-        self.parts, self.size = [(entry, total)], len(entry)
+        for parts in (self.counts, self.docs):
+            parts[:] = [_totals(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+        self.size = len(self.counts[0][0])
 
     def full(self) -> bool:
         return self.size > ENTRIES or self.bytes > TERM_BYTES
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
+        """(lang, term, source, n, docs): a term's documents stand in the first of its language's rows."""
+        if self.counts:
             self._sum()
-            (entry, n), terms, groups = self.parts[0], pa.array(list(self.terms), pa.binary()), list(self.groups)
+            (entry, n), (held, d) = self.counts[0], self.docs[0]
+            terms, groups = pa.array(list(self.terms), pa.binary()), list(self.groups)
             langs, sources = (pa.array([g[i] for g in groups], pa.string()) for i in (0, 1))
+            lang_of = np.array([self.spoken[g[0]] for g in groups], "i8")
+            docs = np.zeros(len(entry), "i8")
+            same, first = np.unique(lang_of[entry >> 32] << 32 | entry & 0xFFFFFFFF, return_index=True)
+            docs[first[np.searchsorted(same, held)]] = d
             for i in range(0, len(entry), 1 << 16):
-                key, term = entry[i : i + (1 << 16)] >> 32, entry[i : i + (1 << 16)] & 0xFFFFFFFF
-                yield pa.record_batch([langs.take(pa.array(key)), terms.take(pa.array(term)), sources.take(pa.array(key)), pa.array(n[i : i + (1 << 16)])], ["lang", "term", "source", "n"])
+                part = slice(i, i + (1 << 16))
+                key, term = entry[part] >> 32, entry[part] & 0xFFFFFFFF
+                yield pa.record_batch([langs.take(pa.array(key)), terms.take(pa.array(term)), sources.take(pa.array(key)), pa.array(n[part]), pa.array(docs[part])], ["lang", "term", "source", "n", "docs"])
         self.__init__()
 
 
+def _totals(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, rising, and the sums of their numbers."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
+
+
 def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(bytes lower-cased and zeroed, the text of each byte's term by its end): texts joined, cut outside terms."""
     data = LETTERS[np.frombuffer(b" ".join([*texts, b""]), "u1")]
@@ -140,47 +159,36 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def counted(batches: Iterator[pa.RecordBatch], digest: Hash = xxhash.xxh3_64_intdigest) -> Iterator[pa.RecordBatch]:
-    """(lang, term, source, n) of (lang, source, data); a null source stands for the number of documents that hold the term."""
+    """(lang, term, source, n, docs) of (lang, source, data): occurrences, and the documents that hold the term, which add up over a language's rows."""
     sums = _Sums()
     for batch in slices(batches, most=CHUNK):
         langs, sources, texts = (batch.column(i).to_pylist() for i in range(3))
-        groups = list(dict.fromkeys(zip(langs, sources, strict=True)))
-        spoken = list(dict.fromkeys(langs))
-        group_of, lang_of = _numbers(groups, zip(langs, sources, strict=True)), _numbers(spoken, langs)
-        held: list[tuple[list[bytes], np.ndarray, np.ndarray]] = []
+        group_of = np.array([sums.groups.setdefault(g, len(sums.groups)) for g in zip(langs, sources, strict=True)], "i8")
+        lang_of = np.array([sums.spoken.setdefault(x, len(sums.spoken)) for x in langs], "i8")
+        met = np.zeros(0, "i8")  # (text, term) of the chunks before, of texts that are cut
         for data, ends in _chunks(texts):
             starts, stops = boundaries(data)
             terms, term_of = grouped(data, starts, stops, digest)
-            text_of = np.searchsorted(ends, starts, "right")
-            if terms:
-                sums.add(groups, terms, group_of[text_of], term_of)
-                pair = np.unique(text_of * len(terms) + term_of)
-                held.append((terms, pair // len(terms), pair % len(terms)))
-        if len(held) == 1:
-            terms, text_of, term_of = held[0]
-            sums.add([(x, None) for x in spoken], terms, lang_of[text_of], term_of)
-        elif held:  # a long text: a term may be in several chunks
-            vocabulary: dict[bytes, int] = {}
-            numbers = [np.array([vocabulary.setdefault(t, len(vocabulary)) for t in terms], "i8")[term_of] for terms, _, term_of in held]
-            pair = np.unique(np.concatenate([text_of * len(vocabulary) + no for (_, text_of, _), no in zip(held, numbers, strict=True)]))
-            sums.add([(x, None) for x in spoken], list(vocabulary), lang_of[pair // len(vocabulary)], pair % len(vocabulary))
+            if not terms:
+                continue
+            number = sums.numbered(terms)
+            pair, n = np.unique(np.searchsorted(ends, starts, "right") << 32 | number[term_of], return_counts=True)
+            text, term = pair >> 32, pair & 0xFFFFFFFF
+            new = ~np.isin(pair, met, assume_unique=True) if len(met) else np.ones(len(pair), bool)
+            sums.add(group_of[text], lang_of[text], term, n, new)
+            if len(data) < ends[-1]:  # more follows
+                met = np.union1d(met[met >> 32 >= text[-1]], pair[text == text[-1]])
         if sums.full():
             yield from sums.rows()
     yield from sums.rows()
 
 
-def _numbers(names: list, values) -> np.ndarray:
-    number = {x: i for i, x in enumerate(names)}
-    return np.array([number[x] for x in values], "i8")
-
-
 def kept_terms(df: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, term, n, counts): the kept terms with their count in the language and, as (source, n), in its sources."""
     named = df.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")), F.coalesce("text", F.lit("")).cast("binary").alias("data"))
-    found = named.mapInArrow(counted, "lang string, term binary, source string, n bigint")
-    summed = found.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
-    docs = F.sum(F.when(F.col("source").isNull(), F.col("n")))
-    by_term = summed.groupBy("lang", "term").agg(docs.alias("docs"), F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).alias("n"), F.collect_list(F.when(F.col("source").isNotNull(), F.struct("source", "n"))).alias("counts"))
+    found = named.mapInArrow(counted, "lang string, term binary, source string, n bigint, docs bigint")
+    summed = found.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    by_term = summed.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.collect_list(F.struct("source", "n")).alias("counts"))
     return by_term.where(F.col("docs") >= min_docs).select("lang", "term", "n", "counts")
 
 

@@ -71,6 +71,7 @@ def test_long_texts_are_cut_outside_terms(spark, monkeypatch):
     for b in divergence.counted(iter([batch])):
         for r in b.to_pylist():
             got[r["lang"], r["term"], r["source"]] += r["n"]
+            got[r["lang"], r["term"], None] += r["docs"]
     want = Counter()
     for _, text, lang, source in rows:
         terms = [t.lower() for t in TERM.findall((text or "").encode())]
@@ -82,8 +83,9 @@ def test_long_texts_are_cut_outside_terms(spark, monkeypatch):
 def test_equal_hashes_are_verified():
     batch = pa.record_batch([pa.array(["en"] * 3), pa.array(["a", "a", "b"]), pa.array([b"aa bb aa ccc", b"bb BB", b"ccc"])], ["lang", "source", "data"])
     for digest in (len, lambda _: 7):
-        found = {(r["term"], r["source"]): r["n"] for b in divergence.counted(iter([batch]), digest) for r in b.to_pylist()}
-        assert found == {(b"aa", "a"): 2, (b"bb", "a"): 3, (b"ccc", "a"): 1, (b"ccc", "b"): 1, (b"aa", None): 1, (b"bb", None): 2, (b"ccc", None): 2}
+        rows = [r for b in divergence.counted(iter([batch]), digest) for r in b.to_pylist()]
+        assert {(r["term"], r["source"]): r["n"] for r in rows} == {(b"aa", "a"): 2, (b"bb", "a"): 3, (b"ccc", "a"): 1, (b"ccc", "b"): 1}
+        assert {t: sum(r["docs"] for r in rows if r["term"] == t) for t in (b"aa", b"bb", b"ccc")} == {b"aa": 1, b"bb": 2, b"ccc": 2}
 
 
 def test_tasks_hand_on_often(spark, monkeypatch):
