@@ -66,7 +66,7 @@ def grouped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, digest: Hash
     if not len(starts):
         return [], np.zeros(0, "i8")
     buffer = data.tobytes()
-    hashes = np.fromiter((digest(buffer[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)), "u8", len(starts))
+    hashes = np.fromiter([digest(buffer[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], "u8", len(starts))
     _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
     lengths = ends - starts
     differs = lengths != lengths[first[group]]
