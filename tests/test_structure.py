@@ -206,3 +206,41 @@ def test_conformance(spark):
 def test_definitions_that_hold_themselves():
     with pytest.raises(ValueError, match="holds itself"):
         Definition("<!ENTITY % a '%b;'><!ENTITY % b '%a;'><!ELEMENT x (%a;)>")
+
+
+# ---- assembly in blocks
+
+
+@pytest.mark.parametrize("block", [1, 3, 4096])
+def test_pieces_are_joined_in_order(spark, block):
+    from folioframe.operators.assembly import joined
+
+    rows = [(d, i, k, f"{d}{i}.{k} ") for d in "ab" for i in range(20) for k in range(2)]
+    random.Random(1).shuffle(rows)
+    got = {r.doc_id: r.xml for r in joined(spark.createDataFrame(rows, "doc_id string, at int, turn int, xml string"), ["at", "turn"], block=block).collect()}
+    assert got == {d: "".join(f"{d}{i}.{k} " for i in range(20) for k in range(2)) for d in "ab"}
+
+
+def test_a_large_book_is_spread(spark):
+    """One document of 40,000 elements: numbered in slices, its references resolved, its text joined in blocks."""
+    from xml.etree import ElementTree
+
+    from folioframe.operators.assembly import assemble
+    from folioframe.operators.numbering import SLICE, numbered
+
+    n = 40_000
+    level = F.when(F.col("id") % 400 == 0, 1).when(F.col("id") % 40 == 0, 2).otherwise(0)
+    text = F.when(F.col("id") % 100 == 7, F.concat(F.lit("see Figure "), (F.col("id") / 100).cast("int") + 1)).otherwise(F.concat(F.lit("t"), "id"))
+    rows = spark.range(n).select(
+        F.lit("d").alias("doc_id"), F.col("id").cast("int").alias("pos"), F.when(F.col("id") % 100 == 50, "image").otherwise("paragraph").alias("kind"), text.alias("text"), level.alias("level"), F.lit(None).cast("string").alias("list_type"),
+        F.lit("x.png").alias("media_name"), F.lit(None).cast("string").alias("caption"), F.lit(None).cast("array<array<string>>").alias("rows"), F.lit(1).alias("header_rows"),
+    )
+    sizes = [r["count"] for r in numbered(rows).groupBy(F.floor(F.col("pos") / SLICE)).count().collect()]
+    assert sum(sizes) == n and len(sizes) == 5
+    docs = spark.createDataFrame([("d", "Big", ["A B"], {})], "doc_id string, title string, authors array<string>, metadata map<string,string>")
+    (book,) = assemble(rows, docs, "2024").collect()
+    root = ElementTree.fromstring(book.xml.split("?>", 1)[1].split("]>")[-1].split('.dtd">', 1)[1])
+    figures = root.findall(".//figure")
+    assert len(root.findall("chapter")) == 100 and len(root.findall(".//sect1")) == 900 and len(figures) == 400
+    links = [e.get("linkend") for e in root.iter("link")]
+    assert len(links) == 400 and set(links) == {f.get("id") for f in figures}
