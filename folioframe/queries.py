@@ -14,13 +14,13 @@ from .operators.validation import EXCLUDED, findings, used_again, validity, veri
 from .operators.rendering import render_html, xml_counts
 from .operators.structure import structural_join, subtree_text
 from .plans.convert import convert
-from .sources import adapters
+from .sources import adapters, datasources
 from .sources.docx import Docx, related_images
 from .sources.dtd import Definition, rules
 from .sources.docx_builder import build_docx
 from .sources.packages import BOOK_FIELDS, book_metadata, media_lookup
 from .sources.xml import indented, recovery_log, tag_scan, walk_xml
-from .storage import stored
+from .storage import scratch, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -729,7 +729,38 @@ def xml_assembly(spark, sf_dir):
     return _conversation_xml(spark, sf_dir)
 
 
-@query()
+#: Nodes that every such book begins with: number, parent, place, tag, text, last node inside.
+_HEAD_NODES = [
+    (1, 0, 0, "bookinfo", None, 15), (2, 1, 0, "isbn", "0000000000000", 2), (3, 1, 1, "title", "Talk", 3), (4, 1, 2, "authorgroup", None, 8), (5, 4, 0, "author", None, 8), (6, 5, 0, "personname", None, 8), (7, 6, 0, "firstname", "Ada B", 7), (8, 6, 1, "surname", "Lovelace", 8),
+    (9, 1, 3, "publisher", None, 10), (10, 9, 0, "publishername", "Unknown Publisher", 10), (11, 1, 4, "pubdate", "2024", 11), (12, 1, 5, "edition", "1st Edition", 12), (13, 1, 6, "copyright", None, 15), (14, 13, 0, "year", "2024", 14), (15, 13, 1, "holder", "Copyright Holder", 15), (17, 16, 0, "title", "Table of Contents", 17),
+]
+
+
+@query(f"""
+WITH {_TALKS}, l AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chapter, section) - 1 AS r, count(*) OVER (PARTITION BY doc_id) AS n_entries FROM e
+), lc AS (SELECT *, min(r) OVER (PARTITION BY doc_id, chapter) AS r0, max(r) OVER (PARTITION BY doc_id, chapter) AS r1 FROM l),
+d AS (SELECT doc_id, 18 + 2 * max(n_entries) AS base FROM l GROUP BY doc_id),
+b0 AS (
+  SELECT n.*, d.base, CASE WHEN first AND level <> 1 THEN 2 ELSE 0 END AS extra, CASE WHEN level > 0 THEN 2 WHEN x <> '' THEN 1 ELSE 0 END AS own_nodes, CASE WHEN level = 0 AND x <> '' THEN 1 ELSE 0 END AS para FROM n JOIN d USING (doc_id)
+), b1 AS (SELECT *, base + sum(extra + own_nodes) OVER (PARTITION BY doc_id ORDER BY turn) - own_nodes AS spot FROM b0),
+b2 AS (
+  SELECT *, min(spot - extra) OVER (PARTITION BY doc_id, chapter) AS chapter_node, min(spot) OVER (PARTITION BY doc_id, chapter, section) AS section_node, max(spot + own_nodes - 1) OVER (PARTITION BY doc_id, chapter) AS chapter_end, max(spot + own_nodes - 1) OVER (PARTITION BY doc_id, chapter, section) AS section_end,
+         sum(para) OVER (PARTITION BY doc_id, chapter, section ORDER BY turn) - para AS paras_before, sum(CASE WHEN section = 0 THEN para ELSE 0 END) OVER (PARTITION BY doc_id, chapter ORDER BY turn) AS direct, max(spot + own_nodes - 1) OVER (PARTITION BY doc_id) AS last FROM b1
+), every AS (
+  SELECT doc_id, 0 AS node_id, NULL AS parent_id, 0 AS ord, 'book' AS tag, NULL AS text, max(greatest(last, chapter_node + 1)) AS subtree_end FROM b2 GROUP BY doc_id
+  UNION ALL SELECT doc_id, h.* FROM d, (VALUES {", ".join("(" + ", ".join(map(_sql, row)) + ")" for row in _HEAD_NODES)}) h
+  UNION ALL SELECT doc_id, 16, 0, 1, 'toc', NULL, base - 1 FROM d
+  UNION ALL SELECT doc_id, 18 + 2 * r, CASE depth WHEN 0 THEN 16 ELSE 18 + 2 * r0 END, CASE depth WHEN 0 THEN chapter ELSE section END, CASE depth WHEN 0 THEN 'tocchap' ELSE 'toclevel1' END, NULL, CASE depth WHEN 0 THEN 19 + 2 * r1 ELSE 19 + 2 * r END FROM lc
+  UNION ALL SELECT doc_id, 19 + 2 * r, 18 + 2 * r, 0, 'tocentry', x, 19 + 2 * r FROM lc
+  UNION ALL SELECT doc_id, chapter_node, 0, chapter + 1, 'chapter', NULL, greatest(chapter_end, chapter_node + 1) FROM b2 WHERE extra > 0 OR level = 1
+  UNION ALL SELECT doc_id, chapter_node + 1, chapter_node, 0, 'title', CASE level WHEN 1 THEN x ELSE 'Talk' END, chapter_node + 1 FROM b2 WHERE extra > 0 OR level = 1
+  UNION ALL SELECT doc_id, spot, chapter_node, direct + section, 'sect1', NULL, section_end FROM b2 WHERE level = 2
+  UNION ALL SELECT doc_id, spot + 1, spot, 0, 'title', x, spot + 1 FROM b2 WHERE level = 2
+  UNION ALL SELECT doc_id, spot, CASE section WHEN 0 THEN chapter_node ELSE section_node END, 1 + paras_before, 'para', x, spot FROM b2 WHERE para = 1
+)
+SELECT doc_id, CAST(node_id AS INT) AS node_id, CAST(parent_id AS INT) AS parent_id, CAST(ord AS INT) AS ord, tag, nullif(text, '') AS text, CAST(NULL AS VARCHAR) AS tail, CAST(subtree_end AS INT) AS subtree_end FROM every
+""")
 def xml_nodes(spark, sf_dir):
     return walk_xml(_conversation_xml(spark, sf_dir)).select("doc_id", "node_id", "parent_id", "ord", "tag", "text", "tail", "subtree_end")
 
@@ -776,6 +807,23 @@ SELECT stem || '.docx' AS doc_id, stem, stem || '.docx' AS title, count(*) FILTE
 """)
 def docx_convert(spark, sf_dir):
     """Conversations as Word files, converted: results of each."""
-    turns = table(spark, sf_dir, "conversations").select(F.concat(F.lit("talk"), F.col("conv_id"), F.lit(".docx")).alias("path"), F.struct("turn", "role", "text").alias("t"))
-    files = build_docx(turns.groupBy("path").agg(F.array_sort(F.collect_list("t")).alias("turns")))
+    files = _talk_files(spark, sf_dir)
     return convert(Docx(files)).results
+
+
+def _talk_files(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select(F.concat(F.lit("talk"), F.col("conv_id"), F.lit(".docx")).alias("path"), F.struct("turn", "role", "text").alias("t"))
+    return build_docx(turns.groupBy("path").agg(F.array_sort(F.collect_list("t")).alias("turns")))
+
+
+@query("""
+SELECT 'talk' || conv_id || '.docx' AS file, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS idx, CASE role WHEN 'system' THEN 'Heading 1' WHEN 'user' THEN 'Heading 2' ELSE 'Normal' END AS style, coalesce(text, '') AS text
+FROM conversations
+""")
+def docx_files(spark, sf_dir):
+    """Conversations written as Word files by the file tree writer, and read by the docx source: their paragraphs."""
+    datasources.register(spark)
+    folder = scratch(spark, "files")
+    _talk_files(spark, sf_dir).write.format("filetree").mode("append").save(folder)
+    rows = spark.read.format("docx").load(folder).where("part = 'paragraph'")
+    return rows.select(fn.basename(F.col("path")).alias("file"), "idx", "style", F.array_join(F.transform("runs", lambda r: r["text"]), "").alias("text"))

@@ -23,18 +23,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder's name in the shared folder; what is written there is removed when the driver's process ends."""
+    path = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    if not _hooked:
+        atexit.register(_remove, spark)
+        _hooked.append(True)
+    _written.append(path)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors.
 
     The files are removed when the driver's process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = scratch(spark, "table")
     df.write.option("compression", "zstd").parquet(path)
-    if not _hooked:
-        atexit.register(_remove, spark)
-        _hooked.append(True)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
