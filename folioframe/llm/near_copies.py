@@ -7,12 +7,16 @@ minima each: at a similarity of 0.8 a pair is missed with a chance of
 (1 - 0.8 ** WIDTH) ** BANDS, 3 in a million. Every candidate is verified by the
 shingles of both whole texts.
 
-First each row of a band's list meets the list's first row. Those that this
-leaves unlinked go on: in a list of up to LONG_LIST rows they meet all the
-others, in a longer one the first of those left, ROUNDS times in all. So a
-group of copies costs as many candidates as it has rows; in a list of more than
-LONG_LIST rows two rows that are similar to each other, but to none of the
-first rows of all the bands they agree in, can stay unlinked.
+First each row of a band's list meets the list's first row. In a list of up to
+LONG_LIST rows, those that this leaves unlinked then meet all the others. In a
+longer one they do so as far as nothing links them yet: what is linked so far
+is contracted to components, and of the lists that hold several, every two rows
+of different components are compared by all their shingles (crossing). Such a
+list is cut into slices that meet in pairs; a component that fills slices of
+its own is not compared with itself, and no pair leaves a task but the few that
+link its components. So a group of copies costs as many candidates as it has
+rows, rows of one pattern that are all different cost comparisons with the
+square of their number, and no pair that agrees in a band stays unlinked.
 
 Defined results: words are lowercased (A-Z) and split at ASCII white space;
 texts of fewer words than a shingle are one shingle; null, empty and blank
@@ -32,7 +36,9 @@ from ._common import hot_limit, map_slices, partitions, slices, spread_join, sto
 from ._words import WINDOW_BASE, hashed_words, mixed, window_hashes
 
 SHINGLE, LEAST = 5, 0.8
-BANDS, WIDTH, LONG_LIST, ROUNDS = 24, 4, 32, 3
+BANDS, WIDTH, LONG_LIST = 24, 4, 32
+#: Bytes of shingles in a slice of a long list.
+SLICE = 2 << 20
 _MULTIPLIERS = mixed(np.arange(1, BANDS * WIDTH + 1, dtype="u8")) | np.uint64(1)
 
 
@@ -127,28 +133,104 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return both.mapInArrow(similar, "a bigint, b bigint")
 
 
-def similar_rows(marked: DataFrame, rows: DataFrame) -> DataFrame:
-    """(a, b), a < b: rows of rows (row, data) that share LEAST of their shingles; marked are marks() of them."""
+def shingle_sets(rows: DataFrame) -> DataFrame:
+    """(row, shingles) of rows (row, data): the hashes of the distinct shingles, rising, 8 bytes each."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        h, owner = shingles(batch.column(1).to_pylist())
+        sets = np.split(h, np.searchsorted(owner, np.arange(1, batch.num_rows)))
+        return pa.record_batch([batch.column(0), pa.array([np.unique(x).tobytes() for x in sets], pa.binary())], ["row", "shingles"])
+
+    return map_slices(rows, one, "row bigint, shingles binary")
+
+
+def links_across(cell: pa.Table) -> pa.Table:
+    """(a, b): similar rows of a cell that link its roots, no more than it takes. cell has key, side, row, root, bands, shingles.
+
+    Rows of side 0 meet those of side 1, or each other if there is no side 1.
+    Pairs that agree in an earlier band have met in its list.
+    """
+    row, root, side = (cell[c].to_numpy() for c in ("row", "root", "side"))
+    order = np.argsort(side, kind="stable")
+    row, root = row[order], root[order]
+    bands = cell["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[order]
+    earlier = bands[:, : int(np.argmax(bands[0] == cell["key"][0].as_py()))]
+    sets = [np.frombuffer(x, "u8") for x in cell["shingles"].take(pa.array(order)).to_pylist()]
+    n = np.array([len(x) for x in sets])
+    starts = np.concatenate([[0], np.cumsum(n)])
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros(len(values), "u1")
+    second = int(np.count_nonzero(side == 0))
+    found = []
+    for i in range(second):
+        first = second if second < len(row) else i + 1
+        at = first + np.flatnonzero((root[first:] != root[i]) & _similar_sets_possible(n[i], n[first:]))
+        at = at[~(earlier[at] == earlier[i]).any(axis=1)]
+        if not len(at):
+            continue
+        mine = ids[starts[i] : starts[i + 1]]
+        held[mine] = 1
+        if 4 * len(at) > len(row) - first:
+            shared = np.add.reduceat(held[ids[starts[first] :]], starts[first:-1] - starts[first], dtype="i8")[at - first]
+        else:
+            shared = np.array([np.count_nonzero(held[ids[starts[j] : starts[j + 1]]]) for j in at.tolist()])
+        held[mine] = 0
+        for j in at[(shared > 0) & (shared >= LEAST * (n[i] + n[at] - shared))].tolist():
+            if root[i] != root[j]:
+                found.append((min(row[i], row[j]), max(row[i], row[j])))
+                root = np.where(root == root[j], root[i], root)
+    return pa.table([pa.array([int(x[k]) for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _similar_sets_possible(x: int, y: np.ndarray) -> np.ndarray:
+    return np.minimum(x, y) >= LEAST * np.maximum(x, y)
+
+
+def crossing(lists: DataFrame, marked: DataFrame, texts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(a, b), a < b: similar rows that share a list of lists (key, row, n), enough to connect all such rows beside edges (a, b)."""
+    roots = simhash.components(edges).withColumnRenamed("node", "row")
+    rooted = stored(lists.join(roots, "row", "left").select("key", "row", "n", F.coalesce("root", "row").alias("root")))
+    groups = stored(rooted.groupBy("key", "root").agg(F.sum(8 * F.col("n")).alias("bytes")))
+    own = F.col("bytes") > SLICE // 2
+    mixed_lists = groups.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.sum(F.when(own, 0).otherwise(F.col("bytes"))).alias("others"))
+    mixed_lists = stored(mixed_lists.where("least < most").select("key", "others"))
+    parts = F.greatest(F.lit(1), F.ceil(F.when(own, F.col("bytes")).otherwise(F.col("others")) / SLICE)).cast("long")
+    cut = stored(spread_join(groups, mixed_lists, ["key"]).select("key", "root", own.alias("own"), parts.alias("parts")))
+    number = F.pmod(F.xxhash64(F.when(F.col("own"), F.col("row")).otherwise(F.col("root"))), F.col("parts"))
+    part = F.struct("own", F.when(F.col("own"), F.col("root")).otherwise(F.lit(0)).alias("of"), number.alias("number"))
+    dealt = stored(spread_join(rooted, cut, ["key", "root"]).select("key", "row", "root", part.alias("part")))
+    slices_of = stored(dealt.select("key", "part").distinct())
+    one, two = slices_of.select("key", F.col("part").alias("one")), slices_of.select("key", F.col("part").alias("two"))
+    cells = one.join(two, "key").where((F.col("one") <= F.col("two")) & ~(F.col("one.own") & F.col("two.own") & (F.col("one.of") == F.col("two.of"))))
+    sides = F.when(F.col("one") == F.col("two"), F.array("one")).otherwise(F.array("one", "two"))
+    cells = stored(cells.select("key", F.xxhash64("one", "two").alias("cell"), F.posexplode(sides).alias("side", "part")))
+    meant = stored(dealt.join(cells, ["key", "part"]).select("key", "cell", "side", "row", "root"))
+    known = texts.join(meant.select("row").distinct(), "row", "left_semi").select("row", "data")
+    known = shingle_sets(known).join(marked.select("row", "bands"), "row")
+    met = meant.join(stored(known), "row").select("key", "cell", "side", "row", "root", "bands", "shingles")
+    return met.groupBy("key", "cell").applyInArrow(links_across, "a bigint, b bigint").distinct()
+
+
+def similar_rows(marked: DataFrame, rows: DataFrame, linked: DataFrame | None = None) -> DataFrame:
+    """(a, b), a < b: rows of rows (row, data) that share LEAST of their shingles, enough to connect all such rows; marked are marks() of them.
+
+    What linked (a, b) connects need not be connected once more.
+    """
     posted = stored(marked.select("row", "n", F.explode("bands").alias("key")))
     lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(spread_join(posted, lists, ["key"]))
     texts = stored(rows.join(members.select("row").distinct(), "row"))  # only the texts that meet another
-    found, rest = None, members
-    for turn in range(ROUNDS):
-        stars = _stars(rest)
-        new = stored(verified(_pairs_with_first(stars), texts))
-        found = new if found is None else found.unionByName(new)
-        linked = new.select(F.col("a").alias("first"), F.col("b").alias("row"))
-        rest = stars.where(F.col("row") != F.col("first")).join(linked, ["first", "row"], "left_anti")
-        if turn == 0:
-            short = stored(rest.where(F.col("size") <= LONG_LIST).select("key", "row", "n", "first"))
-            others = members.where(F.col("size") <= LONG_LIST).select("key", F.col("row").alias("other"), F.col("n").alias("other_n"))
-            pairs = short.join(others, "key").where((F.col("row") != F.col("other")) & (F.col("other") != F.col("first")) & _similar_sizes(F.col("n"), F.col("other_n")))
-            found = found.unionByName(stored(verified(stored(pairs.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()), texts)))
-            rest = rest.where(F.col("size") > LONG_LIST)
-        rest = stored(rest.select("key", "row", "n", "size"))
-        if rest.isEmpty():
-            break
+    stars = _stars(members)
+    found = stored(verified(_pairs_with_first(stars), texts))
+    starred = found.select(F.col("a").alias("first"), F.col("b").alias("row"))
+    rest = stored(stars.where(F.col("row") != F.col("first")).join(starred, ["first", "row"], "left_anti").select("key", "row", "n", "size", "first"))
+    others = members.where(F.col("size") <= LONG_LIST).select("key", F.col("row").alias("other"), F.col("n").alias("other_n"))
+    pairs = rest.where(F.col("size") <= LONG_LIST).join(others, "key").where((F.col("row") != F.col("other")) & (F.col("other") != F.col("first")) & _similar_sizes(F.col("n"), F.col("other_n")))
+    found = found.unionByName(stored(verified(stored(pairs.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()), texts)))
+    loose = stored(rest.where(F.col("size") > LONG_LIST).select("key").distinct())  # long lists that stars leave in parts
+    if not loose.isEmpty():
+        edges = found if linked is None else found.unionByName(linked)
+        found = found.unionByName(stored(crossing(spread_join(members, loose, ["key"]), marked, texts, edges)))
     return found.distinct()
 
 
@@ -160,7 +242,8 @@ def gone(df: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "t
     same = spread_join(marked.select("row", "fp"), distinct, ["fp"]).where(F.col("row") != F.col("first")).select(F.col("first").alias("a"), F.col("row").alias("b"))
     named = [distinct.select(F.col("fp").alias(x), F.col("first").alias(f"row_{x}")) for x in "ab"]
     close = simhash.links(distinct.select("fp")).join(named[0], "a").join(named[1], "b").select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
-    edges = same.unionByName(close).unionByName(similar_rows(marked, rows))
+    alike = stored(same.unionByName(close))
+    edges = alike.unionByName(similar_rows(marked, rows, alike))
     roots = stored(simhash.components(edges))
     members = stored(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
     ids = df.select(F.col(row_col).alias("node"), F.col(id_col).alias("id"))

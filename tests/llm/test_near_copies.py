@@ -94,3 +94,56 @@ def test_small_table_pairs(spark):
     rows = docs.selectExpr("doc_id as row", "cast(text as binary) as data")
     got = {(r.a, r.b) for r in near_copies.similar_rows(near_copies.marks(rows), rows).collect()}
     assert got <= want and linked(got) == linked(want) and want
+
+
+def template_rows(n, pairs, seed=5):
+    """Rows of one pattern, far from each other, and pairs of near copies among them."""
+    rng = random.Random(seed)
+    fixed = [f"f{i}" for i in range(400)]
+    slots = [13 * i + 4 for i in range(30)]
+
+    def row(values):
+        words = list(fixed)
+        for at, v in zip(slots, values, strict=True):
+            words[at] = f"v{at}_{v}"
+        return " ".join(words)
+
+    rows = [[rng.randrange(3) for _ in slots] for _ in range(n)]
+    for i in range(pairs):
+        b = list(rows[2 * i])
+        for at in rng.sample(range(30), 5):
+            b[at] = (b[at] + 1) % 3
+        rows[2 * i + 1] = b
+    return [row(x) for x in rows]
+
+
+@pytest.mark.parametrize("size", [near_copies.SLICE, 40_000])
+def test_long_lists_lose_no_pair(spark, monkeypatch, size):
+    """Rows of one pattern share long lists, of one slice or of many; all near copies among them are linked, whatever the first rows are."""
+    monkeypatch.setattr(near_copies, "SLICE", size, raising=False)
+    texts = template_rows(300, 40)
+    rows = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "row long, data binary").repartition(4)
+    got = {(r.a, r.b) for r in near_copies.similar_rows(near_copies.stored(near_copies.marks(rows)), rows).collect()}
+    sets = [brute(t) for t in texts]
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert got <= want and linked(got) == linked(want) and len(want) >= 40
+
+
+def test_rows_that_a_first_row_links_meet_the_others(spark, monkeypatch):
+    """Of a chain in long lists, the middle is linked to a first row and the end only to the middle."""
+    monkeypatch.setattr(near_copies, "LONG_LIST", 2)
+    rng = random.Random(7)
+    words = [f"w{x}" for x in range(400)]
+    rows = []
+    for k in range(12):
+        chain = [[f"c{k % 3}x{w}" for w in words]]
+        for step in range(4):  # each changes places of its own
+            chain.append([f"{w}new{k}" if i % 65 == 8 * step + 5 else w for i, w in enumerate(chain[-1])])
+        rows += [" ".join(x) for x in chain]
+    rng.shuffle(rows)
+    sets = [brute(t) for t in rows]
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    df = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(rows)], "row long, data binary").repartition(3)
+    got = {(r.a, r.b) for r in near_copies.similar_rows(near_copies.stored(near_copies.marks(df)), df).collect()}
+    assert got <= want and linked(got) == linked(want)
+    assert any(linked(want)[i] == linked(want)[j] and (i, j) not in want for i in linked(want) for j in linked(want) if i < j)
