@@ -52,6 +52,18 @@ FILLINGS, TRIES, FEW = 6, 8, 8
 CACHE = 150_000
 
 
+class Kept(dict):
+    """What a function gave for each key; for a missing one it is called."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key):
+        got = self[key] = self.function(key)
+        return got
+
+
 class WordIds:
     """Ids of a text by a tokenizer whose tokens never cross white space: words are encoded once and kept.
 
@@ -67,7 +79,7 @@ class WordIds:
         import tiktoken
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known, self.old, self.merges = Tokenizer.from_file(path), {}, {}, {}
+        self.tokenizer, self.known, self.old, self.merges = Tokenizer.from_file(path), Kept(self.word), {}, {}
         printed = sorted(pre_tokenizers.ByteLevel.alphabet())
         plain = [c for c in printed if ord(c) < 256]  # these stand for themselves, the others in order for the rest
         byte_of = {c: ord(c) for c in plain} | dict(zip((c for c in printed if ord(c) >= 256), (b for b in range(256) if chr(b) not in plain), strict=True))
@@ -79,25 +91,16 @@ class WordIds:
         self.simple = regex.compile(r"[\x21-\x3b\x3d-\x7e\u00c0-\u012f\u0131-\u0148\u014a-\u017e]+").fullmatch
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > CACHE:  # two generations: what is met again stays
-            self.known, self.old = {}, self.known
-        new, other = [], []
-        for word in words.difference(self.known):
-            if (got := self.old.get(word)) is None:
-                new.append(word)
-            else:
-                self.known[word] = got
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            if text.isascii() and text.isprintable() and "<|" not in text or self.simple(text):
-                core = text.rstrip(".,;:!?")
-                parts = [core.lower(), text[len(core) :]] if core.isalpha() else self.parts(text.lower())
-                self.known[word] = b"".join(map(self.part, parts))
-            else:
-                other.append((word, text))
-        for (word, _), x in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
-            self.known[word] = np.array(x.ids, "<u4").tobytes()
+    def word(self, word: bytes) -> bytes:
+        """Ids of a word that this generation has not met yet."""
+        if (got := self.old.get(word)) is not None:
+            return got
+        text = word.decode("utf-8", "replace")
+        if text.isascii() and text.isprintable() and "<|" not in text or self.simple(text):
+            core = text.rstrip(".,;:!?")
+            parts = [core.lower(), text[len(core) :]] if core.isalpha() else self.parts(text.lower())
+            return b"".join(map(self.part, parts))
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def part(self, text: str) -> bytes:
         """Ids of letters, a digit or signs of one kind."""
@@ -110,10 +113,10 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
+        if len(self.known) > CACHE:  # two generations: what is met again stays
+            self.known, self.old = Kept(self.word), self.known
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [b"".join(map(get, t.split())) for t in texts]
 
 
 def tokenised_pieces(df: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -358,3 +358,12 @@ def test_bin_completion_beats_best_fit():
 @pytest.mark.parametrize("op", [exact_dedup.exact_dedup, simhash.near_dedup, substring_dedup.substring_dedup, lambda d: packing.pack(packing.tokenised_pieces(d, BPE))])
 def test_empty_table(spark, op):
     assert op(frame(spark, [])).count() == 0
+
+
+def test_word_ids_are_made_once_where_they_are_met():
+    """A word costs one look-up: no set of a batch's words is made beside it."""
+    own = packing.WordIds(BPE)
+    made, word = [], own.known.function
+    own.known.function = lambda w: made.append(w) or word(w)
+    first = own.encode([b"one two two", b"two One \xff\xfe one"])
+    assert own.encode([b"one two two", b"two One \xff\xfe one"]) == first and sorted(made) == [b"One", b"one", b"two", b"\xff\xfe"]
