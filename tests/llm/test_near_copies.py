@@ -117,7 +117,7 @@ def template_rows(n, pairs, seed=5):
     return [row(x) for x in rows]
 
 
-@pytest.mark.parametrize("size", [near_copies.SLICE, 40_000])
+@pytest.mark.parametrize("size", [2 << 20, 40_000])
 def test_long_lists_lose_no_pair(spark, monkeypatch, size):
     """Rows of one pattern share long lists, of one slice or of many; all near copies among them are linked, whatever the first rows are."""
     monkeypatch.setattr(near_copies, "SLICE", size, raising=False)
