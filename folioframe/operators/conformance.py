@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLANK = r"^[ \t\n\r]*$"
+from ..sources.xml import walk_xml
+
+#: Columns of nodes that refused reads.
+READ = ["doc_id", "node_id", "tag", "attrs", "line", "error", "children", "loose"]
 
 
 def refused(nodes: DataFrame, rules: DataFrame) -> DataFrame:
@@ -15,14 +18,11 @@ def refused(nodes: DataFrame, rules: DataFrame) -> DataFrame:
     first such child, at: its number among the children, from 0); content is
     incomplete; text not allowed; attribute is missing; attribute value not
     allowed. A node's children are one array in their order, over which its
-    model's automaton runs inside an expression. Only tags of children are
-    shuffled; rules are joined by their size.
+    model's automaton runs inside an expression. Nothing is shuffled; rules,
+    which are of fixed size, go to every task.
     """
-    good = nodes.where("error IS NULL")
-    kids = good.where("parent_id IS NOT NULL").groupBy("doc_id", F.col("parent_id").alias("node_id"))
-    kids = kids.agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "tag"))), lambda k: k["tag"]).alias("children"), F.bool_or(~F.coalesce("tail", F.lit("")).rlike(BLANK)).alias("tail_text"))
-    rows = good.join(kids, ["doc_id", "node_id"], "left").join(rules, "tag", "left")
-    children = F.coalesce("children", F.expr("CAST(array() AS array<string>)"))
+    rows = nodes.where("error IS NULL").join(F.broadcast(rules), "tag", "left")
+    children = F.col("children")
     start = F.struct(F.lit(0).alias("state"), F.lit(0).alias("i"), F.lit(-1).alias("bad"))
 
     def step(s, tag):
@@ -32,9 +32,8 @@ def refused(nodes: DataFrame, rules: DataFrame) -> DataFrame:
 
     ran = F.aggregate(children, start, step)
     stray = F.array_position(F.transform(children, lambda t: F.array_contains("allowed", t)), F.lit(False)).cast("int") - 1
-    rows = rows.withColumns({"all": children}).withColumn("ran", F.when(F.col("kind") == "children", ran)).withColumn("stray", F.when(F.col("kind") == "mixed", stray).when((F.col("kind") == "empty") & (F.size("all") > 0), 0).otherwise(-1))
+    rows = rows.withColumn("ran", F.when(F.col("kind") == "children", ran)).withColumn("stray", F.when(F.col("kind") == "mixed", stray).when((F.col("kind") == "empty") & (F.size("children") > 0), 0).otherwise(-1))
     kind, bad = F.col("kind"), F.when(F.col("kind") == "children", F.col("ran.bad")).otherwise(F.col("stray"))
-    texts = ~F.coalesce("text", F.lit("")).rlike(BLANK) | F.coalesce("tail_text", F.lit(False))
 
     def one(problem, when, subject=None, at=None):
         none = F.lit(None)
@@ -42,9 +41,9 @@ def refused(nodes: DataFrame, rules: DataFrame) -> DataFrame:
 
     single = F.array_compact(F.array(
         one("element not declared", kind.isNull()),
-        one("child not allowed", bad >= 0, F.try_element_at("all", bad + 1), bad),
+        one("child not allowed", bad >= 0, F.try_element_at("children", bad + 1), bad),
         one("content is incomplete", (kind == "children") & (F.col("ran.bad") < 0) & ~F.array_contains("ends", F.col("ran.state"))),
-        one("text not allowed", kind.isin("children", "empty") & texts),
+        one("text not allowed", kind.isin("children", "empty") & F.col("loose")),
     ))
     note = lambda problem, name: F.struct(F.lit(problem).alias("problem"), name.alias("subject"), F.lit(None).cast("int").alias("at"))
     none = F.expr("CAST(array() AS array<string>)")
@@ -52,3 +51,9 @@ def refused(nodes: DataFrame, rules: DataFrame) -> DataFrame:
     wrong = F.filter(F.coalesce(F.map_keys("choices"), none), lambda a: F.array_contains(F.map_keys("attrs"), a) & ~F.array_contains(F.element_at("choices", a), F.try_element_at("attrs", a)))
     wrong = F.transform(wrong, lambda a: note("attribute value not allowed", a))
     return rows.select("doc_id", "node_id", "tag", "line", F.explode(F.concat(single, missing, wrong)).alias("f")).select("doc_id", "node_id", "tag", "line", "f.problem", "f.subject", "f.at")
+
+
+def texts_refused(documents: DataFrame, rules: DataFrame, recover: bool = False) -> DataFrame:
+    """refused of XML texts (doc_id, xml), in one pass; equal texts that meet in a task are judged once."""
+    found = refused(walk_xml(documents, recover=recover, columns=READ, together=True), rules)
+    return found.select(F.explode("doc_id").alias("doc_id"), *found.columns[1:])

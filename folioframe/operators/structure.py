@@ -65,14 +65,17 @@ def structural_join(ancestors: DataFrame, descendants: DataFrame, outermost: boo
 
 
 def summarised(nodes: DataFrame, steps: int = 3) -> DataFrame:
-    """nodes of any origin with kids, descendants, below, nth and parent_line, as walk_xml gives them.
+    """nodes of any origin with kids, descendants, below, nth, parent_line, id_before, children and loose, as walk_xml gives them.
 
-    Needs doc_id, node_id, parent_id, tag, line and subtree_end. Children are
-    counted by a window over their parent; what stands below is aggregated
+    Needs doc_id, node_id, parent_id, tag, attrs, text, tail, line and
+    subtree_end. Children are counted by a window over their parent; what stands below is aggregated
     level by level, steps times, and descendants by the structural join.
     """
     siblings = Window.partitionBy("doc_id", "parent_id", "tag").orderBy("node_id")
-    rows = nodes.withColumn("nth", F.row_number().over(siblings).cast("int"))
+    ident = F.coalesce(F.col("attrs")["id"], F.lit(""))
+    earlier = Window.partitionBy("doc_id", ident).orderBy("node_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.sort_array(F.collect_set(F.when(ident != "", F.col("tag"))).over(earlier))
+    rows = nodes.withColumn("nth", F.row_number().over(siblings).cast("int")).withColumn("id_before", before)
     ways = rows.select("doc_id", "parent_id", "node_id", "tag", "nth", F.array().cast("array<string>").alias("below"))
     for _ in range(steps):
         firsts = ways.where("nth = 1 AND parent_id IS NOT NULL").withColumn("own", F.concat(F.array("tag"), F.transform("below", lambda w: F.concat("tag", F.lit("/"), w))))
@@ -84,8 +87,12 @@ def summarised(nodes: DataFrame, steps: int = 3) -> DataFrame:
     tags = structural_join(nodes, inner).join(inner.select("doc_id", F.col("node_id").alias("descendant"), "tag"), ["doc_id", "descendant"])
     tags = tags.groupBy("doc_id", F.col("ancestor").alias("node_id")).agg(F.sort_array(F.collect_set("tag")).alias("descendants"))
     lines = nodes.select("doc_id", F.col("node_id").alias("parent_id"), F.col("line").alias("parent_line"))
-    out = rows.join(shape, ["doc_id", "node_id"]).join(tags, ["doc_id", "node_id"], "left").join(lines, ["doc_id", "parent_id"], "left")
-    return out.withColumn("descendants", F.coalesce("descendants", F.array().cast("array<string>")))
+    filled = lambda c: ~F.coalesce(c, F.lit("")).rlike(r"^[ \t\n\r]*\z")
+    under = inner.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "tag"))), lambda k: k["tag"]).alias("children"), F.bool_or(filled("tail")).alias("tails"))
+    rows = rows.drop("children", "loose", "parent_line", "kids", "below", "descendants")
+    out = rows.join(shape, ["doc_id", "node_id"]).join(tags, ["doc_id", "node_id"], "left").join(lines, ["doc_id", "parent_id"], "left").join(under, ["doc_id", "node_id"], "left")
+    empty = F.array().cast("array<string>")
+    return out.withColumns({"descendants": F.coalesce("descendants", empty), "children": F.coalesce("children", empty), "loose": filled("text") | F.coalesce("tails", F.lit(False))}).drop("tails")
 
 
 def text_blocks(nodes: DataFrame, block: int = BLOCK) -> DataFrame:

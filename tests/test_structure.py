@@ -244,3 +244,44 @@ def test_a_large_book_is_spread(spark):
     assert len(root.findall("chapter")) == 100 and len(root.findall(".//sect1")) == 900 and len(figures) == 400
     links = [e.get("linkend") for e in root.iter("link")]
     assert len(links) == 400 and set(links) == {f.get("id") for f in figures}
+
+
+# ---- equal texts, and readers that give what a plan reads
+
+
+def test_other_node_tables_get_children_loose_text_and_earlier_identifiers(spark, nodes):
+    texts = [("x", "<a id='1'> <b id='1'/>t<c id='1'>\n</c><b id='2'/><b id='1'/></a>"), ("y", "<a>t<b/> </a>")]
+    more = nodes.unionByName(walk_xml(spark.createDataFrame(texts, "doc_id string, xml string")))
+    own = ["id_before", "children", "loose"]
+    read = {(r.doc_id, r.node_id): (r.id_before, r.children, r.loose) for r in more.collect()}
+    assert {(r.doc_id, r.node_id): (r.id_before, r.children, r.loose) for r in summarised(more.drop(*own, "nth", "parent_line", "kids", "descendants", "below")).select("doc_id", "node_id", *own).collect()} == read
+    assert [read["x", n] for n in range(5)] == [([], ["b", "c", "b", "b"], True), (["a"], [], False), (["a", "b"], [], False), ([], [], False), (["a", "b", "c"], [], False)]
+
+
+def test_the_reader_gives_what_is_asked(spark):
+    docs = spark.createDataFrame([(i, "<a><b><c id='1'/></b></a>" if i % 3 else "<a", i % 2) for i in range(12)], "doc_id int, xml string, odd int").coalesce(1)
+    rows = walk_xml(docs, columns=["doc_id", "tag", "path", "error"], tags=["c"], carried=["odd"], together=True)
+    assert rows.columns == ["doc_id", "tag", "path", "error", "odd"]
+    got = [(int(d), r.tag, r.path, r.error is None, r.odd) for r in rows.collect() for d in r.doc_id]
+    want = [row for i in range(12) for row in ([(i, "a", [], True, i % 2), (i, "c", ["a", "b"], True, i % 2)] if i % 3 else [(i, None, None, False, i % 2)])]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert rows.count() < len(want), "equal texts are given once"
+
+
+def test_well_formed_texts_need_no_mending(spark):
+    """What an own document type declares stays unresolved where a text is read to be mended, as before."""
+    texts = [("plain", "<a k=' x'> </a>"), ("typed", "<!DOCTYPE a [<!ENTITY e 'long'><!ATTLIST a k CDATA 'v'>]><a>&e;</a>"), ("broken", "<a k=1>&e;")]
+    rows = {r.doc_id: (r.attrs, r.text) for r in walk_xml(spark.createDataFrame(texts, "doc_id string, xml string"), recover=True).collect()}
+    assert rows == {"plain": ({"k": " x"}, " "), "typed": ({}, "&e;"), "broken": ({"k": "1"}, "&e;")}
+
+
+def test_content_models_are_checked_in_one_pass(spark):
+    """The texts are read once, and neither nodes nor children are shuffled."""
+    from folioframe.operators.conformance import texts_refused
+
+    docs = spark.createDataFrame([(str(i), f"<book><title>{i % 2}</title>{'x' * (i % 3)}<chapter id='1'><title/><para/></chapter></book>") for i in range(30)], "doc_id string, xml string")
+    kinds = rules(spark, Definition(DTD))
+    plain, once = refused(walk_xml(docs), kinds), texts_refused(docs, kinds)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, plain.collect())) and once.where("problem = 'text not allowed'").count() == 20
+    plan = texts_refused(docs, kinds)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
