@@ -303,7 +303,7 @@ def test_findings_need_one_pass(spark):
             assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
 
 
-ONE_PASS = ["recovered_findings", "rule_findings", "rule_order", "rule_severities", "rule_types"]
+ONE_PASS = ["recovered_findings", "rule_findings", "rule_order", "rule_severities", "rule_types", "rule_validity"]
 
 
 @pytest.mark.parametrize("name", ONE_PASS)
