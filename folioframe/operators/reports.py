@@ -23,7 +23,7 @@ def severity_histogram(found: DataFrame) -> DataFrame:
     names = found.sparkSession.createDataFrame([(s,) for s in SEVERITIES], "severity string")
     counts = found.groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
     rows = F.broadcast(names).join(counts, "severity", "left").select("severity", F.coalesce("n", F.lit(0)).alias("n"))
-    return rows.unionByName(rows.agg(F.sum("n").alias("n")).select(F.lit("Total").alias("severity"), "n"))
+    return rows.rollup("severity").agg(F.sum("n").alias("n")).select(F.coalesce("severity", F.lit("Total")).alias("severity"), "n")
 
 
 def type_histogram(found: DataFrame, order: str = "seq") -> DataFrame:

@@ -313,4 +313,4 @@ def test_queries_about_rules_read_texts_once(spark, name):
     from folioframe.queries import QUERIES
 
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("MapInArrow") == (2 if name == "rule_severities" else 1)
+    assert plan.count("MapInArrow") == 1
