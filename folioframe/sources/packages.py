@@ -46,21 +46,47 @@ def package_xml(files: DataFrame, prefer: str | None = None) -> DataFrame:
     return files.select("path", "content").mapInArrow(read, "path string, member string, xml string, error string").withColumn("name", package_name(F.col("path")))
 
 
-def media_folders(path, name) -> list:
-    """Folders in which a document's media may stand, in the order in which they are tried. path: its XML file, name: its package name."""
+def listed(files: DataFrame) -> DataFrame:
+    """files (path, ...) with folder and name, the path's parts before and after its last slash."""
+    name = F.substring_index("path", "/", -1)
+    return files.withColumns({"folder": F.substring(F.col("path"), F.lit(1), F.length("path") - F.length(name) - 1), "name": name})
+
+
+def media_folder(documents: DataFrame, folders: DataFrame) -> DataFrame:
+    """(doc_id, folder, ...): the first of each document's folders that exists, with what folders tells of it.
+
+    documents: doc_id and path of XML files; folders: one row for each folder
+    that exists, with any other columns. A document and its own folders meet by
+    the name without its end, its folder and the shared ones there by theirs:
+    documents are never multiplied, and folders that many documents share are a
+    table of their own, which is joined by its size.
+    """
+    path, whole = F.col("path"), F.struct("folder", *(c for c in folders.columns if c != "folder"))
+
+    def ending(pattern: str, key: str) -> DataFrame:
+        """The folders of a pattern by what stands before their end, written in lower case or in mixed."""
+        stem, low = F.regexp_extract("folder", pattern, 1), F.endswith(F.col("folder"), F.lit("multimedia"))
+        rows = folders.where(F.regexp_like("folder", F.lit(pattern))).groupBy(stem.alias(key))
+        return rows.agg(F.first(F.when(low, whole), ignorenulls=True).alias(f"{key}_low"), F.first(F.when(~low, whole), ignorenulls=True).alias(f"{key}_mixed"))
+
     parent = F.regexp_extract(path, r"^(.*/)", 1)
-    return [F.concat(parent, name, F.lit("_multimedia")), F.concat(parent, F.lit("multimedia")), F.concat(parent, name, F.lit("_MultiMedia")), F.concat(parent, F.lit("MultiMedia"))]
+    rows = documents.select("doc_id", F.concat(parent, package_name(path)).alias("own"), parent.alias("shared"))
+    rows = rows.join(ending(r"(?s)^(.*)_(?:multimedia|MultiMedia)\z", "own"), "own", "left").join(ending(r"(?s)^((?:.*/)?)(?:multimedia|MultiMedia)\z", "shared"), "shared", "left")
+    tried = F.array("own_low", "shared_low", "own_mixed", "shared_mixed")
+    rank = F.array_position(F.transform(tried, lambda f: f.isNotNull()), F.lit(True))
+    found = rows.select("doc_id", rank.alias("rank"), F.try_element_at(tried, rank.cast("int")).alias("f")).where("rank > 0")
+    return found.groupBy("doc_id").agg(F.min_by("f", "rank").alias("f")).select("doc_id", "f.*")
 
 
 def media_lookup(documents: DataFrame, files: DataFrame) -> DataFrame:
     """(doc_id, folder, name, path, content): each document's media, from the first of its folders that exists, that is, holds a file.
 
     documents: doc_id and path of XML files; files: path and content of media.
-    Folders meet by equality; a folder that many documents share is listed once.
+    A folder's files are given for every document that shares it; to count or
+    sum them up, do so by folder first and ask media_folder.
     """
-    media = files.withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]*$", 1)).withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
-    tried = documents.select("doc_id", F.posexplode(F.array(*media_folders(F.col("path"), package_name(F.col("path"))))).alias("rank", "folder"))
-    found = tried.join(media.select("folder").distinct(), "folder").groupBy("doc_id").agg(F.min_by("folder", "rank").alias("folder"))
+    media = listed(files)
+    found = media_folder(documents, media.select("folder").distinct())
     return found.join(media, "folder").select("doc_id", "folder", "name", "path", "content")
 
 

@@ -178,3 +178,20 @@ def test_command_line(spark, tmp_path):
     assert main(["convert", str(tmp_path / "in"), "-o", str(tmp_path / "out"), "--quiet"]) == 0
     assert sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*") if p.is_file()) == ["one.xml", "one_multimedia/Ch0001s0000fg01.png", "one_package.zip", "one_validation_report.xlsx"]
     assert main(["validate", str(tmp_path / "out" / "one_package.zip"), "--quiet"]) == 0
+
+
+def test_media_folders(spark):
+    """The first folder that exists counts, and documents that share one are not multiplied by its files."""
+    from pyspark.sql import functions as F
+
+    from folioframe.sources.packages import listed, media_folder, media_lookup
+
+    docs = spark.createDataFrame([(str(i), f"/in/b{i}_docbook42.xml") for i in range(200)] + [("up", "/up/x.xml"), ("bare", "y.xml"), ("none", "/none/z.xml"), ("null", None)], "doc_id string, path string")
+    names = [f"/in/multimedia/{k}.png" for k in range(500)] + ["/in/MultiMedia/no.png", "/in/b7_multimedia/a.png", "/in/b8_MultiMedia/no.png", "/up/x_MultiMedia/b.png", "/up/x_MultiMedia/a.png", "/up/MultiMedia/no.png", "multimedia/c.png", "/none/z/multimedia/no.png", "/none/_multimedia/no.png", "none.png"]
+    files = spark.createDataFrame([(n, b"x") for n in names], "path string, content binary")
+    folders = listed(files).groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.min("name").alias("first_name"))
+    found = media_folder(docs, folders)
+    want = {str(i): ("/in/multimedia", 500, "0.png") for i in range(200)} | {"7": ("/in/b7_multimedia", 1, "a.png"), "up": ("/up/x_MultiMedia", 2, "a.png"), "bare": ("multimedia", 1, "c.png")}
+    assert {r.doc_id: (r.folder, r.files, r.first_name) for r in found.collect()} == want and found.count() == len(want)
+    few = docs.where("doc_id IN ('7', '8', 'up')")
+    assert sorted((r.doc_id, r.path) for r in media_lookup(few, files).collect()) == sorted([("7", "/in/b7_multimedia/a.png"), ("up", "/up/x_MultiMedia/a.png"), ("up", "/up/x_MultiMedia/b.png"), *(("8", f"/in/multimedia/{k}.png") for k in range(500))])
