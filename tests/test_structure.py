@@ -268,6 +268,16 @@ def test_the_reader_gives_what_is_asked(spark):
     assert rows.count() < len(want), "equal texts are given once"
 
 
+def test_arrays_of_documents_are_bounded(spark):
+    """400 equal texts of 10,001 nodes: no batch holds them all, and every document gets every node."""
+    from folioframe.sources.xml import CELLS
+
+    n = 10_000
+    docs = spark.range(400).select(F.col("id").cast("string").alias("doc_id"), F.lit("<a>" + "<b/>" * n + "</a>").alias("xml")).coalesce(1)
+    met = walk_xml(docs, columns=["doc_id", "tag"], together=True).agg(F.max(F.size("doc_id")).alias("most"), F.sum(F.size("doc_id")).alias("cells"), F.count("*").alias("rows")).first()
+    assert met.most <= CELLS // n + 1 and met.cells == 400 * (n + 1) and met.rows == 2 * (n + 1)
+
+
 def test_well_formed_texts_need_no_mending(spark):
     """What an own document type declares stays unresolved where a text is read to be mended, as before."""
     texts = [("plain", "<a k=' x'> </a>"), ("typed", "<!DOCTYPE a [<!ENTITY e 'long'><!ATTLIST a k CDATA 'v'>]><a>&e;</a>"), ("broken", "<a k=1>&e;")]
